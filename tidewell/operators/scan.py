@@ -195,13 +195,6 @@ def _block_window(keys, order):
     return Window.partitionBy(*keys, _BLOCK).orderBy(*sort_columns(order))
 
 
-def _same(left, right, names):
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def _carry_prefixes(df, keys, order, specs):
     window = _block_window(keys, order)
     local_names = {name: f"__local_{name}" for name in specs}
@@ -244,41 +237,44 @@ def _lend_neighbours(df, keys, order, specs):
     ahead = max(s.ahead for s in specs.values())
     window = _block_window(keys, order)
     reverse = Window.partitionBy(*keys, _BLOCK).orderBy(*sort_columns([o[1:] if o.startswith("-") else f"-{o}" for o in order]))
-    # Blocks of one group numbered without gaps, kept only where the group has several.
+    # Blocks of one group numbered without gaps, kept only where the group has several:
+    # at most two rows per block boundary.
+    along = Window.partitionBy(*keys).orderBy(_BLOCK)
     spans = (
         df.groupBy(*keys, _BLOCK)
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumns(
             {
-                "__part": F.row_number().over(Window.partitionBy(*keys).orderBy(_BLOCK)),
+                "__part": F.row_number().over(along),
                 "__parts": F.count(F.lit(1)).over(Window.partitionBy(*keys)),
+                "__upto": F.sum("__n").over(_rows(along)),
             }
         )
         .filter(F.col("__parts") > 1)
-        .select(
-            *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
-            F.col(_BLOCK).alias("__span_block"),
-            "__part",
-        )
+        .select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], F.col(_BLOCK).alias("__from"), "__part", "__n", "__upto")
     )
-    match = F.lit(True)
-    for i, key in enumerate(keys):
-        match = match & F.col(key).eqNullSafe(F.col(f"__key_{i}"))
+    key_names = [f"__key_{i}" for i in range(len(keys))]
     out = df.withColumn("__lent", F.lit(False))
     for reach, ordering, sign in ((back, reverse, 1), (ahead, window, -1)):
         if not reach:
             continue
-        edge = df.withColumn(_ROW, F.row_number().over(ordering)).filter(F.col(_ROW) <= reach)
-        # At most two blocks per boundary and ``reach`` rows each: small by construction.
-        edge = (
-            edge.join(F.broadcast(spans), match & (F.col(_BLOCK) == F.col("__span_block")))
-            .withColumn("__to", F.explode(F.sequence(F.lit(1), F.lit(reach))))
-            .withColumn("__to", F.col("__part") + F.lit(sign) * F.col("__to"))
-            .drop("__span_block", "__part", _BLOCK, _ROW, *[f"__key_{i}" for i in range(len(keys))])
+        # Which block lends to which: neighbours with fewer than ``reach`` rows in between.
+        target = spans.select(
+            *[F.col(k).alias(f"{k}_to") for k in key_names], F.col("__from").alias("__to"), F.col("__part").alias("__part_to"),
+            F.col("__n").alias("__n_to"), F.col("__upto").alias("__upto_to"),
         )
-        lent = edge.join(F.broadcast(spans), match & (F.col("__to") == F.col("__part"))).select(
-            *[F.col("__span_block").alias(_BLOCK) if c == _BLOCK else F.col(c) for c in df.columns],
-            F.lit(True).alias("__lent"),
+        match = F.col("__want") == F.col("__part_to")
+        for k in key_names:
+            match = match & F.col(k).eqNullSafe(F.col(f"{k}_to"))
+        wanted = spans.withColumn("__want", F.col("__part") + F.lit(sign) * F.explode(F.sequence(F.lit(1), F.lit(reach))))
+        between = F.col("__upto_to") - F.col("__n_to") - F.col("__upto") if sign == 1 else F.col("__upto") - F.col("__n") - F.col("__upto_to")
+        lenders = wanted.join(target, match).filter(between < reach).select(*key_names, "__from", "__to")
+        edge = df.withColumn(_ROW, F.row_number().over(ordering)).filter(F.col(_ROW) <= reach)
+        borrowed = F.col(_BLOCK) == F.col("__from")
+        for i, key in enumerate(keys):
+            borrowed = borrowed & F.col(key).eqNullSafe(F.col(f"__key_{i}"))
+        lent = edge.join(F.broadcast(lenders), borrowed).select(
+            *[F.col("__to").alias(_BLOCK) if c == _BLOCK else F.col(c) for c in df.columns], F.lit(True).alias("__lent")
         )
         out = out.unionByName(lent)
     return (

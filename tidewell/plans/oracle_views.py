@@ -55,18 +55,18 @@ user_changes AS (
 PRODUCT_CHANGES = """product_changes_base AS (
   SELECT p_partkey AS product_id, version, TIMESTAMP '1995-01-01' + to_days(CAST(version * 800 AS INTEGER)) AS updated_at,
     p_name AS product_name, p_type AS category, p_brand AS subcategory,
-    ROUND(p_retailprice * CAST(1 + version * 0.25 AS DOUBLE), 2) AS price, p_size
+    CAST(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(1 + version * 0.25 AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS price, p_size
   FROM part, (SELECT UNNEST([0, 1, 2]) AS version)),
 product_changes AS (
-  SELECT product_id, CAST(version AS BIGINT) AS version, updated_at, product_name, category, subcategory, price,
-    ROUND(price * CASE WHEN p_size % 17 = 0 THEN 1.1::DOUBLE ELSE 0.7::DOUBLE END, 2) AS cost,
+  SELECT product_id, CAST(version AS BIGINT) AS version, updated_at, product_name, category, subcategory, CAST(price AS DOUBLE) AS price,
+    CAST(CAST(price * CASE WHEN p_size % 17 = 0 THEN 1.1 ELSE 0.7 END AS DECIMAL(18,2)) AS DOUBLE) AS cost,
     CAST((p_size * 7 + product_id + version * 31) % 120 - 3 AS INTEGER) AS inventory_count, 20 AS reorder_level,
     CASE WHEN product_id % 10 = 0 THEN 'RETIRED' ELSE 'ACTIVE' END AS product_status,
     product_id % 50 = 0 AND version = 2 AS is_deleted
   FROM product_changes_base)"""
 
 TRANSFERS = """transfers AS (
-  SELECT event_id AS transfer_id, user_id AS src, product_id AS dst, total_amount AS amount, event_time AS at
+  SELECT event_id AS transfer_id, user_id AS src, product_id AS dst, total_amount AS amount, event_time AS sent_at
   FROM ev WHERE action = 'purchase')"""
 
 

@@ -159,7 +159,10 @@ class Tables:
     def product_changes(self) -> DataFrame:
         """Change log of products: three versions each, 800 days apart."""
         base = self.read("part").withColumn("version", F.explode(F.sequence(F.lit(0), F.lit(2))))
-        price = F.round(F.col("p_retailprice") * (1 + F.col("version") * 0.25), 2)
+        price = (F.col("p_retailprice").cast("decimal(18,2)") * (1 + F.col("version") * 0.25).cast("decimal(4,2)")).cast(
+            "decimal(18,2)"
+        )
+        share = F.when(F.col("p_size") % 17 == 0, 1.1).otherwise(0.7).cast("decimal(4,2)")
         return base.select(
             F.col("p_partkey").alias("product_id"),
             F.col("version").cast("long").alias("version"),
@@ -167,8 +170,8 @@ class Tables:
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("subcategory"),
-            price.alias("price"),
-            F.round(price * F.when(F.col("p_size") % 17 == 0, 1.1).otherwise(0.7), 2).alias("cost"),
+            price.cast("double").alias("price"),
+            (price * share).cast("decimal(18,2)").cast("double").alias("cost"),
             ((F.col("p_size") * 7 + F.col("p_partkey") + F.col("version") * 31) % 120 - 3).cast("int").alias("inventory_count"),
             F.lit(20).alias("reorder_level"),
             F.when(F.col("p_partkey") % 10 == 0, "RETIRED").otherwise("ACTIVE").alias("product_status"),
@@ -188,5 +191,5 @@ class Tables:
             F.col("user_id").alias("src"),
             F.col("product_id").alias("dst"),
             F.col("total_amount").alias("amount"),
-            F.col("event_time").alias("at"),
+            F.col("event_time").alias("sent_at"),
         )
