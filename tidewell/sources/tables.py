@@ -113,8 +113,18 @@ class Tables:
 
     @property
     def events(self) -> DataFrame:
+        return self.event_view(self.read("events"))
+
+    @property
+    def event_stream(self) -> DataFrame:
+        """The same events as a file stream."""
+        # A glob, because a file stream takes a plain path for a folder; this finds a file or a folder.
+        source = self.spark.readStream.schema(self.read("events").schema).parquet(f"{self.path}/events.parque[t]")
+        return self.event_view(source)
+
+    def event_view(self, raw: DataFrame) -> DataFrame:
         product = F.get_json_object("props", "$.k").cast("long")
-        return self.read("events").select(
+        return raw.select(
             "event_id",
             F.col("ts").cast("timestamp").alias("event_time"),
             "user_id",
