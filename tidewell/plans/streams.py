@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewell.operators import enrich, joins, keyed_state
 from tidewell.plans.oracle_views import EVENTS, USER_CHANGES, davg, dsum, with_views
 from tidewell.plans.registry import query
-from tidewell.streaming import lateness, sessions, windows
+from tidewell.streaming import lateness, sessions, stateful, windows
 from tidewell.streaming.run import run_available, run_batches
 from tidewell.session import scratch_path
 
@@ -279,12 +279,11 @@ def str_23(t):
     out = scratch_path(t.spark, "late")
 
     def writer(side):
-        return lambda df, batch_id: df.withColumn("side", F.lit(side)).write.mode("overwrite").parquet(f"{out}/{side}/batch_id={batch_id}")
+        return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{out}/side={side}/batch_id={batch_id}")
 
     splitter = lateness.LateSplitter(scratch_path(t.spark, "marks"), "event_time", 60, writer("on_time"), writer("late"))
     run_batches(t.event_stream.select("event_id", "event_time"), splitter, "split-late")
-    parts = t.spark.read.schema("event_id long, side string").parquet(f"{out}/on_time", f"{out}/late")
-    return parts.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    return t.spark.read.parquet(out).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("str_25_window_metadata", with_views(EVENTS) + f"""
@@ -403,3 +402,55 @@ def sta_07(t):
 SELECT * FROM (SELECT user_id, event_id, action, event_time, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time DESC, event_id DESC) AS recency FROM ev) WHERE recency <= 20""")
 def sta_07b(t):
     return keyed_state.recent_activity(t.events, 20)
+
+
+# --- keyed state, stream form -----------------------------------------------------------------
+
+@query("sta_06_fraud_state_stream", with_views(EVENTS) + """
+, k AS (SELECT *, floor(epoch_us(event_time) / 1000) - floor(epoch_us(LAG(event_time) OVER w) / 1000) AS gap FROM ev WHERE total_amount > 50 WINDOW w AS (PARTITION BY user_id ORDER BY event_time, event_id)),
+i AS (SELECT *, SUM(CASE WHEN gap IS NULL OR gap > 86400000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS island FROM k),
+s AS (SELECT *, SUM(CAST(total_amount AS DECIMAL(18,2))) OVER (PARTITION BY user_id, island ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS spending FROM i),
+c AS (SELECT *, CASE WHEN total_amount > 150 THEN 50 ELSE 0 END + CASE WHEN spending > 200 THEN 30 ELSE 0 END + CASE WHEN gap < 7200000 THEN 40 ELSE 0 END AS fraud_score FROM s)
+SELECT event_id, user_id, event_time, total_amount AS amount, CAST(spending AS DOUBLE) AS recent_spending, fraud_score,
+  CASE WHEN gap < 7200000 THEN 'RAPID_TRANSACTIONS' WHEN spending > 200 THEN 'HIGH_VOLUME' WHEN total_amount > 150 THEN 'HIGH_VALUE' ELSE 'SUSPICIOUS' END AS alert_type FROM c WHERE fraud_score >= 40""")
+def sta_06s(t):
+    alerts = stateful.fraud_alerts(t.event_stream, floor=50, high=150, volume=200, reset_seconds=86400, rapid_seconds=7200)
+    return run_available(alerts, "fraud-state")
+
+
+@query("sta_02_session_tracker_stream", with_views(EVENTS, marked("12 HOUR")) + f"""
+, s AS (SELECT user_id, session_no, CAST(floor(epoch_us(MIN(event_time)) / 1000) AS BIGINT) AS session_start_ms, CAST(floor(epoch_us(MAX(event_time)) / 1000) AS BIGINT) AS last_event_ms, COUNT(*) AS event_count, COUNT(DISTINCT category) AS unique_categories,
+  COALESCE({dsum("CASE WHEN action = 'purchase' THEN total_amount END")}, 0) AS total_spent, COUNT(*) FILTER (action = 'view') AS view_count, COUNT(*) FILTER (action = 'add_to_cart') AS cart_count,
+  COUNT(*) FILTER (action = 'purchase') AS purchase_count FROM numbered GROUP BY 1, 2),
+m AS (SELECT epoch_ms(MAX(event_time)) - 20000 AS mark FROM ev)
+SELECT * EXCLUDE (session_no, mark), view_count + 3 * cart_count + 5 * purchase_count + 2 * unique_categories AS engagement_score
+FROM (SELECT *, MAX(session_no) OVER (PARTITION BY user_id) AS latest FROM s), m WHERE session_no < latest OR last_event_ms + 43200000 < mark""".replace("EXCLUDE (session_no, mark)", "EXCLUDE (session_no, mark, latest)"))
+def sta_02s(t):
+    return run_available(stateful.track_sessions(t.event_stream, 12 * 3600, running=False), "session-state").drop("is_final")
+
+
+@query("sta_05_user_behavior_state_stream", with_views(EVENTS) + f"""
+, s AS (SELECT event_id, user_id, event_time, COUNT(*) OVER {_running('user_id')} AS total_events, SUM({_SPENT}) OVER {_running('user_id')} AS spent FROM ev)
+SELECT event_id, user_id, event_time, total_events, CAST(spent AS DOUBLE) AS total_spent, CASE WHEN spent >= 1000 THEN 'GOLD' WHEN spent >= 300 THEN 'SILVER' ELSE 'BRONZE' END AS user_tier FROM s""")
+def sta_05s(t):
+    return run_available(stateful.behavior_states(t.event_stream, 300, 1000), "behavior-state")
+
+
+@query("str_16_count_trigger_stream", with_views(EVENTS) + f"""
+SELECT user_id, batch_no, COUNT(*) AS event_count, {dsum('total_amount')} AS total_amount
+FROM (SELECT *, (ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time, event_id) - 1) // 10 + 1 AS batch_no FROM ev) GROUP BY 1, 2 HAVING COUNT(*) = 10""")
+def str_16s(t):
+    # The idle time exceeds the covered month, so only full batches are due.
+    out = run_available(stateful.count_batches(t.event_stream, 10, 90 * 86400), "count-trigger")
+    return out.select("user_id", "batch_no", "event_count", "total_amount")
+
+
+@query("sta_01_user_profile_stream")
+def sta_01s(t):
+    out = run_available(stateful.user_profiles(t.event_stream), "user-profile")
+    return out.groupBy("kind", "tier").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
+
+
+@query("sta_03_product_popularity_stream")
+def sta_03s(t):
+    return run_available(stateful.popularity(t.event_stream), "popularity")
