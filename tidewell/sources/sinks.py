@@ -42,36 +42,51 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch_
 
 
 class UpsertSink:
-    """Primary-key upsert of micro-batches into a Parquet table with versions.
+    """Primary-key upsert of micro-batches into a Parquet table.
 
-    Every batch writes a complete new version ``v=<batch id>`` from the one before; readers use
-    the newest version whose marker exists. Replaying a batch id rewrites the same version, so
-    the result is exactly once.
+    Keys are hashed to buckets. A batch rewrites only the buckets it touches, under
+    ``v=<batch id>``, and then writes a marker with their numbers; readers take the newest
+    marked version of every bucket. A replayed batch id rewrites the same files, so the
+    result is exactly once.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str]):
-        self.path, self.keys, self.order = path, list(keys), list(order)
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64):
+        self.path, self.keys, self.order, self.buckets = path, list(keys), list(order), buckets
 
-    def _versions(self, spark) -> list[int]:
+    def _newest(self, spark, before: int | None = None) -> dict[int, int]:
+        """Newest version per bucket: at most ``buckets`` rows."""
         try:
-            done = spark.read.schema("n long").parquet(f"{self.path}/done/*")
-            return sorted({r[0] for r in done.select("n").distinct().collect()})
+            marks = spark.read.schema("bucket int, n long").parquet(f"{self.path}/done/*")
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return []
+            return {}
+        if before is not None:
+            marks = marks.filter(F.col("n") < before)
+        return {r["bucket"]: r["n"] for r in marks.groupBy("bucket").agg(F.max("n").alias("n")).collect()}
+
+    def _read(self, spark, versions: Mapping[int, int]) -> DataFrame | None:
+        paths = [f"{self.path}/v={n}/bucket={b}" for b, n in sorted(versions.items())]
+        return spark.read.parquet(*paths) if paths else None
 
     def current(self, spark) -> DataFrame | None:
-        versions = self._versions(spark)
-        return spark.read.parquet(f"{self.path}/v={versions[-1]}") if versions else None
+        return self._read(spark, self._newest(spark))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        older = [v for v in self._versions(spark) if v < batch_id]
-        last = top_k_per(batch, self.keys, [f"-{o}" for o in self.order], 1, "__first").drop("__first")
-        merged = merge_upsert(spark.read.parquet(f"{self.path}/v={older[-1]}"), last, self.keys) if older else last
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        spark.range(1).select(F.lit(batch_id).cast("long").alias("n")).write.mode("overwrite").parquet(f"{self.path}/done/v={batch_id}")
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        updates = top_k_per(batch, self.keys, [f"-{o}" for o in self.order], 1, "__first").drop("__first").persist()
+        try:
+            touched = [r[0] for r in updates.select(bucket.alias("b")).distinct().collect()]
+            older = {b: n for b, n in self._newest(spark, batch_id).items() if b in set(touched)}
+            target = self._read(spark, older)
+            merged = merge_upsert(target, updates, self.keys) if target is not None else updates
+            version = f"{self.path}/v={batch_id}"
+            merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(version)
+            marks = spark.createDataFrame([(b, batch_id) for b in touched], "bucket int, n long")
+            marks.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/done/v={batch_id}")
+        finally:
+            updates.unpersist()
 
 
 def jdbc_upsert_batch(url: str, staging: str, merge: Callable[[int], None], batch_size: int = 1000) -> Callable[[DataFrame, int], None]:
