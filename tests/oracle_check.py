@@ -1,4 +1,7 @@
-"""Runs registered queries beside their SQL: ``python tests/oracle_check.py [sf] [prefix ...]``."""
+"""Runs registered queries beside their SQL: ``python tests/oracle_check.py [--hot] [sf] [prefix ...]``.
+
+``--hot`` treats every group as too large for one task, so all ordered scans are split into blocks.
+"""
 
 from __future__ import annotations
 
@@ -67,10 +70,14 @@ def main(argv):
     import __spark_entry__ as contract
     from tidewell.session import local_session
 
+    hot = "--hot" in argv
+    argv = [a for a in argv if a != "--hot"]
     sf = argv[1] if len(argv) > 1 else "0.01"
     prefixes = tuple(argv[2:]) or ("",)
     sf_dir = f"/root/testdata/sf{sf}"
     spark = local_session()
+    if hot:
+        spark.conf.set("spark.tidewell.hotGroupRows", "0")
     connection = duck(sf_dir)
     oracles = contract.oracle_sql()
     bad = 0

@@ -266,7 +266,9 @@ def _lend_neighbours(df, keys, order, specs):
         match = F.col("__want") == F.col("__part_to")
         for k in key_names:
             match = match & F.col(k).eqNullSafe(F.col(f"{k}_to"))
-        wanted = spans.withColumn("__want", F.col("__part") + F.lit(sign) * F.explode(F.sequence(F.lit(1), F.lit(reach))))
+        wanted = spans.withColumn("__want", F.explode(F.sequence(F.lit(1), F.lit(reach)))).withColumn(
+            "__want", F.col("__part") + F.lit(sign) * F.col("__want")
+        )
         between = F.col("__upto_to") - F.col("__n_to") - F.col("__upto") if sign == 1 else F.col("__upto") - F.col("__n") - F.col("__upto_to")
         lenders = wanted.join(target, match).filter(between < reach).select(*key_names, "__from", "__to")
         edge = df.withColumn(_ROW, F.row_number().over(ordering)).filter(F.col(_ROW) <= reach)
@@ -286,11 +288,11 @@ def _lend_neighbours(df, keys, order, specs):
 
 def _rank_peers(df, keys, order, name, spec):
     values = F.struct(*[F.col(b.lstrip("-")) for b in spec.by])
-    df = _lend_neighbours(df, keys, order, {"__before": lag(values)})
-    df = _carry_prefixes(df, keys, order, {"__rn": row_number()})
-    starts = (F.col("__rn") == 1) | ~F.col("__before").eqNullSafe(values)
-    value = running_sum(F.when(starts, 1).otherwise(0).cast("long")) if spec.dense else running_max(F.when(starts, F.col("__rn")))
-    return _carry_prefixes(df, keys, order, {name: value}).drop("__before", "__rn")
+    df = _lend_neighbours(df, keys, order, {"__peer_before": lag(values)})
+    df = _carry_prefixes(df, keys, order, {"__peer_rn": row_number()})
+    starts = (F.col("__peer_rn") == 1) | ~F.col("__peer_before").eqNullSafe(values)
+    value = running_sum(F.when(starts, 1).otherwise(0).cast("long")) if spec.dense else running_max(F.when(starts, F.col("__peer_rn")))
+    return _carry_prefixes(df, keys, order, {name: value}).drop("__peer_before", "__peer_rn")
 
 
 def with_totals(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:

@@ -40,7 +40,7 @@ EVENTS = """ev AS (
 USER_CHANGES = """user_changes_base AS (
   SELECT o_custkey AS user_id, o_orderkey, o_orderdate AS updated_at,
     CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'SUSPENDED' WHEN 'P' THEN 'INACTIVE' END AS user_status,
-    CAST(o_totalprice / 1000 AS DECIMAL(18,2)) AS spent FROM orders),
+    CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.001 AS DECIMAL(18,5)) AS spent FROM orders),
 user_changes_run AS (
   SELECT *, ROW_NUMBER() OVER w AS version, SUM(spent) OVER (w ROWS UNBOUNDED PRECEDING) AS running
   FROM user_changes_base WINDOW w AS (PARTITION BY user_id ORDER BY updated_at, o_orderkey)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,7 +149,7 @@ class Tables:
             "o_orderkey",
             F.col("o_orderdate").cast("timestamp").alias("updated_at"),
             recode(F.col("o_orderstatus"), USER_STATUS).alias("user_status"),
-            (F.col("o_totalprice") / 1000).cast("decimal(18,2)").alias("spent"),
+            (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(Decimal("0.001"))).cast("decimal(18,5)").alias("spent"),
         )
         versions = scan(
             orders, ["user_id"], ["updated_at", "o_orderkey"],
