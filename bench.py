@@ -31,10 +31,11 @@ def main() -> None:
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8)
     seconds = {}
     for name in names:
-        for _ in range(2):
+        for _ in range(int(os.environ.get("BENCH_RUNS", "2"))):
             start = time.perf_counter()
             catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": Path(sf_dir).name.removeprefix("sf")}))
     spark.stop()

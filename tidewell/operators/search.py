@@ -23,7 +23,7 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Exact cosine top-k: (query_id, id, score, rank).
 
-    Query vectors travel to the tasks in chunks of ``QUERY_CHUNK``; each Arrow batch of
+    ``queries`` is the set of searches, not a table of data. Query vectors travel to the tasks in chunks of ``QUERY_CHUNK``; each Arrow batch of
     vectors yields its own best ``k`` per query by one matrix product, and a grouped top-k
     merges those, so only k rows per query and batch are shuffled.
     """

@@ -533,10 +533,9 @@ def agg_17(t):
 
 
 @query("agg_17_string_agg_all", """
-SELECT n_name AS country, COUNT(*) AS n, string_agg(c_mktsegment, ', ' ORDER BY c_mktsegment) AS joined
-FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
+SELECT l_orderkey, COUNT(*) AS n, string_agg(l_returnflag, ', ' ORDER BY l_returnflag) AS joined FROM lineitem GROUP BY 1""")
 def agg_17b(t):
-    return agg.string_agg(t.users, "country", "tier")
+    return agg.string_agg(t.lineitem, "l_orderkey", "l_returnflag")
 
 
 @query("agg_18_country_revenue", with_views(ORDERS, USERS) + f"""

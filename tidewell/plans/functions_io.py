@@ -74,17 +74,16 @@ def fn_date(t):
 
 
 @query("fn_arr_arrays", """
-WITH a AS (SELECT o_custkey, list(o_orderpriority ORDER BY o_orderdate, o_orderkey) AS l, list(DISTINCT o_orderstatus) AS s FROM orders GROUP BY 1)
-SELECT o_custkey, len(l) AS n, l[1] AS first_item, list_contains(s, 'F') AS has_f, pos - 1 AS pos, item, array_to_string(list_sort(s), ',') AS statuses
+WITH s AS (SELECT p_type, list(DISTINCT p_brand ORDER BY p_brand) AS s FROM part GROUP BY 1),
+a AS (SELECT p_partkey, string_split(p_name, ' ') AS l, s FROM part JOIN s ON part.p_type = s.p_type)
+SELECT p_partkey, len(l) AS n, l[1] AS first_item, list_contains(l, 'red') AS has_red, pos - 1 AS pos, item, array_to_string(s, ',') AS brands
 FROM a, LATERAL (SELECT UNNEST(l) AS item, UNNEST(range(1, len(l) + 1)) AS pos)""")
 def fn_arr(t):
-    base = t.orders.groupBy("o_custkey").agg(
-        F.expr("transform(array_sort(collect_list(struct(o_orderdate, o_orderkey, o_orderpriority))), x -> x.o_orderpriority)").alias("l"),
-        F.collect_set("o_orderstatus").alias("s"),
-    )
+    brands = t.part.groupBy("p_type").agg(F.array_sort(F.collect_set("p_brand")).alias("s"))
+    base = t.part.join(brands, "p_type").withColumn("l", F.split("p_name", " "))
     return base.select(
-        "o_custkey", F.size("l").alias("n"), F.element_at("l", 1).alias("first_item"), F.array_contains("s", "F").alias("has_f"),
-        F.array_join(F.array_sort("s"), ",").alias("statuses"), F.posexplode("l").alias("pos", "item"),
+        "p_partkey", F.size("l").alias("n"), F.element_at("l", 1).alias("first_item"), F.array_contains("l", "red").alias("has_red"),
+        F.array_join("s", ",").alias("brands"), F.posexplode("l").alias("pos", "item"),
     )
 
 

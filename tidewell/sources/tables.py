@@ -16,6 +16,7 @@ from tidewell.session import use_utc
 EVENT_CATEGORIES = ["ELECTRONICS", "CLOTHING", "BOOKS", "HOME", "SPORTS"]
 EVENT_ACTIONS = {"view": "view", "click": "add_to_cart", "purchase": "purchase", "signup": "login", "error": "remove"}
 ORDER_STATUS = {"O": "completed", "F": "shipped", "P": "pending"}
+MAX_BATCH_BYTES = str(1024**3)
 USER_STATUS = {"O": "ACTIVE", "F": "SUSPENDED", "P": "INACTIVE"}
 
 
@@ -120,7 +121,9 @@ class Tables:
     def event_stream(self) -> DataFrame:
         """The same events as a file stream."""
         # A glob, because a file stream takes a plain path for a folder; this finds a file or a folder.
-        source = self.spark.readStream.schema(self.read("events").schema).parquet(f"{self.path}/events.parque[t]")
+        # The byte limit bounds a micro-batch, and with it the rows of one key that a keyed job holds.
+        reader = self.spark.readStream.schema(self.read("events").schema).option("maxBytesPerTrigger", MAX_BATCH_BYTES)
+        source = reader.parquet(f"{self.path}/events.parque[t]")
         return self.event_view(source)
 
     def event_view(self, raw: DataFrame) -> DataFrame:
