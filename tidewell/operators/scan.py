@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -178,16 +179,22 @@ def _blocked(df, keys, order, steps):
             _BLOCK, F.spark_partition_id()
         )
     )
+    work = []
     for step in steps:
         near = {n: s for n, s in step.items() if isinstance(s, Near)}
         prefix = {n: s for n, s in step.items() if isinstance(s, Prefix)}
         peers = {n: s for n, s in step.items() if isinstance(s, Peer)}
         if near:
-            blocks = _lend_neighbours(blocks, keys, order, near)
+            work.append(partial(_lend_neighbours, keys=keys, order=order, specs=near))
         if prefix:
-            blocks = _carry_prefixes(blocks, keys, order, prefix)
-        for name, spec in peers.items():
-            blocks = _rank_peers(blocks, keys, order, name, spec)
+            work.append(partial(_carry_prefixes, keys=keys, order=order, specs=prefix))
+        if peers:
+            work.extend(_peer_work(keys, order, peers))
+    for position, step in enumerate(work, start=1):
+        blocks = step(blocks)
+        # Each piece of work reads its input more than once, so the next one starts from stored rows.
+        if position < len(work):
+            blocks = durable(blocks)
     return blocks.select(*names)
 
 
@@ -286,13 +293,19 @@ def _lend_neighbours(df, keys, order, specs):
     )
 
 
-def _rank_peers(df, keys, order, name, spec):
-    values = F.struct(*[F.col(b.lstrip("-")) for b in spec.by])
-    df = _lend_neighbours(df, keys, order, {"__peer_before": lag(values)})
-    df = _carry_prefixes(df, keys, order, {"__peer_rn": row_number()})
-    starts = (F.col("__peer_rn") == 1) | ~F.col("__peer_before").eqNullSafe(values)
-    value = running_sum(F.when(starts, 1).otherwise(0).cast("long")) if spec.dense else running_max(F.when(starts, F.col("__peer_rn")))
-    return _carry_prefixes(df, keys, order, {name: value}).drop("__peer_before", "__peer_rn")
+def _peer_work(keys, order, specs):
+    """Ranks as: compare with the row before, number the rows, carry the number where a run of peers starts."""
+    values = {n: F.struct(*[F.col(b.lstrip("-")) for b in s.by]) for n, s in specs.items()}
+    starts = {n: (F.col("__peer_rn") == 1) | ~F.col(f"__peer_{n}").eqNullSafe(v) for n, v in values.items()}
+    ranks = {
+        n: running_sum(F.when(starts[n], 1).otherwise(0).cast("long")) if s.dense else running_max(F.when(starts[n], F.col("__peer_rn")))
+        for n, s in specs.items()
+    }
+    return [
+        partial(_lend_neighbours, keys=keys, order=order, specs={f"__peer_{n}": lag(v) for n, v in values.items()}),
+        partial(_carry_prefixes, keys=keys, order=order, specs={"__peer_rn": row_number()}),
+        partial(_carry_prefixes, keys=keys, order=order, specs=ranks),
+    ]
 
 
 def with_totals(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
