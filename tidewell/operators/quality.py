@@ -77,13 +77,11 @@ def table_quality(df: DataFrame, rules: Mapping[str, Column], null_limit: float
 def quality_score(tables: Mapping[str, tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
     """100 minus issues per 100 records over all tables, not below 0; 100 for no records."""
     parts = [table_quality(df, rules).withColumn("table_name", F.lit(name)) for name, (df, rules) in tables.items()]
+    share = F.try_divide(F.sum("issues"), F.sum("total_records")) * 100
     return reduce(lambda a, b: a.unionByName(b), parts).agg(
         F.sum("total_records").alias("total_records"),
         F.sum("issues").alias("total_issues"),
-        F.coalesce(
-            F.round(F.greatest(F.lit(0.0), 100 - F.try_divide(F.sum("issues"), F.sum("total_records")) * 100), 2),
-            F.lit(100.0),
-        ).alias("quality_score"),
+        F.when(F.sum("total_records") > 0, F.round(F.greatest(F.lit(0.0), 100 - share), 2)).otherwise(100.0).alias("quality_score"),
     )
 
 
