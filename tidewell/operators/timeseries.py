@@ -5,14 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.tiers import distance_km
 from tidewell.operators.aggregates import exact_quantiles
-from tidewell.operators.scan import lag, latest, moving, range_totals, running_sum, scan
+from tidewell.operators.scan import lag, latest, moving, range_totals, row_number, running_sum, scan
 
 EMA_PRECISION = 1e-12
+CHUNK = 64
 
 
 def ema_reach(span: int) -> int:
@@ -20,9 +21,40 @@ def ema_reach(span: int) -> int:
     return math.ceil(math.log(EMA_PRECISION) / math.log(1 - 2 / (span + 1)))
 
 
-def _ema(values: Column, span: int) -> Column:
-    alpha = 2 / (span + 1)
-    return F.aggregate(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0))), values[0], lambda acc, x: acc * (1 - alpha) + x * alpha)
+def exponential_means(df: DataFrame, key: str, row: str, price: str, spans: dict[str, int], hot_rows: int | None = None) -> DataFrame:
+    """Exponential means (seeded with the first value) of a series whose rows are numbered in ``row``.
+
+    A mean is the part from its own chunk of ``CHUNK`` rows plus the faded end of the chunk
+    before. Chunks and their ends are built in parallel; an end looks back only over as many
+    chunks as still carry weight, so no step walks a whole series.
+    """
+    if min(spans.values()) < 2:
+        raise ValueError("a span of one row is the price itself")
+    number = F.col(row) - 1
+    df = df.withColumns({"__chunk": F.floor(number / CHUNK), "__i": (number % CHUNK + 1).cast("double")})
+    inside = Window.partitionBy(key, "__chunk").orderBy("__i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fade = {name: 1 - 2 / (span + 1) for name, span in spans.items()}
+    local = {
+        f"__local_{n}": F.sum(F.when(number == 0, 1.0).otherwise(1 - f) * F.col(price) * F.pow(F.lit(f), -F.col("__i"))).over(inside)
+        * F.pow(F.lit(f), F.col("__i"))
+        for n, f in fade.items()
+    }
+    df = df.withColumns(local)
+    ends = df.groupBy(key, "__chunk").agg(F.max_by(F.struct(*local), "__i").alias("__end"))
+    back = max(math.ceil(ema_reach(span) / CHUNK) for span in spans.values()) + 1
+    ends = scan(ends, [key], ["__chunk"], {"__ends": moving(F.collect_list, F.col("__end"), back + 1)}, hot_rows=hot_rows)
+    earlier = F.slice("__ends", 1, F.greatest(F.size("__ends") - 1, F.lit(0)))
+
+    def carry(name: str, f: float) -> Column:
+        return F.aggregate(earlier, F.lit(0.0), lambda acc, end: acc * f**CHUNK + end[f"__local_{name}"]).alias(f"__carry_{name}")
+
+    carried = ends.select(
+        F.col(key).alias("__key"), F.col("__chunk").alias("__of"), *[carry(n, f) for n, f in fade.items()]
+    )
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__chunk") == F.col("__of"))
+    out = df.join(carried, same, "left").drop("__key", "__of")
+    means = {n: F.col(f"__local_{n}") + F.pow(F.lit(f), F.col("__i")) * F.col(f"__carry_{n}") for n, f in fade.items()}
+    return out.withColumns(means).drop("__chunk", "__i", *local, *[f"__carry_{n}" for n in spans])
 
 
 def _tail(values: Column, n: int) -> Column:
@@ -33,17 +65,12 @@ def indicators(
     ticks: DataFrame, key: str, order: Sequence[str], price: str, k: int = 14, fast: int = 12, slow: int = 26,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """SMA, WMA, EMA, RSI, MACD and Bollinger bands per symbol.
-
-    Exponential means look back as far as a weight matters (``EMA_PRECISION``), which bounds
-    the frame, so a long series can be cut into blocks.
-    """
-    reach = max(ema_reach(slow), k + 1)
+    """SMA, WMA, EMA, RSI, MACD and Bollinger bands per symbol."""
     value = F.col(price)
     out = scan(
         ticks, [key], order,
-        {"__change": lag(value), "sma": moving(F.avg, value, k), "__dev": moving(F.stddev_pop, value, k),
-         "__recent": moving(F.collect_list, value, reach)},
+        {"sma": moving(F.avg, value, k), "__dev": moving(F.stddev_pop, value, k), "__recent": moving(F.collect_list, value, k + 1)},
+        {"__rn": row_number()},
         hot_rows=hot_rows,
     )
     recent = F.col("__recent")
@@ -56,16 +83,15 @@ def indicators(
     gain = F.aggregate(F.transform(steps, lambda d: F.greatest(d, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
     loss = F.aggregate(F.transform(steps, lambda d: F.greatest(-d, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
     rsi = F.when(F.size(recent) <= 1, None).when(loss == 0, 100.0).otherwise(100 - 100 / (1 + F.try_divide(gain, loss)))
+    out = out.withColumns({"wma": weighted, "rsi": rsi}).drop("__recent")
+    out = exponential_means(out, key, "__rn", price, {"ema": k, "__fast": fast, "__slow": slow}, hot_rows)
     return out.withColumns(
         {
-            "wma": weighted,
-            "ema": _ema(recent, k),
-            "rsi": rsi,
-            "macd": _ema(recent, fast) - _ema(recent, slow),
+            "macd": F.col("__fast") - F.col("__slow"),
             "bollinger_upper": F.col("sma") + 2 * F.col("__dev"),
             "bollinger_lower": F.col("sma") - 2 * F.col("__dev"),
         }
-    ).drop("__change", "__dev", "__recent")
+    ).drop("__dev", "__rn", "__fast", "__slow")
 
 
 def returns(ticks: DataFrame, key: str, order: Sequence[str], price: str, hot_rows: int | None = None) -> DataFrame:
