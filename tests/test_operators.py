@@ -83,7 +83,6 @@ def test_broadcast_join_beyond_the_limit_still_joins(spark):
     fact = spark.createDataFrame([(1,), (2,), (2,)], "k int")
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
     assert joins.broadcast_join(fact, dim, ["k"], max_rows=1).count() == 3
-    assert "Broadcast" in joins.broadcast_join(fact, dim, ["k"])._jdf.queryExecution().optimizedPlan().toString() or True
 
 
 def brute_asof(events, versions, tolerance=None):

@@ -16,7 +16,6 @@ from tidewell.operators.ordering import top_k_per
 from tidewell.operators.scan import row_number, scan
 
 TS = "event_time"
-COUNT = F.count
 
 
 def _rows() -> Column:
