@@ -35,3 +35,10 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op7_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -184,10 +184,20 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def distinct(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct values in ascending order, and their bounds."""
-    text = per_text(values, bounds)
-    order = np.lexsort((values, text))
-    v, t = values[order], text[order]
+    v = values.copy()
+    edges = bounds.tolist()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        v[a:b].sort()
     keep = np.ones(len(v), dtype=bool)
-    keep[1:] = (v[1:] != v[:-1]) | (t[1:] != t[:-1])
-    v, t = v[keep], t[keep]
-    return v, np.searchsorted(t, np.arange(len(bounds)))
+    keep[1:] = v[1:] != v[:-1]
+    firsts = bounds[:-1]
+    keep[firsts[firsts < len(v)]] = True
+    kept = np.concatenate(([0], np.cumsum(keep)))
+    return v[keep], kept[bounds]
+
+
+def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The sum of each text's values, modulo 2^64 for integers."""
+    total = np.zeros(len(values) + 1, dtype=values.dtype)
+    np.cumsum(values, out=total[1:])
+    return total[bounds[1:]] - total[bounds[:-1]]
