@@ -42,3 +42,10 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.substring import repeated_passages_removed
+
+    return repeated_passages_removed(table(spark, sf_dir, "documents"))

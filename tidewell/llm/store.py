@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,17 @@ from tidewell.session import shared_dir
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written once to the shared folder and read back: cuts the lineage and survives lost executors."""
+    """The rows written once to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    Shuffle files of what led here are of no use from now on. Spark removes them when the driver collects its garbage, so it is asked to.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._stored_path = path
+    gc.collect()
+    spark._jvm.System.gc()
     return back
 
 

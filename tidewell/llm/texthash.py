@@ -142,13 +142,7 @@ def shingle_hashes(h: np.ndarray, bounds: np.ndarray, width: int, whole_if_short
     """
     counts = np.diff(bounds)
     n = np.maximum(counts - width + 1, 0)
-    if len(h) >= width:
-        rolled = h[: len(h) - width + 1].copy()
-        for k in range(1, width):
-            rolled = mix(rolled + _ODD) ^ h[k : len(h) - width + 1 + k]
-        rolled = mix(rolled)
-    else:
-        rolled = np.zeros(0, np.uint64)
+    rolled = runs_hash(h, np.arange(max(len(h) - width + 1, 0)), width)
     take = spans(bounds[:-1], n)
     got = rolled[take]
     if whole_if_short:
@@ -161,6 +155,16 @@ def shingle_hashes(h: np.ndarray, bounds: np.ndarray, width: int, whole_if_short
     return got, np.concatenate(([0], np.cumsum(n)))
 
 
+def runs_hash(h: np.ndarray, at: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """Hashes of the runs of ``width`` words that begin at the given places: a random linear form of the words' hashes, mixed."""
+    factors = mix(np.arange(1 + seed * 1000, 1 + seed * 1000 + width, dtype=np.uint64) * _ODD) | np.uint64(1)
+    dense = len(at) and len(at) == at[-1] - at[0] + 1
+    total = np.zeros(len(at), dtype=np.uint64)
+    for k in range(width):
+        total += (h[at[0] + k : at[-1] + k + 1] if dense else h[at + k]) * factors[k]
+    return mix(total + _ODD)
+
+
 def _fold(h: np.ndarray) -> int:
     value = np.array([len(h)], dtype=np.uint64)
     for x in h:
