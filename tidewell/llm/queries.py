@@ -49,3 +49,10 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.substring import repeated_passages_removed
 
     return repeated_passages_removed(table(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
