@@ -56,3 +56,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.toxicity import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
