@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.store import components, discard, stored
+from tidewell.llm.store import cluster, stored
 from tidewell.llm.texthash import WHITE, blocks, distinct, mix, per_text, shingle_hashes, sums, word_hashes, words
 
 BIN_BITS = 8
@@ -111,31 +111,17 @@ def near_duplicates(documents: DataFrame, width: int = 3, percent: int = 85, id_
         rows.filter("n > 0 and doc_id is not null").groupBy(*fingerprint).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes"
     )
     in_band = classes.select("rep", "n", F.explode("bands").alias("key"))
-    centres = in_band.groupBy("key").agg(F.min("rep").alias("centre"), F.min_by("n", "rep").alias("centre_n"), F.count("*").alias("m")).filter("m > 1").drop("m")
-    members = stored(in_band.join(centres, "key"), "members")
 
-    def can_link(a: str, b: str):
+    def sizes_allow(a: str, b: str):
         """Sets whose sizes differ too much cannot reach the threshold."""
         return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
-    seen = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stored(full_sets(source.join(seen, "doc_id", "left_semi"), width).dropDuplicates(["id"]), "sets")
-    stars = members.filter("rep <> centre").filter(can_link("n", "centre_n")).select(F.col("centre").alias("u"), F.col("rep").alias("v")).distinct()
-    links = stored(_confirmed(stars, sets, percent), "links")
-    label = components(links)
-    # What a star has not settled: members outside the class of their centre against members of other classes of that bucket.
-    named = members.join(label.toDF("rep", "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    named = named.join(label.toDF("centre", "centre_label"), "centre", "left").withColumn("centre_label", F.coalesce("centre_label", "centre"))
-    named = stored(named.select("key", "rep", "n", "centre", "label", (F.col("label") == F.col("centre_label")).alias("settled")), "named")
-    apart = named.filter("not settled").select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"))
-    others = named.select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), "settled", "centre")
-    open_pairs = (
-        apart.join(others, "key").filter("lu <> lv and v <> centre and (settled or u < v)").filter(can_link("nu", "nv"))
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    )
-    more = stored(_confirmed(open_pairs, sets, percent), "more-links")
-    final = label if more.isEmpty() else components(links.union(more))
-    discard(members, named, sets, links, more)
+    def with_sets(seen: DataFrame):
+        near = source.join(seen.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+        sets = stored(full_sets(near, width).dropDuplicates(["id"]), "sets")
+        return lambda pairs: _confirmed(pairs, sets, percent), [sets]
+
+    final = cluster(in_band, sizes_allow, with_sets)
     of_class = classes.select(*fingerprint, "rep").join(final.toDF("rep", "component_id"), "rep", "left").select(*fingerprint, F.coalesce("component_id", "rep").alias("component_id"))
     joined = rows.select("doc_id", *fingerprint).join(of_class, fingerprint, "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +64,12 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.decontaminate import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how many lines it had and lost, and the digest of what is left."""
+    from tidewell.llm.lines import lines_deduplicated
+
+    left = lines_deduplicated(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "lines_in", "lines_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import shared_dir
 
+ORDERS = 4
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back: cuts the lineage and survives lost executors.
@@ -69,3 +72,47 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
     result = stored(roots.join(least, "to").select("id", "component"), "components")
     discard(*levels)
     return result
+
+
+def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFrame:
+    """(id, component) of the links found in buckets of (rep, n, key): every ``key`` is a bucket of ``rep`` ids with sizes ``n``.
+
+    A bucket proposes stars, never all its pairs. Each round picks a centre for every bucket, by one of ``ORDERS`` hashed orders of the
+    ids, and compares it with the members that are not in its class yet. Large groups of similar documents end as one class after a round
+    or two. When a round finds nothing new, members outside the class of their centre are compared with all members of other classes
+    in their bucket, so a link inside a bucket is not lost.
+    ``can_link(a, b)`` is a condition on two size columns. ``prepare(reps)`` gets the distinct members of shared buckets and returns
+    (confirm, stored tables to drop at the end), where ``confirm`` keeps the true links among pairs (u, v) with u < v.
+    """
+    shared = in_band.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
+    members = stored(in_band.join(shared, "key").withColumn("label", F.col("rep")), "members")
+    confirm, kept = prepare(members.select("rep").distinct())
+    links, label = None, None
+    rounds = 0
+    while True:
+        order = F.xxhash64("rep", F.lit(rounds) * ORDERS + F.pmod("key", F.lit(ORDERS)))
+        centres = members.groupBy("key").agg(F.min_by(F.struct("rep", "n", "label"), F.struct(order, F.col("rep"))).alias("c"))
+        around = members.join(centres, "key").filter(F.col("label") != F.col("c.label")).select("key", "rep", "n", "label", "c")
+        stars = around.filter(can_link("n", "c.n")).select(F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v")).distinct()
+        found = stored(confirm(stars), "links")
+        new = not found.isEmpty()
+        links = found if links is None else links.union(found)
+        kept.append(found)
+        if not new:
+            break
+        label = components(links)
+        before, members = members, stored(members.drop("label").join(label.toDF("rep", "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep")), "members")
+        discard(before)
+        rounds += 1
+    apart = around.select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("c.label").alias("lc"), F.col("c.rep").alias("centre"))
+    others = members.select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
+    open_pairs = (
+        apart.join(others, "key").filter("lu <> lv and v <> centre and (lv = lc or u < v)").filter(can_link("nu", "nv"))
+        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    )
+    more = stored(confirm(open_pairs), "more-links")
+    kept.append(more)
+    if label is None or not more.isEmpty():
+        label = components(links.union(more))
+    discard(members, *kept)
+    return label
