@@ -73,3 +73,10 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     left = lines_deduplicated(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "lines_in", "lines_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op9_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.embeddings import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.session import shared_dir
 
 ORDERS = 4
+STAR_ROUNDS = 3
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -39,9 +40,10 @@ def discard(*frames: DataFrame) -> None:
 def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
     """(id, component): the smallest id reachable from each endpoint of an edge. Ids are longs; nulls and loops are ignored.
 
-    Contraction: every node points to the neighbour, or itself, whose hash of this level is least, and edges are carried over to those.
-    A level removes a fixed share of the nodes in expectation whatever the shape of the graph; levels end when no edge is left.
-    Grouping is by partial aggregates, and joins are plain equi-joins, so a hub is no single task's work.
+    Contraction: every node points to itself or a neighbour, whichever ranks first, and edges are carried over to those. Even levels rank
+    by degree, so stars fold into their centres at once; odd levels by hash alone, which removes a fixed share of the nodes in expectation
+    whatever the shape of the graph. Levels end when no edge is left. Grouping is by partial aggregates, and joins are plain
+    equi-joins, so a hub is no single task's work.
     """
     spark = edges.sparkSession
     found = edges.select(F.col(left).cast("long").alias("u"), F.col(right).cast("long").alias("v")).filter("u <> v").distinct()
@@ -49,12 +51,14 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
     levels: list[DataFrame] = []
     while not left_over.isEmpty():
         seed = F.lit(len(levels))
-
-        def rank(name: str):
-            return F.struct(F.xxhash64(F.col(name), seed).alias("h"), F.col(name).alias("id"))  # noqa: B023
-
-        both = left_over.select("u", "v").union(left_over.select("v", "u")).toDF("u", "v")
-        step = stored(both.groupBy("u").agg(F.min(rank("v")).alias("near")).select(F.col("u").alias("id"), F.least("near", rank("u")).getField("id").alias("to")), "step")
+        both = left_over.select("u", "v").union(left_over.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        if len(levels) % 2 == 0:
+            both = both.join(both.groupBy(F.col("u").alias("v")).agg(F.count("*").alias("d")), "v")
+        else:
+            both = both.withColumn("d", F.lit(0).cast("long"))
+        own = F.struct((F.count("*") if len(levels) % 2 == 0 else F.lit(0).cast("long")).alias("d"), F.xxhash64("u", seed).alias("h"), F.col("u").alias("id"))
+        near = F.max(F.struct(F.col("d"), F.xxhash64("v", seed).alias("h"), F.col("v").alias("id")))
+        step = stored(both.groupBy("u").agg(F.greatest(near, own).getField("id").alias("to")).select(F.col("u").alias("id"), "to"), "step")
         levels.append(step)
         next_edges = (
             left_over.join(step.toDF("u", "a"), "u").join(step.toDF("v", "b"), "v")
@@ -78,9 +82,9 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
     """(id, component) of the links found in buckets of (rep, n, key): every ``key`` is a bucket of ``rep`` ids with sizes ``n``.
 
     A bucket proposes stars, never all its pairs. Each round picks a centre for every bucket, by one of ``ORDERS`` hashed orders of the
-    ids, and compares it with the members that are not in its class yet. Large groups of similar documents end as one class after a round
-    or two. When a round finds nothing new, members outside the class of their centre are compared with all members of other classes
-    in their bucket, so a link inside a bucket is not lost.
+    ids, and compares it with the members that are not in its class yet, so large groups of similar documents end as one class. After
+    ``STAR_ROUNDS`` rounds, or one that finds nothing new, members still outside the class of their centre are compared with all members
+    of other classes in their bucket: no link inside a bucket is lost, however the stars fell.
     ``can_link(a, b)`` is a condition on two size columns. ``prepare(reps)`` gets the distinct members of shared buckets and returns
     (confirm, stored tables to drop at the end), where ``confirm`` keeps the true links among pairs (u, v) with u < v.
     """
@@ -89,7 +93,7 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
     confirm, kept = prepare(members.select("rep").distinct())
     links, label = None, None
     rounds = 0
-    while True:
+    while rounds < STAR_ROUNDS:
         order = F.xxhash64("rep", F.lit(rounds) * ORDERS + F.pmod("key", F.lit(ORDERS)))
         centres = members.groupBy("key").agg(F.min_by(F.struct("rep", "n", "label"), F.struct(order, F.col("rep"))).alias("c"))
         around = members.join(centres, "key").filter(F.col("label") != F.col("c.label")).select("key", "rep", "n", "label", "c")
@@ -104,6 +108,9 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
         before, members = members, stored(members.drop("label").join(label.toDF("rep", "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep")), "members")
         discard(before)
         rounds += 1
+    order = F.xxhash64("rep", F.lit(0) + F.pmod("key", F.lit(ORDERS)))
+    centres = members.groupBy("key").agg(F.min_by(F.struct("rep", "n", "label"), F.struct(order, F.col("rep"))).alias("c"))
+    around = members.join(centres, "key").filter(F.col("label") != F.col("c.label"))
     apart = around.select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("c.label").alias("lc"), F.col("c.rep").alias("centre"))
     others = members.select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
     open_pairs = (

@@ -181,18 +181,19 @@ def repeated_passages_removed(documents: DataFrame, window: int = 20, id_column:
     main = identified.groupBy("doc_id").agg(F.min("key").alias("main_key"))
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
     searched = ~copy & F.coalesce(F.col("key") == F.col("main_key"), F.lit(False)) & (F.col("n_words") >= window)
-    status = profiles.join(first, fingerprint, "left").join(main, "doc_id", "left").select("doc_id", "key", "n_words", "digest", copy.alias("copy"), searched.alias("searched"), "cells", "at")
+    slim = profiles.select("doc_id", "key", "print_a", "print_b", "n_words", "digest", F.size("cells").alias("items"))
+    status = slim.join(first, fingerprint, "left").join(main, "doc_id", "left").select("doc_id", "key", "n_words", "digest", "items", copy.alias("copy"), searched.alias("searched"))
     status = stored(status, "status")
-    discard(profiles)
-    originals = status.filter("searched").dropDuplicates(["doc_id"])
     last = F.col("n_words") - window + 1
     ends = F.concat(F.slice("at", F.lit(2), F.greatest(F.size("at") - 1, F.lit(0))), F.array(last.cast("int")))
+    keys = status.filter("searched").select("doc_id", "key").dropDuplicates(["doc_id"])
+    originals = profiles.join(keys, ["doc_id", "key"], "left_semi")
     runs = originals.select("doc_id", F.explode(F.arrays_zip("cells", "at", ends.alias("upto"))).alias("r")).select(
         F.col("r.cells").alias("cell"), "doc_id", F.col("r.at").alias("at"), (F.col("r.upto") - F.col("r.at")).alias("n")
     )
-    items = status.filter("searched").agg(F.sum(F.size("cells"))).first()[0] or 0
+    items = status.filter("searched").agg(F.sum("items")).first()[0] or 0
     likely = stored(_prefiltered(runs, items).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "likely")
-    keys = status.filter("searched").select("doc_id", "key").dropDuplicates(["doc_id"])
+    discard(profiles)
     found = stored(_windows(source.join(likely.join(keys, "doc_id"), ["doc_id", "key"]).select("doc_id", "text", "runs"), window), "windows")
     discard(likely)
     pending = found.filter("h1 is not null").select("h1", "h2", "doc_id", "at")
