@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line's shingles are the ``SHINGLE_CHARS`` characters from every word start and from every character outside ASCII, so that scripts
-without spaces have one at every character. Its sketch is the ``SKETCH`` least hashes of them, and a band is ``BAND_ROWS`` neighbours in
+A line's shingles are the ``SHINGLE_CHARS`` characters from every word start and from every character beyond the Latin letters, so that
+scripts without spaces have one at every character. Its sketch is the ``SKETCH`` least hashes of them, and a band is ``BAND_ROWS`` neighbours in
 the sorted sketch, so one sort gives all bands. Lines that share a band are candidates. They are verified by the exact Jaccard similarity
 of all their runs of ``EXACT_CHARS`` characters, linked lines are joined by distributed union-find, and the first line of each component,
 by document id and place, stays. Equal lines are one line from the start.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.store import cluster, discard, stored
 
 SHINGLE_CHARS, SKETCH, BAND_ROWS, EXACT_CHARS = 8, 10, 3, 5
-ANCHORED = rf"(?s)(?:(?<![\p{{L}}\p{{N}}])(?=[\p{{L}}\p{{N}}])|(?=[^\x00-\x7F]))(?=(.{{1,{SHINGLE_CHARS}}}))"
+ANCHORED = rf"(?s)(?=(.{{1,{SHINGLE_CHARS}}}))(?:[\x21-\x7E\u00A1-\u024F]+|.) *"
 ALL_RUNS = rf"(?s)(?=(.{{{EXACT_CHARS}}}))"
 
 
@@ -30,13 +30,18 @@ def lines_of(documents: DataFrame) -> DataFrame:
     return found.filter(F.trim("line") != "")
 
 
-def bands(line: Column) -> Column:
-    """Hashes of all neighbouring triples of the sketch; a shorter sketch is one band."""
-    hashes = F.transform(F.regexp_extract_all(line, F.lit(ANCHORED), F.lit(1)), lambda s: F.xxhash64(s))
-    sketch = F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
-    sketch = F.when(F.size(sketch) > 0, sketch).otherwise(F.array(F.xxhash64(line)))
-    places = F.sequence(F.lit(1), F.greatest(F.size(sketch) - (BAND_ROWS - 1), F.lit(1)))
-    return F.transform(places, lambda k: F.xxhash64(F.slice(sketch, k, BAND_ROWS)))
+def sketched(lines: DataFrame) -> DataFrame:
+    """The rows with ``sketch``, the least distinct shingle hashes of their ``line`` in ascending order."""
+    hashes = F.transform(F.regexp_extract_all("line", F.lit(ANCHORED), F.lit(1)), lambda s: F.xxhash64(s))
+    return lines.withColumn("sketch", F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH))
+
+
+def bands() -> Column:
+    """Hashes of all neighbouring triples of ``sketch``; a shorter sketch is one band, an empty one the line itself."""
+    triple = [F.xxhash64(*[F.get("sketch", F.lit(k + j)) for j in range(BAND_ROWS)]) for k in range(SKETCH - BAND_ROWS + 1)]
+    size = F.size("sketch")
+    full = F.slice(F.array(*triple), F.lit(1), F.greatest(size - (BAND_ROWS - 1), F.lit(1)))
+    return F.when(size == 0, F.array(F.xxhash64("line"))).otherwise(full)
 
 
 def _runs(line: Column) -> Column:
@@ -46,7 +51,7 @@ def _runs(line: Column) -> Column:
 
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
-    occurrences = lines_of(documents).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), F.char_length("line").alias("n"), bands(F.col("line")).alias("bands"))
+    occurrences = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), F.char_length("line").alias("n"), bands().alias("bands"))
     occurrences = stored(occurrences, "line-sketches")
     first = stored(occurrences.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines")
 

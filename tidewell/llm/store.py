@@ -59,6 +59,9 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
         own = F.struct((F.count("*") if len(levels) % 2 == 0 else F.lit(0).cast("long")).alias("d"), F.xxhash64("u", seed).alias("h"), F.col("u").alias("id"))
         near = F.max(F.struct(F.col("d"), F.xxhash64("v", seed).alias("h"), F.col("v").alias("id")))
         step = stored(both.groupBy("u").agg(F.greatest(near, own).getField("id").alias("to")).select(F.col("u").alias("id"), "to"), "step")
+        for _ in range(2):  # follow the pointers further: fewer levels
+            before, step = step, stored(step.join(step.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")), "step")
+            discard(before)
         levels.append(step)
         next_edges = (
             left_over.join(step.toDF("u", "a"), "u").join(step.toDF("v", "b"), "v")
@@ -89,37 +92,41 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
     (confirm, stored tables to drop at the end), where ``confirm`` keeps the true links among pairs (u, v) with u < v.
     """
     shared = in_band.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    members = stored(in_band.join(shared, "key").withColumn("label", F.col("rep")), "members")
-    confirm, kept = prepare(members.select("rep").distinct())
-    links, label = None, None
-    rounds = 0
-    while rounds < STAR_ROUNDS:
-        order = F.xxhash64("rep", F.lit(rounds) * ORDERS + F.pmod("key", F.lit(ORDERS)))
-        centres = members.groupBy("key").agg(F.min_by(F.struct("rep", "n", "label"), F.struct(order, F.col("rep"))).alias("c"))
-        around = members.join(centres, "key").filter(F.col("label") != F.col("c.label")).select("key", "rep", "n", "label", "c")
-        stars = around.filter(can_link("n", "c.n")).select(F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v")).distinct()
+    members = stored(in_band.join(shared, "key"), "members")
+    reps = members.select("rep").distinct()
+    confirm, kept = prepare(reps)
+    names = stored(reps.select("rep", F.col("rep").alias("label")), "names")
+
+    def joined(names: DataFrame, links: DataFrame) -> DataFrame:
+        """The classes after joining those that new links connect. A label is the least id of its class."""
+        ends = links.join(names.toDF("u", "lu"), "u").join(names.toDF("v", "lv"), "v")
+        least = components(ends, "lu", "lv").toDF("label", "component")
+        after = stored(names.join(least, "label", "left").select("rep", F.coalesce("component", "label").alias("label")), "names")
+        discard(names)
+        return after
+
+    def around(names: DataFrame, number: int) -> DataFrame:
+        """Members outside the class of their bucket's centre of this round, with the centre."""
+        order = F.struct(F.xxhash64("rep", F.lit(number * ORDERS) + F.pmod("key", F.lit(ORDERS))), F.col("rep"))
+        named = members.join(names, "rep")
+        centres = named.groupBy("key").agg(F.min_by(F.struct("rep", "n", "label"), order).alias("c"))
+        return named.join(centres, "key").filter(F.col("label") != F.col("c.label")).select("key", "rep", "n", "label", "c")
+
+    for number in range(STAR_ROUNDS):
+        stars = around(names, number).filter(can_link("n", "c.n")).select(F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v")).distinct()
         found = stored(confirm(stars), "links")
-        new = not found.isEmpty()
-        links = found if links is None else links.union(found)
         kept.append(found)
-        if not new:
+        if found.isEmpty():
             break
-        label = components(links)
-        before, members = members, stored(members.drop("label").join(label.toDF("rep", "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep")), "members")
-        discard(before)
-        rounds += 1
-    order = F.xxhash64("rep", F.lit(0) + F.pmod("key", F.lit(ORDERS)))
-    centres = members.groupBy("key").agg(F.min_by(F.struct("rep", "n", "label"), F.struct(order, F.col("rep"))).alias("c"))
-    around = members.join(centres, "key").filter(F.col("label") != F.col("c.label"))
-    apart = around.select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("c.label").alias("lc"), F.col("c.rep").alias("centre"))
-    others = members.select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
+        names = joined(names, found)
+    apart = around(names, 0).select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("c.label").alias("lc"))
+    others = members.join(names, "rep").select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
     open_pairs = (
-        apart.join(others, "key").filter("lu <> lv and v <> centre and (lv = lc or u < v)").filter(can_link("nu", "nv"))
+        apart.join(others, "key").filter("lu <> lv and (lv = lc or u < v)").filter(can_link("nu", "nv"))
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     )
-    more = stored(confirm(open_pairs), "more-links")
-    kept.append(more)
-    if label is None or not more.isEmpty():
-        label = components(links.union(more))
-    discard(members, *kept)
-    return label
+    found = stored(confirm(open_pairs), "links")
+    if not found.isEmpty():
+        names = joined(names, found)
+    discard(members, found, *kept)
+    return names.toDF("id", "component")
