@@ -54,6 +54,14 @@ class Encoder:
         self.inverse = powers(pow(_BASE, -1, 1 << 64), BLOCK_CHARS + 1)
         self._forget()
 
+    def byte_lengths(self) -> np.ndarray:
+        """How many bytes of text each id stands for: a vocabulary entry has one character per byte."""
+        names = self.tokenizer.get_vocab()
+        out = np.zeros(max(names.values()) + 1, dtype=np.int64)
+        for name, i in names.items():
+            out[i] = len(name)
+        return out
+
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.where = np.zeros(0, np.int64)

@@ -80,3 +80,17 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.embeddings import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.token_counts import line_token_counts
+
+    return line_token_counts(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op5_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.licenses import licenses
+
+    return licenses(table(spark, sf_dir, "documents"))
