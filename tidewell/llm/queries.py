@@ -94,3 +94,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.licenses import licenses
 
     return licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
