@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewell.functions import tiers, udfs
-from tidewell.operators import aggregates, cdc, clean, enrich, features, graph, joins, lake, ml, ordering, quality, search, timeseries, windows
+from tidewell.operators import aggregates, cdc, clean, enrich, features, graph, joins, keyed_state, lake, ml, ordering, quality, search, timeseries, windows
 from tidewell.session import scratch_path
 from tidewell.streaming import sessions
 
@@ -79,10 +79,10 @@ def test_full_outer_and_presence(spark):
     assert rows(joins.full_outer_reconcile(a, b, ["k"]), "k", "presence") == [(1, "left_only"), (2, "both"), (3, "right_only")]
 
 
-def test_broadcast_join_beyond_the_limit_still_joins(spark):
+def test_broadcast_join_with_and_without_force(spark):
     fact = spark.createDataFrame([(1,), (2,), (2,)], "k int")
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
-    assert joins.broadcast_join(fact, dim, ["k"], max_rows=1).count() == 3
+    assert [joins.broadcast_join(fact, dim, ["k"], force=f).count() for f in (True, False)] == [3, 3]
 
 
 def brute_asof(events, versions, tolerance=None):
@@ -273,8 +273,7 @@ def test_long_sessions_have_their_steps_as_rows(spark):
     data = [(i, at(i), "view") for i in range(5)]
     df = spark.createDataFrame(data, "event_id int, event_time timestamp, action string")
     df = df.withColumns({"user_id": F.lit(1), "product_id": F.lit(1), "category": F.lit("c"), "total_amount": F.lit(1.0)})
-    assert sessions.session_profile(df, sequence_rows=4).first()["action_sequence"] is None
-    assert sessions.session_profile(df, sequence_rows=5).first()["action_sequence"] == " -> ".join(["view"] * 5)
+    assert "action_sequence" not in sessions.session_profile(df).columns
     assert sessions.session_steps(df).count() == 5
 
 
@@ -287,3 +286,33 @@ def test_models(spark):
     assert sum(ml.cluster_sizes(model)) == 400 == clustered.count()
     train, test = ml.split_by_key(df, "id")
     assert train.count() + test.count() == 400
+
+
+def test_null_keys_stay(spark):
+    schema = "user_id int, action string, category string, total_amount double, session_id int, timestamp timestamp, event_time timestamp, event_id int, product_id int"
+    data = [(None, "view", None, 1.0, 1, at(0), at(0), 1, 1), (None, "view", "a", 2.0, 1, at(1), at(1), 2, 1), (1, "view", None, 3.0, 2, at(2), at(2), 3, 1)]
+    df = spark.createDataFrame(data, schema)
+    assert aggregates.user_behavior(df).count() == 2
+    assert aggregates.cohort_analysis(df).count() == 1 and aggregates.cohort_analysis(df).first()["active_users"] == 2
+    maps = {r["user_id"]: r for r in aggregates.breakdown_maps(df, ["user_id"]).collect()}
+    assert maps[None]["by_category"] == {"unknown": 1.0, "a": 2.0} and maps[1]["by_category"] == {"unknown": 3.0}
+    assert keyed_state.user_profile(df).filter("user_id is null").first()["preferences"] == {"unknown": 1, "a": 1}
+    assert windows.position_stats(df, ["category"], "total_amount", ["event_id"]).count() == 3
+    assert windows.share_of_partition(df, "category", "total_amount", 5, ["event_id"]).count() == 3
+
+
+def test_models_keep_rows_with_null_features(spark):
+    df = spark.createDataFrame([(i, float(i % 4), None if i == 3 else float(i)) for i in range(40)], "id int, x double, y double")
+    clustered, _ = ml.cluster_users(df, ["x", "y"], k=2)
+    assert clustered.count() == 40 and clustered.filter("id = 3").first()["cluster"] is None
+
+
+def test_exponential_mean_is_the_full_recursion(spark):
+    prices = [float((i * 37) % 101) for i in range(9000)]
+    df = spark.createDataFrame([(1, i + 1, p) for i, p in enumerate(prices)], "k int, rn int, p double")
+    got = {r["rn"]: (r["fast"], r["slow"]) for r in timeseries.exponential_means(df, "k", "rn", "p", {"fast": 12, "slow": 500}).collect()}
+    fast = slow = prices[0]
+    for i, p in enumerate(prices):
+        if i:
+            fast, slow = fast + (p - fast) * 2 / 13, slow + (p - slow) * 2 / 501
+        assert abs(got[i + 1][0] - fast) < 1e-8 and abs(got[i + 1][1] - slow) < 1e-8

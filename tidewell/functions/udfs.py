@@ -43,8 +43,8 @@ def register_udaf(spark: SparkSession, name: str, fn: Callable[[pd.Series], obje
     def aggregate(values: pd.Series) -> object:
         return fn(values)
 
-    aggregate.__annotations__ = {"values": pd.Series, "return": float}
-    spark.udf.register(name, F.pandas_udf(aggregate, result))
+    aggregate.__annotations__ = {"values": pd.Series, "return": object}
+    spark.udf.register(name, F.pandas_udf(aggregate, result, F.PandasUDFType.GROUPED_AGG))
 
 
 def register_udtf(spark: SparkSession, name: str, cls: type, result: str) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import tiers
 from tidewell.functions.measures import mean, ratio, spread, total
+from tidewell.operators.joins import join_same
 from tidewell.operators.scan import running_sum, scan, with_totals
 
 QUANTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
@@ -88,7 +89,7 @@ def user_behavior(df: DataFrame) -> DataFrame:
     )
     sessions = df.groupBy("user_id").agg(F.count_distinct("session_id").alias("total_sessions"))
     return (
-        totals.join(sessions, "user_id")
+        join_same(totals, sessions, ["user_id"])
         .withColumns(
             {
                 "total_spent": F.col("spent").cast("double"),
@@ -195,7 +196,7 @@ def cohort_analysis(df: DataFrame) -> DataFrame:
     # First month per user from the monthly rows, already one per user and month.
     first = monthly.groupBy("user_id").agg(F.min("activity_month").alias("cohort_month"))
     return (
-        monthly.join(first, "user_id")
+        join_same(monthly, first, ["user_id"])
         .groupBy("cohort_month", "activity_month")
         .agg(
             rows().alias("active_users"),
@@ -363,15 +364,19 @@ def breakdown_maps(df: DataFrame, by: Sequence[str], ts: str = "event_time") ->
         rows().alias("n"), F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("revenue")
     )
 
+    def named(name: str) -> Column:
+        """A map cannot hold NULL as a key: text has ``unknown`` there, an hour -1."""
+        return F.coalesce(F.col(name), F.lit(-1) if name == "hour" else F.lit("unknown"))
+
     def as_map(name: str, value: Column) -> DataFrame:
-        per = cells.groupBy(*by, name).agg(value.alias("v"))
+        per = cells.groupBy(*by, named(name).alias(name)).agg(value.alias("v"))
         return per.groupBy(*by).agg(
             F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, "v")))).alias(f"by_{name}")
         )
 
     money = F.sum("revenue").cast("double")
     parts = [as_map("category", money), as_map("action", F.sum("n")), as_map("hour", money)]
-    return reduce(lambda a, b: a.join(b, list(by)), parts)
+    return reduce(lambda a, b: join_same(a, b, list(by)), parts)
 
 
 def extreme_orders(df: DataFrame, by: Sequence[str], order_id: str = "event_id") -> DataFrame:
@@ -462,7 +467,7 @@ def bucket_agg(df: DataFrame, ts: str, unit: str, by: str, value: str, k: int) -
     )
     order = Window.partitionBy("bucket").orderBy(F.col("n").desc(), by)
     top = cells.withColumn("term_rank", F.row_number().over(order)).filter(F.col("term_rank") <= k)
-    return top.join(buckets, "bucket").select(
+    return join_same(top, buckets, ["bucket"]).select(
         "bucket", "bucket_count", "bucket_avg", by, F.col("n").alias("term_count"),
         (F.col("s").cast("double") / F.col("n")).alias("term_avg"), "term_rank",
     )

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tidewell.functions.measures import mean, total
 from tidewell.operators.scan import latest, scan
 
-BROADCAST_ROWS = 1_000_000
-
 
 def top_customers(sales: DataFrame, users: DataFrame, k: int = 20) -> DataFrame:
     """Largest spenders with their attributes: aggregate and cut first, join ``k`` rows after."""
@@ -83,11 +81,18 @@ def cross_one_row(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.crossJoin(right)
 
 
-def broadcast_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` when its counted size allows it, otherwise an ordinary shuffle join."""
-    if dim.count() <= max_rows:
-        dim = F.broadcast(dim)
-    return fact.join(dim, list(on), how)
+def broadcast_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", force: bool = False) -> DataFrame:
+    """Join with a small side. The optimiser broadcasts ``dim`` by its bytes, at run time too; ``force`` is for a caller who knows its bound."""
+    return fact.join(F.broadcast(dim) if force else dim, list(on), how)
+
+
+def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the left side's keys are kept."""
+    renamed = right.withColumnsRenamed({c: f"__same_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"__same_{c}"))
+    return left.join(renamed, same, how).drop(*[f"__same_{c}" for c in on])
 
 
 def semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -195,8 +200,8 @@ def enrich_static(stream: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataF
 def salted_agg(df: DataFrame, keys: Sequence[str], partial: dict[str, Column], final: dict[str, Column], salts: int = 32) -> DataFrame:
     """Two-phase aggregation over (keys, salt) and then keys, for aggregates without map-side combine.
 
-    The salt counts rows inside an input partition, so copies of one row spread as well.
+    The salt is a hash of the whole row: the same after every retry. Copies of one row share a salt.
     """
-    salted = df.withColumn("__salt", F.monotonically_increasing_id() % salts)
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)))
     first = salted.groupBy(*keys, "__salt").agg(*[c.alias(n) for n, c in partial.items()])
     return first.groupBy(*keys).agg(*[c.alias(n) for n, c in final.items()])

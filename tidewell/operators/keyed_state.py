@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.measures import ratio, total
 from tidewell.functions.tiers import LOYALTY_TIERS, TIER_BENEFITS, loyalty_tier
+from tidewell.operators.joins import join_same
 from tidewell.operators.ordering import last_n_per
 from tidewell.operators.scan import earliest, lag, range_totals, row_number, running_count, running_max, running_sum, scan
 
@@ -31,7 +32,7 @@ def user_profile(events: DataFrame, keep: int = 10) -> DataFrame:
         F.sum(_spent()).cast("double").alias("total_spent"),
         F.max(TS).alias("last_activity"),
     )
-    views = events.filter("action = 'view'").groupBy("user_id", "category").agg(F.count(F.lit(1)).alias("n"))
+    views = events.filter("action = 'view'").groupBy("user_id", F.coalesce("category", F.lit("unknown")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
     views = views.groupBy("user_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n")))).alias("preferences")
     )
@@ -42,7 +43,7 @@ def user_profile(events: DataFrame, keep: int = 10) -> DataFrame:
             lambda r: F.struct(r["product_id"].alias("product_id"), r["total_amount"].alias("amount")),
         ).alias("recent_purchases")
     )
-    return base.join(views, "user_id", "left").join(recent, "user_id", "left").withColumn("tier", loyalty_tier("total_spent"))
+    return join_same(join_same(base, views, ["user_id"], "left"), recent, ["user_id"], "left").withColumn("tier", loyalty_tier("total_spent"))
 
 
 def tier_activations(events: DataFrame, steps: Sequence[tuple[float, str]] = tuple(LOYALTY_TIERS), hot_rows: int | None = None) -> DataFrame:

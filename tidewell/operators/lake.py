@@ -19,8 +19,8 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 256, part
     total = size.agg(F.sum("s")).first()[0] or 0
     files = max(1, -(-total // (target_mb * 1024 * 1024)))
     if partition_by:
-        # Rows of one partition value go to a few tasks chosen by a row counter, so a huge value is split too.
-        spread = F.monotonically_increasing_id() % files
+        # Rows of one partition value go to a few tasks chosen by a hash of the row, so a huge value is split too, alike after a retry.
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in partition_by]), F.lit(files))
         df = df.withColumn("__spread", spread).repartition(*partition_by, "__spread").drop("__spread")
         df.write.partitionBy(*partition_by).parquet(out)
     else:

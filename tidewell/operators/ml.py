@@ -22,6 +22,15 @@ def split_by_key(df: DataFrame, key: str, train_share: float = 0.8, seed: int =
     return df.filter(place < int(train_share * 10_000)), df.filter(place >= int(train_share * 10_000))
 
 
+def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], *drop: str) -> DataFrame:
+    """All rows of ``df`` with the model's columns; rows with a NULL feature keep their place, with NULL there."""
+    complete = F.lit(True)
+    for feature in features:
+        complete = complete & F.col(f"`{feature}`").isNotNull()
+    done = model.transform(df.filter(complete)).drop(*drop)
+    return done.unionByName(df.filter(~complete), allowMissingColumns=True)
+
+
 def train_tabular(
     df: DataFrame, features: Sequence[str], label: str, kind: str = "linear", key: str = "id", seed: int = 42,
     trees: int = 100, depth: int = 15, iterations: int = 50,
@@ -56,14 +65,14 @@ def fraud_training_set(
 
 
 def cluster_users(df: DataFrame, features: Sequence[str], k: int = 5, iterations: int = 20, seed: int = 42) -> tuple[DataFrame, PipelineModel]:
-    """K-means over standardised features; returns rows with ``cluster`` and the model."""
+    """K-means over standardised features; returns all rows with ``cluster``, NULL where a feature is NULL, and the model."""
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="skip"),
         StandardScaler(inputCol="__raw", outputCol="__scaled", withMean=True),
         KMeans(featuresCol="__scaled", predictionCol="cluster", k=k, maxIter=iterations, seed=seed),
     ]
     model = Pipeline(stages=stages).fit(df)
-    return model.transform(df).drop("__raw", "__scaled"), model
+    return predict(model, df, features, "__raw", "__scaled"), model
 
 
 def cluster_sizes(model: PipelineModel) -> list[int]:

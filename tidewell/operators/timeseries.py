@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,21 +11,42 @@ from tidewell.functions.tiers import distance_km
 from tidewell.operators.aggregates import exact_quantiles
 from tidewell.operators.scan import lag, latest, moving, range_totals, row_number, running_sum, scan
 
-EMA_PRECISION = 1e-12
 CHUNK = 64
 
 
-def ema_reach(span: int) -> int:
-    """Rows after which the weight of older values is below ``EMA_PRECISION``."""
-    return math.ceil(math.log(EMA_PRECISION) / math.log(1 - 2 / (span + 1)))
+def _decayed(ends: DataFrame, key: str, fades: dict[str, float]) -> DataFrame:
+    """(key, __chunk, __sum): ``sum_k = end_k + f * sum_(k-1)`` over consecutive chunks of (key, __chunk, __end), for every fade ``f``.
 
-
-def exponential_means(df: DataFrame, key: str, row: str, price: str, spans: dict[str, int], hot_rows: int | None = None) -> DataFrame:
+    Chunks are taken ``CHUNK`` at a time; the ends of those groups are summed the same way, one level up with ``f ** CHUNK``. Levels stop
+    when that fade is zero as a double, which depends on the span alone: all history counts, however long.
+    """
+    group, place = F.floor(F.col("__chunk") / CHUNK), F.col("__chunk") % CHUNK
+    items = ends.groupBy(F.col(key), group.alias("__group")).agg(F.array_sort(F.collect_list(F.struct(place.alias("place"), F.col("__end").alias("end")))).alias("__items"))
+
+    def upto(i: Column) -> Column:
+        taken = F.slice("__items", 1, i)
+        return F.struct(*[F.aggregate(taken, F.lit(0.0), _fold(n, f)).alias(n) for n, f in fades.items()])
+
+    def _fold(name: str, f: float):
+        return lambda total, item: total * f + item["end"][name]
+
+    sums = items.select(F.col(key), "__group", F.transform(F.sequence(F.lit(1), F.size("__items")), upto).alias("__sums"))
+    inside = sums.select(F.col(key), "__group", F.posexplode("__sums").alias("__i", "__local"))
+    upper = {n: f**CHUNK for n, f in fades.items()}
+    chunk = (F.col("__group") * CHUNK + F.col("__i")).alias("__chunk")
+    if not any(upper.values()):
+        return inside.select(F.col(key), chunk, F.col("__local").alias("__sum"))
+    above = _decayed(sums.select(F.col(key), F.col("__group").alias("__chunk"), F.element_at("__sums", -1).alias("__end")), key, upper)
+    before = above.select(F.col(key).alias("__key"), (F.col("__chunk") + 1).alias("__of"), F.col("__sum").alias("__above"))
+    joined = inside.join(before, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__group") == F.col("__of")), "left")
+    whole = F.struct(*[(F.col(f"__local.{n}") + F.pow(F.lit(f), F.col("__i") + 1) * F.coalesce(f"__above.{n}", F.lit(0.0))).alias(n) for n, f in fades.items()])
+    return joined.select(F.col(key), chunk, whole.alias("__sum"))
+
+
+def exponential_means(df: DataFrame, key: str, row: str, price: str, spans: dict[str, int]) -> DataFrame:
     """Exponential means (seeded with the first value) of a series whose rows are numbered in ``row``.
 
-    A mean is the part from its own chunk of ``CHUNK`` rows plus the faded end of the chunk
-    before. Chunks and their ends are built in parallel; an end looks back only over as many
-    chunks as still carry weight, so no step walks a whole series.
+    A mean is the part from its own chunk of ``CHUNK`` rows plus the faded sum of all chunks before.
     """
     if min(spans.values()) < 2:
         raise ValueError("a span of one row is the price itself")
@@ -40,21 +60,12 @@ def exponential_means(df: DataFrame, key: str, row: str, price: str, spans: dict
         for n, f in fade.items()
     }
     df = df.withColumns(local)
-    ends = df.groupBy(key, "__chunk").agg(F.max_by(F.struct(*local), "__i").alias("__end"))
-    back = max(math.ceil(ema_reach(span) / CHUNK) for span in spans.values()) + 1
-    ends = scan(ends, [key], ["__chunk"], {"__ends": moving(F.collect_list, F.col("__end"), back + 1)}, hot_rows=hot_rows)
-    earlier = F.slice("__ends", 1, F.greatest(F.size("__ends") - 1, F.lit(0)))
-
-    def carry(name: str, f: float) -> Column:
-        return F.aggregate(earlier, F.lit(0.0), lambda acc, end: acc * f**CHUNK + end[f"__local_{name}"]).alias(f"__carry_{name}")
-
-    carried = ends.select(
-        F.col(key).alias("__key"), F.col("__chunk").alias("__of"), *[carry(n, f) for n, f in fade.items()]
-    )
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__chunk") == F.col("__of"))
-    out = df.join(carried, same, "left").drop("__key", "__of")
-    means = {n: F.col(f"__local_{n}") + F.pow(F.lit(f), F.col("__i")) * F.col(f"__carry_{n}") for n, f in fade.items()}
-    return out.withColumns(means).drop("__chunk", "__i", *local, *[f"__carry_{n}" for n in spans])
+    ends = df.groupBy(key, "__chunk").agg(F.max_by(F.struct(*[F.col(f"__local_{n}").alias(n) for n in fade]), "__i").alias("__end"))
+    sums = _decayed(ends, key, {n: f**CHUNK for n, f in fade.items()})
+    carried = sums.select(F.col(key).alias("__key"), (F.col("__chunk") + 1).alias("__of"), "__sum")
+    out = df.join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__chunk") == F.col("__of")), "left").drop("__key", "__of")
+    means = {n: F.col(f"__local_{n}") + F.pow(F.lit(f), F.col("__i")) * F.coalesce(f"__sum.{n}", F.lit(0.0)) for n, f in fade.items()}
+    return out.withColumns(means).drop("__chunk", "__i", "__sum", *local)
 
 
 def _tail(values: Column, n: int) -> Column:
@@ -84,7 +95,7 @@ def indicators(
     loss = F.aggregate(F.transform(steps, lambda d: F.greatest(-d, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
     rsi = F.when(F.size(recent) <= 1, None).when(loss == 0, 100.0).otherwise(100 - 100 / (1 + F.try_divide(gain, loss)))
     out = out.withColumns({"wma": weighted, "rsi": rsi}).drop("__recent")
-    out = exponential_means(out, key, "__rn", price, {"ema": k, "__fast": fast, "__slow": slow}, hot_rows)
+    out = exponential_means(out, key, "__rn", price, {"ema": k, "__fast": fast, "__slow": slow})
     return out.withColumns(
         {
             "macd": F.col("__fast") - F.col("__slow"),

@@ -107,8 +107,8 @@ def share_of_partition(df: DataFrame, by: str, value: str, k: int, tiebreak: Seq
     """
     order = Window.partitionBy(by).orderBy(F.col(value).desc(), *tiebreak)
     top = df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    totals = df.groupBy(by).agg(total(value).alias("partition_total"))
-    return top.join(totals, by).withColumn(
+    totals = df.groupBy(F.col(by).alias("__by")).agg(total(value).alias("partition_total"))
+    return top.join(totals, F.col(by).eqNullSafe(F.col("__by"))).drop("__by").withColumn(
         "share_pct", F.try_divide(F.col(value), F.col("partition_total")) * 100
     )
 
@@ -234,8 +234,11 @@ def position_stats(df: DataFrame, by: Sequence[str], order: str, tiebreak: Seque
         out, by, __n=F.count(F.lit(1)), first_value=F.min(sort), last_value=F.max(sort),
         nth_value=F.max(F.when(F.col("__rn") == nth, sort)),
     )
-    peers = df.groupBy(*by, order).agg(F.count(F.lit(1)).alias("__peers"))
-    out = out.join(peers, [*by, order])
+    peers = df.groupBy(*[F.col(c).alias(f"__p{k}") for k, c in enumerate([*by, order])]).agg(F.count(F.lit(1)).alias("__peers"))
+    same = F.lit(True)
+    for k, c in enumerate([*by, order]):
+        same = same & F.col(c).eqNullSafe(F.col(f"__p{k}"))
+    out = out.join(peers, same).drop(*[f"__p{k}" for k in range(len(by) + 1)])
     return out.withColumns(
         {
             "percent_rank": F.when(F.col("__n") > 1, (F.col("__rank") - 1) / (F.col("__n") - 1)).otherwise(0.0),

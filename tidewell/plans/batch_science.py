@@ -197,18 +197,15 @@ def _frame(k):
     return f"list(total_amount) OVER (PARTITION BY category ORDER BY event_time, event_id ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
 
 
-def _ema_sql(values, span):
-    a = 2 / (span + 1)
-    return f"list_reduce({values}, lambda acc, x: acc * {1 - a!r}::DOUBLE + x * {a!r}::DOUBLE)"
-
-
-@query("ts_01_indicators", with_views(EVENTS) + f"""
-, w AS (SELECT event_id, category, {_frame(14)} AS l, {_frame(15)} AS d, {_frame(timeseries.ema_reach(26))} AS r FROM ev),
+@query("ts_01_indicators", with_views(EVENTS).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, w AS (SELECT event_id, category, total_amount AS p, ROW_NUMBER() OVER (PARTITION BY category ORDER BY event_time, event_id) AS rn, {_frame(14)} AS l, {_frame(15)} AS d FROM ev),
+e AS (SELECT event_id, category, rn, p AS e14, p AS e12, p AS e26 FROM w WHERE rn = 1
+  UNION ALL SELECT w.event_id, w.category, w.rn, e14 + (w.p - e14) * 2 / 15, e12 + (w.p - e12) * 2 / 13, e26 + (w.p - e26) * 2 / 27 FROM e JOIN w ON w.category = e.category AND w.rn = e.rn + 1),
 x AS (SELECT *, list_transform(range(2, len(d) + 1), lambda i: d[i] - d[i - 1]) AS s FROM w),
 y AS (SELECT *, COALESCE(list_sum(list_transform(s, lambda v: GREATEST(v, 0))), 0) AS gain, COALESCE(list_sum(list_transform(s, lambda v: GREATEST(-v, 0))), 0) AS loss FROM x)
-SELECT event_id, category, ROUND(list_avg(l), 6) AS sma, ROUND(list_sum(list_transform(range(1, len(l) + 1), lambda i: l[i] * i)) / (len(l) * (len(l) + 1) / 2), 6) AS wma,
-  ROUND({_ema_sql('r', 14)}, 6) AS ema, ROUND(CASE WHEN len(r) <= 1 THEN NULL WHEN loss = 0 THEN 100 ELSE 100 - 100 / (1 + gain / loss) END, 6) AS rsi,
-  ROUND({_ema_sql('r', 12)} - {_ema_sql('r', 26)}, 6) AS macd, ROUND(list_avg(l) + 2 * list_stddev_pop(l), 6) AS bollinger_upper, ROUND(list_avg(l) - 2 * list_stddev_pop(l), 6) AS bollinger_lower FROM y""")
+SELECT y.event_id, y.category, ROUND(list_avg(l), 6) AS sma, ROUND(list_sum(list_transform(range(1, len(l) + 1), lambda i: l[i] * i)) / (len(l) * (len(l) + 1) / 2), 6) AS wma,
+  ROUND(e14, 6) AS ema, ROUND(CASE WHEN y.rn <= 1 THEN NULL WHEN loss = 0 THEN 100 ELSE 100 - 100 / (1 + gain / loss) END, 6) AS rsi,
+  ROUND(e12 - e26, 6) AS macd, ROUND(list_avg(l) + 2 * list_stddev_pop(l), 6) AS bollinger_upper, ROUND(list_avg(l) - 2 * list_stddev_pop(l), 6) AS bollinger_lower FROM y JOIN e USING (event_id)""")
 def ts_01(t):
     ticks = t.events.select("event_id", "category", "event_time", "total_amount")
     out = timeseries.indicators(ticks, "category", ["event_time", "event_id"], "total_amount")

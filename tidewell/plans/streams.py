@@ -147,7 +147,7 @@ def str_10s(t):
 @query("str_11_session_profile", with_views(EVENTS, marked("12 HOUR")) + f"""
 , p AS (SELECT user_id, session_no, MIN(event_time) AS session_start, MAX(event_time) AS last_event, COUNT(*) AS event_count, {dsum('total_amount')} AS total_amount, COUNT(DISTINCT product_id) AS unique_products,
   COUNT(DISTINCT category) AS unique_categories, COUNT(*) FILTER (action = 'purchase') AS purchase_count, COUNT(*) FILTER (action = 'view') AS view_count,
-  string_agg(action, ' -> ' ORDER BY event_time, event_id) AS action_sequence, (epoch_us(MAX(event_time)) - epoch_us(MIN(event_time))) // 1000 AS session_duration_ms FROM numbered GROUP BY 1, 2)
+  (epoch_us(MAX(event_time)) - epoch_us(MIN(event_time))) // 1000 AS session_duration_ms FROM numbered GROUP BY 1, 2)
 SELECT *, total_amount / GREATEST(purchase_count, 1) AS avg_order_value, purchase_count / event_count AS conv_per_event, CASE WHEN view_count > 0 THEN purchase_count / view_count ELSE 0 END AS conv_per_view,
   session_duration_ms / GREATEST(event_count - 1, 1) AS avg_time_between_events_ms,
   CASE WHEN total_amount > 500 THEN 'HIGH_VALUE' WHEN event_count > 10 THEN 'HIGH_ENGAGEMENT' WHEN unique_categories > 2 THEN 'CROSS_CATEGORY' WHEN purchase_count / event_count > 0.5 THEN 'HIGH_CONVERSION' ELSE 'REGULAR' END AS session_type FROM p""")

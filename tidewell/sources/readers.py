@@ -75,8 +75,10 @@ def read_jdbc(
 def read_incremental(read: Callable[[], DataFrame], ts: str, marks: str, source: str, spark: SparkSession) -> tuple[DataFrame, Callable[[], None]]:
     """Rows newer than the last committed high mark of ``source``, and a function that commits the new mark.
 
-    The filter is a bare comparison, so it is pushed to the source. Commit after the rows are
-    written; a failed load is then simply repeated.
+    The upper bound is fixed before the load, and a load is (last bound, bound]: rows that come in meanwhile belong to the next one. Rows
+    with the bound's very timestamp must be there when it is taken; where a source may still add such rows, it must be read with a
+    bound that lags behind. The filter is a bare comparison, so it is pushed to the source. Commit after the rows are written; a
+    failed load is then simply repeated.
     """
     schema = "mark timestamp, source string"
     try:
@@ -86,11 +88,13 @@ def read_incremental(read: Callable[[], DataFrame], ts: str, marks: str, source:
             raise
         last = None
     rows = read()
-    fresh = rows.filter(F.col(ts) > F.lit(last)) if last is not None else rows
+    bound = rows.agg(F.max(ts).cast("timestamp")).first()[0]
+    fresh = rows.filter(F.col(ts) <= F.lit(bound)) if bound is not None else rows.limit(0)
+    fresh = fresh.filter(F.col(ts) > F.lit(last)) if last is not None else fresh
 
     def commit() -> None:
-        mark = fresh.agg(F.max(ts).cast("timestamp").alias("mark")).filter(F.col("mark").isNotNull())
-        mark.withColumn("source", F.lit(source)).write.mode("append").parquet(marks)
+        if bound is not None:
+            spark.createDataFrame([(bound, source)], schema).coalesce(1).write.mode("append").parquet(marks)
 
     return fresh, commit
 

@@ -7,7 +7,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.cdc import merge_upsert
 from tidewell.operators.ordering import top_k_per
 
 ROWS_PER_FILE = 5_000_000
@@ -15,13 +14,13 @@ ROWS_PER_FILE = 5_000_000
 
 def write_csv_report(df: DataFrame, path: str) -> None:
     """One CSV file with header; for small results such as top-k reports and grouped summaries."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], mode: str = "overwrite", spread: int = 1) -> None:
     """Partitioned Parquet with one writer task per value, or ``spread`` tasks where values may be huge."""
     if spread > 1:
-        df = df.withColumn("__spread", F.monotonically_increasing_id() % spread)
+        df = df.withColumn("__spread", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread)))
         df = df.repartition(*columns, "__spread").drop("__spread")
     else:
         df = df.repartition(*columns)
@@ -38,7 +37,7 @@ def jdbc_write_options(url: str, table: str, batch_size: int = 1000) -> dict[str
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch_size: int = 1000, connections: int = 16) -> None:
     """Relational table through at most ``connections`` parallel writers."""
-    df.coalesce(connections).write.format("jdbc").options(**jdbc_write_options(url, table, batch_size)).mode(mode).save()
+    df.repartition(connections).write.format("jdbc").options(**jdbc_write_options(url, table, batch_size)).mode(mode).save()
 
 
 class UpsertSink:
@@ -47,7 +46,7 @@ class UpsertSink:
     Keys are hashed to buckets. A batch rewrites only the buckets it touches, under
     ``v=<batch id>``, and then writes a marker with their numbers; readers take the newest
     marked version of every bucket. A replayed batch id rewrites the same files, so the
-    result is exactly once.
+    result is exactly once. Of the rows of a key the greatest by ``order`` counts, in whichever batch it came; a tie goes to either.
     """
 
     def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64):
@@ -75,12 +74,17 @@ class UpsertSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        updates = top_k_per(batch, self.keys, [f"-{o}" for o in self.order], 1, "__first").drop("__first").persist()
+
+        def newest(rows: DataFrame) -> DataFrame:
+            return top_k_per(rows, self.keys, [f"-{o}" for o in self.order], 1, "__first").drop("__first")
+
+        updates = newest(batch).persist()
         try:
             touched = [r[0] for r in updates.select(bucket.alias("b")).distinct().collect()]
             older = {b: n for b, n in self._newest(spark, batch_id).items() if b in set(touched)}
             target = self._read(spark, older)
-            merged = merge_upsert(target, updates, self.keys) if target is not None else updates
+            # Rows of a key that came in an earlier batch may still be the newest.
+            merged = newest(target.select(*updates.columns).union(updates)) if target is not None else updates
             version = f"{self.path}/v={batch_id}"
             merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(version)
             marks = spark.createDataFrame([(b, batch_id) for b in touched], "bucket int, n long")
@@ -89,12 +93,17 @@ class UpsertSink:
             updates.unpersist()
 
 
-def jdbc_upsert_batch(url: str, staging: str, merge: Callable[[int], None], batch_size: int = 1000) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` upsert for a database: rows go to a staging table tagged with the batch id, then
-    ``merge(batch_id)`` runs the database's own MERGE for that id. Both steps may be repeated."""
+def jdbc_upsert_batch(
+    url: str, staging: str, keys: Sequence[str], order: Sequence[str], clear: Callable[[int], None], merge: Callable[[int], None],
+    batch_size: int = 1000, write_rows: Callable = write_jdbc,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` upsert for a database: one row per key goes to a staging table tagged with the batch id, after ``clear(batch_id)``
+    has removed what an earlier try left there; then ``merge(batch_id)`` runs the database's own MERGE for that id. All may be repeated."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_jdbc(batch.withColumn("batch_id", F.lit(batch_id)), url, staging, "append", batch_size)
+        clear(batch_id)
+        rows = top_k_per(batch, list(keys), [f"-{o}" for o in order], 1, "__first").drop("__first")
+        write_rows(rows.withColumn("batch_id", F.lit(batch_id)), url, staging, "append", batch_size)
         merge(batch_id)
 
     return write
@@ -177,4 +186,4 @@ def dual_write_events(events_path: str, activity_path: str, ts: str) -> Callable
 
 def write_report(df: DataFrame, path: str) -> None:
     """Metrics rows as JSON lines in one file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)

@@ -15,7 +15,6 @@ from tidewell.functions.measures import ratio, total
 from tidewell.operators.scan import lag, row_number, running_max, running_sum, scan
 
 TS = "event_time"
-SEQUENCE_ROWS = 10_000
 
 
 def mark_sessions(df: DataFrame, keys: Sequence[str], gap_seconds: int, tiebreak: Sequence[str] = ("event_id",),
@@ -61,26 +60,19 @@ def session_windows(df: DataFrame, gap_seconds: int = 1800, keys: Sequence[str]
     return out.withColumn("session_duration_minutes", micros / 60_000_000)
 
 
-def session_profile(df: DataFrame, gap_seconds: int = 1800, sequence_rows: int = SEQUENCE_ROWS, hot_rows: int | None = None) -> DataFrame:
-    """Metrics, type and action sequence of every session of a table.
-
-    The sequence is one text for sessions up to ``sequence_rows`` events; longer sessions
-    have NULL there and their steps in :func:`session_steps`, which holds all of them as rows.
-    """
+def session_profile(df: DataFrame, gap_seconds: int = 1800, hot_rows: int | None = None) -> DataFrame:
+    """Metrics and type of every session of a table. Its action sequence, at any length, is the rows of :func:`session_steps`."""
     bought = F.col("action") == "purchase"
-    step = F.when(F.col("position") <= sequence_rows, F.struct("position", "action"))
     marked = mark_sessions(df, ["user_id"], gap_seconds, hot_rows=hot_rows)
     out = marked.groupBy("user_id", "session_no").agg(
         F.min(TS).alias("session_start"), F.max(TS).alias("last_event"),
         F.count(F.lit(1)).alias("event_count"), total("total_amount").alias("total_amount"),
         F.count_distinct("product_id").alias("unique_products"), F.count_distinct("category").alias("unique_categories"),
         F.count_if(bought).alias("purchase_count"), F.count_if(F.col("action") == "view").alias("view_count"),
-        F.array_sort(F.collect_list(step)).alias("__steps"),
     )
     span = F.unix_micros("last_event") - F.unix_micros("session_start")
     count, categories = F.col("event_count"), F.col("unique_categories")
     per_event = F.col("purchase_count") / count
-    sequence = F.array_join(F.transform("__steps", lambda s: s["action"]), " -> ")
     return out.withColumns(
         {
             "session_duration_ms": F.floor(span / 1000),
@@ -88,14 +80,13 @@ def session_profile(df: DataFrame, gap_seconds: int = 1800, sequence_rows: int =
             "conv_per_event": per_event,
             "conv_per_view": F.when(F.col("view_count") > 0, F.col("purchase_count") / F.col("view_count")).otherwise(0.0),
             "avg_time_between_events_ms": F.floor(span / 1000) / F.greatest(count - 1, F.lit(1)),
-            "action_sequence": F.when(count <= sequence_rows, sequence),
             "session_type": F.when(F.col("total_amount") > 500, "HIGH_VALUE")
             .when(count > 10, "HIGH_ENGAGEMENT")
             .when(categories > 2, "CROSS_CATEGORY")
             .when(per_event > 0.5, "HIGH_CONVERSION")
             .otherwise("REGULAR"),
         }
-    ).drop("__steps")
+    )
 
 
 def session_steps(df: DataFrame, gap_seconds: int = 1800, hot_rows: int | None = None) -> DataFrame:
