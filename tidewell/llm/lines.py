@@ -51,9 +51,8 @@ def _runs(line: Column) -> Column:
 
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
-    occurrences = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), F.char_length("line").alias("n"), bands().alias("bands"))
-    occurrences = stored(occurrences, "line-sketches")
-    first = stored(occurrences.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines")
+    lines = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), F.char_length("line").alias("n"), bands().alias("bands"))
+    first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines")
 
     def lengths_allow(a: str, b: str) -> Column:
         """A line of n characters has at most n runs; only very unequal lengths can be told apart without them."""
@@ -64,11 +63,12 @@ def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
         wanted = at.groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "id")).alias("wanted"))
         texts = documents.dropDuplicates(["doc_id", "key"]).join(wanted, ["doc_id", "key"]).withColumn("all", F.split("text", "\n"))
         texts = texts.select(F.explode("wanted").alias("w"), "all").select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line"))
-        texts = stored(texts, "line-texts")
+        texts = stored(texts.withColumn("runs", F.size(_runs(F.col("line")))), "line-texts")
 
         def confirm(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v").select("u", "v", _runs(F.col("a")).alias("a"), _runs(F.col("b")).alias("b"))
-            sized = both.select("u", "v", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("common"))
+            both = pairs.join(texts.toDF("u", "a", "na"), "u").join(texts.toDF("v", "b", "nb"), "v")
+            both = both.filter(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
+            sized = both.select("u", "v", "na", "nb", F.size(F.array_intersect(_runs(F.col("a")), _runs(F.col("b")))).alias("common"))
             return sized.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("u", "v")
 
         return confirm, [texts]
@@ -77,9 +77,10 @@ def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     named = first.select("id", "first").join(linked, "id", "left").select("id", "first", F.coalesce("component", "id").alias("component"))
     keeper = named.groupBy("component").agg(F.min("first").alias("keeper"))
     keepers = named.join(keeper, "component").select("id", "keeper.doc_id", "keeper.place").toDF("id", "keep_doc", "keep_place")
-    drops = occurrences.select("doc_id", "key", "place", "id").join(keepers, "id").filter((F.col("doc_id") != F.col("keep_doc")) | (F.col("place") != F.col("keep_place")))
+    occurrences = lines_of(documents).select("doc_id", "key", "place", F.xxhash64("line").alias("id"))
+    drops = occurrences.join(keepers, "id").filter((F.col("doc_id") != F.col("keep_doc")) | (F.col("place") != F.col("keep_place")))
     drops = stored(drops.select("doc_id", "key", "place").distinct(), "line-drops")
-    discard(occurrences, first)
+    discard(first)
     return drops
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tidewell.session import shared_dir
 
 ORDERS = 4
-STAR_ROUNDS = 3
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -84,10 +83,11 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
 def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFrame:
     """(id, component) of the links found in buckets of (rep, n, key): every ``key`` is a bucket of ``rep`` ids with sizes ``n``.
 
-    A bucket proposes stars, never all its pairs. Each round picks a centre for every bucket, by one of ``ORDERS`` hashed orders of the
-    ids, and compares it with the members that are not in its class yet, so large groups of similar documents end as one class. After
-    ``STAR_ROUNDS`` rounds, or one that finds nothing new, members still outside the class of their centre are compared with all members
-    of other classes in their bucket: no link inside a bucket is lost, however the stars fell.
+    A bucket proposes stars, never all its pairs. Each round picks a centre for every bucket, by a hashed order of the ids, and compares it
+    with the members that are not in its class yet, so large groups of similar documents end as one class. The first round has one order,
+    so that buckets with the same members have the same centre; later ones have ``ORDERS``. When a round confirms less than a twentieth of
+    its pairs, stars have done their work: members still outside the class of their centre are compared with all members of other
+    classes in their bucket. No link inside a bucket is lost, however the stars fell.
     ``can_link(a, b)`` is a condition on two size columns. ``prepare(reps)`` gets the distinct members of shared buckets and returns
     (confirm, stored tables to drop at the end), where ``confirm`` keeps the true links among pairs (u, v) with u < v.
     """
@@ -107,18 +107,23 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
 
     def around(names: DataFrame, number: int) -> DataFrame:
         """Members outside the class of their bucket's centre of this round, with the centre."""
-        order = F.struct(F.xxhash64("rep", F.lit(number * ORDERS) + F.pmod("key", F.lit(ORDERS))), F.col("rep"))
+        orders = ORDERS if number else 1
+        order = F.struct(F.xxhash64("rep", F.lit(number * ORDERS) + F.pmod("key", F.lit(orders))), F.col("rep"))
         named = members.join(names, "rep")
         centres = named.groupBy("key").agg(F.min_by(F.struct("rep", "n", "label"), order).alias("c"))
         return named.join(centres, "key").filter(F.col("label") != F.col("c.label")).select("key", "rep", "n", "label", "c")
 
-    for number in range(STAR_ROUNDS):
-        stars = around(names, number).filter(can_link("n", "c.n")).select(F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v")).distinct()
+    number, productive = 0, True
+    while productive:
+        stars = around(names, number).filter(can_link("n", "c.n")).select(F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v"))
+        stars = stored(stars.distinct(), "stars")
         found = stored(confirm(stars), "links")
-        kept.append(found)
-        if found.isEmpty():
-            break
-        names = joined(names, found)
+        kept += [stars, found]
+        links = found.count()
+        productive = links * 20 >= stars.count() > 0
+        if links:
+            names = joined(names, found)
+        number += 1
     apart = around(names, 0).select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("c.label").alias("lc"))
     others = members.join(names, "rep").select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
     open_pairs = (
