@@ -197,8 +197,9 @@ def repeated_passages_removed(documents: DataFrame, window: int = 20, id_column:
     found = stored(_windows(source.join(likely.join(keys, "doc_id"), ["doc_id", "key"]).select("doc_id", "text", "runs"), window), "windows")
     discard(likely)
     pending = found.filter("h1 is not null").select("h1", "h2", "doc_id", "at")
-    firsts = pending.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("m")).filter("m > 1").select("h1", "h2", "first")
-    later = pending.join(firsts, ["h1", "h2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at", F.lit(1).alias("n"))
+    # A document is never divided between blocks, so it has at most one place left per window: the least document has the first place.
+    firsts = pending.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc").drop("last_doc")
+    later = pending.join(firsts, ["h1", "h2"]).filter("doc_id > first_doc").select("doc_id", "at", F.lit(1).alias("n"))
     repeats = later.union(found.filter("h1 is null").select("doc_id", "at", "n")).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("repeats"))
     repeats = stored(repeats.join(keys, "doc_id"), "repeats")
     discard(found)
