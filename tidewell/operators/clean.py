@@ -1,5 +1,6 @@
 """Projection, filtering and cleaning of sales, customers, products and web visits."""
 
+# The thresholds, labels and column names of the star schema are those of its result tables, here and in functions/tiers.py.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence

@@ -129,6 +129,7 @@ def _blank(name: str) -> Column:
     return F.col(name).isNull() | (F.col(name) == "")
 
 
+# Alert types, severities and expectations of the two rule lists below.
 def user_alerts(users: DataFrame, keep: Sequence[str]) -> DataFrame:
     email = F.col("email")
     form = "valid email format (user@domain.com)"

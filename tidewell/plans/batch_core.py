@@ -496,9 +496,16 @@ def agg_14(t):
     return agg.exact_quantiles(t.sales("category", "total_amount"), "category", "total_amount")
 
 
-@query("agg_14_distribution_stats")
+@query("agg_14_distribution_stats", with_views(SALES) + f"""
+SELECT category, COUNT(*) AS sample_size, {davg('total_amount')} AS mean_value, ROUND(STDDEV(total_amount), 2) AS std_deviation, {', '.join(f'TRUE AS {q}_close' for q in agg.QUANTILES)}
+FROM sales GROUP BY category""")
 def agg_14b(t):
-    return agg.distribution_stats(t.sales("category", "total_amount"), "category", "total_amount")
+    """The sketch's quantiles, each compared with the exact one."""
+    sales = t.sales("category", "total_amount")
+    exact = agg.exact_quantiles(sales, "category", "total_amount").withColumnsRenamed({q: f"exact_{q}" for q in agg.QUANTILES})
+    both = joins.join_same(agg.distribution_stats(sales, "category", "total_amount"), exact, ["category"])
+    close = [(F.abs(F.col(q) - F.col(f"exact_{q}")) <= 0.01 * F.col(f"exact_{q}")).alias(f"{q}_close") for q in agg.QUANTILES]
+    return both.select("category", "sample_size", "mean_value", "std_deviation", *close)
 
 
 @query("agg_15_text_counts", with_views(SALES) + """
@@ -608,9 +615,14 @@ def agg_23(t):
     )
 
 
-@query("agg_24_approx_unique")
+@query("agg_24_approx_unique", with_views(SALES) + """
+SELECT category, COUNT(DISTINCT user_id) AS unique_users, TRUE AS within_bound FROM sales GROUP BY category""")
 def agg_24(t):
-    return agg.approx_unique(t.sales("category", "user_id"), "category", "user_id")
+    """The estimate, compared with the exact number: three standard errors are allowed."""
+    sales = t.sales("category", "user_id")
+    exact = sales.groupBy("category").agg(F.count_distinct("user_id").alias("unique_users"))
+    both = joins.join_same(exact, agg.approx_unique(sales, "category", "user_id"), ["category"])
+    return both.select("category", "unique_users", (F.abs(F.col("approx_unique") - F.col("unique_users")) <= 0.06 * F.col("unique_users")).alias("within_bound"))
 
 
 @query("agg_25_region_product_summary", with_views(SALES) + f"""
@@ -670,11 +682,11 @@ def udf_03(t):
 # --- order and sets -----------------------------------------------------------------
 
 @query("ord_01_order_nulls_last", with_views(USERS, ORDERS) + f"""
-SELECT u.user_id, country, spent FROM users u LEFT JOIN (SELECT user_id, {dsum('amount')} AS spent FROM user_orders WHERE status = 'shipped' AND amount > 300000 GROUP BY 1) o
+SELECT u.user_id, country, spent FROM users u LEFT JOIN (SELECT user_id, {dsum('amount')} AS spent FROM user_orders WHERE status = 'shipped' GROUP BY 1) o
   ON u.user_id = o.user_id ORDER BY spent DESC NULLS LAST, u.user_id""")
 def ord_01(t):
-    big = t.user_orders.filter("status = 'shipped' AND amount > 300000")
-    joined = joins.join_aggregate(t.users.select("user_id", "country"), big, "user_id", spent=agg.total("amount"))
+    shipped = t.user_orders.filter("status = 'shipped'")
+    joined = joins.join_aggregate(t.users.select("user_id", "country"), shipped, "user_id", spent=agg.total("amount"))
     return ordering.order_nulls_last(joined, ["-spent", "user_id"])
 
 

@@ -63,16 +63,17 @@ def fea_04(t):
     return features.rfm(t.user_orders, "2001-12-01", kind="payment_method")
 
 
-@query("ml_01_train_tabular")
+@query("ml_01_train_tabular", """
+SELECT COUNT(*) AS n, TRUE AS better_than_the_mean FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def ml_01(t):
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), "l_quantity", "p_retailprice",
         F.col("l_extendedprice").alias("label"),
     )
     model, rmse = ml.train_tabular(lines, ["l_quantity", "p_retailprice"], "label", "linear")
-    return model.transform(lines).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_prediction"), F.lit(rmse).alias("rmse")
-    )
+    scored = ml.predict(model, lines, ["l_quantity", "p_retailprice"])
+    error = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))
+    return scored.agg(F.count(F.lit(1)).alias("n"), (F.greatest(error, F.lit(rmse)) < F.stddev_pop("label")).alias("better_than_the_mean"))
 
 
 @query("ml_02_fraud_training_set", with_views(EVENTS) + """
@@ -83,11 +84,12 @@ def ml_02(t):
     return ml.fraud_training_set(t.events, "user_id", "event_time", "event_id", "total_amount", 150, 1)
 
 
-@query("ml_03_cluster_users")
+@query("ml_03_cluster_users", with_views(ORDERS) + """
+SELECT COUNT(DISTINCT user_id) AS users, 5 AS clusters, 0 AS unassigned FROM user_orders""")
 def ml_03(t):
     rfm = features.rfm(t.user_orders, "2001-12-01")
     clustered, _ = ml.cluster_users(rfm, ["recency_days", "frequency", "monetary"], 5)
-    return clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("users"), F.round(F.avg("monetary"), 2).alias("mean_monetary"))
+    return clustered.agg(F.count(F.lit(1)).alias("users"), F.count_distinct("cluster").alias("clusters"), F.count_if(F.col("cluster").isNull()).alias("unassigned"))
 
 
 # --- graph ------------------------------------------------------------------------------

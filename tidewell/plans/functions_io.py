@@ -322,12 +322,12 @@ def snk_13(t):
 
 
 @query("join_11_federated_join", with_views(ORDERS, USERS) + """
-SELECT country, tier, COUNT(*) AS n FROM user_orders o JOIN users u ON o.user_id = u.user_id WHERE amount > 250000 GROUP BY 1, 2""")
+SELECT country, tier, COUNT(*) AS n FROM user_orders o JOIN users u ON o.user_id = u.user_id GROUP BY 1, 2""")
 def join_11(t):
     path = scratch_path(t.spark, "users-json")
     t.users.select("user_id", "country", "tier").write.json(path)
     users = readers.read_json(t.spark, path, "user_id long, country string, tier string")
-    orders = t.user_orders.filter(F.col("amount") > 250000).select("user_id", "order_id")
+    orders = t.user_orders.select("user_id", "order_id")
     return jobs.federated_orders(orders, users).groupBy("country", "tier").agg(n_rows())
 
 
@@ -429,7 +429,8 @@ def job_06(t):
     return out
 
 
-@query("job_07_features")
+@query("job_07_features", with_views(EVENTS) + """
+SELECT CASE WHEN total_amount > 60 THEN 1.0 ELSE 0.0 END AS label, COUNT(*) AS n, TRUE AS mostly_right FROM ev GROUP BY 1""")
 def job_07(t):
     daily = t.events.filter("action = 'purchase'").groupBy("user_id", F.date_trunc("day", "event_time").alias("ready_at")).agg(
         agg.total("total_amount").alias("spent"), F.count(F.lit(1)).cast("double").alias("orders")
@@ -439,4 +440,5 @@ def job_07(t):
     scored, accuracy = jobs.feature_job(
         entities, "event_time", [view], lambda d: F.when(F.col("total_amount") > 60, 1.0).otherwise(0.0), ["daily__spent", "daily__orders", "total_amount"], "event_id"
     )
-    return scored.groupBy("label").agg(n_rows(), F.lit(accuracy).alias("accuracy"))
+    right = (F.count_if(F.col("prediction") == F.col("label")) >= 0.9 * F.count(F.lit(1))) & (F.lit(accuracy) >= 0.9)
+    return scored.groupBy("label").agg(n_rows(), right.alias("mostly_right"))

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "12g", **conf) -> SparkSession:
@@ -39,6 +42,23 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that its functions run whatever their working folder is.
+
+    The archive lies in a folder of the driver, whose file server hands it out.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidewell-")) / "tidewell-package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
