@@ -130,24 +130,28 @@ def search(index: Index, h: np.ndarray, bounds: np.ndarray, threshold: float) ->
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(found)
 
 
-def _part(documents: DataFrame, items: list[tuple[int, str]], threshold: float, overlap: float) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(build_index(items))
+def _verified(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: float, overlap: float) -> Iterator[tuple[int, int, tuple]]:
+    """(text, item, (score, question overlap, answer overlap, first word)) of every passage that holds a test item."""
+    starts, ends, bounds = words(data, offsets, ALNUM)
+    h = word_hashes(data, starts, ends, lower=True)
+    for text, first, end, unit, score in zip(*search(index, h, bounds, threshold), strict=True):
+        around = _grams(h[max(bounds[text], first - STRIDE) : min(bounds[text + 1], end + STRIDE)])
+        asked, answered = (np.isin(g, around).mean() if len(g) else 1.0 for g in (index.questions[unit], index.answers[unit]))
+        if min(asked, answered) >= (overlap if index.sizes[unit] >= SHORT_UNIT else 1.0):
+            yield int(text), int(index.items[unit]), (float(score), float(asked), float(answered), int(first - bounds[text]))
+
+
+def _part(documents: DataFrame, index: Index, threshold: float, overlap: float) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         for part in parts:
             ids = part.column(0)
             for low, _, data, offsets in blocks(part.column(1)):
-                starts, ends, bounds = words(data, offsets, ALNUM)
-                h = word_hashes(data, starts, ends, lower=True)
                 rows: dict[tuple, tuple] = {}
-                for text, first, end, unit, score in zip(*search(index, h, bounds, threshold), strict=True):
-                    around = _grams(h[max(bounds[text], first - STRIDE) : min(bounds[text + 1], end + STRIDE)])
-                    asked, answered = (np.isin(g, around).mean() if len(g) else 1.0 for g in (index.questions[unit], index.answers[unit]))
-                    if min(asked, answered) >= (overlap if index.sizes[unit] >= SHORT_UNIT else 1.0):
-                        key = (ids[low + text].as_py(), int(index.items[unit]))
-                        row = (float(score), float(asked), float(answered), int(first - bounds[text]))
-                        rows[key] = max(rows.get(key, row), row, key=lambda r: (r[0], -r[3]))
+                for text, item, row in _verified(shared.value, data, offsets, threshold, overlap):
+                    key = (ids[low + text].as_py(), item)
+                    rows[key] = max(rows.get(key, row), row, key=lambda r: (r[0], -r[3]))
                 if rows:
                     columns = zip(*[(*key, *row) for key, row in rows.items()], strict=True)
                     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
@@ -156,25 +160,46 @@ def _part(documents: DataFrame, items: list[tuple[int, str]], threshold: float,
     return documents.mapInArrow(run, SCHEMA)
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per document and test item found in it: the best passage's score, both overlaps and the passage's first word."""
-    spark = documents.sparkSession
-    source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+def _indexes(benchmark: DataFrame) -> list[Index]:
+    """The test items as indexes of bounded size."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id is not null and length(text) > 0")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // PART_BYTES)
-    numbered = items.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(max(1, parts))))
-    passes = []
+    numbered = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts))))
+    out = []
     for k in range(parts):
-        own = [(r["item_id"], r["text"]) for r in numbered.filter(F.col("part") == k).select("item_id", "text").collect()]
-        if build_index(own):
-            passes.append(_part(source, own, threshold, overlap))
+        own = sorted((r["item_id"], r["text"]) for r in numbered.filter(F.col("part") == k).select("item_id", "text").collect())
+        out.append(build_index(own))
+    return [index for index in out if index]
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per document and test item found in it: the best passage's score, both overlaps and the passage's first word."""
+    spark = documents.sparkSession
+    source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    passes = [_part(source, index, threshold, overlap) for index in _indexes(benchmark)]
     if not passes:
         return spark.createDataFrame([], SCHEMA)
     best = F.max_by(F.struct("score", "question_overlap", "answer_overlap", "passage_start"), F.struct("score", -F.col("passage_start"))).alias("best")
     return reduce(DataFrame.union, passes).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
-def contaminated_removed(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no test item was found, with all their columns."""
-    return documents.join(contaminated(documents, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+def contaminated_removed(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5) -> DataFrame:
+    """The rows in which no test item is found, with all their columns; decided row by row, without a shuffle."""
+
+    def clean_of(index: Index):
+        shared = documents.sparkSession.sparkContext.broadcast(index)
+
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in parts:
+                for low, high, data, offsets in blocks(part.column(part.schema.get_field_index("text"))):
+                    keep = np.ones(high - low, dtype=bool)
+                    for text, _, _ in _verified(shared.value, data, offsets, threshold, overlap):
+                        keep[text] = False
+                    yield part.slice(low, high - low).filter(pa.array(keep))
+
+        return run
+
+    for index in _indexes(benchmark):
+        documents = documents.mapInArrow(clean_of(index), documents.schema)
+    return documents
