@@ -130,14 +130,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_column: str = "v
     fits = F.col("usable") & (F.size("v") == size)
     once = marked.filter(fits).select("vec_id", "v", "print_a", "print_b").dropDuplicates(["vec_id", "print_a", "print_b"])
     classes = stored(once.groupBy("print_a", "print_b").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")), "vector-classes")
-    hashed = stored(_hashed(classes.select("rep", "v"), size).join(classes.select("rep", "copies"), "rep"), "vector-keys")
+    hashed = stored(_hashed(classes.select("rep", "v"), size).join(classes.select("rep", "copies"), "rep"), "vector-keys", free=True)
     in_table = hashed.select("rep", F.posexplode("keys").alias("table", "key"))
     sizes = in_table.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").withColumn("blocks", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
     placed = in_table.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("one"), F.greatest("block", k).alias("two")))
     paired = placed.withColumn("pair", F.explode(others)).select("rep", "key", "table", "block", "pair.one", "pair.two")
     blocks = paired.join(hashed, "rep").select("rep", "key", "table", "block", "one", "two", "v", "keys", "copies")
-    found = stored(_compared(blocks, threshold), "vector-links")
+    found = stored(_compared(blocks, threshold), "vector-links", free=True)
     links = found.filter("other is null").groupBy("id").agg(F.sum("n").alias("n"))
     label = components(found.filter("other is not null"), "id", "other")
     of_class = classes.select("print_a", "print_b", "rep", "copies").join(links.toDF("rep", "n"), "rep", "left").join(label.toDF("rep", "component"), "rep", "left")

@@ -52,7 +52,7 @@ def _runs(line: Column) -> Column:
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
     lines = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), F.char_length("line").alias("n"), bands().alias("bands"))
-    first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines")
+    first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines", free=True)
 
     def lengths_allow(a: str, b: str) -> Column:
         """A line of n characters has at most n runs; only very unequal lengths can be told apart without them."""
@@ -63,7 +63,7 @@ def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
         wanted = at.groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "id")).alias("wanted"))
         texts = documents.dropDuplicates(["doc_id", "key"]).join(wanted, ["doc_id", "key"]).withColumn("all", F.split("text", "\n"))
         texts = texts.select(F.explode("wanted").alias("w"), "all").select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line"))
-        texts = stored(texts.withColumn("runs", F.size(_runs(F.col("line")))), "line-texts")
+        texts = stored(texts.withColumn("runs", F.size(_runs(F.col("line")))), "line-texts", free=True)
 
         def confirm(pairs: DataFrame) -> DataFrame:
             both = pairs.join(texts.toDF("u", "a", "na"), "u").join(texts.toDF("v", "b", "nb"), "v")
@@ -79,7 +79,7 @@ def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     keepers = named.join(keeper, "component").select("id", "keeper.doc_id", "keeper.place").toDF("id", "keep_doc", "keep_place")
     occurrences = lines_of(documents).select("doc_id", "key", "place", F.xxhash64("line").alias("id"))
     drops = occurrences.join(keepers, "id").filter((F.col("doc_id") != F.col("keep_doc")) | (F.col("place") != F.col("keep_place")))
-    drops = stored(drops.select("doc_id", "key", "place").distinct(), "line-drops")
+    drops = stored(drops.select("doc_id", "key", "place").distinct(), "line-drops", free=True)
     discard(first)
     return drops
 

@@ -105,7 +105,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(documents: DataFrame, width: int = 3, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links), kept."""
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    rows = stored(sketches(source, width), "sketches")
+    rows = stored(sketches(source, width), "sketches", free=True)
     fingerprint = ["n", "print_a", "print_b"]
     classes = stored(
         rows.filter("n > 0 and doc_id is not null").groupBy(*fingerprint).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes"
@@ -118,7 +118,7 @@ def near_duplicates(documents: DataFrame, width: int = 3, percent: int = 85, id_
 
     def with_sets(seen: DataFrame):
         near = source.join(seen.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-        sets = stored(full_sets(near, width).dropDuplicates(["id"]), "sets")
+        sets = stored(full_sets(near, width).dropDuplicates(["id"]), "sets", free=True)
         return lambda pairs: _confirmed(pairs, sets, percent), [sets]
 
     final = cluster(in_band, sizes_allow, with_sets)

@@ -14,18 +14,19 @@ from tidewell.session import shared_dir
 ORDERS = 4
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, free: bool = False) -> DataFrame:
     """The rows written once to the shared folder and read back: cuts the lineage and survives lost executors.
 
-    Shuffle files of what led here are of no use from now on. Spark removes them when the driver collects its garbage, so it is asked to.
+    Shuffle files of what led here are of no use from now on. Spark removes them when the driver collects its garbage; ``free`` asks for it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._stored_path = path
-    gc.collect()
-    spark._jvm.System.gc()
+    if free:
+        gc.collect()
+        spark._jvm.System.gc()
     return back
 
 
@@ -57,10 +58,9 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
             both = both.withColumn("d", F.lit(0).cast("long"))
         own = F.struct((F.count("*") if len(levels) % 2 == 0 else F.lit(0).cast("long")).alias("d"), F.xxhash64("u", seed).alias("h"), F.col("u").alias("id"))
         near = F.max(F.struct(F.col("d"), F.xxhash64("v", seed).alias("h"), F.col("v").alias("id")))
-        step = stored(both.groupBy("u").agg(F.greatest(near, own).getField("id").alias("to")).select(F.col("u").alias("id"), "to"), "step")
-        for _ in range(2):  # follow the pointers further: fewer levels
-            before, step = step, stored(step.join(step.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")), "step")
-            discard(before)
+        step = both.groupBy("u").agg(F.greatest(near, own).getField("id").alias("to")).select(F.col("u").alias("id"), "to")
+        # Follow the pointers one step further: fewer levels.
+        step = stored(step.join(step.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")), "step")
         levels.append(step)
         next_edges = (
             left_over.join(step.toDF("u", "a"), "u").join(step.toDF("v", "b"), "v")
@@ -92,7 +92,7 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
     (confirm, stored tables to drop at the end), where ``confirm`` keeps the true links among pairs (u, v) with u < v.
     """
     shared = in_band.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    members = stored(in_band.join(shared, "key"), "members")
+    members = stored(in_band.join(shared, "key"), "members", free=True)
     reps = members.select("rep").distinct()
     confirm, kept = prepare(reps)
     names = stored(reps.select("rep", F.col("rep").alias("label")), "names")
@@ -117,7 +117,7 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
     while productive:
         stars = around(names, number).filter(can_link("n", "c.n")).select(F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v"))
         stars = stored(stars.distinct(), "stars")
-        found = stored(confirm(stars), "links")
+        found = stored(confirm(stars), "links", free=True)
         kept += [stars, found]
         links = found.count()
         productive = links * 20 >= stars.count() > 0

@@ -174,7 +174,7 @@ def repeated_passages_removed(documents: DataFrame, window: int = 20, id_column:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and, on request, kept_text (the changed texts; null where nothing changed)."""
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     source = source.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    profiles = stored(_profiles(source, window), "profiles")
+    profiles = stored(_profiles(source, window), "profiles", free=True)
     fingerprint = ["print_a", "print_b", "n_words"]
     identified = profiles.filter("doc_id is not null")
     first = identified.filter(F.col("n_words") >= window).groupBy(*fingerprint).agg(F.min("doc_id").alias("first_id"))
@@ -183,7 +183,7 @@ def repeated_passages_removed(documents: DataFrame, window: int = 20, id_column:
     searched = ~copy & F.coalesce(F.col("key") == F.col("main_key"), F.lit(False)) & (F.col("n_words") >= window)
     slim = profiles.select("doc_id", "key", "print_a", "print_b", "n_words", "digest", F.size("cells").alias("items"))
     status = slim.join(first, fingerprint, "left").join(main, "doc_id", "left").select("doc_id", "key", "n_words", "digest", "items", copy.alias("copy"), searched.alias("searched"))
-    status = stored(status, "status")
+    status = stored(status, "status", free=True)
     last = F.col("n_words") - window + 1
     ends = F.concat(F.slice("at", F.lit(2), F.greatest(F.size("at") - 1, F.lit(0))), F.array(last.cast("int")))
     keys = status.filter("searched").select("doc_id", "key").dropDuplicates(["doc_id"])
@@ -192,19 +192,19 @@ def repeated_passages_removed(documents: DataFrame, window: int = 20, id_column:
         F.col("r.cells").alias("cell"), "doc_id", F.col("r.at").alias("at"), (F.col("r.upto") - F.col("r.at")).alias("n")
     )
     items = status.filter("searched").agg(F.sum("items")).first()[0] or 0
-    likely = stored(_prefiltered(runs, items).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "likely")
+    likely = stored(_prefiltered(runs, items).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "likely", free=True)
     discard(profiles)
-    found = stored(_windows(source.join(likely.join(keys, "doc_id"), ["doc_id", "key"]).select("doc_id", "text", "runs"), window), "windows")
+    found = stored(_windows(source.join(likely.join(keys, "doc_id"), ["doc_id", "key"]).select("doc_id", "text", "runs"), window), "windows", free=True)
     discard(likely)
     pending = found.filter("h1 is not null").select("h1", "h2", "doc_id", "at")
     # A document is never divided between blocks, so it has at most one place left per window: the least document has the first place.
     firsts = pending.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc").drop("last_doc")
     later = pending.join(firsts, ["h1", "h2"]).filter("doc_id > first_doc").select("doc_id", "at", F.lit(1).alias("n"))
-    repeats = later.union(found.filter("h1 is null").select("doc_id", "at", "n")).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("repeats"))
-    repeats = stored(repeats.join(keys, "doc_id"), "repeats")
+    repeats = later.union(found.filter("h1 is null").select("doc_id", "at", "n")).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("repeats", free=True))
+    repeats = stored(repeats.join(keys, "doc_id"), "repeats", free=True)
     discard(found)
     changed = _kept(source.join(repeats, ["doc_id", "key"]).select("doc_id", "text", "repeats", "key"), window, with_text)
-    changed = stored(changed.dropDuplicates(["doc_id", "key"]), "changed")
+    changed = stored(changed.dropDuplicates(["doc_id", "key"]), "changed", free=True)
     discard(repeats)
     nothing = hashlib.sha256(b"").hexdigest()
     joined = status.select("doc_id", "key", "n_words", "digest", "copy").join(changed, ["doc_id", "key"], "left")
