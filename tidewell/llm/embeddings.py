@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.store import components, discard, stored
+from tidewell.llm.store import components, discard, forest, stored
 from tidewell.llm.texthash import mix
 
 PROJECTIONS, TABLES, WIDTH = 16, 48, 2.0
@@ -54,37 +54,6 @@ def _hashed(vectors: DataFrame, size: int) -> DataFrame:
     return vectors.mapInArrow(run, "rep long, v array<double>, keys array<long>")
 
 
-def _forest(similar: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that join what the similarity matrix of rows ``a`` and columns ``b`` joins, at most one fewer than there are vectors."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    edges = []
-    rows, columns = np.nonzero(similar)
-    if not len(rows):
-        return edges
-    first = np.full(similar.shape[1], -1)
-    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    for k, at in enumerate(starts):
-        own = columns[at : starts[k + 1] if k + 1 < len(starts) else len(columns)]
-        row = rows[at]
-        fresh = own[first[own] < 0]
-        first[fresh] = row
-        linked = np.unique(first[own[first[own] >= 0]])
-        targets = [int(a[x]) for x in linked if x != row] + [int(b[x]) for x in fresh]
-        for other in targets:
-            p, q = root(int(a[row])), root(other)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                edges.append((int(a[row]), other))
-    return edges
-
-
 def _compared(blocks: DataFrame, threshold: float) -> DataFrame:
     """Per pair of blocks of a bucket: (id, other, n): links of ``id`` found there, weighted by copies, or an edge where ``other`` is set."""
 
@@ -110,7 +79,7 @@ def _compared(blocks: DataFrame, threshold: float) -> DataFrame:
         if not same:
             nb = a["copies"].to_numpy() @ similar
             out += [(int(i), None, int(n)) for i, n in zip(ids_b, nb, strict=True) if n]
-        out += [(p, q, 0) for p, q in _forest(similar, ids_a, ids_b)]
+        out += [(p, q, 0) for p, q in forest(similar, ids_a, ids_b)]
         return pd.DataFrame({"id": pd.Series([o[0] for o in out], dtype="Int64"), "other": pd.Series([o[1] for o in out], dtype="Int64"), "n": pd.Series([o[2] for o in out], dtype="Int64")})
 
     return blocks.groupBy("key", "table", "one", "two").applyInPandas(run, "id long, other long, n long")

@@ -16,14 +16,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.store import cluster, stored
+from tidewell.llm.store import cluster, forest, stored
 from tidewell.llm.texthash import WHITE, blocks, distinct, mix, per_text, shingle_hashes, sums, word_hashes, words
 
 BIN_BITS = 8
 ROWS = 8
+BLOCK_SETS = 512
+COLUMNS = 1 << 14
 
 _bins = 1 << BIN_BITS
 _ORDER = np.stack([np.random.default_rng(k).permutation(_bins) for k in range(_bins)])
@@ -102,6 +105,43 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("u", "v")
 
 
+def _settled(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that join what is similar in large groups of (grp, id, outside, m): those outside against everyone of the group.
+
+    Groups are cut into blocks of ``BLOCK_SETS`` sets, and two blocks at a time are compared by products of their membership matrices.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        def side(is_x: bool) -> tuple[np.ndarray, list[np.ndarray]]:
+            own = rows.filter(pa.compute.equal(rows["is_x"], is_x))
+            return np.asarray(own["id"]), [np.asarray(s.values) for s in own["members"]]
+
+        (xi, xs), (yi, ys) = side(True), side(False)
+        links: list[tuple[int, int]] = []
+        if len(xi) and len(yi):
+            names = np.unique(np.concatenate(xs))
+            nx, ny = np.array([len(s) for s in xs]), np.array([len(s) for s in ys])
+            common = np.zeros((len(xi), len(yi)), dtype=np.float32)
+            for low in range(0, len(names), COLUMNS):
+                part = names[low : low + COLUMNS]
+                a, b = (np.zeros((len(side), len(part)), dtype=np.float32) for side in (xs, ys))
+                for matrix, side_sets in ((a, xs), (b, ys)):
+                    for k, s in enumerate(side_sets):
+                        at = np.minimum(np.searchsorted(part, s), len(part) - 1)
+                        matrix[k, at[part[at] == s]] = 1
+                common += a @ b.T
+            similar = (100 * common >= percent * (nx[:, None] + ny[None, :] - common)) & (xi[:, None] != yi[None, :])
+            links = forest(similar, xi, yi)
+        return pa.table({"u": pa.array([min(p) for p in links], pa.int64()), "v": pa.array([max(p) for p in links], pa.int64())})
+
+    blocks_of = groups.withColumn("blocks", F.ceil(F.col("m") / BLOCK_SETS).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    xs = blocks_of.filter("outside").select("grp", "id", F.lit(True).alias("is_x"), F.col("block").alias("bx"), every.alias("by"))
+    ys = blocks_of.select("grp", "id", F.lit(False).alias("is_x"), every.alias("bx"), F.col("block").alias("by"))
+    placed = xs.union(ys).join(sets, "id")
+    return placed.groupBy("grp", "bx", "by").applyInArrow(run, "u long, v long")
+
+
 def near_duplicates(documents: DataFrame, width: int = 3, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links), kept."""
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
@@ -121,7 +161,7 @@ def near_duplicates(documents: DataFrame, width: int = 3, percent: int = 85, id_
         sets = stored(full_sets(near, width).dropDuplicates(["id"]), "sets", free=True)
         return lambda pairs: _confirmed(pairs, sets, percent), [sets]
 
-    final = cluster(in_band, sizes_allow, with_sets)
+    final = cluster(in_band, sizes_allow, with_sets, lambda groups, sets: _settled(groups, sets, percent))
     of_class = classes.select(*fingerprint, "rep").join(final.toDF("rep", "component_id"), "rep", "left").select(*fingerprint, F.coalesce("component_id", "rep").alias("component_id"))
     joined = rows.select("doc_id", *fingerprint).join(of_class, fingerprint, "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

@@ -6,12 +6,14 @@ import gc
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.session import shared_dir
 
 ORDERS = 4
+SMALL_GROUP = 64
 
 
 def stored(df: DataFrame, label: str, free: bool = False) -> DataFrame:
@@ -80,14 +82,47 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
     return result
 
 
-def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFrame:
+def forest(similar: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that join what the similarity matrix of rows ``a`` and columns ``b`` joins, at most one fewer than there are vectors."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    edges = []
+    rows, columns = np.nonzero(similar)
+    if not len(rows):
+        return edges
+    first = np.full(similar.shape[1], -1)
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    for k, at in enumerate(starts):
+        own = columns[at : starts[k + 1] if k + 1 < len(starts) else len(columns)]
+        row = rows[at]
+        fresh = own[first[own] < 0]
+        first[fresh] = row
+        linked = np.unique(first[own[first[own] >= 0]])
+        targets = [int(a[x]) for x in linked if x != row] + [int(b[x]) for x in fresh]
+        for other in targets:
+            p, q = root(int(a[row])), root(other)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                edges.append((int(a[row]), other))
+    return edges
+
+
+def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable, settle: Callable | None = None) -> DataFrame:
     """(id, component) of the links found in buckets of (rep, n, key): every ``key`` is a bucket of ``rep`` ids with sizes ``n``.
 
     A bucket proposes stars, never all its pairs. Each round picks a centre for every bucket, by a hashed order of the ids, and compares it
     with the members that are not in its class yet, so large groups of similar documents end as one class. The first round has one order,
     so that buckets with the same members have the same centre; later ones have ``ORDERS``. When a round confirms less than a twentieth of
-    its pairs, stars have done their work: members still outside the class of their centre are compared with all members of other
-    classes in their bucket. No link inside a bucket is lost, however the stars fell.
+    its pairs, stars have done their work: members still outside the class of their centre are compared with that class and with the others
+    that stand outside it. No link inside a bucket is lost, however the stars fell. Groups of up to ``SMALL_GROUP`` ids form pairs for
+    this, so there are at most that many per id; larger ones go to ``settle`` as (grp, id, outside), which compares block by block
+    and returns enough links (u, v) to join what it finds. Without ``settle`` every group forms pairs.
     ``can_link(a, b)`` is a condition on two size columns. ``prepare(reps)`` gets the distinct members of shared buckets and returns
     (confirm, stored tables to drop at the end), where ``confirm`` keeps the true links among pairs (u, v) with u < v.
     """
@@ -124,13 +159,20 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable) -> DataFr
         if links:
             names = joined(names, found)
         number += 1
-    apart = around(names, 0).select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("c.label").alias("lc"))
-    others = members.join(names, "rep").select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
-    open_pairs = (
-        apart.join(others, "key").filter("lu <> lv and (lv = lc or u < v)").filter(can_link("nu", "nv"))
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    )
-    found = stored(confirm(open_pairs), "links")
+    outside = around(names, 0).select(F.col("c.label").alias("grp"), F.col("rep").alias("id"), "n").distinct()
+    sizes = members.select("rep", "n").distinct()
+    inside = names.withColumnRenamed("label", "grp").join(outside.select("grp").distinct(), "grp").join(sizes, "rep").select("grp", F.col("rep").alias("id"), "n")
+    groups = stored(outside.withColumn("outside", F.lit(True)).union(inside.withColumn("outside", F.lit(False))), "groups")
+    counted = groups.groupBy("grp").agg(F.count("*").alias("m"))
+    small = groups.join(counted.filter(F.col("m") <= SMALL_GROUP), "grp") if settle else groups
+    xs = small.filter("outside").select("grp", F.col("id").alias("x"), F.col("n").alias("nx"))
+    ys = small.select("grp", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("outside").alias("open"))
+    open_pairs = xs.join(ys, "grp").filter("x <> y and (not open or x < y)").filter(can_link("nx", "ny")).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+    open_links = confirm(open_pairs)
+    if settle:
+        open_links = open_links.union(settle(groups.join(counted.filter(F.col("m") > SMALL_GROUP), "grp"), kept[0]))
+    found = stored(open_links, "links")
+    kept.append(groups)
     if not found.isEmpty():
         names = joined(names, found)
     discard(members, found, *kept)
