@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, embeddings, licenses, lines, minhash, packing, quality, substring, token_counts, toxicity
+from tidewell.llm import decontaminate, embeddings, licenses, lines, minhash, packing, quality, store, substring, token_counts, toxicity
 from tidewell.llm.encode import Encoder, encoder
 from tidewell.llm.queries import vocabulary
 from tidewell.llm.store import components
@@ -253,6 +253,27 @@ def test_links_off_the_centre_are_found(spark):
     assert {r["component_id"] for r in rows} == {0}
 
 
+def test_large_groups_are_compared_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(store, "SMALL_GROUP", 0)
+    monkeypatch.setattr(minhash, "BLOCK_SETS", 4)
+    rng = np.random.default_rng(1)
+    texts = {}
+    for k in range(40):
+        own = [f"w{j}" for j in range(120)]
+        for j in rng.integers(0, 120, rng.integers(0, 14)).tolist():
+            own[j] = f"x{k}_{j}"
+        texts[k] = " ".join(own)
+    sets = {k: {tuple(t.split()[i : i + 3]) for i in range(118)} for k, t in texts.items()}
+    union = Union()
+    for a in sets:
+        for b in range(a):
+            n = len(sets[a] & sets[b])
+            if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+                union.join(a, b)
+    rows = minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {k: union.root(k) for k in texts}
+
+
 def removed_by_hand(texts, window):
     seen, out = set(), {}
     for doc in sorted(texts):
