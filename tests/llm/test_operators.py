@@ -22,6 +22,7 @@ ODD = [
     (None, "no id at all here", "en"), (6, "word " * 3000 + "end", "de"), (7, "Ünïcode 😀 日本語 's it's 12½ x", "de"), (8, "x" * 5000, "en"),
     (9, "line one is here\nline one is here\r\nLicensed under the Apache License, Version 2.0.", "en"), (10, "one two", "fr"),
 ]
+ANCHORED = re.compile(lines.ANCHORED)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -323,7 +324,7 @@ def test_lines(documents, texts):
         for place, line in enumerate(texts[doc].split("\n")):
             if line.strip(" "):
                 first.setdefault(line, (doc, place))
-    runs = {x: {x[i : i + 5] for i in range(len(x) - 4)} or {x} for x in first}
+    runs = {x: {m[1] for m in ANCHORED.finditer(x)} for x in first}
     holders = defaultdict(list)
     for x, own in runs.items():
         counts = defaultdict(int)

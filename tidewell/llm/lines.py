@@ -1,10 +1,11 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line's shingles are the ``SHINGLE_CHARS`` characters from every word start and from every character beyond the Latin letters, so that
-scripts without spaces have one at every character. Its sketch is the ``SKETCH`` least hashes of them, and a band is ``BAND_ROWS`` neighbours in
-the sorted sketch, so one sort gives all bands. Lines that share a band are candidates. They are verified by the exact Jaccard similarity
-of all their runs of ``EXACT_CHARS`` characters, linked lines are joined by distributed union-find, and the first line of each component,
-by document id and place, stays. Equal lines are one line from the start.
+A line's shingles are the ``SHINGLE_CHARS`` characters from every word start, from every such number of characters inside a longer
+word, and from every character beyond the Latin letters: no character stands outside all shingles, and scripts without spaces have one at
+every character. Its sketch is the ``SKETCH`` least hashes of them, and a band is ``BAND_ROWS`` neighbours in the sorted sketch, so one sort
+gives all bands. Lines that share a band are candidates. They are verified by the exact Jaccard similarity of their whole shingle sets,
+linked lines are joined by distributed union-find, and the first line of each component, by document id and place, stays. Equal lines
+are one line from the start.
 
 Lines are separated by line feeds. Blank lines always stay. A null text stays null and has no lines; an empty one has one blank line. A
 document that loses all its lines keeps its row, with an empty text. Rows without an id are neither searched nor changed. Rows that share
@@ -19,9 +20,8 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.store import cluster, discard, stored
 
-SHINGLE_CHARS, SKETCH, BAND_ROWS, EXACT_CHARS = 8, 10, 3, 5
+SHINGLE_CHARS, SKETCH, BAND_ROWS = 8, 10, 3
 ANCHORED = rf"(?s)(?=(.{{1,{SHINGLE_CHARS}}}))(?:[\x21-\x7E\u00A1-\u024F]+|.) *"
-ALL_RUNS = rf"(?s)(?=(.{{{EXACT_CHARS}}}))"
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
@@ -30,10 +30,14 @@ def lines_of(documents: DataFrame) -> DataFrame:
     return found.filter(F.trim("line") != "")
 
 
+def shingles(line: str) -> Column:
+    """The distinct hashes of a line's shingles."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(ANCHORED), F.lit(1)), lambda s: F.xxhash64(s)))
+
+
 def sketched(lines: DataFrame) -> DataFrame:
-    """The rows with ``sketch``, the least distinct shingle hashes of their ``line`` in ascending order."""
-    hashes = F.transform(F.regexp_extract_all("line", F.lit(ANCHORED), F.lit(1)), lambda s: F.xxhash64(s))
-    return lines.withColumn("sketch", F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH))
+    """The rows with ``sketch``, the least shingle hashes of their ``line`` in ascending order."""
+    return lines.withColumn("sketch", F.slice(F.array_sort(shingles("line")), 1, SKETCH))
 
 
 def bands() -> Column:
@@ -44,34 +48,28 @@ def bands() -> Column:
     return F.when(size == 0, F.array(F.xxhash64("line"))).otherwise(full)
 
 
-def _runs(line: Column) -> Column:
-    """The distinct runs of characters; a shorter line is its own run."""
-    return F.array_distinct(F.when(F.char_length(line) >= EXACT_CHARS, F.regexp_extract_all(line, F.lit(ALL_RUNS), F.lit(1))).otherwise(F.array(line)))
-
-
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
     lines = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), F.char_length("line").alias("n"), bands().alias("bands"))
     first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines", free=True)
 
     def lengths_allow(a: str, b: str) -> Column:
-        """A line of n characters has at most n runs; only very unequal lengths can be told apart without them."""
+        """Only very unequal lengths can be told apart without the sets."""
         return F.least(a, b) * 4 >= F.greatest(a, b)
 
     def with_texts(seen: DataFrame):
         at = first.join(seen.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "first.doc_id", "first.key", "first.place")
         wanted = at.groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "id")).alias("wanted"))
         texts = documents.dropDuplicates(["doc_id", "key"]).join(wanted, ["doc_id", "key"]).withColumn("all", F.split("text", "\n"))
-        texts = texts.select(F.explode("wanted").alias("w"), "all").select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line"))
-        texts = stored(texts.withColumn("runs", F.size(_runs(F.col("line")))), "line-texts", free=True)
+        sets = texts.select(F.explode("wanted").alias("w"), "all").select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line"))
+        sets = stored(sets.select("id", shingles("line").alias("set")), "line-sets", free=True)
 
         def confirm(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(texts.toDF("u", "a", "na"), "u").join(texts.toDF("v", "b", "nb"), "v")
-            both = both.filter(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
-            sized = both.select("u", "v", "na", "nb", F.size(F.array_intersect(_runs(F.col("a")), _runs(F.col("b")))).alias("common"))
+            both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+            sized = both.select("u", "v", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("common"))
             return sized.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("u", "v")
 
-        return confirm, [texts]
+        return confirm, [sets]
 
     linked = cluster(first.select(F.col("id").alias("rep"), "n", F.explode("bands").alias("key")), lengths_allow, with_texts)
     named = first.select("id", "first").join(linked, "id", "left").select("id", "first", F.coalesce("component", "id").alias("component"))

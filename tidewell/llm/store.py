@@ -119,10 +119,10 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable, settle: C
     A bucket proposes stars, never all its pairs. Each round picks a centre for every bucket, by a hashed order of the ids, and compares it
     with the members that are not in its class yet, so large groups of similar documents end as one class. The first round has one order,
     so that buckets with the same members have the same centre; later ones have ``ORDERS``. When a round confirms less than a twentieth of
-    its pairs, stars have done their work: members still outside the class of their centre are compared with that class and with the others
-    that stand outside it. No link inside a bucket is lost, however the stars fell. Groups of up to ``SMALL_GROUP`` ids form pairs for
-    this, so there are at most that many per id; larger ones go to ``settle`` as (grp, id, outside), which compares block by block
-    and returns enough links (u, v) to join what it finds. Without ``settle`` every group forms pairs.
+    its pairs, stars have done their work: members still outside the class of their centre are compared with the bucket's members of other
+    classes. No link inside a bucket is lost, however the stars fell. With ``settle`` they are compared with all of the centre's class and
+    all others outside it: groups of up to ``SMALL_GROUP`` ids form pairs for this, at most that many per id; larger ones go to ``settle``
+    as (grp, id, outside, m), which compares block by block and returns enough links (u, v) to join what it finds.
     ``can_link(a, b)`` is a condition on two size columns. ``prepare(reps)`` gets the distinct members of shared buckets and returns
     (confirm, stored tables to drop at the end), where ``confirm`` keeps the true links among pairs (u, v) with u < v.
     """
@@ -159,20 +159,26 @@ def cluster(in_band: DataFrame, can_link: Callable, prepare: Callable, settle: C
         if links:
             names = joined(names, found)
         number += 1
-    outside = around(names, 0).select(F.col("c.label").alias("grp"), F.col("rep").alias("id"), "n").distinct()
-    sizes = members.select("rep", "n").distinct()
-    inside = names.withColumnRenamed("label", "grp").join(outside.select("grp").distinct(), "grp").join(sizes, "rep").select("grp", F.col("rep").alias("id"), "n")
-    groups = stored(outside.withColumn("outside", F.lit(True)).union(inside.withColumn("outside", F.lit(False))), "groups")
-    counted = groups.groupBy("grp").agg(F.count("*").alias("m"))
-    small = groups.join(counted.filter(F.col("m") <= SMALL_GROUP), "grp") if settle else groups
-    xs = small.filter("outside").select("grp", F.col("id").alias("x"), F.col("n").alias("nx"))
-    ys = small.select("grp", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("outside").alias("open"))
-    open_pairs = xs.join(ys, "grp").filter("x <> y and (not open or x < y)").filter(can_link("nx", "ny")).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-    open_links = confirm(open_pairs)
+    left = around(names, 0)
+    if settle is None:
+        xs = left.select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"), F.col("c.label").alias("lc"))
+        ys = members.join(names, "rep").select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
+        pairs = xs.join(ys, "key").filter("lx <> ly and (ly = lc or x < y)")
+    else:
+        outside = left.select(F.col("c.label").alias("grp"), F.col("rep").alias("id"), "n").distinct()
+        sizes = members.select("rep", "n").distinct()
+        inside = names.withColumnRenamed("label", "grp").join(outside.select("grp").distinct(), "grp").join(sizes, "rep").select("grp", F.col("rep").alias("id"), "n")
+        groups = stored(outside.withColumn("outside", F.lit(True)).union(inside.withColumn("outside", F.lit(False))), "groups")
+        kept.append(groups)
+        counted = groups.groupBy("grp").agg(F.count("*").alias("m"))
+        small = groups.join(counted.filter(F.col("m") <= SMALL_GROUP), "grp")
+        xs = small.filter("outside").select("grp", F.col("id").alias("x"), F.col("n").alias("nx"))
+        ys = small.select("grp", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("outside").alias("open"))
+        pairs = xs.join(ys, "grp").filter("x <> y and (not open or x < y)")
+    open_links = confirm(pairs.filter(can_link("nx", "ny")).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
     if settle:
         open_links = open_links.union(settle(groups.join(counted.filter(F.col("m") > SMALL_GROUP), "grp"), kept[0]))
     found = stored(open_links, "links")
-    kept.append(groups)
     if not found.isEmpty():
         names = joined(names, found)
     discard(members, found, *kept)
