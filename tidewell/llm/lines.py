@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.store import cluster, discard, stored
 
 SHINGLE_CHARS, SKETCH, BAND_ROWS = 8, 10, 3
-ANCHORED = rf"(?s)(?=(.{{1,{SHINGLE_CHARS}}}))(?:[\x21-\x7E\u00A1-\u024F]+|.) *"
+ANCHORED = rf"(?s)(?=(.{{1,{SHINGLE_CHARS}}}))(?:[\x21-\x7E\u00A1-\u024F]{{1,{SHINGLE_CHARS}}}|.) *"
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
