@@ -35,3 +35,14 @@ def test_lines_with_one_typo_are_linked(spark):
             near.add(2 * k + 1)
     got = components_of(spark, texts)
     assert len(near) > 400 and got <= near and len(got) >= 0.98 * len(near)
+
+
+def test_lines_of_few_distinct_runs_are_linked(spark):
+    """Rulers of very unequal lengths have one run; sets of four and five runs at 0.8 need not share three neighbours."""
+    texts = {1: "-" * 16, 2: "-" * 80, 3: "ab" * 8, 4: "ab" * 60, 5: "=" * 5}
+    rng = np.random.default_rng(4)
+    for k in range(60):
+        line = "".join(rng.choice(LETTERS, 9, replace=False))
+        texts[10 + 2 * k], texts[11 + 2 * k] = line, line[:8]
+    assert similarity(texts[10], texts[11]) == 0.8
+    assert components_of(spark, texts) == {2, 4} | set(range(11, 131, 2))

@@ -36,25 +36,31 @@ def shingles(line: str) -> Column:
 
 
 def sketched(lines: DataFrame) -> DataFrame:
-    """The rows with ``sketch``, the least shingle hashes of their ``line`` in ascending order."""
-    return lines.withColumn("sketch", F.slice(F.sort_array(shingles("line")), 1, SKETCH))
+    """The rows with ``n``, the number of their ``line``'s shingles, and ``sketch``, the least hashes of them in ascending order."""
+    sets = lines.withColumn("set", shingles("line"))
+    return sets.withColumns({"n": F.size("set"), "sketch": F.slice(F.sort_array("set"), 1, SKETCH)}).drop("set")
 
 
 def bands() -> Column:
-    """Hashes of all neighbouring triples of ``sketch``; a shorter sketch is one band."""
+    """Hashes of all neighbouring triples of ``sketch``; a shorter sketch is one band.
+
+    Whole sets at a similarity of 0.8 have three neighbours in common, but for four of five shingles: those get all bands of four, too.
+    """
     triple = [F.xxhash64(*[F.get("sketch", F.lit(k + j)) for j in range(BAND_ROWS)]) for k in range(SKETCH - BAND_ROWS + 1)]
     size = F.size("sketch")
-    return F.slice(F.array(*triple), F.lit(1), F.greatest(size - (BAND_ROWS - 1), F.lit(1)))
+    full = F.slice(F.array(*triple), F.lit(1), F.greatest(size - (BAND_ROWS - 1), F.lit(1)))
+    four = [F.xxhash64(*[F.get("sketch", F.lit(j)) for j in range(5) if j != k]) for k in range(5)]
+    return F.when(size == 5, F.concat(full, F.array(*four))).when(size == 4, F.concat(full, F.array(four[4]))).otherwise(full)
 
 
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
-    lines = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), F.char_length("line").alias("n"), bands().alias("bands"))
+    lines = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), "n", bands().alias("bands"))
     first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines", free=True)
 
     def lengths_allow(a: str, b: str) -> Column:
-        """Only very unequal lengths can be told apart without the sets."""
-        return F.least(a, b) * 4 >= F.greatest(a, b)
+        """Sets whose sizes are further apart cannot be similar enough."""
+        return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
     def with_texts(seen: DataFrame):
         at = first.join(seen.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "first.doc_id", "first.key", "first.place")
