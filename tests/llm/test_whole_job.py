@@ -1,8 +1,10 @@
 """What the training-data operators must find, on planted cases that a thinned search or measure loses."""
 
+import re
+
 import numpy as np
 
-from tidewell.llm import lines
+from tidewell.llm import licenses, lines
 
 LETTERS = list("abcdefghijklmnopqrstuvwxyz")
 
@@ -46,3 +48,33 @@ def test_lines_of_few_distinct_runs_are_linked(spark):
         texts[10 + 2 * k], texts[11 + 2 * k] = line, line[:8]
     assert similarity(texts[10], texts[11]) == 0.8
     assert components_of(spark, texts) == {2, 4} | set(range(11, 131, 2))
+
+
+NOTICES = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal",
+    "gpl-3": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "apache-2": " * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0",
+    "mpl-2": "This Source Code Form is subject to the terms of the Mozilla\nPublic License, v. 2.0. If a copy of the MPL was not",
+}
+
+
+def test_wrapped_notices_anywhere_in_a_text(spark):
+    """Canonical line breaks, at many places of long texts, against all runs by brute force; scattered words are no notice."""
+    rng = np.random.default_rng(6)
+    texts, want = {}, {}
+    for k in range(60):
+        label = list(NOTICES)[k % 5]
+        before, after = (" ".join(f"p{x}" for x in rng.integers(0, 99, rng.integers(0, 160))) for _ in range(2))
+        texts[k], want[k] = f"{before}\n{NOTICES[label]}\n{after}", label
+    texts[100], want[100] = (" x" * 40 + " ").join("released under the mit license".split()[::-1]), ""
+    texts[101], want[101] = (" x" * 4 + " ").join("released under the mit".split()), ""
+    got = {r["doc_id"]: r for r in licenses.licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {d: r["labels"] for d, r in got.items()} == want
+    for doc, text in texts.items():
+        w, best = re.findall("[0-9a-z]+", text.lower()), 0.0
+        for _, template in licenses.TEMPLATES:
+            own, span = set(template.split()), 2 * len(template.split())
+            most = max(len(own & set(w[i : i + span])) for i in range(max(1, len(w) - span + 1)))
+            best = max(best, most / len(own) if 100 * most >= 80 * len(own) else 0.0)
+        assert got[doc]["score"] == best
