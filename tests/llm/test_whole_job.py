@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from tidewell.llm import licenses, lines
+from tidewell.llm import embeddings, licenses, lines
 
 LETTERS = list("abcdefghijklmnopqrstuvwxyz")
 
@@ -78,3 +78,17 @@ def test_wrapped_notices_anywhere_in_a_text(spark):
             most = max(len(own & set(w[i : i + span])) for i in range(max(1, len(w) - span + 1)))
             best = max(best, most / len(own) if 100 * most >= 80 * len(own) else 0.0)
         assert got[doc]["score"] == best
+
+
+def test_vectors_just_above_the_threshold_are_linked(spark):
+    """500 pairs planted at cosine 0.90 to 0.92, among vectors that link with nothing else."""
+    rng = np.random.default_rng(7)
+    first, other = rng.standard_normal((2, 500, 64))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    other -= (other * first).sum(axis=1, keepdims=True) * first
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9001, 0.92, (500, 1))
+    vectors = np.concatenate([first, cosine * first + np.sqrt(1 - cosine**2) * other])
+    rows = embeddings.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")).collect()
+    linked = sum(r["n_links"] for r in rows)
+    assert 0.98 * 1000 <= linked <= 1000, linked

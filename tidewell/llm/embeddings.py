@@ -2,7 +2,8 @@
 
 A table's key is the cells of ``PROJECTIONS`` random projections, shifted and cut into cells of ``WIDTH``. Vectors that share a key in any
 of ``TABLES`` tables are compared by exact cosine in double precision, block against block as matrix products. A pair counts in
-the first table in which it shares a key, so it counts once. Equal vectors are one class from the start and are counted, not compared.
+the first table in which it shares a key, so it counts once. By the collision formula a pair at cosine 0.9 is found with a probability of 0.99,
+a closer one more surely. Equal vectors are one class from the start and are counted, not compared.
 
 Buckets are cut into blocks of ``BLOCK_ROWS`` vectors; a task holds two blocks at a time, so a hot bucket becomes many tasks, and no list of
 pairs leaves a task: per vector a number of links, and one edge per vector and block to the first vector linked there. Those edges
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.store import components, discard, forest, stored
 from tidewell.llm.texthash import mix
 
-PROJECTIONS, TABLES, WIDTH = 16, 48, 2.0
+PROJECTIONS, TABLES, WIDTH = 12, 48, 2.0
 BLOCK_ROWS = 1024
 
 
