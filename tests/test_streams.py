@@ -5,10 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import keyed_state
 from tidewell.session import scratch_path
 from tidewell.sources import sinks
-from tidewell.streaming import lateness, monitor, sessions, stateful, windows
+from tidewell.streaming import lateness, monitor, sessions, windows
 from tidewell.streaming.run import run_available, run_batches
 
 
@@ -62,47 +61,6 @@ def test_session_gap_on_a_stream(spark):
     assert rows(got, "user_id", "event_count") == [(1, 2), (1, 2)]
 
 
-def test_stateful_jobs_equal_their_table_form(spark):
-    source = scratch_path(spark, "state-in")
-    data = [(i, i % 2, i * 40 + (5000 if i > 25 else 0), ("view", "purchase", "add_to_cart")[i % 3], 300.0 + 37 * i) for i in range(50)]
-    df = events(spark, data)
-    for low in (0, 25):
-        add_file(df.filter((F.col("event_id") >= low) & (F.col("event_id") < low + 25)), source)
-    alerts = run_available(stateful.fraud_alerts(stream(spark, source)), "fraud")
-    columns = ("event_id", "amount", "recent_spending", "fraud_score", "alert_type")
-    assert rows(alerts, *columns) == rows(keyed_state.fraud_state(df), *columns)
-    tracked = run_available(stateful.track_sessions(stream(spark, source), 1800, running=False), "tracker")
-    assert rows(tracked, "user_id", "event_count") == [(0, 13), (1, 13)]
-    features = run_available(stateful.feature_streams(stream(spark, source))["product"], "features")
-    online = keyed_state.online_features(df)
-    assert rows(features, "event_id", "views", "purchases", "members") == rows(online, "event_id", "product_views", "product_purchases", "product_viewers")
-    batches = run_available(stateful.count_batches(stream(spark, source), 10, idle_seconds=10**6), "count")
-    want = windows.count_trigger(df, "user_id", 10).filter("event_count = 10")
-    assert rows(batches, "user_id", "batch_no", "total_amount") == rows(want, "user_id", "batch_no", "total_amount")
-
-
-def test_profile_keeps_tier_and_activates_it_a_day_later(spark):
-    source = scratch_path(spark, "profile-in")
-    add_file(events(spark, [(1, 1, 0, "login", 0.0), (2, 1, 10, "purchase", 600.0), (3, 1, 20, "view", 1.0)]), source)
-    add_file(events(spark, [(4, 2, 90000, "view", 1.0)]), source)
-    add_file(events(spark, [(5, 2, 180000, "view", 1.0)]), source)
-    out = run_available(stateful.user_profiles(stream(spark, source)), "profile")
-    last = out.filter("event_id = 3").first()
-    assert (last["session_count"], last["total_spent"], last["tier"], last["recent_purchases"]) == (1, 600.0, "SILVER", [2])
-    active = out.filter("kind = 'TIER_ACTIVATED'").first()
-    assert (active["tier"], active["benefits"]) == ("SILVER", ["Basic support", "5% discount"])
-    assert active["at_ms"] == int((START + dt.timedelta(seconds=86410)).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
-
-
-def test_idle_count_batch_is_flushed(spark):
-    source = scratch_path(spark, "flush-in")
-    add_file(events(spark, [(1, 1, 0, "view", 2.0), (2, 1, 1, "view", 3.0)]), source)
-    add_file(events(spark, [(3, 2, 9000, "view", 1.0)]), source)
-    add_file(events(spark, [(4, 2, 9001, "view", 1.0)]), source)
-    out = run_available(stateful.count_batches(stream(spark, source), 5, 3600), "flush")
-    assert rows(out, "user_id", "event_count", "total_amount", "is_partial") == [(1, 2, 5.0, True)]
-
-
 def test_late_rows_leave_by_the_side(spark):
     source, marks, out = (scratch_path(spark, n) for n in ("late-in", "late-marks", "late-out"))
     add_file(events(spark, [(1, 1, 0, "view", 1.0), (2, 1, 500, "view", 1.0)]), source)

@@ -167,9 +167,14 @@ def federated_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def interval_join(
-    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lower: int, upper: int
+    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lower: int, upper: int, how: str = "inner", delay: str = "20 seconds",
 ) -> DataFrame:
-    """Pairs with ``right_ts`` in ``[left_ts + lower, left_ts + upper]`` seconds; streams need watermarks on both sides.
+    """Pairs with ``right_ts`` in ``[left_ts + lower, left_ts + upper]`` seconds; ``how`` is ``inner`` or ``left``.
+
+    The columns of both sides come one after another; the sides share no name but the key, which comes once per side.
+
+    On streams both sides get a watermark of ``delay``, and the interval lets Spark drop a row once no partner can come any more; with ``left``
+    a row without a partner comes out at that time.
 
     On tables the time axis is also cut into cells of the interval's width, so that a hot
     key is joined cell by cell and not every row with every row.
@@ -179,17 +184,24 @@ def interval_join(
         f"b.{right_ts} BETWEEN a.{left_ts} + INTERVAL '{lower}' SECOND AND a.{left_ts} + INTERVAL '{upper}' SECOND"
     )
     equal = F.col(f"a.{key}") == F.col(f"b.{key}")
+    columns = [*[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.{c}") for c in right.columns]]
     if left.isStreaming or right.isStreaming:
-        return a.join(b, equal & bound)
+        marked = left.withWatermark(left_ts, delay).alias("a").join(right.withWatermark(right_ts, delay).alias("b"), equal & bound, how)
+        return marked.select(*columns)
     width = max(upper - lower, 1)
     seconds = F.unix_seconds(left_ts)
     cells = F.sequence(F.floor((seconds + lower) / width), F.floor((seconds + upper + 1) / width))
     a = left.withColumn("__cell", F.explode(cells)).alias("a")
     b = right.withColumn("__cell", F.floor(F.unix_seconds(right_ts) / width)).alias("b")
     same_cell = F.col("a.__cell") == F.col("b.__cell")
-    return a.join(b, equal & same_cell & bound).select(
-        *[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.{c}") for c in right.columns]
-    )
+    pairs = a.join(b, equal & same_cell & bound).select(*columns)
+    if how == "inner":
+        return pairs
+    # A row lies in several cells, so rows without any partner are found apart from the pairs.
+    row, other = left.columns, [f.dataType for f in right.schema]
+    met = left.withColumns({"__cell": F.explode_outer(cells), "__row": F.struct(*row)}).alias("a").join(b, equal & same_cell & bound, "left_semi").select("__row").distinct()
+    alone = left.withColumn("__row", F.struct(*row)).join(met, "__row", "left_anti").select(*row, *[F.lit(None).cast(t).alias(c) for c, t in zip(right.columns, other, strict=True)])
+    return pairs.union(alone)
 
 
 def enrich_static(stream: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -26,13 +26,13 @@ def _spent() -> Column:
 
 
 def user_profile(events: DataFrame, keep: int = 10) -> DataFrame:
-    """Per user: logins, spend, views per category and the last ``keep`` purchases."""
+    """Per user: logins, spend, views per category and the last ``keep`` purchases. Views without a category are in no preference."""
     base = events.groupBy("user_id").agg(
         F.count_if(F.col("action") == "login").alias("session_count"),
         F.sum(_spent()).cast("double").alias("total_spent"),
         F.max(TS).alias("last_activity"),
     )
-    views = events.filter("action = 'view'").groupBy("user_id", F.coalesce("category", F.lit("unknown")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    views = events.filter("action = 'view' AND category IS NOT NULL").groupBy("user_id", "category").agg(F.count(F.lit(1)).alias("n"))
     views = views.groupBy("user_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n")))).alias("preferences")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewell.operators import enrich, joins, keyed_state
 from tidewell.plans.oracle_views import EVENTS, USER_CHANGES, davg, dsum, with_views
 from tidewell.plans.registry import query
-from tidewell.streaming import lateness, sessions, stateful, windows
+from tidewell.streaming import lateness, sessions, windows
 from tidewell.streaming.run import run_available, run_batches
 from tidewell.session import scratch_path
 
@@ -88,15 +88,15 @@ def str_06(t):
     return windows.fraud_window(t.events, "1 day", max_count=5, max_amount=300, max_ips=3)
 
 
-_REVENUE = f"{dsum('total_amount')} AS total_revenue, COUNT(*) AS order_count, COUNT(DISTINCT user_id) AS unique_users, {davg('total_amount')} AS avg_order_value, MAX(total_amount) AS max_order_value"
+REVENUE = f"{dsum('total_amount')} AS total_revenue, COUNT(*) AS order_count, COUNT(DISTINCT user_id) AS unique_users, {davg('total_amount')} AS avg_order_value, MAX(total_amount) AS max_order_value"
 
 
-@query("str_07_tumble_revenue", with_views(EVENTS) + tumble("1 MINUTE", "category", _REVENUE, "price > 0 AND quantity > 0"))
+@query("str_07_tumble_revenue", with_views(EVENTS) + tumble("1 MINUTE", "category", REVENUE, "price > 0 AND quantity > 0"))
 def str_07(t):
     return windows.tumble_revenue(t.events)
 
 
-@query("str_07_tumble_revenue_purchases", with_views(EVENTS) + tumble("1 MINUTE", "category", _REVENUE, "price > 0 AND quantity > 0 AND action = 'purchase'"))
+@query("str_07_tumble_revenue_purchases", with_views(EVENTS) + tumble("1 MINUTE", "category", REVENUE, "price > 0 AND quantity > 0 AND action = 'purchase'"))
 def str_07b(t):
     return windows.tumble_revenue(t.events, purchases_only=True)
 
@@ -161,10 +161,10 @@ def str_11b(t):
     return sessions.session_steps(t.events, 12 * 3600)
 
 
-_HOURLY = f"{dsum('total_amount')} AS total_revenue, COUNT(*) AS order_count, COUNT(DISTINCT user_id) AS unique_users, {davg('total_amount')} AS avg_order_value"
+HOURLY = f"{dsum('total_amount')} AS total_revenue, COUNT(*) AS order_count, COUNT(DISTINCT user_id) AS unique_users, {davg('total_amount')} AS avg_order_value"
 
 
-@query("str_12_hourly_rollup", with_views(EVENTS) + tumble("1 HOUR", "category", _HOURLY, "price > 0 AND quantity > 0"))
+@query("str_12_hourly_rollup", with_views(EVENTS) + tumble("1 HOUR", "category", HOURLY, "price > 0 AND quantity > 0"))
 def str_12(t):
     return windows.hourly_rollup(t.events)
 
@@ -198,13 +198,13 @@ def str_14(t):
     return windows.product_popularity(t.events)
 
 
-_LEVELS = {"minute": "1 MINUTE", "five_minute": "5 MINUTE", "fifteen_minute": "15 MINUTE", "hourly": "1 HOUR"}
+LEVELS = {"minute": "1 MINUTE", "five_minute": "5 MINUTE", "fifteen_minute": "15 MINUTE", "hourly": "1 HOUR"}
 
 
 @query("str_15_multi_level_windows", with_views(EVENTS) + " UNION ALL ".join(
-    tumble(s, f"'{n}' AS level, category", f"COUNT(*) AS order_count, {dsum('total_amount')} AS total_revenue") for n, s in _LEVELS.items()))
+    tumble(s, f"'{n}' AS level, category", f"COUNT(*) AS order_count, {dsum('total_amount')} AS total_revenue") for n, s in LEVELS.items()))
 def str_15(t):
-    levels = list(windows.multi_level_windows(t.events, {n: s.lower() for n, s in _LEVELS.items()}).values())
+    levels = list(windows.multi_level_windows(t.events, {n: s.lower() for n, s in LEVELS.items()}).values())
     return levels[0].unionByName(levels[1]).unionByName(levels[2]).unionByName(levels[3])
 
 
@@ -215,21 +215,27 @@ def str_16(t):
     return windows.count_trigger(t.events, "user_id", 10)
 
 
-@query("str_17_behavior_patterns", with_views(EVENTS, sliding(1440, 360)) + f"""
-, g AS (SELECT window_start, window_end, user_id, COUNT(*) AS event_count, COUNT(*) FILTER (action = 'purchase') AS p, COUNT(*) FILTER (action = 'view') AS v, COUNT(*) FILTER (action = 'add_to_cart') AS a,
+PATTERNS = f"""WITH g AS (SELECT window_start, window_end, user_id, COUNT(*) AS event_count, COUNT(*) FILTER (action = 'purchase') AS p, COUNT(*) FILTER (action = 'view') AS v, COUNT(*) FILTER (action = 'add_to_cart') AS a,
   COUNT(*) FILTER (action = 'remove') AS r, COALESCE({dsum("CASE WHEN action = 'purchase' THEN total_amount END")}, 0) AS total_spent, COUNT(DISTINCT category) AS unique_categories FROM slid GROUP BY ALL HAVING COUNT(*) >= 2),
 q AS (SELECT *, concat_ws(';', CASE WHEN p >= 2 THEN 'RAPID_PURCHASING:' || p || ' purchases in window:' || CASE WHEN p > 3 THEN 'HIGH' ELSE 'MEDIUM' END END,
   CASE WHEN total_spent > 150 THEN 'HIGH_VALUE_PURCHASING:$' || printf('%.2f', total_spent) || ' spent in window:HIGH' END,
   CASE WHEN unique_categories >= 4 THEN 'CATEGORY_SWITCHING:' || unique_categories || ' different categories:MEDIUM' END,
   CASE WHEN a - p - r > 0 THEN 'ABANDONED_CART:' || (a - p - r) || ' items left in cart:LOW' END,
   CASE WHEN v > 2 AND p = 0 THEN 'PRICE_SENSITIVE_BROWSING:' || v || ' views but no purchases:MEDIUM' END) AS patterns FROM g)
-SELECT window_start, window_end, user_id, event_count, total_spent, unique_categories, patterns FROM q WHERE patterns <> ''""")
-def str_17(t):
-    out = windows.behavior_patterns(t.events, "1 day", "6 hours", rapid=2, very_rapid=3, high_value=150, browsing=2)
+SELECT window_start, window_end, user_id, event_count, total_spent, unique_categories, patterns FROM q WHERE patterns <> ''"""
+
+
+def patterns(events, delay: str = "20 seconds"):
+    out = windows.behavior_patterns(events, "1 day", "6 hours", delay, rapid=2, very_rapid=3, high_value=150, browsing=2)
     text = F.transform("patterns", lambda p: F.concat_ws(":", p["type"], p["description"], p["severity"]))
     return out.withColumn("patterns", F.array_join(text, ";"))
 
 
+@query("str_17_behavior_patterns", with_views(EVENTS, sliding(1440, 360)) + f"SELECT * FROM ({PATTERNS})")
+def str_17(t):
+    return patterns(t.events)
+
+
 @query("str_18_premium_analytics", with_views(EVENTS, USER_CHANGES) + f"""
 , v AS (SELECT user_id, updated_at + to_days(9131) AS since, user_tier FROM user_changes QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, updated_at ORDER BY version DESC) = 1),
 e AS (SELECT ev.*, COALESCE(user_tier, 'UNKNOWN') AS user_tier FROM ev ASOF LEFT JOIN v ON ev.user_id = v.user_id AND ev.event_time >= v.since)
@@ -258,11 +264,13 @@ def str_20(t):
     return out.withColumn("categories_purchased", F.array_join("categories_purchased", ","))
 
 
-@query("str_21_churn_signals", with_views(EVENTS) + """
-, w AS (SELECT date_trunc('day', event_time) AS window_start, user_id, MAX(event_time) AS signal_timestamp, floor(epoch_us(MAX(event_time)) / 1000000) - floor(epoch_us(MIN(event_time)) / 1000000) AS s,
+CHURN = """WITH w AS (SELECT date_trunc('day', event_time) AS window_start, user_id, MAX(event_time) AS signal_timestamp, floor(epoch_us(MAX(event_time)) / 1000000) - floor(epoch_us(MIN(event_time)) / 1000000) AS s,
   COUNT(*) AS n, COUNT(DISTINCT session_id) AS k FROM ev GROUP BY ALL)
 SELECT window_start, user_id, signal_timestamp, floor(s / 86400) AS days_since_last_purchase, s / 3600.0::DOUBLE / GREATEST(k, 1) AS avg_session_gap_hours, n / GREATEST(k, 1) AS recent_engagement_score,
-  CASE WHEN n < 3 THEN 'HIGH_RISK' WHEN n < 7 THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS churn_risk_level FROM w""")
+  CASE WHEN n < 3 THEN 'HIGH_RISK' WHEN n < 7 THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS churn_risk_level FROM w"""
+
+
+@query("str_21_churn_signals", with_views(EVENTS) + f"SELECT * FROM ({CHURN})")
 def str_21(t):
     return windows.churn_signals(t.events)
 
@@ -274,28 +282,19 @@ def str_24(t):
     return out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
 
 
-@query("str_23_split_late", with_views(EVENTS) + "SELECT 'on_time' AS side, COUNT(*) AS n FROM ev")
-def str_23(t):
-    out = scratch_path(t.spark, "late")
-
-    def writer(side):
-        return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{out}/side={side}/batch_id={batch_id}")
-
-    splitter = lateness.LateSplitter(scratch_path(t.spark, "marks"), "event_time", 60, writer("on_time"), writer("late"))
-    run_batches(t.event_stream.select("event_id", "event_time"), splitter, "split-late")
-    return t.spark.read.parquet(out).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("str_25_window_metadata", with_views(EVENTS) + f"""
-SELECT *, category AS window_key, 120000 AS window_duration_ms, 'tumbling' AS window_type FROM ({tumble('2 MINUTE', 'category', _REVENUE, "price > 0 AND quantity > 0")})""")
+SELECT *, category AS window_key, 120000 AS window_duration_ms, 'tumbling' AS window_type FROM ({tumble('2 MINUTE', 'category', REVENUE, "price > 0 AND quantity > 0")})""")
 def str_25(t):
     return windows.window_metadata(windows.tumble_revenue(t.events, "2 minutes"), "category")
 
 
 @query("str_26_page_view_windows", with_views(EVENTS) + tumble("1 DAY", "user_id", "COUNT(*) AS page_views, COUNT(DISTINCT product_id) AS unique_pages", "event_type = 'view'"))
 def str_26(t):
-    nested = t.events.select("user_id", "event_time", F.struct(F.col("event_type").alias("type"), F.col("product_id").alias("page")).alias("event"))
-    return windows.page_view_windows(nested, "1 day")
+    return windows.page_view_windows(nested(t.events), "1 day")
+
+
+def nested(events):
+    return events.select("user_id", "event_time", F.struct(F.col("event_type").alias("type"), F.col("product_id").alias("page")).alias("event"))
 
 
 @query("str_28_user_amounts", with_views(EVENTS) + tumble("5 MINUTE", "user_id", f"COUNT(*) AS event_count, {dsum('total_amount')} AS amount"))
@@ -350,23 +349,23 @@ def sta_03(t):
     return keyed_state.product_popularity(t.events)
 
 
-def _running(key: str) -> str:
+def running(key: str) -> str:
     return f"(PARTITION BY {key} ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING)"
 
 
-_SPENT = "CAST(CASE WHEN action = 'purchase' THEN total_amount ELSE 0 END AS DECIMAL(18,2))"
+SPENT = "CAST(CASE WHEN action = 'purchase' THEN total_amount ELSE 0 END AS DECIMAL(18,2))"
 
 
 @query("sta_04_online_features", with_views(EVENTS) + f"""
 , f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, category ORDER BY event_time, event_id) = 1 AS a, ROW_NUMBER() OVER (PARTITION BY product_id, user_id ORDER BY event_time, event_id) = 1 AS b,
   ROW_NUMBER() OVER (PARTITION BY session_id, category ORDER BY event_time, event_id) = 1 AS c FROM ev)
-SELECT event_id, COUNT(*) OVER {_running('user_id')} AS user_events, CAST(SUM({_SPENT}) OVER {_running('user_id')} AS DOUBLE) AS user_spent, CAST(SUM(CAST(a AS INT)) OVER {_running('user_id')} AS BIGINT) AS user_categories,
+SELECT event_id, COUNT(*) OVER {running('user_id')} AS user_events, CAST(SUM({SPENT}) OVER {running('user_id')} AS DOUBLE) AS user_spent, CAST(SUM(CAST(a AS INT)) OVER {running('user_id')} AS BIGINT) AS user_categories,
   COALESCE((epoch_us(event_time) - epoch_us(LAG(event_time) OVER (PARTITION BY user_id ORDER BY event_time, event_id))) // 1000, 0) AS since_last_activity_ms,
-  CAST(SUM(CAST(action = 'view' AS INT)) OVER {_running('product_id')} AS BIGINT) AS product_views, CAST(SUM(CAST(action = 'purchase' AS INT)) OVER {_running('product_id')} AS BIGINT) AS product_purchases,
-  CAST(SUM(CAST(b AS INT)) OVER {_running('product_id')} AS BIGINT) AS product_viewers, CAST(SUM({_SPENT}) OVER {_running('product_id')} AS DOUBLE) AS product_revenue,
-  COUNT(*) OVER {_running('session_id')} AS session_events, CAST(SUM(CAST(c AS INT)) OVER {_running('session_id')} AS BIGINT) AS session_categories,
-  (epoch_us(event_time) - epoch_us(MIN(event_time) OVER {_running('session_id')})) // 1000 AS session_duration_ms,
-  SUM(CAST(action = 'purchase' AS INT)) OVER {_running('session_id')} > 0 AS has_purchase, hour(event_time) AS hour_of_day FROM f""")
+  CAST(SUM(CAST(action = 'view' AS INT)) OVER {running('product_id')} AS BIGINT) AS product_views, CAST(SUM(CAST(action = 'purchase' AS INT)) OVER {running('product_id')} AS BIGINT) AS product_purchases,
+  CAST(SUM(CAST(b AS INT)) OVER {running('product_id')} AS BIGINT) AS product_viewers, CAST(SUM({SPENT}) OVER {running('product_id')} AS DOUBLE) AS product_revenue,
+  COUNT(*) OVER {running('session_id')} AS session_events, CAST(SUM(CAST(c AS INT)) OVER {running('session_id')} AS BIGINT) AS session_categories,
+  (epoch_us(event_time) - epoch_us(MIN(event_time) OVER {running('session_id')})) // 1000 AS session_duration_ms,
+  SUM(CAST(action = 'purchase' AS INT)) OVER {running('session_id')} > 0 AS has_purchase, hour(event_time) AS hour_of_day FROM f""")
 def sta_04(t):
     return keyed_state.online_features(t.events).select(
         "event_id", "user_events", "user_spent", "user_categories", "since_last_activity_ms", "product_views", "product_purchases", "product_viewers",
@@ -375,7 +374,7 @@ def sta_04(t):
 
 
 @query("sta_05_user_behavior_state", with_views(EVENTS) + f"""
-, s AS (SELECT event_id, user_id, event_time, COUNT(*) OVER {_running('user_id')} AS total_events, SUM({_SPENT}) OVER {_running('user_id')} AS spent FROM ev)
+, s AS (SELECT event_id, user_id, event_time, COUNT(*) OVER {running('user_id')} AS total_events, SUM({SPENT}) OVER {running('user_id')} AS spent FROM ev)
 SELECT event_id, user_id, event_time, total_events, CAST(spent AS DOUBLE) AS total_spent, CASE WHEN spent >= 1000 THEN 'GOLD' WHEN spent >= 300 THEN 'SILVER' ELSE 'BRONZE' END AS user_tier FROM s""")
 def sta_05(t):
     return keyed_state.user_behavior_state(t.events, 300, 1000)
@@ -402,55 +401,3 @@ def sta_07(t):
 SELECT * FROM (SELECT user_id, event_id, action, event_time, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time DESC, event_id DESC) AS recency FROM ev) WHERE recency <= 20""")
 def sta_07b(t):
     return keyed_state.recent_activity(t.events, 20)
-
-
-# --- keyed state, stream form -----------------------------------------------------------------
-
-@query("sta_06_fraud_state_stream", with_views(EVENTS) + """
-, k AS (SELECT *, floor(epoch_us(event_time) / 1000) - floor(epoch_us(LAG(event_time) OVER w) / 1000) AS gap FROM ev WHERE total_amount > 50 WINDOW w AS (PARTITION BY user_id ORDER BY event_time, event_id)),
-i AS (SELECT *, SUM(CASE WHEN gap IS NULL OR gap > 86400000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS island FROM k),
-s AS (SELECT *, SUM(CAST(total_amount AS DECIMAL(18,2))) OVER (PARTITION BY user_id, island ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS spending FROM i),
-c AS (SELECT *, CASE WHEN total_amount > 150 THEN 50 ELSE 0 END + CASE WHEN spending > 200 THEN 30 ELSE 0 END + CASE WHEN gap < 7200000 THEN 40 ELSE 0 END AS fraud_score FROM s)
-SELECT event_id, user_id, event_time, total_amount AS amount, CAST(spending AS DOUBLE) AS recent_spending, fraud_score,
-  CASE WHEN gap < 7200000 THEN 'RAPID_TRANSACTIONS' WHEN spending > 200 THEN 'HIGH_VOLUME' WHEN total_amount > 150 THEN 'HIGH_VALUE' ELSE 'SUSPICIOUS' END AS alert_type FROM c WHERE fraud_score >= 40""")
-def sta_06s(t):
-    alerts = stateful.fraud_alerts(t.event_stream, floor=50, high=150, volume=200, reset_seconds=86400, rapid_seconds=7200)
-    return run_available(alerts, "fraud-state")
-
-
-@query("sta_02_session_tracker_stream", with_views(EVENTS, marked("12 HOUR")) + f"""
-, s AS (SELECT user_id, session_no, CAST(floor(epoch_us(MIN(event_time)) / 1000) AS BIGINT) AS session_start_ms, CAST(floor(epoch_us(MAX(event_time)) / 1000) AS BIGINT) AS last_event_ms, COUNT(*) AS event_count, COUNT(DISTINCT category) AS unique_categories,
-  COALESCE({dsum("CASE WHEN action = 'purchase' THEN total_amount END")}, 0) AS total_spent, COUNT(*) FILTER (action = 'view') AS view_count, COUNT(*) FILTER (action = 'add_to_cart') AS cart_count,
-  COUNT(*) FILTER (action = 'purchase') AS purchase_count FROM numbered GROUP BY 1, 2),
-m AS (SELECT epoch_ms(MAX(event_time)) - 20000 AS mark FROM ev)
-SELECT * EXCLUDE (session_no, mark), view_count + 3 * cart_count + 5 * purchase_count + 2 * unique_categories AS engagement_score
-FROM (SELECT *, MAX(session_no) OVER (PARTITION BY user_id) AS latest FROM s), m WHERE session_no < latest OR last_event_ms + 43200000 < mark""".replace("EXCLUDE (session_no, mark)", "EXCLUDE (session_no, mark, latest)"))
-def sta_02s(t):
-    return run_available(stateful.track_sessions(t.event_stream, 12 * 3600, running=False), "session-state").drop("is_final")
-
-
-@query("sta_05_user_behavior_state_stream", with_views(EVENTS) + f"""
-, s AS (SELECT event_id, user_id, event_time, COUNT(*) OVER {_running('user_id')} AS total_events, SUM({_SPENT}) OVER {_running('user_id')} AS spent FROM ev)
-SELECT event_id, user_id, event_time, total_events, CAST(spent AS DOUBLE) AS total_spent, CASE WHEN spent >= 1000 THEN 'GOLD' WHEN spent >= 300 THEN 'SILVER' ELSE 'BRONZE' END AS user_tier FROM s""")
-def sta_05s(t):
-    return run_available(stateful.behavior_states(t.event_stream, 300, 1000), "behavior-state")
-
-
-@query("str_16_count_trigger_stream", with_views(EVENTS) + f"""
-SELECT user_id, batch_no, COUNT(*) AS event_count, {dsum('total_amount')} AS total_amount
-FROM (SELECT *, (ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time, event_id) - 1) // 10 + 1 AS batch_no FROM ev) GROUP BY 1, 2 HAVING COUNT(*) = 10""")
-def str_16s(t):
-    # The idle time exceeds the covered month, so only full batches are due.
-    out = run_available(stateful.count_batches(t.event_stream, 10, 90 * 86400), "count-trigger")
-    return out.select("user_id", "batch_no", "event_count", "total_amount")
-
-
-@query("sta_01_user_profile_stream")
-def sta_01s(t):
-    out = run_available(stateful.user_profiles(t.event_stream), "user-profile")
-    return out.groupBy("kind", "tier").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
-
-
-@query("sta_03_product_popularity_stream")
-def sta_03s(t):
-    return run_available(stateful.popularity(t.event_stream), "popularity")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from tidewell.operators.lake import Medallion
 from tidewell.session import scratch_path
 
 
@@ -37,3 +39,35 @@ def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], labe
         .start()
     )
     query.awaitTermination()
+
+
+def replay(table: DataFrame, ts: str, parts: int, lateness_us: Column, label: str) -> DataFrame:
+    """A table as a file stream that comes out of order: a row arrives ``lateness_us`` after its time, and arrivals are cut into ``parts`` batches of
+    equal length. A watermark delay above the greatest lateness loses no row. Batches are written one after another, as a stream takes files by age."""
+    spark = table.sparkSession
+    path = scratch_path(spark, f"{label}-replay")
+    arrival = F.unix_micros(F.col(ts).cast("timestamp")) + lateness_us
+    first, last = table.agg(F.min(arrival), F.max(arrival)).first()
+    for part in range(parts):
+        low, high = (first + (last + 1 - first) * k // parts for k in (part, part + 1)) if first is not None else (0, 0)
+        table.filter((arrival >= low) & (arrival < high)).write.mode("append").parquet(path)
+    files = max(1, len(table.inputFiles()))
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def medallion_stream(flow: Medallion, bronze: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bronze, silver and gold as tables, each written by a stream over the files of the one before.
+
+    Each level has a checkpoint of its own under ``path``, so a later call goes on where this one ended.
+    """
+    spark = bronze.sparkSession
+
+    def level(stream: DataFrame, name: str) -> DataFrame:
+        return run_available(stream, name, f"{path}/{name}-checkpoint", f"{path}/{name}")
+
+    def again(table: DataFrame, name: str) -> DataFrame:
+        return spark.readStream.schema(table.schema).parquet(f"{path}/{name}")
+
+    raw = level(bronze, "bronze")
+    silver = level(flow.silver(again(raw, "bronze")), "silver")
+    return raw, silver, level(flow.gold(again(silver, "silver")), "gold")

@@ -1,277 +1,236 @@
-"""Keyed state jobs on ``transformWithState``: state per key, event-time timers, recovery from the checkpoint.
+"""Keyed state jobs in event-time order, on ``ordered.InEventOrder``.
 
-Rows of a key are put in event order inside each micro-batch; the watermark decides how late a
-row may come. The trigger's rate limit bounds a micro-batch and with it the rows of one key.
-Amounts are kept as whole cents, so running sums are exact. State is read and written once
-per key and batch.
+A row is applied when the watermark passes it, so every job gives the rows of its table twin for the closed part of the stream. Amounts are
+kept as whole cents, so running sums are exact. State is read and written once per key and watermark step, and forgotten when nothing
+that comes can depend on it any more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
+from tidewell.functions.measures import ratio
 from tidewell.functions.tiers import LOYALTY_TIERS, TIER_BENEFITS
-from tidewell.session import needs_rocksdb
-
-DAY_MS = 86_400_000
-COLUMNS = ["event_id", "user_id", "session_id", "product_id", "category", "action", "cents", "at_ms", "event_time"]
-
-
-def prepare(events: DataFrame, delay: str) -> DataFrame:
-    """The columns the processors read, with the watermark set."""
-    needs_rocksdb(events.sparkSession)
-    return (
-        events.withColumns(
-            {"cents": F.round(F.col("total_amount") * 100).cast("long"), "at_ms": F.floor(F.unix_micros("event_time") / 1000)}
-        )
-        .select(*COLUMNS)
-        .withWatermark("event_time", delay)
-    )
+from tidewell.streaming.ordered import InEventOrder, keyed, passes, reaches, timed
 
+DAY_US = 86_400_000_000
 
-def keyed(events: DataFrame, key: str, processor: StatefulProcessor, schema: str, delay: str, mode: str = "append") -> DataFrame:
-    return (
-        prepare(events, delay)
-        .groupBy(key)
-        .transformWithStateInPandas(
-            statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode="eventtime"
-        )
-    )
 
+def prepare(events: DataFrame, delay: str, *columns: str) -> DataFrame:
+    """The columns a processor reads, with the watermark set. A missing amount counts as nothing."""
+    cents = F.coalesce(F.round(F.col("total_amount") * 100).cast("long"), F.lit(0))
+    return timed(events, delay).withColumn("cents", cents).select("at_us", "event_time", *dict.fromkeys(columns))
 
-def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(["at_ms", "event_id"], kind="stable", ignore_index=True)
 
+def _shifted(at: pd.Series, last: int | None) -> pd.Series:
+    """The time of the row before, for the first row that of the state."""
+    before = at.shift()
+    if len(before) and last is not None:
+        before.iloc[0] = last
+    return before
 
-class Timed(StatefulProcessor):
-    """One event-time timer per key and purpose, moved instead of added."""
-
-    def init(self, handle) -> None:
-        self.handle = handle
 
-    def move_timer(self, old_ms: int | None, new_ms: int) -> None:
-        if old_ms and old_ms != new_ms:
-            self.handle.deleteTimer(old_ms)
-        self.handle.registerTimer(new_ms)
-
-    def close(self) -> None:
-        pass
-
-
-class FraudState(Timed):
+class FraudState(InEventOrder):
     """Spend since the last long pause and the time of the last large transaction."""
 
+    FIELDS = "event_id long, cents long"
     SCHEMA = "event_id long, user_id long, event_time timestamp, amount double, recent_spending double, fraud_score int, alert_type string"
 
-    def __init__(self, floor=500.0, high=1000.0, volume=2000.0, reset_seconds=3600, rapid_seconds=60, emit_at=40):
-        self.floor, self.high, self.volume = round(floor * 100), round(high * 100), round(volume * 100)
-        self.reset_ms, self.rapid_ms, self.emit_at = reset_seconds * 1000, rapid_seconds * 1000, emit_at
+    def __init__(self, high=1000.0, volume=2000.0, reset_seconds=3600, rapid_seconds=60, emit_at=40):
+        self.high, self.volume = round(high * 100), round(volume * 100)
+        self.reset_us, self.rapid_us, self.emit_at = reset_seconds * 1_000_000, rapid_seconds * 1_000_000, emit_at
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.state = handle.getValueState("spending", "last_ms long, cents long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = in_order(rows)
-        last, spending = self.state.get() if self.state.exists() else (None, 0)
-        alerts = []
-        for row in events[events["cents"] > self.floor].itertuples(index=False):
-            pause = None if last is None else row.at_ms - last
-            spending = row.cents + (0 if pause is not None and pause > self.reset_ms else spending)
-            big, busy, rapid = row.cents > self.high, spending > self.volume, pause is not None and pause < self.rapid_ms
-            score = 50 * big + 30 * busy + 40 * rapid
-            kind = "RAPID_TRANSACTIONS" if rapid else "HIGH_VOLUME" if busy else "HIGH_VALUE" if big else "SUSPICIOUS"
-            if score >= self.emit_at:
-                alerts.append((row.event_id, key[0], row.event_time, row.cents / 100, spending / 100, score, kind))
-            last = row.at_ms
-        if last is not None:
-            self.state.update((int(last), int(spending)))
-        if alerts:
-            yield pd.DataFrame(alerts, columns=["event_id", "user_id", "event_time", "amount", "recent_spending", "fraud_score", "alert_type"])
-
-
-class SessionTracker(Timed):
-    """Running metrics after every batch and final ones once the gap has passed."""
+        self.state = handle.getValueState("spending", "last_us long, cents long")
 
+    def advance(self, key, events, mark_us):
+        last, carried = self.state.get() or (None, 0)
+        self.last = last
+        out = []
+        if len(events):
+            at, cents = events["at_us"], events["cents"]
+            pause = at - _shifted(at, last)
+            island = (pause > self.reset_us).cumsum()
+            spending = cents.groupby(island).cumsum() + np.where(island == 0, carried, 0)
+            big, busy, rapid = cents > self.high, spending > self.volume, pause < self.rapid_us
+            score = 50 * big + 30 * busy + 40 * rapid
+            kind = np.select([rapid, busy, big], ["RAPID_TRANSACTIONS", "HIGH_VOLUME", "HIGH_VALUE"], "SUSPICIOUS")
+            alerts = pd.DataFrame({
+                "event_id": events["event_id"], "user_id": key[0], "event_time": pd.to_datetime(at, unit="us"), "amount": cents / 100,
+                "recent_spending": spending / 100, "fraud_score": score.astype("int32"), "alert_type": kind,
+            })
+            out.append(alerts[score >= self.emit_at])
+            self.last = int(at.iloc[-1])
+            self.state.update((self.last, int(spending.iloc[-1])))
+        if self.last is not None and mark_us >= self._end():
+            # The next row starts anew, whenever it comes.
+            self.state.clear()
+            self.last = None
+        return out
+
+    def _end(self) -> int:
+        return passes(self.last + max(self.reset_us, self.rapid_us)) * 1000
+
+    def deadline(self):
+        return None if self.last is None else self._end() // 1000
+
+
+class SessionTracker(InEventOrder):
+    """Final metrics once the gap has passed; with ``running`` also those so far, whenever the watermark has freed rows."""
+
+    FIELDS = "event_id long, action string, category string, cents long"
     SCHEMA = (
         "user_id long, session_start_ms long, last_event_ms long, event_count long, unique_categories int, total_spent double, "
         "view_count long, cart_count long, purchase_count long, engagement_score long, is_final boolean"
     )
-    STATE = "start_ms long, last_ms long, n long, views long, carts long, purchases long, cents long, categories array<string>"
+    STATE = "start_us long, last_us long, n long, views long, carts long, purchases long, cents long, categories array<string>"
 
     def __init__(self, gap_seconds: int = 1800, running: bool = True):
-        self.gap_ms, self.running = gap_seconds * 1000, running
+        self.gap_us, self.running = gap_seconds * 1_000_000, running
 
     def init(self, handle) -> None:
         super().init(handle)
         self.state = handle.getValueState("session", self.STATE)
 
-    def _row(self, key, s, final):
+    @staticmethod
+    def _row(key, s, final):
         start, last, n, views, carts, purchases, cents, categories = s
         score = views + 3 * carts + 5 * purchases + 2 * len(categories)
-        return (key[0], start, last, n, len(categories), cents / 100, views, carts, purchases, score, final)
+        return (key[0], start // 1000, last // 1000, n, len(categories), cents / 100, views, carts, purchases, score, final)
 
-    def _frame(self, rows):
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in self.SCHEMA.split(", ")])
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = in_order(rows)
-        current = list(self.state.get()) if self.state.exists() else None
-        old_timer = current[1] + self.gap_ms if current else None
-        out = []
-        # Cut the batch where the pause exceeds the gap; each piece is reduced as a whole.
-        before = events["at_ms"].shift()
-        if current:
-            before.iloc[0] = current[1]
-        breaks = (events["at_ms"] - before > self.gap_ms).cumsum()
-        for piece_no, piece in events.groupby(breaks, sort=True):
-            if current and piece_no > 0:
+    def advance(self, key, events, mark_us):
+        current, out = self.state.get(), []
+        breaks = (events["at_us"] - _shifted(events["at_us"], current[1] if current else None) > self.gap_us).cumsum()
+        for number, piece in events.groupby(breaks, sort=True):
+            if current and number > 0:
                 out.append(self._row(key, current, True))
                 current = None
             actions = piece["action"].value_counts()
-            bought = int(piece.loc[piece["action"] == "purchase", "cents"].sum())
-            first, last = int(piece["at_ms"].iloc[0]), int(piece["at_ms"].iloc[-1])
-            seen = set(piece["category"].dropna())
-            if current is None:
-                current = [first, last, 0, 0, 0, 0, 0, []]
-            current = [
-                min(current[0], first), max(current[1], last), current[2] + len(piece),
-                current[3] + int(actions.get("view", 0)), current[4] + int(actions.get("add_to_cart", 0)),
-                current[5] + int(actions.get("purchase", 0)), current[6] + bought, sorted(seen | set(current[7])),
-            ]
-        self.state.update(tuple(current))
-        self.move_timer(old_timer, current[1] + self.gap_ms)
-        if self.running:
-            out.append(self._row(key, current, False))
-        if out:
-            yield self._frame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            current = self.state.get()
-            if current[1] + self.gap_ms <= expiredTimerInfo.getExpiryTimeInMs():
-                self.state.clear()
-                yield self._frame([self._row(key, current, True)])
-
-
-class UserProfile(Timed):
-    """Logins, spend, last purchases and viewed categories; upgrades become active a day later; idle users are forgotten."""
+            first, last = int(piece["at_us"].iloc[0]), int(piece["at_us"].iloc[-1])
+            start, _, n, views, carts, purchases, cents, seen = current or (first, last, 0, 0, 0, 0, 0, [])
+            current = (
+                start, last, n + len(piece), views + int(actions.get("view", 0)), carts + int(actions.get("add_to_cart", 0)),
+                purchases + int(actions.get("purchase", 0)), cents + int(piece.loc[piece["action"] == "purchase", "cents"].sum()),
+                sorted(set(seen) | set(piece["category"].dropna())),
+            )
+        self.last = current[1] if current else None
+        if current and mark_us > current[1] + self.gap_us:
+            out.append(self._row(key, current, True))
+            self.state.clear()
+            self.last = None
+        elif current and len(events):
+            self.state.update(current)
+            if self.running:
+                out.append(self._row(key, current, False))
+        return [self.frame(out)] if out else []
+
+    def deadline(self):
+        return None if self.last is None else passes(self.last + self.gap_us)
+
 
+class UserProfile(InEventOrder):
+    """Logins, spend, last purchases and viewed categories at every event; upgrades become active a day later; idle users are forgotten.
+
+    A user is forgotten ``ttl_hours`` after their last event. Upgrades that would become active later than that are forgotten with them.
+    """
+
+    FIELDS = "event_id long, action string, category string, product_id long, cents long"
     SCHEMA = (
         "user_id long, kind string, event_id long, at_ms long, session_count long, total_spent double, tier string, "
         "recent_purchases array<long>, preferences map<string,long>, benefits array<string>"
     )
 
     def __init__(self, ttl_hours: int = 24 * 365, keep: int = 10, steps=tuple(LOYALTY_TIERS)):
-        self.ttl_ms, self.keep, self.steps = ttl_hours * 3_600_000, keep, tuple(sorted(steps))
+        self.ttl_us, self.keep, self.steps = ttl_hours * 3_600_000_000, keep, tuple(sorted(steps))
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.profile = handle.getValueState("profile", "logins long, cents long, level int, last_ms long")
+        self.profile = handle.getValueState("profile", "logins long, cents long, level int, last_us long")
         self.purchases = handle.getListState("purchases", "product_id long")
         self.views = handle.getMapState("views", "category string", "n long")
+        self.upgrades = handle.getListState("upgrades", "due_us long, level int, logins long, cents long")
 
     def _tier(self, level: int) -> str:
         return self.steps[level - 1][1] if level else "BRONZE"
 
-    def _frame(self, rows):
-        return pd.DataFrame(
-            rows, columns=["user_id", "kind", "event_id", "at_ms", "session_count", "total_spent", "tier", "recent_purchases", "preferences", "benefits"]
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = in_order(rows)
-        logins, cents, level, last = self.profile.get() if self.profile.exists() else (0, 0, 0, None)
-        old_idle = last + self.ttl_ms if last is not None else None
-        bought = [p[0] for p in self.purchases.get()] if self.purchases.exists() else []
-        views = {k[0]: v[0] for k, v in self.views.iterator()}
-        out = []
-        for row in events.itertuples(index=False):
-            if row.action == "login":
-                logins += 1
-            elif row.action == "purchase":
-                cents += int(row.cents)
-                bought = [*bought, int(row.product_id)][-self.keep:]
-                reached = sum(cents >= threshold * 100 for threshold, _ in self.steps)
-                if reached > level:
-                    level = reached
-                    self.handle.registerTimer(int(row.at_ms) + DAY_MS)
-            elif row.action == "view":
-                views[row.category] = views.get(row.category, 0) + 1
-            out.append((key[0], "PROFILE", row.event_id, row.at_ms, logins, cents / 100, self._tier(level), list(bought), dict(views), None))
-        last = max(int(events["at_ms"].iloc[-1]), last or 0)
-        self.profile.update((int(logins), int(cents), int(level), last))
-        if bought:
-            self.purchases.put([(p,) for p in bought])
-        for category in set(events.loc[events["action"] == "view", "category"]):
-            self.views.updateValue((category,), (int(views[category]),))
-        self.move_timer(old_idle, last + self.ttl_ms)
-        yield self._frame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.profile.exists():
-            return
-        logins, cents, level, last = self.profile.get()
-        fired = expiredTimerInfo.getExpiryTimeInMs()
-        if last + self.ttl_ms <= fired:
-            self.profile.clear()
-            self.purchases.clear()
-            self.views.clear()
-            return
-        tier = self._tier(level)
-        yield self._frame([(key[0], "TIER_ACTIVATED", None, fired, logins, cents / 100, tier, None, None, TIER_BENEFITS[tier])])
-
-
-class ProductPopularity(Timed):
-    """Metrics per hour of the last ``hours``; one row per key and batch with the totals."""
-
-    SCHEMA = (
-        "product_id long, hour_no long, total_views long, total_purchases long, total_revenue double, unique_users long, "
-        "hours_with_activity long, popularity_score long"
-    )
-
-    def __init__(self, hours: int = 24):
-        self.hours = hours
-
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.cells = handle.getMapState("hours", "hour_no long", "views long, purchases long, cents long, users array<long>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = in_order(rows)
-        cells = {k[0]: tuple(v) for k, v in self.cells.iterator()}
-        events = events.assign(hour_no=events["at_ms"] // 3_600_000)
-        for hour, part in events.groupby("hour_no"):
-            views, purchases, cents, users = cells.get(int(hour), (0, 0, 0, []))
-            sold = part["action"] == "purchase"
-            cells[int(hour)] = (
-                views + int((part["action"] == "view").sum()), purchases + int(sold.sum()), cents + int(part.loc[sold, "cents"].sum()),
-                sorted({int(u) for u in part["user_id"]} | set(users)),
-            )
-            self.cells.updateValue((int(hour),), cells[int(hour)])
-        now = max(cells)
-        for hour in [h for h in cells if h < now - self.hours]:
-            self.cells.removeKey((hour,))
-            del cells[hour]
-        views, purchases = sum(c[0] for c in cells.values()), sum(c[1] for c in cells.values())
-        users = len(set().union(*[c[3] for c in cells.values()]))
-        active = sum(1 for c in cells.values() if c[0] or c[1])
-        yield pd.DataFrame(
-            [(key[0], now, views, purchases, sum(c[2] for c in cells.values()) / 100, users, active, views + 5 * purchases + 3 * users + 2 * active)],
-            columns=[c.split()[0] for c in self.SCHEMA.split(", ")],
-        )
-
-
-class RunningFeatures(Timed):
-    """Running totals of a key at every event, with the number of distinct ``member`` values so far."""
-
-    def __init__(self, key: str, member: str):
-        self.key, self.member = key, member
+    def _activated(self, key, until_us: int) -> list[tuple]:
+        """Rows of the upgrades that are due by then."""
+        due, self.coming = [u for u in self.coming if u[0] <= until_us], [u for u in self.coming if u[0] > until_us]
+        return [(key[0], "TIER_ACTIVATED", None, at // 1000, logins, cents / 100, self._tier(level), None, None, TIER_BENEFITS[self._tier(level)]) for at, level, logins, cents in due]
+
+    def _applied(self, key, events: pd.DataFrame) -> list[tuple]:
+        """Rows of the events of one life of the profile, which moves on."""
+        logins, cents, level = self.totals
+        bought = events["action"] == "purchase"
+        all_logins = logins + (events["action"] == "login").cumsum().to_numpy()
+        spent = cents + events["cents"].where(bought, 0).astype("int64").cumsum().to_numpy()
+        thresholds = np.array([t * 100 for t, _ in self.steps])
+        levels = np.maximum.accumulate(np.maximum(np.searchsorted(thresholds, spent, side="right"), level))
+        for k in np.flatnonzero(np.diff(levels, prepend=level)):
+            self.coming.append((int(events["at_us"].iloc[k]) + DAY_US, int(levels[k]), int(all_logins[k]), int(spent[k])))
+        products = self.recent + [None if p != p else int(p) for p in events.loc[bought, "product_id"]]
+        ends = len(self.recent) + bought.cumsum().to_numpy()
+        rows = []
+        for k, (event, at, action, category) in enumerate(zip(events["event_id"], events["at_us"], events["action"], events["category"], strict=True)):
+            if action == "view" and category is not None:
+                self.seen = {**self.seen, category: self.seen.get(category, 0) + 1}
+            recent = products[max(0, ends[k] - self.keep) : ends[k]]
+            rows.append((key[0], "PROFILE", int(event), int(at) // 1000, int(all_logins[k]), spent[k] / 100, self._tier(levels[k]), recent, self.seen, None))
+        self.totals, self.recent = (int(all_logins[-1]), int(spent[-1]), int(levels[-1])), products[-self.keep :]
+        return rows
+
+    def advance(self, key, events, mark_us):
+        stored = self.profile.get()
+        self.totals, self.last = (tuple(stored[:3]), stored[3]) if stored else ((0, 0, 0), None)
+        self.recent, self.seen, self.coming = [p[0] for p in self.purchases.get()], {k[0]: v[0] for k, v in self.views.iterator()}, [tuple(u) for u in self.upgrades.get()]
+        before, out = dict(self.seen), []
+
+        def forget() -> None:
+            out.extend(self._activated(key, self.last + self.ttl_us))
+            self.totals, self.recent, self.seen, self.coming, self.last = (0, 0, 0), [], {}, [], None
+
+        lives = (events["at_us"] - _shifted(events["at_us"], self.last) > self.ttl_us).cumsum()
+        for number, life in events.groupby(lives, sort=True):
+            if number > 0 and self.last is not None:
+                forget()
+            out += self._applied(key, life)
+            self.last = int(life["at_us"].iloc[-1])
+        if self.last is not None and mark_us > self.last + self.ttl_us:
+            forget()
+        out += self._activated(key, mark_us)
+        if self.last is None:
+            for state in (self.profile, self.purchases, self.views, self.upgrades):
+                state.clear()
+        else:
+            self.profile.update((*self.totals, self.last))
+            for state, values in ((self.purchases, [(p,) for p in self.recent]), (self.upgrades, self.coming)):
+                state.put(values) if values else state.clear()
+            for category in before.keys() - self.seen.keys():
+                self.views.removeKey((category,))
+            for category, n in self.seen.items():
+                if before.get(category) != n:
+                    self.views.updateValue((category,), (n,))
+        return [self.frame(out)] if out else []
+
+    def deadline(self):
+        due = [reaches(u[0]) for u in self.coming]
+        return min([*due, passes(self.last + self.ttl_us)]) if self.last is not None else None
+
+
+class RunningFeatures(InEventOrder):
+    """Running totals of a key at every event, with the number of distinct ``member`` values so far.
+
+    Members are entries of map state, one each, so a key with very many of them is no large value. A key is forgotten ``ttl_hours`` after its
+    last event, members included.
+    """
+
+    def __init__(self, key: str, member: str, ttl_hours: int = 24 * 365):
+        self.key, self.member, self.ttl_us = key, member, ttl_hours * 3_600_000_000
+        self.FIELDS = f"event_id long, action string, cents long, {member} string"
 
     @staticmethod
     def schema(key: str, key_type: str) -> str:
@@ -279,116 +238,232 @@ class RunningFeatures(Timed):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.totals = handle.getValueState("totals", "n long, cents long, views long, purchases long, members long, first_ms long, last_ms long")
+        self.totals = handle.getValueState("totals", "n long, cents long, views long, purchases long, members long, first_us long, last_us long")
         self.members = handle.getMapState("members", "member string", "seen boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = in_order(rows)
-        n, cents, views, purchases, members, first, last = self.totals.get() if self.totals.exists() else (0, 0, 0, 0, 0, None, None)
-        first = int(events["at_ms"].iloc[0]) if first is None else first
-        member = events[self.member].astype(str)
-        fresh = ~member.duplicated()
+    def _applied(self, key, events: pd.DataFrame, state) -> tuple[pd.DataFrame, tuple]:
+        at = events["at_us"]
+        n, cents, views, purchases, members, first, last = state or (0, 0, 0, 0, 0, int(at.iloc[0]), int(at.iloc[0]))
+        member = events[self.member]
+        fresh = ~member.duplicated() & member.notna()
         for position in fresh[fresh].index:
             if self.members.containsKey((member[position],)):
                 fresh[position] = False
             else:
                 self.members.updateValue((member[position],), (True,))
         sold = events["action"] == "purchase"
-        before = events["at_ms"].shift()
-        before.iloc[0] = events["at_ms"].iloc[0] if last is None else last
+        before = _shifted(at, last).astype("int64")
         out = pd.DataFrame(
             {
-                self.key: key[0], "event_id": events["event_id"], "event_time": events["event_time"],
-                "events": n + pd.RangeIndex(1, len(events) + 1),
-                "spent": (cents + events["cents"].where(sold, 0).cumsum()) / 100,
-                "views": views + (events["action"] == "view").cumsum(), "purchases": purchases + sold.cumsum(),
-                "members": members + fresh.cumsum(),
-                "since_last_ms": (events["at_ms"] - before).astype("int64"), "since_first_ms": events["at_ms"] - first,
+                self.key: key[0], "event_id": events["event_id"], "event_time": pd.to_datetime(at, unit="us"), "events": n + np.arange(1, len(events) + 1),
+                "spent": (cents + events["cents"].where(sold, 0).astype("int64").cumsum()) / 100,
+                "views": views + (events["action"] == "view").cumsum(), "purchases": purchases + sold.cumsum(), "members": members + fresh.cumsum(),
+                "since_last_ms": (at - before) // 1000, "since_first_ms": (at - first) // 1000,
             }
         )
         end = out.iloc[-1]
-        self.totals.update(
-            (n + len(events), cents + int(events.loc[sold, "cents"].sum()), int(end["views"]), int(end["purchases"]), int(end["members"]),
-             first, int(events["at_ms"].iloc[-1]))
-        )
-        yield out
-
-
-class CountTrigger(Timed):
-    """An aggregate for every ``n`` events; a rest is flushed after ``idle_seconds`` without events."""
-
+        cents += int(events.loc[sold, "cents"].sum())
+        return out, (n + len(events), cents, int(end["views"]), int(end["purchases"]), int(end["members"]), first, int(at.iloc[-1]))
+
+    def advance(self, key, events, mark_us):
+        state, out = self.totals.get(), []
+        lives = (events["at_us"] - _shifted(events["at_us"], state[6] if state else None) > self.ttl_us).cumsum()
+        for number, life in events.groupby(lives, sort=True):
+            if number > 0 and state:
+                self.members.clear()
+                state = None
+            rows, state = self._applied(key, life.reset_index(drop=True), state)
+            out.append(rows)
+        self.last = state[6] if state else None
+        if state and mark_us > self.last + self.ttl_us:
+            self.totals.clear()
+            self.members.clear()
+            self.last = None
+        elif len(events):
+            self.totals.update(state)
+        return out
+
+    def deadline(self):
+        return None if self.last is None else passes(self.last + self.ttl_us)
+
+
+class CountTrigger(InEventOrder):
+    """An aggregate for every ``n`` events in event order; a rest is flushed after ``idle_seconds`` without events."""
+
+    FIELDS = "event_id long, cents long"
     SCHEMA = "user_id long, batch_no long, event_count long, total_amount double, first_ms long, last_ms long, is_partial boolean"
 
     def __init__(self, n: int = 100, idle_seconds: int = 3600):
-        self.n, self.idle_ms = n, idle_seconds * 1000
+        self.n, self.idle_us = n, idle_seconds * 1_000_000
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.open_batch = handle.getValueState("open", "batch_no long, n long, cents long, first_ms long, last_ms long")
-
-    def _frame(self, rows):
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in self.SCHEMA.split(", ")])
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = in_order(rows)
-        batch_no, n, cents, first, last = self.open_batch.get() if self.open_batch.exists() else (1, 0, 0, None, None)
-        old_timer = last + self.idle_ms if last is not None else None
-        out, at = [], 0
-        while at < len(events):
-            part = events.iloc[at : at + self.n - n]
-            at += len(part)
-            n, cents = n + len(part), cents + int(part["cents"].sum())
-            first = int(part["at_ms"].iloc[0]) if first is None else first
-            last = int(part["at_ms"].iloc[-1])
-            if n == self.n:
-                out.append((key[0], batch_no, n, cents / 100, first, last, False))
-                batch_no, n, cents, first = batch_no + 1, 0, 0, None
+        self.open_batch = handle.getValueState("open", "batch_no long, n long, cents long, first_us long, last_us long")
+
+    def advance(self, key, events, mark_us):
+        batch_no, n, cents, first, last = self.open_batch.get() or (1, 0, 0, None, None)
+        out = []
+
+        def flush(partial: bool) -> None:
+            nonlocal batch_no, n, cents
+            out.append((key[0], batch_no, n, cents / 100, first // 1000, last // 1000, partial))
+            batch_no, n, cents = batch_no + 1, 0, 0
+
+        runs = (events["at_us"] - _shifted(events["at_us"], last) >= self.idle_us).cumsum()
+        for number, run in events.groupby(runs, sort=True):
+            if number > 0 and n:
+                flush(True)
+            at = 0
+            while at < len(run):
+                part = run.iloc[at : at + self.n - n]
+                at += len(part)
+                first = int(part["at_us"].iloc[0]) if n == 0 else first
+                n, cents, last = n + len(part), cents + int(part["cents"].sum()), int(part["at_us"].iloc[-1])
+                if n == self.n:
+                    flush(False)
+        if n and mark_us >= last + self.idle_us:
+            flush(True)
+        self.last = last if n else None
         self.open_batch.update((batch_no, n, cents, first, last))
-        self.move_timer(old_timer, last + self.idle_ms)
-        if out:
-            yield self._frame(out)
+        return [self.frame(out)] if out else []
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open_batch.exists():
-            batch_no, n, cents, first, last = self.open_batch.get()
-            if last + self.idle_ms <= expiredTimerInfo.getExpiryTimeInMs():
-                self.open_batch.update((batch_no + 1 if n else batch_no, 0, 0, None, last))
-                if n:
-                    yield self._frame([(key[0], batch_no, n, cents / 100, first, last, True)])
+    def deadline(self):
+        return None if self.last is None else reaches(self.last + self.idle_us)
 
 
-def fraud_alerts(events: DataFrame, delay: str = "20 seconds", **rules) -> DataFrame:
-    return keyed(events, "user_id", FraudState(**rules), FraudState.SCHEMA, delay)
+class ProductPopularity(InEventOrder):
+    """Metrics of the last ``hours`` at the end of every hour in which a product had events.
 
+    Every user of the period is one entry of map state, their latest hour, and beside them stands the number of users by latest hour: the users
+    of a period are a sum over its hours. Users who have been away for the whole period are removed once per period.
+    """
 
-def track_sessions(events: DataFrame, gap_seconds: int = 1800, delay: str = "20 seconds", running: bool = True) -> DataFrame:
-    return keyed(events, "user_id", SessionTracker(gap_seconds, running), SessionTracker.SCHEMA, delay)
+    FIELDS = "event_id long, action string, cents long, user string"
+    SCHEMA = "product_id long, hour_no long, total_views long, total_purchases long, revenue_cents long, unique_users long, hours_with_activity long"
+    HOUR_US = 3_600_000_000
 
+    def __init__(self, hours: int = 24):
+        self.hours = hours
 
-def user_profiles(events: DataFrame, delay: str = "20 seconds", **settings) -> DataFrame:
-    return keyed(events, "user_id", UserProfile(**settings), UserProfile.SCHEMA, delay)
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.cells = handle.getMapState("cells", "hour_no long", "views long, purchases long, cents long, latest_users long")
+        self.latest = handle.getMapState("latest", "user string", "hour_no long")
+        self.progress = handle.getValueState("progress", "open_hour long, cleaned_hour long")
+
+    def _applied(self, hour: int, events: pd.DataFrame, cells: dict[int, list[int]]) -> None:
+        cell = cells.setdefault(hour, [0, 0, 0, 0])
+        sold = events["action"] == "purchase"
+        cell[0] += int((events["action"] == "view").sum())
+        cell[1] += int(sold.sum())
+        cell[2] += int(events.loc[sold, "cents"].sum())
+        for user in events["user"].unique():
+            before = self.latest.getValue((user,))
+            if before is None or before[0] != hour:
+                if before is not None and before[0] in cells:
+                    cells[before[0]][3] -= 1
+                cell[3] += 1
+                self.latest.updateValue((user,), (hour,))
+
+    def _closed(self, key, hour: int, cells: dict[int, list[int]]) -> tuple:
+        for old in [h for h in cells if h < hour - self.hours]:
+            del cells[old]
+        sums = [sum(c[k] for c in cells.values()) for k in range(4)]
+        return (key[0], hour, *sums, sum(1 for c in cells.values() if c[0] or c[1]))
+
+    def advance(self, key, events, mark_us):
+        stored = {k[0]: list(v) for k, v in self.cells.iterator()}
+        cells = {h: list(c) for h, c in stored.items()}
+        opened, cleaned = self.progress.get() or (None, None)
+        out = []
+        for hour, part in events.groupby(events["at_us"] // self.HOUR_US, sort=True):
+            hour = int(hour)
+            if opened is not None and opened < hour:
+                out.append(self._closed(key, opened, cells))
+            self._applied(hour, part, cells)
+            opened, cleaned = hour, hour if cleaned is None else cleaned
+        if opened is not None and mark_us >= (opened + 1) * self.HOUR_US:
+            out.append(self._closed(key, opened, cells))
+            opened = None
+        now = mark_us // self.HOUR_US
+        if cleaned is not None and now > cleaned + self.hours:
+            for user in [k for k, v in self.latest.iterator() if v[0] < now - self.hours]:
+                self.latest.removeKey(user)
+            cells = {h: c for h, c in cells.items() if h >= now - self.hours}
+            cleaned = now
+        for hour in stored.keys() - cells.keys():
+            self.cells.removeKey((hour,))
+        for hour, cell in cells.items():
+            if stored.get(hour) != cell:
+                self.cells.updateValue((hour,), tuple(cell))
+        # Nothing is due once the product's cells are gone.
+        self.due = [(opened + 1) * self.HOUR_US] if opened is not None else []
+        self.due += [(cleaned + self.hours + 1) * self.HOUR_US] if cells else []
+        if self.due:
+            self.progress.update((opened, cleaned))
+        else:
+            self.progress.clear()
+        return [self.frame(out)] if out else []
+
+    def deadline(self):
+        return reaches(min(self.due)) if self.due else None
 
 
 def popularity(events: DataFrame, hours: int = 24, delay: str = "20 seconds") -> DataFrame:
-    return keyed(events, "product_id", ProductPopularity(hours), ProductPopularity.SCHEMA, delay)
+    """Metrics and score per product at the end of every hour with events, over the last ``hours``."""
+    user = F.coalesce(F.col("user_id").cast("string"), F.lit(""))
+    rows = prepare(events, delay, "product_id", "event_id", "action", "cents", "user_id").withColumn("user", user).drop("user_id")
+    out = keyed(rows, "product_id", ProductPopularity(hours), ProductPopularity.SCHEMA)
+    return out.select(
+        "product_id", F.timestamp_seconds(F.col("hour_no") * 3600).alias("hour"), "total_views", "total_purchases", (F.col("revenue_cents") / 100).alias("total_revenue"),
+        "unique_users", "hours_with_activity", ratio("total_purchases", "total_views").alias("conversion_rate"),
+        (F.col("total_views") + F.col("total_purchases") * 5 + F.col("unique_users") * 3 + F.col("hours_with_activity") * 2).alias("popularity_score"),
+    )
+
+
+def fraud_alerts(events: DataFrame, delay: str = "20 seconds", floor: float = 500.0, **rules) -> DataFrame:
+    """Alerts of ``FraudState``; only amounts above ``floor`` reach the state."""
+    rows = prepare(events.filter(F.col("total_amount") > floor), delay, "user_id", "event_id", "cents")
+    return keyed(rows, "user_id", FraudState(**rules), FraudState.SCHEMA)
+
+
+def track_sessions(events: DataFrame, gap_seconds: int = 1800, delay: str = "20 seconds", running: bool = True) -> DataFrame:
+    rows = prepare(events, delay, "user_id", "event_id", "action", "category", "cents")
+    return keyed(rows, "user_id", SessionTracker(gap_seconds, running), SessionTracker.SCHEMA)
+
+
+def user_profiles(events: DataFrame, delay: str = "20 seconds", **settings) -> DataFrame:
+    rows = prepare(events, delay, "user_id", "event_id", "action", "category", "product_id", "cents")
+    return keyed(rows, "user_id", UserProfile(**settings), UserProfile.SCHEMA)
 
 
 def count_batches(events: DataFrame, n: int, idle_seconds: int = 3600, delay: str = "20 seconds") -> DataFrame:
-    return keyed(events, "user_id", CountTrigger(n, idle_seconds), CountTrigger.SCHEMA, delay)
+    return keyed(prepare(events, delay, "user_id", "event_id", "cents"), "user_id", CountTrigger(n, idle_seconds), CountTrigger.SCHEMA)
+
+
+#: Key, its type and the members counted per feature stream.
+FEATURES = {"user": ("user_id", "long", "category"), "product": ("product_id", "long", "user_id"), "session": ("session_id", "string", "category")}
+
+
+def feature_stream(events: DataFrame, kind: str, delay: str = "20 seconds", ttl_hours: int = 24 * 365) -> DataFrame:
+    """Running features of users, products or sessions at every event."""
+    key, key_type, member = FEATURES[kind]
+    rows = prepare(events, delay, key, "event_id", "action", "cents", member).withColumn(member, F.col(member).cast("string"))
+    return keyed(rows, key, RunningFeatures(key, member, ttl_hours), RunningFeatures.schema(key, key_type))
 
 
 def feature_streams(events: DataFrame, delay: str = "20 seconds") -> dict[str, DataFrame]:
     """User, product and session features as three streams keyed by event id."""
-    shapes = {"user": ("user_id", "long", "category"), "product": ("product_id", "long", "user_id"), "session": ("session_id", "string", "category")}
-    return {
-        name: keyed(events, key, RunningFeatures(key, member), RunningFeatures.schema(key, kind), delay)
-        for name, (key, kind, member) in shapes.items()
-    }
+    return {kind: feature_stream(events, kind, delay) for kind in FEATURES}
+
+
+def tier_by_spend(spent: Column, silver: float, gold: float) -> Column:
+    return F.when(spent >= gold, "GOLD").when(spent >= silver, "SILVER").otherwise("BRONZE")
 
 
 def behavior_states(events: DataFrame, silver: float = 500, gold: float = 2000, delay: str = "20 seconds") -> DataFrame:
     """Events and spend so far with the tier, at every event."""
-    tier = F.when(F.col("spent") >= gold, "GOLD").when(F.col("spent") >= silver, "SILVER").otherwise("BRONZE")
-    return feature_streams(events, delay)["user"].select(
-        "event_id", "user_id", "event_time", F.col("events").alias("total_events"), F.col("spent").alias("total_spent"), tier.alias("user_tier")
+    return feature_stream(events, "user", delay).select(
+        "event_id", "user_id", "event_time", F.col("events").alias("total_events"), F.col("spent").alias("total_spent"),
+        tier_by_spend(F.col("spent"), silver, gold).alias("user_tier"),
     )

@@ -1,7 +1,8 @@
 """Event-time window jobs. Every function takes a table or a stream.
 
-On a stream the watermark bounds the state; on a table it has no effect. Distinct counts are
-exact on tables; streams cannot count distinct exactly, so there they are approximate.
+On a stream the watermark bounds the state; on a table it has no effect. Distinct counts are exact on both: a stream first
+reduces rows to one per window, keys and counted value, and then counts those, as two stateful steps. Both drop a window once the
+watermark passes its end; the first holds one row per counted value of the open windows.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.measures import mean, ratio, total
+from tidewell.functions.measures import Measure, averaged, counted, extreme, mean, ratio, summed, total
 from tidewell.operators.ordering import top_k_per
 from tidewell.operators.scan import row_number, scan
 
@@ -22,10 +23,6 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def distinct(df: DataFrame, column: str) -> Column:
-    return F.approx_count_distinct(column, 0.02) if df.isStreaming else F.count_distinct(column)
-
-
 def windowed(df: DataFrame, by: Sequence[str], size: str, slide: str | None, delay: str, **aggregates: Column) -> DataFrame:
     """Group by time window and keys; the window's bounds come first."""
     window = F.window(TS, size, slide) if slide else F.window(TS, size)
@@ -35,6 +32,23 @@ def windowed(df: DataFrame, by: Sequence[str], size: str, slide: str | None, del
     )
 
 
+def windowed_distinct(
+    df: DataFrame, by: Sequence[str], size: str, slide: str | None, delay: str, name: str, column: str, **measures: Measure
+) -> DataFrame:
+    """Like ``windowed`` with mergeable measures, and ``name`` as the exact number of distinct values of ``column``; NULL is no value."""
+    parts = {f"__{m}_{p}": part for m, measure in measures.items() for p, part in measure.parts.items()}
+    merges = {f"__{m}_{p}": merge for m, measure in measures.items() for p, merge in measure.merges.items()}
+    window = (F.window(TS, size, slide) if slide else F.window(TS, size)).alias("window")
+    rows = df.withWatermark(TS, delay)
+    if df.isStreaming:
+        reduced = rows.groupBy(window, *by, F.col(column).alias("__value")).agg(*[part.alias(n) for n, part in parts.items()])
+        out = reduced.groupBy("window", *by).agg(F.count("__value").alias(name), *[merge(F.col(n)).alias(n) for n, merge in merges.items()])
+    else:
+        out = rows.groupBy(window, *by).agg(F.count_distinct(column).alias(name), *[part.alias(n) for n, part in parts.items()])
+    values = [measure.finish(lambda p, m=m: F.col(f"__{m}_{p}")).alias(m) for m, measure in measures.items()]
+    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, name, *values)
+
+
 def tumbling_counts(df: DataFrame, size: str = "1 minute", delay: str = "2 minutes") -> DataFrame:
     return windowed(df, ["event_type"], size, None, delay, event_count=_rows(), total_revenue=total("total_amount"))
 
@@ -69,9 +83,8 @@ def fraud_window(
     df: DataFrame, size: str = "5 minutes", delay: str = "5 minutes", max_count: int = 10, max_amount: float = 2000, max_ips: int = 3
 ) -> DataFrame:
     """Users with too many events, too much spend or too many addresses in a window."""
-    out = windowed(
-        df, ["user_id"], size, None, delay,
-        transaction_count=_rows(), window_amount=total("total_amount"), unique_ips=distinct(df, "ip_address"),
+    out = windowed_distinct(
+        df, ["user_id"], size, None, delay, "unique_ips", "ip_address", transaction_count=counted(), window_amount=summed("total_amount"),
     )
     many, much, ips = F.col("transaction_count") > max_count, F.col("window_amount") > max_amount, F.col("unique_ips") > max_ips
     return out.filter(many | much | ips).withColumn(
@@ -84,18 +97,17 @@ def tumble_revenue(df: DataFrame, size: str = "1 minute", delay: str = "30 secon
     kept = df.filter((F.col("price") > 0) & (F.col("quantity") > 0))
     if purchases_only:
         kept = kept.filter(F.col("action") == "purchase")
-    return windowed(
-        kept, ["category"], size, None, delay,
-        total_revenue=total("total_amount"), order_count=_rows(), unique_users=distinct(df, "user_id"),
-        avg_order_value=mean("total_amount"), max_order_value=F.max("total_amount"),
+    return windowed_distinct(
+        kept, ["category"], size, None, delay, "unique_users", "user_id", total_revenue=summed("total_amount"), order_count=counted(),
+        avg_order_value=averaged("total_amount"), max_order_value=extreme("total_amount", F.max),
     )
 
 
 def hourly_rollup(df: DataFrame, by: Sequence[str] = ("category",), delay: str = "30 seconds") -> DataFrame:
     kept = df.filter((F.col("price") > 0) & (F.col("quantity") > 0))
-    return windowed(
-        kept, list(by), "1 hour", None, delay,
-        total_revenue=total("total_amount"), order_count=_rows(), unique_users=distinct(df, "user_id"), avg_order_value=mean("total_amount"),
+    return windowed_distinct(
+        kept, list(by), "1 hour", None, delay, "unique_users", "user_id",
+        total_revenue=summed("total_amount"), order_count=counted(), avg_order_value=averaged("total_amount"),
     )
 
 
@@ -114,11 +126,10 @@ def rank_products(cells: DataFrame, k: int = 10) -> DataFrame:
 
 
 def product_popularity(df: DataFrame, size: str = "5 minutes", slide: str = "1 minute", delay: str = "20 seconds") -> DataFrame:
-    out = windowed(
-        df, ["product_id"], size, slide, delay,
-        views=F.count_if(F.col("action") == "view"), purchases=F.count_if(F.col("action") == "purchase"),
-        revenue=total(F.when(F.col("action") == "purchase", F.col("total_amount"))),
-        unique_users=distinct(df, "user_id"),
+    bought = F.col("action") == "purchase"
+    out = windowed_distinct(
+        df, ["product_id"], size, slide, delay, "unique_users", "user_id",
+        views=counted(F.col("action") == "view"), purchases=counted(bought), revenue=summed(F.when(bought, F.col("total_amount"))),
     )
     return out.withColumns(
         {"revenue": F.coalesce("revenue", F.lit(0.0)), "conversion_rate": ratio("purchases", "views")}
@@ -195,9 +206,8 @@ def behavior_patterns(
 def premium_analytics(enriched: DataFrame, size: str = "5 minutes", delay: str = "30 seconds") -> DataFrame:
     """Purchases per tier; rows without a known tier count as UNKNOWN."""
     bought = enriched.filter(F.col("action") == "purchase").withColumn("user_tier", F.coalesce("user_tier", F.lit("UNKNOWN")))
-    return windowed(
-        bought, ["user_tier"], size, None, delay,
-        total_revenue=total("total_amount"), avg_order_value=mean("total_amount"), user_count=distinct(enriched, "user_id"),
+    return windowed_distinct(
+        bought, ["user_tier"], size, None, delay, "user_count", "user_id", total_revenue=summed("total_amount"), avg_order_value=averaged("total_amount"),
     )
 
 
@@ -229,9 +239,9 @@ def cross_category(df: DataFrame, size: str = "1 hour", delay: str = "30 seconds
 
 def churn_signals(df: DataFrame, delay: str = "30 seconds", high: int = 3, medium: int = 7) -> DataFrame:
     """Activity span, gap per session and engagement of every user and day, with a risk level by count."""
-    out = windowed(
-        df, ["user_id"], "1 day", None, delay,
-        signal_timestamp=F.max(TS), first_event=F.min(TS), events=_rows(), sessions=distinct(df, "session_id"),
+    out = windowed_distinct(
+        df, ["user_id"], "1 day", None, delay, "sessions", "session_id",
+        signal_timestamp=extreme(TS, F.max), first_event=extreme(TS, F.min), events=counted(),
     )
     seconds = F.unix_seconds("signal_timestamp") - F.unix_seconds("first_event")
     return out.select(
@@ -254,7 +264,7 @@ def window_metadata(windows: DataFrame, key: str, kind: str = "tumbling") -> Dat
 def page_view_windows(df: DataFrame, size: str = "5 minutes", delay: str = "20 seconds") -> DataFrame:
     """Page views per user and window, read from the nested ``event`` struct."""
     views = df.filter(F.col("event.type") == "view").withColumn("page", F.col("event.page"))
-    return windowed(views, ["user_id"], size, None, delay, page_views=_rows(), unique_pages=distinct(df, "page"))
+    return windowed_distinct(views, ["user_id"], size, None, delay, "unique_pages", "page", page_views=counted())
 
 
 def user_amounts(df: DataFrame, size: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
