@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -228,17 +229,18 @@ def test_resampling_odd_rows(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="aB1 é-日\n", max_size=80), st.integers(1, 12))
-def test_pieces_of_a_text_hold_all_runs(text, piece):
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aB1 é-日\n", max_size=80)), min_size=1, max_size=4), st.integers(1, 12))
+def test_blocks_hold_all_features(texts, piece):
     before, resampling.PIECE = resampling.PIECE, piece
+    head, found = resampling.Head([b"a"], [(b"a", b"b")]), defaultdict(list)
     try:
-        words, pairs = [], []
-        for own, run in resampling.word_runs(text.encode()):
-            words += own
-            pairs += resampling.pairs_of(run)
+        for block in resampling.word_blocks(pa.array(texts, pa.string())):
+            words, pairs = head.features(block)
+            for n, row in enumerate(block.rows):
+                found[row] += words[max(block.bounds[n], block.seen) : block.bounds[n + 1]].tolist() + pairs[block.pair_bounds[n] : block.pair_bounds[n + 1]].tolist()
+                assert block.n_words[n] + block.seen == block.bounds[n + 1] - block.bounds[n]
     finally:
         resampling.PIECE = before
-    want = [w.encode() for w in ALNUM.findall(lower(text))]
-    assert words == want and pairs == list(zip(want, want[1:], strict=False))
-    head = resampling.Head([b"a"], [(b"a", b"b")])
-    assert all(head.pair_bucket(p) == zlib.crc32(b" ".join(p)) % 10000 for p in pairs)
+    for row, text in enumerate(texts):
+        w = ALNUM.findall(lower(text))
+        assert Counter(found[row]) == Counter(zlib.crc32(f.encode()) % 10000 for f in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))])

@@ -23,10 +23,12 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.llm import texthash
 from tidewell.llm.store import discard, stored
 
 BUCKETS = 10_000
@@ -34,26 +36,58 @@ HEAD_WORDS, HEAD_PAIRS = 1 << 14, 1 << 16
 TASK_HEAD = 1 << 12
 OPEN_COUNTS = 1 << 17
 PIECE = 1 << 20
-_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
 
 
-def word_runs(text: bytes | None) -> Iterator[tuple[list[bytes], list[bytes]]]:
-    """The words of a text piece by piece, with the words that follow each of them; the last of a text has none."""
-    plain = (text or b"").translate(_WORDS)
-    at, last = 0, None
-    while at < len(plain):
-        end = plain.find(b" ", at + PIECE)
-        end = len(plain) if end < 0 else end
-        words = plain[at:end].split()
-        at = end
-        if words:
-            firsts = words if last is None else [last, *words]
-            yield words, firsts
-            last = words[-1]
+class Block:
+    """The words of some texts, or of a piece of one text: hashes, lower-case bytes and places.
 
+    ``rows`` are the texts' numbers in their batch. A later piece of a text begins with the last word of the piece before, for the pair across the
+    cut; ``seen`` tells that this word has been counted.
+    """
 
-def pairs_of(run: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-    return zip(run, run[1:], strict=False)
+    def __init__(self, rows: np.ndarray, data: np.ndarray, offsets: np.ndarray, seen: bool):
+        self.rows, self.seen = rows, int(seen)
+        self.data = _LOWER[data]
+        self.starts, self.ends, self.bounds = texthash.words(self.data, offsets, texthash.ALNUM)
+        self.hashes = texthash.word_hashes(self.data, self.starts, self.ends, False)
+        counts = np.diff(self.bounds)
+        pairs = np.maximum(counts - 1, 0)
+        self.firsts = texthash.spans(self.bounds[:-1], pairs)
+        self.pair_bounds = np.concatenate(([0], np.cumsum(pairs)))
+        self.pair_keys = pair_keys(self.hashes[self.firsts], self.hashes[self.firsts + 1])
+        self.n_words = counts - self.seen
+        self.n_pairs = pairs
+        self._bytes = None
+
+    def word(self, k: int) -> bytes:
+        if self._bytes is None:
+            self._bytes = self.data.tobytes()
+        return self._bytes[self.starts[k] : self.ends[k]]
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A hash of two words from theirs."""
+    return texthash.mix(first * np.uint64(0x9E3779B97F4A7C15) + texthash.mix(second))
+
+
+def word_blocks(column: pa.Array) -> Iterator[Block]:
+    """The words of all texts of an Arrow column; texts longer than ``PIECE`` bytes come in pieces that end between words."""
+    for low, high, data, offsets in texthash.blocks(column, PIECE):
+        if high - low > 1 or len(data) <= 2 * PIECE:
+            yield Block(np.arange(low, high), data, offsets, False)
+            continue
+        at = begin = 0
+        while at < len(data):
+            end = min(at + PIECE, len(data))
+            while end < len(data) and texthash.ALNUM[data[end]]:
+                outside = np.flatnonzero(~texthash.ALNUM[data[end : end + 4096]])
+                end = end + int(outside[0]) if len(outside) else min(end + 4096, len(data))
+            block = Block(np.array([low]), data[begin:end], np.array([0, end - begin]), begin < at)
+            yield block
+            # The next piece begins at the last word of this one, if it has any.
+            begin = begin + int(block.starts[-1]) if len(block.starts) else end
+            at = end
 
 
 def pair_crc(state: int, second: bytes) -> int:
@@ -61,41 +95,57 @@ def pair_crc(state: int, second: bytes) -> int:
     return zlib.crc32(second, zlib.crc32(b" ", state))
 
 
-class Head:
-    """CRC states of frequent words and buckets of frequent pairs."""
-
-    def __init__(self, words: list[bytes], pairs: list[tuple[bytes, bytes]], buckets: int = BUCKETS):
-        self.buckets = buckets
-        self.states = {w: zlib.crc32(w) for w in words}
-        self.pairs = {p: pair_crc(self.state(p[0]), p[1]) % buckets for p in pairs}
-
-    def state(self, word: bytes) -> int:
-        known = self.states.get(word)
-        return zlib.crc32(word) if known is None else known
+class Lookup:
+    """Values by 64-bit key, from sorted arrays."""
 
-    def word_bucket(self, word: bytes) -> int:
-        return self.state(word) % self.buckets
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.values = keys[order], values[order]
 
-    def pair_bucket(self, pair: tuple[bytes, bytes]) -> int:
-        known = self.pairs.get(pair)
-        return pair_crc(self.state(pair[0]), pair[1]) % self.buckets if known is None else known
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values, places of the keys that are not there)."""
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=np.int64), np.arange(len(keys))
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.values[at], np.flatnonzero(self.keys[at] != keys)
 
 
-class Gains(dict):
-    """Gain by feature: the head's are stored, those of the tail are found from their CRC each time."""
-
-    def __init__(self, known: dict, bucket, gains: list[int]):
-        super().__init__((feature, gains[bucket(feature)]) for feature in known)
-        self.bucket, self.gains = bucket, gains
-
-    def __missing__(self, feature) -> int:
-        return self.gains[self.bucket(feature)]
-
+class Head:
+    """CRC states of frequent words and buckets of frequent pairs; everything else takes its CRC directly. Words are told apart by 64-bit hashes."""
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes | None]:
-    for batch in batches:
-        for text in batch.column("text"):
-            yield text.as_py()
+    def __init__(self, words: list[bytes], pairs: list[tuple[bytes, bytes]], buckets: int = BUCKETS):
+        self.buckets = buckets
+        states = np.array([zlib.crc32(w) for w in words], dtype=np.int64)
+        self.states = Lookup(self._hashes(words), states)
+        first, second = self._hashes([p[0] for p in pairs]), self._hashes([p[1] for p in pairs])
+        self.pairs = Lookup(pair_keys(first, second), np.array([pair_crc(zlib.crc32(a), b) % buckets for a, b in pairs], dtype=np.int64))
+
+    @staticmethod
+    def _hashes(words: list[bytes]) -> np.ndarray:
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        data = np.frombuffer(b"".join(words), dtype=np.uint8)
+        return texthash.word_hashes(data, ends - [len(w) for w in words], ends, False) if words else np.zeros(0, np.uint64)
+
+    def features(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of a block's words and of its pairs."""
+        states, tail = self.states.find(block.hashes)
+        if len(tail):
+            _, one, which = np.unique(block.hashes[tail], return_index=True, return_inverse=True)
+            states[tail] = np.array([zlib.crc32(block.word(k)) for k in tail[one].tolist()], dtype=np.int64)[which]
+        pairs, tail = self.pairs.find(block.pair_keys)
+        if len(tail):
+            _, one, which = np.unique(block.pair_keys[tail], return_index=True, return_inverse=True)
+            firsts = block.firsts[tail[one]].tolist()
+            direct = [pair_crc(state, block.word(k + 1)) for state, k in zip(states[firsts].tolist(), firsts, strict=True)]
+            pairs[tail] = np.array(direct, dtype=np.int64)[which] % self.buckets
+        return states % self.buckets, pairs
+
+
+def _most(keys: np.ndarray, keep: int) -> list[tuple[int, int]]:
+    """(a place of the key, its count) of the most frequent keys."""
+    _, one, n = np.unique(keys, return_index=True, return_counts=True)
+    best = np.argpartition(n, len(n) - keep)[len(n) - keep :] if len(n) > keep else np.arange(len(n))
+    return list(zip(one[best].tolist(), n[best].tolist(), strict=True))
 
 
 def _pruned(counts: Counter, keep: int) -> Counter:
@@ -103,23 +153,27 @@ def _pruned(counts: Counter, keep: int) -> Counter:
 
 
 def find_head(texts: DataFrame, words: int = HEAD_WORDS, pairs: int = HEAD_PAIRS) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
-    """The most frequent words and pairs of a table of binary ``text``.
+    """The most frequent words and pairs of a table of ``text``.
 
-    A task hands on its ``TASK_HEAD`` most frequent words and four times as many pairs, from counts that are pruned when they outgrow
-    ``OPEN_COUNTS``; sums over the tasks decide. Which features make the head has no effect on any result.
+    Every block of every text counts for its most frequent ones; a task hands on its ``TASK_HEAD`` most frequent words and four times as many pairs
+    from counts that are pruned when they outgrow ``OPEN_COUNTS``, and sums over the tasks decide. Which features make the head has no
+    effect on any result.
     """
     schema = "width int, first binary, second binary, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single, double = Counter(), Counter()
-        for text in _texts(batches):
-            for own, run in word_runs(text):
-                single.update(own)
-                double.update(pairs_of(run))
-            if len(single) > OPEN_COUNTS:
-                single = _pruned(single, TASK_HEAD * 4)
-            if len(double) > OPEN_COUNTS:
-                double = _pruned(double, TASK_HEAD * 8)
+        for batch in batches:
+            for block in word_blocks(batch.column("text")):
+                for k, n in _most(block.hashes[block.seen :], TASK_HEAD):
+                    single[block.word(k + block.seen)] += n
+                for k, n in _most(block.pair_keys, 4 * TASK_HEAD):
+                    first = int(block.firsts[k])
+                    double[block.word(first), block.word(first + 1)] += n
+                if len(single) > OPEN_COUNTS:
+                    single = _pruned(single, TASK_HEAD * 4)
+                if len(double) > OPEN_COUNTS:
+                    double = _pruned(double, TASK_HEAD * 8)
         one, two = single.most_common(TASK_HEAD), double.most_common(4 * TASK_HEAD)
         yield pa.RecordBatch.from_arrays(
             [
@@ -129,36 +183,24 @@ def find_head(texts: DataFrame, words: int = HEAD_WORDS, pairs: int = HEAD_PAIRS
             names=["width", "first", "second", "n"],
         )
 
-    sums = texts.mapInArrow(count, schema).groupBy("width", "first", "second").agg(F.sum("n").alias("n"))
-    best = F.row_number().over(Window.partitionBy("width").orderBy(F.col("n").desc(), "first", "second"))
-    rows = sums.withColumn("place", best).filter(F.col("place") <= F.when(F.col("width") == 1, words).otherwise(pairs)).collect()
-    return [bytes(r["first"]) for r in rows if r["width"] == 1], [(bytes(r["first"]), bytes(r["second"])) for r in rows if r["width"] == 2]
+    sums = stored(texts.mapInArrow(count, schema).groupBy("width", "first", "second").agg(F.sum("n").alias("n")), "resample-head")
+    order = (F.col("n").desc(), "first", "second")
+    single, double = (sums.filter(F.col("width") == w).orderBy(*order).limit(keep).collect() for w, keep in ((1, words), (2, pairs)))
+    discard(sums)
+    return [bytes(r["first"]) for r in single], [(bytes(r["first"]), bytes(r["second"])) for r in double]
 
 
 def bucket_totals(texts: DataFrame, head, buckets: int) -> DataFrame:
-    """(bucket, n): how many features of a table of binary ``text`` fall into each bucket that has any."""
+    """(bucket, n): how many features of a table of ``text`` fall into each bucket that has any."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, totals = head.value, [0] * buckets
-        single, double = Counter(), Counter()
-
-        def flush(counts: Counter, bucket) -> None:
-            for feature, n in counts.items():
-                totals[bucket(feature)] += n
-            counts.clear()
-
-        for text in _texts(batches):
-            for own, run in word_runs(text):
-                single.update(own)
-                double.update(pairs_of(run))
-                if len(single) > OPEN_COUNTS:
-                    flush(single, known.word_bucket)
-                if len(double) > OPEN_COUNTS:
-                    flush(double, known.pair_bucket)
-        flush(single, known.word_bucket)
-        flush(double, known.pair_bucket)
-        filled = [b for b in range(buckets) if totals[b]]
-        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array([totals[b] for b in filled], pa.int64())], names=["bucket", "n"])
+        totals = np.zeros(buckets, dtype=np.int64)
+        for batch in batches:
+            for block in word_blocks(batch.column("text")):
+                words, pairs = head.value.features(block)
+                totals += np.bincount(words[block.seen :], minlength=buckets) + np.bincount(pairs, minlength=buckets)
+        filled = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(totals[filled], pa.int64())], names=["bucket", "n"])
 
     return texts.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
@@ -183,35 +225,31 @@ def noise(ident: Column, seed: int) -> Column:
 def scored(documents: DataFrame, target: DataFrame, buckets: int, seed: int, id_column: str, text_column: str, target_column: str) -> DataFrame:
     """(doc_id, key, n_words, n_features, weight, score) of every document, as a stored table. ``key`` is a hash of the text."""
     spark = documents.sparkSession
-    own = F.col(f"`{text_column}`").cast("binary").alias("text")
-    wanted = target.select(F.col(f"`{target_column}`").cast("binary").alias("text"))
-    head = spark.sparkContext.broadcast(Head(*find_head(documents.select(own)), buckets))
-    totals = stored(bucket_totals(documents.select(own), head, buckets), "resample-totals")
+    own, wanted = documents.select(F.col(f"`{text_column}`").cast("string").alias("text")), target.select(F.col(f"`{target_column}`").cast("string").alias("text"))
+    head = spark.sparkContext.broadcast(Head(*find_head(own), buckets))
+    totals = stored(bucket_totals(own, head, buckets), "resample-totals")
     rows = bucket_gains(totals, bucket_totals(wanted, head, buckets), buckets).collect()
-    gains = [0] * buckets
-    for r in rows:
-        gains[r["bucket"]] = r["gain"]
+    gains = np.zeros(buckets, dtype=np.int64)
+    gains[[r["bucket"] for r in rows]] = [r["gain"] for r in rows]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = head.value
-        singles, doubles = Gains(known.states, known.word_bucket, gains), Gains(known.pairs, known.pair_bucket, gains)
         for batch in batches:
-            n_words, n_features, weights = [], [], []
-            for text in batch.column("text"):
-                words = pairs = total = 0
-                for own_words, run in word_runs(text.as_py()):
-                    words, pairs = words + len(own_words), pairs + len(run) - 1
-                    total += sum(map(singles.__getitem__, own_words)) + sum(map(doubles.__getitem__, pairs_of(run)))
-                n_words.append(words)
-                n_features.append(words + pairs)
-                weights.append(total // (words + pairs) if words else 0)
+            n_words, n_features, total = np.zeros((3, batch.num_rows), dtype=np.int64)
+            for block in word_blocks(batch.column("text")):
+                words, pairs = head.value.features(block)
+                worth = gains[words]
+                worth[: block.seen] = 0
+                n_words[block.rows] += block.n_words
+                n_features[block.rows] += block.n_words + block.n_pairs
+                total[block.rows] += texthash.sums(worth, block.bounds) + texthash.sums(gains[pairs], block.pair_bounds)
+            weights = np.where(n_features > 0, total // np.maximum(n_features, 1), 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(n_words, pa.int64()), pa.array(n_features, pa.int64()), pa.array(weights, pa.int64())],
+                [batch.column("doc_id"), batch.column("key"), *[pa.array(x, pa.int64()) for x in (n_words, n_features, weights)]],
                 names=["doc_id", "key", "n_words", "n_features", "weight"],
             )
 
-    ident = F.col(f"`{id_column}`").cast("long").alias("doc_id")
-    rows = documents.select(ident, F.xxhash64(F.col(f"`{text_column}`").cast("string")).alias("key"), own)
+    ident, text = F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").cast("string")
+    rows = documents.select(ident, F.xxhash64(text).alias("key"), text.alias("text"))
     result = rows.mapInArrow(score, "doc_id long, key long, n_words long, n_features long, weight long")
     result = stored(result.withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed)), "resample-scores")
     discard(totals)
