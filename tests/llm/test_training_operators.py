@@ -321,7 +321,7 @@ def test_lines(documents, texts):
     first, union = {}, Union()
     for doc in sorted(texts):
         for place, line in enumerate(texts[doc].split("\n")):
-            if line.strip(" "):
+            if line.strip(lines.WHITE):
                 first.setdefault(line, (doc, place))
     runs = {x: {x[i : i + 5] for i in range(len(x) - 4)} or {x} for x in first}
     holders = defaultdict(list)
@@ -336,7 +336,7 @@ def test_lines(documents, texts):
                 union.join(first[x], first[y])
     wrong = 0
     for r in lines.lines_deduplicated(documents).collect():
-        kept = [x for place, x in enumerate(texts[r["doc_id"]].split("\n")) if not x.strip(" ") or union.root(first[x]) == (r["doc_id"], place)]
+        kept = [x for place, x in enumerate(texts[r["doc_id"]].split("\n")) if not x.strip(lines.WHITE) or union.root(first[x]) == (r["doc_id"], place)]
         wrong += r["text"] != "\n".join(kept)
         assert r["n_chars"] == len(r["text"])
     assert wrong <= 1  # a search by signatures may miss a link

@@ -1,15 +1,18 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line's shingles are all its runs of ``SHINGLE_CHARS`` characters; a shorter line is its own run. Its sketch is the ``SKETCH`` least hashes
-of them, and a band is ``BAND_ROWS`` neighbours in the sorted sketch, so one sort gives all bands. Lines that share a band are candidates.
-They are verified by the exact Jaccard similarity of all their shingles, linked lines are joined by distributed union-find, and the first
-line of each component, by document id and place, stays. Equal lines are one line from the start. Pairs at a similarity of 0.8 share a band with
-a probability of about 0.99 where their sets exceed the sketch.
-
-Lines are separated by line feeds. Blank lines always stay. A null text stays null and has no lines; an empty one has one blank line. A
-document that loses all its lines keeps its row, with an empty text. Rows without an id are neither searched nor changed. Rows that share
-id and text are treated alike. An empty table gives no rows. All columns of the input are returned; ``n_chars``, where it is there,
-follows the text. Lines are identified by 64-bit hashes.
+The similarity of two lines is the exact Jaccard similarity of all their runs of ``SHINGLE_CHARS`` characters; a shorter line is its own run.
+Candidates come from sketches: the least hashes of a line's runs, in ascending order, with neighbouring triples as bands, so one sort
+gives all bands. A long line is sketched on runs of ``ANCHOR_CHARS`` characters that begin at its words, a sample of a sixth of its places that
+an edit moves with the text; a line with few such runs, because it is short, repetitive or has no spaces, is sketched on all its runs of
+``SHINGLE_CHARS``. Lines of ``FEW`` to ``MANY`` anchors have both kinds of bands, so similar lines always share a kind. Lines that share a band
+are candidates; they are verified on all their runs, linked lines are joined by distributed union-find, and the first line of each
+component, by document id and place, stays. Equal lines are one line from the start.
+
+Lines are separated by line feeds. Lines of white space alone, a carriage return included, always stay. A null text stays null and has no
+lines; an empty one has one blank line. Very long lines and texts are read whole. A document that loses all its lines keeps its row, with
+an empty text. Rows without an id are neither searched nor changed. Rows that share id and text are treated alike; of lines at the same place of
+different texts under one id the least by text hash comes first. An empty table gives no rows. The columns of the input stay, but for those
+named like an added one, which are replaced; ``n_chars``, where it is there, follows the text. Lines are identified by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -19,64 +22,91 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.store import cluster, discard, stored
 
-SHINGLE_CHARS, SKETCH, BAND_ROWS = 5, 16, 3
-ALL_RUNS = rf"(?s)(?=(.{{{SHINGLE_CHARS}}}))"
+SHINGLE_CHARS, ANCHOR_CHARS = 5, 8
+FEW, MANY = 24, 36
+SKETCH, ANCHOR_SKETCH, BAND_ROWS = 16, 24, 3
+WHITE = " \t\r\x0b\x0c"
+ADDED = ("lines_in", "lines_dropped")
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
     """(doc_id, key, place, line) of all lines that are not blank."""
     found = documents.filter("doc_id is not null").select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return found.filter(F.trim("line") != "")
+    return found.filter(F.trim("line", F.lit(WHITE)) != "")
 
 
-def shingles(line: str) -> Column:
-    """The distinct hashes of a line's shingles."""
-    runs = F.when(F.char_length(line) >= SHINGLE_CHARS, F.regexp_extract_all(line, F.lit(ALL_RUNS), F.lit(1))).otherwise(F.array(line))
-    return F.array_distinct(F.transform(runs, lambda s: F.xxhash64(s)))
+def once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, although it is used inside a lambda."""
+    return F.transform(F.array(value), body)[0]
 
 
-def sketched(lines: DataFrame) -> DataFrame:
-    """The rows with ``n``, the number of their ``line``'s shingles, and ``sketch``, the least hashes of them in ascending order."""
-    sets = lines.withColumn("set", shingles("line"))
-    return sets.withColumns({"n": F.size("set"), "sketch": F.slice(F.sort_array("set"), 1, SKETCH)}).drop("set")
+def runs(line: str, chars: int = SHINGLE_CHARS) -> Column:
+    """Hashes of all runs of ``chars`` characters, cut from four bytes per character; a shorter line is one run."""
+    last = lambda b: F.greatest(F.octet_length(b) - 4 * chars + 1, F.lit(1))
+    return once(F.encode(line, "UTF-32"), lambda b: F.transform(F.sequence(F.lit(1), last(b), F.lit(4)), lambda at: F.xxhash64(F.substring(b, at, F.lit(4 * chars)))))
 
 
-def bands() -> Column:
-    """Hashes of all neighbouring triples of ``sketch``; a shorter sketch is one band.
+def anchors(line: str) -> Column:
+    """Hashes of the runs of ``ANCHOR_CHARS`` characters that begin at a word, as far as three words reach."""
+    ahead = lambda w, x, i: F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2))
+    return once(F.split(line, " "), lambda w: F.transform(w, lambda x, i: F.xxhash64(F.substring(ahead(w, x, i), 1, ANCHOR_CHARS))))
 
-    Whole sets at a similarity of 0.8 have three neighbours in common, but for four of five shingles: those get all bands of four, too.
+
+def bands(sketch: str, size: int, seed: int) -> Column:
+    """Hashes of all neighbouring triples of a sketch; a shorter sketch is one band, an empty one has none.
+
+    Whole sets at a similarity of 0.8 have three neighbours in common, but for four of five members: those get all bands of four, too.
     """
-    triple = [F.xxhash64(*[F.get("sketch", F.lit(k + j)) for j in range(BAND_ROWS)]) for k in range(SKETCH - BAND_ROWS + 1)]
-    size = F.size("sketch")
-    full = F.slice(F.array(*triple), F.lit(1), F.greatest(size - (BAND_ROWS - 1), F.lit(1)))
-    four = [F.xxhash64(*[F.get("sketch", F.lit(j)) for j in range(5) if j != k]) for k in range(5)]
-    return F.when(size == 5, F.concat(full, F.array(*four))).when(size == 4, F.concat(full, F.array(four[4]))).otherwise(full)
+    def hashed(places) -> Column:
+        return F.xxhash64(F.lit(seed), *[F.get(sketch, F.lit(k)) for k in places])
+
+    n = F.size(sketch)
+    triples = F.array(*[hashed(range(k, k + BAND_ROWS)) for k in range(size - BAND_ROWS + 1)])
+    full = F.slice(triples, F.lit(1), F.greatest(n - (BAND_ROWS - 1), F.lit(1)))
+    four = [hashed([j for j in range(5) if j != k]) for k in range(5)]
+    return F.when(n == 5, F.concat(full, F.array(*four))).when(n == 4, F.concat(full, F.array(four[4]))).when(n == 0, F.array().cast("array<long>")).otherwise(full)
+
+
+def banded(lines: DataFrame) -> DataFrame:
+    """The rows without ``line``, with their ``bands``."""
+    none = F.array().cast("array<long>")
+    least = lambda hashes, size: F.slice(F.sort_array(F.array_distinct(hashes)), 1, size)
+    other = [c for c in lines.columns if c != "line"]
+    found = lines.withColumn("anchors", F.array_distinct(anchors("line")))
+    few, many = F.size("anchors") < MANY, F.size("anchors") >= FEW
+    sketched = found.select(
+        *other, F.when(few, least(runs("line"), SKETCH)).otherwise(none).alias("dense"), F.when(many, least(F.col("anchors"), ANCHOR_SKETCH)).otherwise(none).alias("sparse")
+    )
+    return sketched.select(*other, F.concat(bands("dense", SKETCH, 1), bands("sparse", ANCHOR_SKETCH, 2)).alias("bands"))
+
+
+def similar(a: str, b: str, percent: int) -> Column:
+    """Whether two lines are similar enough, from all their runs."""
+    def enough(x, y):
+        return lambda common: F.lit(100) * common >= F.lit(percent) * (F.size(x) + F.size(y) - common)
+
+    return once(F.array_distinct(runs(a)), lambda x: once(F.array_distinct(runs(b)), lambda y: once(F.size(F.array_intersect(x, y)), enough(x, y))))
 
 
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
-    lines = sketched(lines_of(documents)).select("doc_id", "key", "place", F.xxhash64("line").alias("id"), "n", bands().alias("bands"))
-    first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "lines", free=True)
-
-    def lengths_allow(a: str, b: str) -> Column:
-        """Sets whose sizes are further apart cannot be similar enough."""
-        return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+    lines = banded(lines_of(documents).withColumn("id", F.xxhash64("line")))
+    first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("bands").alias("bands")), "lines", free=True)
 
     def with_texts(seen: DataFrame):
         at = first.join(seen.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "first.doc_id", "first.key", "first.place")
         wanted = at.groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "id")).alias("wanted"))
-        texts = documents.dropDuplicates(["doc_id", "key"]).join(wanted, ["doc_id", "key"]).withColumn("all", F.split("text", "\n"))
-        sets = texts.select(F.explode("wanted").alias("w"), "all").select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line"))
-        sets = stored(sets.select("id", shingles("line").alias("set")), "line-sets", free=True)
+        texts = documents.join(wanted, ["doc_id", "key"]).select(F.explode("wanted").alias("w"), F.split("text", "\n").alias("all"))
+        texts = texts.select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line")).dropDuplicates(["id"])
+        texts = stored(texts, "line-texts", free=True)
 
         def confirm(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
-            sized = both.select("u", "v", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("common"))
-            return sized.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("u", "v")
+            both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v")
+            return both.filter(similar("a", "b", percent)).select("u", "v")
 
-        return confirm, [sets]
+        return confirm, [texts]
 
-    linked = cluster(first.select(F.col("id").alias("rep"), "n", F.explode("bands").alias("key")), lengths_allow, with_texts)
+    linked = cluster(first.select(F.col("id").alias("rep"), F.lit(0).alias("n"), F.explode("bands").alias("key")), lambda a, b: F.lit(True), with_texts)
     named = first.select("id", "first").join(linked, "id", "left").select("id", "first", F.coalesce("component", "id").alias("component"))
     keeper = named.groupBy("component").agg(F.min("first").alias("keeper"))
     keepers = named.join(keeper, "component").select("id", "keeper.doc_id", "keeper.place").toDF("id", "keep_doc", "keep_place")
@@ -89,18 +119,28 @@ def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
 
 def lines_deduplicated(documents: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without repeated lines, with the columns they came with, and two more: ``lines_in`` and ``lines_dropped``."""
+    out = _shortened(documents, percent, id_column, text_column)
+    return out.select(*[F.col(f"`{c}`") for c in documents.columns if c not in ADDED], F.col("__in").alias("lines_in"), F.col("__dropped").alias("lines_dropped"))
+
+
+def without_repeated_lines(documents: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents without repeated lines, with exactly the columns they came with."""
+    return _shortened(documents, percent, id_column, text_column).select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def _shortened(documents: DataFrame, percent: int, id_column: str, text_column: str) -> DataFrame:
     text = F.col(f"`{text_column}`")
-    plain = documents.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.cast("string").alias("text"))
+    key = F.xxhash64(F.coalesce(text, F.lit("")))
+    plain = documents.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), key.alias("key"), text.cast("string").alias("text"))
     drops = duplicate_lines(plain, percent)
     per_document = drops.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_set("place").alias("__drops"))
-    joined = documents.withColumn("__key2", F.xxhash64(F.coalesce(text, F.lit("")))).join(
+    joined = documents.withColumn("__key2", key).join(
         per_document, (F.col(f"`{id_column}`").cast("long") == F.col("__id")) & (F.col("__key2") == F.col("__key")), "left"
     )
     parts = F.split(text, "\n")
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__drops")), lambda k: F.get(parts, k)), "\n")
-    out = joined.withColumn("lines_in", F.coalesce(F.size(parts), F.lit(0))).withColumn("lines_dropped", F.coalesce(F.size("__drops"), F.lit(0)))
-    out = out.withColumn("lines_in", F.when(text.isNull(), 0).otherwise(F.col("lines_in"))).withColumn("lines_dropped", F.greatest("lines_dropped", F.lit(0)))
-    out = out.withColumn(text_column, F.when(F.col("lines_dropped") > 0, kept).otherwise(text))
+    kept = once(parts, lambda p: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("__drops")), lambda k: F.get(p, k)), "\n"))
+    out = joined.withColumn("__in", F.when(text.isNull(), 0).otherwise(F.size(parts))).withColumn("__dropped", F.when(F.col("__drops").isNull(), 0).otherwise(F.size("__drops")))
+    out = out.withColumn(text_column, F.when(F.col("__dropped") > 0, kept).otherwise(text))
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.char_length(text).cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in documents.columns], "lines_in", "lines_dropped")
+        out = out.withColumn("n_chars", F.when(F.col("__dropped") > 0, F.char_length(text).cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out
