@@ -209,11 +209,13 @@ def enrich_static(stream: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataF
     return stream.join(dim, list(on), "left")
 
 
-def salted_agg(df: DataFrame, keys: Sequence[str], partial: dict[str, Column], final: dict[str, Column], salts: int = 32) -> DataFrame:
+def salted_agg(df: DataFrame, keys: Sequence[str], partial: dict[str, Column], final: dict[str, Column], salts: int = 32, row_id: Sequence[str] = ()) -> DataFrame:
     """Two-phase aggregation over (keys, salt) and then keys, for aggregates without map-side combine.
 
-    The salt is a hash of the whole row: the same after every retry. Copies of one row share a salt.
+    The salt is a hash of ``row_id``, columns that tell rows apart, and so the same after every retry. Without them it is a hash of the whole
+    row, and copies of one row share a salt.
     """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)))
+    columns = list(row_id) or df.columns
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(salts)))
     first = salted.groupBy(*keys, "__salt").agg(*[c.alias(n) for n, c in partial.items()])
     return first.groupBy(*keys).agg(*[c.alias(n) for n, c in final.items()])

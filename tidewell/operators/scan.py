@@ -31,11 +31,24 @@ def hot_limit(df: DataFrame) -> int:
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group; only partial counts are shuffled."""
-    if not keys:
-        return df.count()
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return top or 0
+    """Rows in the largest group; only partial counts are shuffled.
+
+    Scans add columns and no rows, so a scan of a scan counts the frame that the first one began with, without what was computed since, and
+    groups by the same keys are counted once.
+    """
+    root = df.__dict__.get("_scanned", df)
+    root = root if set(keys) <= set(root.columns) else df
+    sizes = root.__dict__.setdefault("_group_sizes", {})
+    name = tuple(sorted(keys))
+    if name not in sizes:
+        sizes[name] = (root.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0) if keys else root.count()
+    return sizes[name]
+
+
+def _from(df: DataFrame, out: DataFrame) -> DataFrame:
+    """``out`` as a frame with the rows of ``df`` and further columns."""
+    out._scanned = df.__dict__.get("_scanned", df)
+    return out
 
 
 def sort_columns(order: Sequence[str]) -> list[Column]:
@@ -152,10 +165,11 @@ def scan(
     keys = list(keys)
     limit = hot_limit(df) if hot_rows is None else hot_rows
     if bounded or largest_group(df, keys) <= limit:
+        out = df
         for step in steps:
-            df = _plain(df, keys, order, step)
-        return df
-    return _blocked(df, keys, order, steps)
+            out = _plain(out, keys, order, step)
+        return _from(df, out)
+    return _from(df, _blocked(df, keys, order, steps))
 
 
 def _plain(df, keys, order, step):
@@ -341,7 +355,7 @@ def range_totals(
     limit = hot_limit(df) if hot_rows is None else hot_rows
     if largest_group(df, keys) <= limit:
         window = Window.partitionBy(*keys).orderBy(seconds)
-        return df.withColumns({n: F.sum(v).over(window.rangeBetween(-s, 0)) for n, (v, s) in spans.items()})
+        return _from(df, df.withColumns({n: F.sum(v).over(window.rangeBetween(-s, 0)) for n, (v, s) in spans.items()}))
     for name, (value, span) in spans.items():
         value = F.col(value) if isinstance(value, str) else value
         columns = [F.col(c) for c in df.columns]

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.ordering import top_k_per
 
-QUERY_CHUNK = 2048
+BLOCK = 8192
+CHUNK_CELLS = 1 << 21
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -20,49 +21,54 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Exact cosine top-k: (query_id, id, score, rank).
+def _matrix(table: pa.Table) -> np.ndarray:
+    return _unit(np.array(table["vector"].to_pylist(), dtype=np.float64))
 
-    ``queries`` is the set of searches, not a table of data. Query vectors travel to the tasks in chunks of ``QUERY_CHUNK``; each Arrow batch of
-    vectors yields its own best ``k`` per query by one matrix product, and a grouped top-k
-    merges those, so only k rows per query and batch are shuffled.
+
+def _best_of_block(searches: pa.Table, rows: pa.Table, k: int) -> pa.Table:
+    """The best ``k`` rows of a block per search of a block: best score first and the smaller id on a tie."""
+    if not searches.num_rows or not rows.num_rows:
+        empty = pa.table({"query_id": searches["id"], "id": searches["id"], "score": pa.nulls(searches.num_rows, pa.float64())}).slice(0, 0)
+        return pa.table({"query_id": empty["query_id"], "id": rows["id"].slice(0, 0), "score": empty["score"]})
+    rows = rows.sort_by("id")
+    left, right = _matrix(searches), _matrix(rows)
+    step = max(1, CHUNK_CELLS // rows.num_rows)
+    places, scores = [], []
+    for low in range(0, len(left), step):
+        near = np.round(left[low : low + step] @ right.T, 10)
+        order = np.argsort(-near, axis=1, kind="stable")[:, :k]
+        places.append(order)
+        scores.append(np.take_along_axis(near, order, axis=1))
+    places, scores = np.concatenate(places), np.concatenate(scores)
+    at = pa.array(np.repeat(np.arange(searches.num_rows), places.shape[1]))
+    return pa.table({"query_id": searches["id"].take(at), "id": rows["id"].take(pa.array(places.ravel())), "score": pa.array(scores.ravel())})
+
+
+def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """Exact cosine top-k: (query_id, id, score, rank), for any number of searches.
+
+    Searches and vectors are dealt to blocks of about ``block`` rows by a hash of the id. Every block of searches meets every block of vectors in a task
+    of its own, which does one matrix product a few searches at a time and keeps the best ``k`` per search; a grouped top-k merges those. A vector is
+    shuffled once per block of searches and a search once per block of vectors. Rows without a vector take no part; a zero vector scores 0.
     """
-    total = queries.count()
-    chunks = max(1, -(-total // QUERY_CHUNK))
-    place = F.pmod(F.xxhash64(id_column), F.lit(chunks))
-    id_type = vectors.schema[id_column].dataType.simpleString()
-    query_type = queries.schema[id_column].dataType.simpleString()
-    schema = f"query_id {query_type}, {id_column} {id_type}, score double"
-    parts = []
-    for chunk in range(chunks):
-        rows = queries.filter(place == chunk).select(id_column, vector).collect()
-        if not rows:
-            continue
-        ids = [r[0] for r in rows]
-        matrix = _unit(np.array([r[1] for r in rows], dtype=np.float64))
-
-        def best(batches: Iterator[pd.DataFrame], ids=ids, matrix=matrix) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                batch = batch[batch[vector].notna()]
-                if batch.empty:
-                    continue
-                names = batch[id_column].to_numpy()
-                scores = matrix @ _unit(np.stack(batch[vector].to_numpy()).astype(np.float64)).T
-                scores = np.round(scores, 10)
-                # Best score first and the smaller id on a tie.
-                order = np.lexsort((np.broadcast_to(names, scores.shape), -scores), axis=1)[:, :k]
-                yield pd.DataFrame(
-                    {
-                        "query_id": np.repeat(np.array(ids), order.shape[1]),
-                        id_column: names[order.ravel()],
-                        "score": np.take_along_axis(scores, order, axis=1).ravel(),
-                    }
-                )
-
-        parts.append(vectors.select(id_column, vector).mapInPandas(best, schema))
-    if not parts:
-        return vectors.sparkSession.createDataFrame([], f"{schema}, rank int")
-    return top_k_per(reduce(lambda a, b: a.union(b), parts), ["query_id"], ["-score", id_column], k)
+    def blocks_of(df: DataFrame) -> int:
+        return max(1, -(-df.count() // block))
+
+    n_rows, n_searches = blocks_of(vectors), blocks_of(queries)
+
+    def dealt(df: DataFrame, seed: int, own: int, others: int, cell) -> DataFrame:
+        side = df.filter(F.col(vector).isNotNull()).select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+        met = side.withColumns({"own": F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(own)), "other": F.explode(F.sequence(F.lit(0), F.lit(others - 1)))})
+        # New names, as both sides may come from one table.
+        return met.withColumn("cell", cell(F.col("own"), F.col("other")).cast("long")).select("cell", "id", "vector").toDF("cell", "id", "vector")
+
+    searches = dealt(queries, 1, n_searches, n_rows, lambda own, other: other * n_searches + own)
+    rows = dealt(vectors, 2, n_rows, n_searches, lambda own, other: own * n_searches + other)
+    query_type, id_type = queries.schema[id_column].dataType.simpleString(), vectors.schema[id_column].dataType.simpleString()
+    found = searches.groupBy("cell").cogroup(rows.groupBy("cell")).applyInArrow(
+        lambda a, b: _best_of_block(a, b, k), f"query_id {query_type}, id {id_type}, score double"
+    )
+    return top_k_per(found.withColumnRenamed("id", id_column), ["query_id"], ["-score", id_column], k)
 
 
 def scored_filter(df: DataFrame, must: Sequence[Column], should: Mapping[str, tuple[Column, float]], min_score: float = 0.0) -> DataFrame:

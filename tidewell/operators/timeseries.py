@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.tiers import distance_km
 from tidewell.operators.aggregates import exact_quantiles
+from tidewell.operators.gaps import every_step
 from tidewell.operators.scan import lag, latest, moving, range_totals, row_number, running_sum, scan
 
 CHUNK = 64
@@ -143,11 +144,9 @@ def downsample(readings: DataFrame, key: str, ts: str, value: str, width: str) -
 
 
 def gap_fill(buckets: DataFrame, key: str, ts: str, value: str, step: str, hot_rows: int | None = None) -> DataFrame:
-    """Every bucket from the first to the last of its key; missing ones repeat the last value."""
-    spans = buckets.groupBy(key).agg(F.min(ts).alias("a"), F.max(ts).alias("b"))
-    calendar = spans.select(key, F.explode(F.expr(f"sequence(a, b, INTERVAL {step})")).alias(ts))
-    joined = calendar.join(buckets.select(key, ts, value), [key, ts], "left").withColumn("is_filled", F.col(value).isNull())
-    return scan(joined, [key], [ts], {"filled": latest(value)}, hot_rows=hot_rows).drop(value).withColumnRenamed("filled", value)
+    """Every step from the first to the last bucket of its key; a missing bucket or value repeats the last value."""
+    out = every_step(buckets.select(key, ts, value), [key], ts, step, {"__filled": latest(value)}, hot_rows=hot_rows)
+    return out.select(key, ts, (F.col("is_step") | F.col(value).isNull()).alias("is_filled"), F.col("__filled").alias(value))
 
 
 def rule_checks(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import tiers
 from tidewell.functions.measures import mean, total
+from tidewell.operators.gaps import every_step
 from tidewell.operators.scan import (
     dense_rank, lag, lead, moving, rank, row_number, running_count, running_sum, scan, with_totals,
 )
@@ -254,11 +255,9 @@ def daily_growth(sales: DataFrame, by: Sequence[str], unit: str = "day") -> Data
         F.count(F.lit(1)).alias("revenue_count"),
         F.sum("quantity").alias("quantity_sum"),
     )
-    spans = cells.groupBy(*by).agg(F.min("period").alias("a"), F.max("period").alias("b"))
-    calendar = spans.select(*by, F.explode(F.expr(f"sequence(a, b, INTERVAL 1 {unit})")).alias("period"))
-    filled = calendar.join(cells, [*by, "period"], "left").fillna(
-        {"revenue_sum": 0.0, "revenue_count": 0, "quantity_sum": 0}
-    )
+    filled = every_step(cells, by, "period", f"1 {unit}")
+    empty = {"revenue_sum": F.lit(0.0), "revenue_count": F.lit(0).cast("long"), "quantity_sum": F.lit(0).cast("long")}
+    filled = filled.withColumns({n: F.when(F.col("is_step"), zero).otherwise(F.coalesce(n, zero)) for n, zero in empty.items()}).drop("is_step")
     # One row per period and group.
     out = scan(filled, by, ["period"], {"__before": lag("revenue_sum")}, bounded=True)
     return out.withColumn(

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from tidewell.functions import udfs
 from tidewell.operators import aggregates as agg
 from tidewell.operators import enrich, features, joins, quality
+from tidewell.operators.user_aggregates import UserAggregate, aggregate_by
 from tidewell.plans import jobs
 from tidewell.plans.batch_core import AS_OF, CLEAN_COLUMNS
 from tidewell.plans.oracle_views import EVENTS, ORDERS, PRODUCT_CHANGES, SALES, USER_CHANGES, USERS, dsum, with_views
 from tidewell.plans.registry import query
-from tidewell.session import scratch_path
+from tidewell.session import durable, scratch_path
 from tidewell.sources import kafka, parse, readers, sinks
 from tidewell.sources.materialized import ResultStore
 from tidewell.streaming.run import run_available, run_batches
@@ -240,14 +241,34 @@ def src_12(t):
     return counted.unionByName(second.agg(n_rows()).withColumn("load", F.lit("second")))
 
 
+@query("src_12_incremental_at_ties", """
+WITH h AS (SELECT event_id, date_trunc('hour', ts) AS hour FROM events), c AS (SELECT MAX(hour) AS edge FROM h WHERE hour < TIMESTAMP '2024-01-15')
+SELECT CASE WHEN hour < edge OR (hour = edge AND event_id % 2 = 0) THEN 'first' ELSE 'second' END AS load, COUNT(*) AS n, SUM(event_id) AS ids FROM h, c GROUP BY 1""")
+def src_12b(t):
+    """Times of whole hours have many ties; half of the rows of the first load's last hour arrive after it."""
+    marks, hours = scratch_path(t.spark, "marks"), t.events.select("event_id", F.date_trunc("hour", "event_time").alias("hour"))
+    before = hours.filter(F.col("hour") < F.lit("2024-01-15").cast("timestamp"))
+    edge = before.agg(F.max("hour").alias("edge"))
+    early = before.join(F.broadcast(edge)).filter((F.col("hour") < F.col("edge")) | (F.col("event_id") % 2 == 0)).drop("edge")
+    first, commit = readers.read_incremental(lambda: early, "hour", marks, "events", t.spark, ["event_id"])
+    counted = durable(first.agg(n_rows(), F.sum("event_id").alias("ids")).withColumn("load", F.lit("first")))
+    commit()
+    second, _ = readers.read_incremental(lambda: hours, "hour", marks, "events", t.spark, ["event_id"])
+    return counted.unionByName(second.agg(n_rows(), F.sum("event_id").alias("ids")).withColumn("load", F.lit("second")))
+
+
 @query("src_13_newest_messages", "SELECT CAST(user_id AS VARCHAR) AS key, event_id AS \"offset\" FROM events ORDER BY ts DESC, event_id DESC LIMIT 25")
 def src_13(t):
     return kafka.newest(_messages(t), 25).select("key", "offset")
 
 
-@query("src_14_read_text", r"""SELECT doc_id, len(regexp_split_to_array(text, '\r\n|\r|\n')) AS lines FROM documents""")
+@query("src_14_read_text", r"""
+SELECT line, COUNT(*) AS n FROM (SELECT UNNEST(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents WHERE text <> '') GROUP BY 1""")
 def src_14(t):
-    return t.documents.select("doc_id", F.size(F.split("text", r"\r\n|\r|\n")).alias("lines"))
+    """The documents written as text files and read back line by line."""
+    path = scratch_path(t.spark, "text")
+    t.documents.filter("text <> ''").select(F.col("text").alias("value")).write.text(path)
+    return readers.read_text(t.spark, path).groupBy(F.col("value").alias("line")).agg(n_rows())
 
 
 @query("snk_01_csv_report", with_views(SALES) + f"SELECT category, {dsum('total_amount')} AS revenue FROM sales GROUP BY 1")
@@ -442,3 +463,32 @@ def job_07(t):
     )
     right = (F.count_if(F.col("prediction") == F.col("label")) >= 0.9 * F.count(F.lit(1))) & (F.lit(accuracy) >= 0.9)
     return scored.groupBy("label").agg(n_rows(), right.alias("mostly_right"))
+
+
+class SpendProfile(UserAggregate):
+    """Rows, cents and the three largest amounts."""
+
+    def create(self):
+        return 0, 0, []
+
+    def add(self, state, rows):
+        n, cents, top = state
+        values = rows["cents"].dropna().astype("int64")
+        return n + len(rows), cents + int(values.sum()), sorted([*top, *values.nlargest(3).tolist()], reverse=True)[:3]
+
+    def merge(self, a, b):
+        return a[0] + b[0], a[1] + b[1], sorted([*a[2], *b[2]], reverse=True)[:3]
+
+    def result(self, state):
+        n, cents, top = state
+        return n, cents, ",".join(str(v) for v in top)
+
+
+@query("udf_04_user_aggregate", with_views(EVENTS) + """
+, k AS (SELECT CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 50 = 1 THEN NULL ELSE user_id END AS user_id, CAST(ROUND(total_amount * 100) AS BIGINT) AS cents FROM ev)
+SELECT user_id, COUNT(*) AS n, CAST(SUM(cents) AS BIGINT) AS cents, array_to_string(list(cents ORDER BY cents DESC)[1:3], ',') AS top FROM k GROUP BY 1""")
+def udf_04(t):
+    """One key holds a third of the rows, and one is NULL."""
+    user = F.when(F.col("event_id") % 3 == 0, 0).when(F.col("event_id") % 50 == 1, None).otherwise(F.col("user_id")).cast("long")
+    rows = t.events.select(user.alias("user_id"), F.round(F.col("total_amount") * 100).cast("long").alias("cents"))
+    return aggregate_by(rows, ["user_id"], ["cents"], SpendProfile(), "n long, cents long, top string")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,31 +75,63 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def read_incremental(read: Callable[[], DataFrame], ts: str, marks: str, source: str, spark: SparkSession) -> tuple[DataFrame, Callable[[], None]]:
-    """Rows newer than the last committed high mark of ``source``, and a function that commits the new mark.
-
-    The upper bound is fixed before the load, and a load is (last bound, bound]: rows that come in meanwhile belong to the next one. Rows
-    with the bound's very timestamp must be there when it is taken; where a source may still add such rows, it must be read with a
-    bound that lags behind. The filter is a bare comparison, so it is pushed to the source. Commit after the rows are written; a
-    failed load is then simply repeated.
-    """
-    schema = "mark timestamp, source string"
+def _or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """A table, or None where its path is not there yet."""
     try:
-        last = spark.read.schema(schema).parquet(marks).filter(F.col("source") == source).agg(F.max("mark")).first()[0]
+        return read()
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        last = None
+        return None
+
+
+def read_incremental(read: Callable[[], DataFrame], ts: str, marks: str, source: str, spark: SparkSession, keys: Sequence[str] = ()) -> tuple[DataFrame, Callable[[], None]]:
+    """Rows newer than the last committed high mark of ``source``, and a function that commits the new mark.
+
+    The upper bound is fixed before the load, and a load is (last bound, bound]: rows that come in meanwhile belong to the next one. With ``keys``, which
+    tell rows apart, a load is exact at its edges too: the keys of the rows that carry the bound's very timestamp are stored before the load,
+    only those are loaded, and the next load overlaps by that timestamp and leaves them out. A row that arrives later with the bound's own time is
+    then loaded once. Without keys such a row is lost, so the bound must lag behind the source. The filters on time are bare comparisons, which
+    are pushed to the source. Commit after the rows are written; a load that failed is simply repeated.
+    """
+    schema = "mark timestamp, source string"
+    known = _or_none(lambda: spark.read.schema(schema).parquet(f"{marks}/marks"))
+    last = known.filter(F.col("source") == source).agg(F.max("mark")).first()[0] if known is not None else None
     rows = read()
     bound = rows.agg(F.max(ts).cast("timestamp")).first()[0]
-    fresh = rows.filter(F.col(ts) <= F.lit(bound)) if bound is not None else rows.limit(0)
-    fresh = fresh.filter(F.col(ts) > F.lit(last)) if last is not None else fresh
 
-    def commit() -> None:
+    def commit_mark() -> None:
         if bound is not None:
-            spark.createDataFrame([(bound, source)], schema).coalesce(1).write.mode("append").parquet(marks)
+            spark.createDataFrame([(bound, source)], schema).coalesce(1).write.mode("append").parquet(f"{marks}/marks")
+
+    if bound is None:
+        return rows.limit(0), commit_mark
+    until = rows.filter(F.col(ts) <= F.lit(bound))
+    if not keys:
+        return until.filter(F.col(ts) > F.lit(last)) if last is not None else until, commit_mark
+
+    edge_schema = T.StructType([T.StructField("mark", T.TimestampType()), T.StructField("source", T.StringType()), *rows.select(*keys).schema.fields])
+    seen = _or_none(lambda: spark.read.schema(edge_schema).parquet(f"{marks}/edges"))
+
+    def met(side: DataFrame, edge: DataFrame, how: str) -> DataFrame:
+        named = edge.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(keys)])
+        return side.join(named, reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]), how)
+
+    overlap = until if last is None else until.filter(F.col(ts) >= F.lit(last))
+    fresh = overlap if last is None else overlap.filter(F.col(ts) > F.lit(last))
+    if last is not None and seen is not None:
+        before = seen.filter((F.col("source") == source) & (F.col("mark") == F.lit(last)))
+        fresh = fresh.unionByName(met(overlap.filter(F.col(ts) == F.lit(last)), before, "left_anti"))
+    pending = f"{marks}/pending-{uuid.uuid4().hex}"
+    fresh.filter(F.col(ts) == F.lit(bound)).select(F.lit(bound).alias("mark"), F.lit(source).alias("source"), *keys).write.parquet(pending)
+    edge = spark.read.schema(edge_schema).parquet(pending)
+    load = fresh.filter(F.col(ts) < F.lit(bound)).unionByName(met(fresh.filter(F.col(ts) == F.lit(bound)), edge, "left_semi"))
+
+    def commit() -> None:
+        edge.write.mode("append").parquet(f"{marks}/edges")
+        commit_mark()
 
-    return fresh, commit
+    return load, commit
 
 
 def register_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> list[str]:
