@@ -1,12 +1,12 @@
-"""Fuzzy line deduplication by MinHash, in DataFrame operations only.
+"""Fuzzy line deduplication by MinHash.
 
-The similarity of two lines is the exact Jaccard similarity of all their runs of ``SHINGLE_CHARS`` characters; a shorter line is its own run.
-Candidates come from sketches: the least hashes of a line's runs, in ascending order, with neighbouring triples as bands, so one sort
-gives all bands. A long line is sketched on runs of ``ANCHOR_CHARS`` characters that begin at its words, a sample of a sixth of its places that
-an edit moves with the text; a line with few such runs, because it is short, repetitive or has no spaces, is sketched on all its runs of
-``SHINGLE_CHARS``. Lines of ``FEW`` to ``MANY`` anchors have both kinds of bands, so similar lines always share a kind. Lines that share a band
-are candidates; they are verified on all their runs, linked lines are joined by distributed union-find, and the first line of each
-component, by document id and place, stays. Equal lines are one line from the start.
+A line's shingles are all its runs of ``SHINGLE_CHARS`` characters; a shorter line is its own run. Its sketch is a densified one-permutation
+MinHash of them, and bands of ``ROWS`` bins are buckets. Lines that share a bucket are candidates; they are verified by the exact Jaccard
+similarity of all their shingles, linked lines are joined by distributed union-find, and the first line of each component, by document id and place,
+stays. Equal lines are one line from the start. Two lines at a similarity of 0.8 share a band with a probability of 0.99, at 0.85 with 0.999.
+
+Shingles are hashed and compared in Arrow batches. DataFrame functions alone need about half a microsecond for each character and lambda, which
+no sketch of whole lines can afford (see README); all joins, grouping and the union-find are DataFrame operations.
 
 Lines are separated by line feeds. Lines of white space alone, a carriage return included, always stay. A null text stays null and has no
 lines; an empty one has one blank line. Very long lines and texts are read whole. A document that loses all its lines keeps its row, with
@@ -17,14 +17,20 @@ named like an added one, which are replaced; ``n_chars``, where it is there, fol
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.minhash import _settled, band_keys, sketch
 from tidewell.llm.store import cluster, discard, stored
+from tidewell.llm.texthash import blocks, distinct, mix, per_text, sums, word_hashes
 
-SHINGLE_CHARS, ANCHOR_CHARS = 5, 8
-FEW, MANY = 24, 36
-SKETCH, ANCHOR_SKETCH, BAND_ROWS = 16, 24, 3
+SHINGLE_CHARS = 5
+BIN_BITS, BANDS, ROWS = 6, 12, 5
+SMALL = 8
 WHITE = " \t\r\x0b\x0c"
 ADDED = ("lines_in", "lines_dropped")
 
@@ -35,63 +41,95 @@ def lines_of(documents: DataFrame) -> DataFrame:
     return found.filter(F.trim("line", F.lit(WHITE)) != "")
 
 
-def once(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, although it is used inside a lambda."""
-    return F.transform(F.array(value), body)[0]
+def runs_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, sorted distinct hashes of the runs, bounds per line) of blocks of lines."""
+    for low, high, data, offsets in blocks(column):
+        # Where characters begin, and how many do before each line.
+        starts = np.flatnonzero((data & 0xC0) != 0x80)
+        chars = np.searchsorted(starts, offsets)
+        ends = np.append(starts, len(data))
+        counts = np.diff(chars)
+        n = np.where(counts > 0, np.maximum(counts - SHINGLE_CHARS + 1, 1), 0)
+        bounds = np.concatenate(([0], np.cumsum(n)))
+        first = np.arange(bounds[-1]) + np.repeat(chars[:-1] - bounds[:-1], n)
+        last = np.minimum(first + SHINGLE_CHARS, np.repeat(chars[1:], n))
+        yield low, high, *distinct(word_hashes(data, starts[first], ends[last], False), bounds)
 
 
-def runs(line: str, chars: int = SHINGLE_CHARS) -> Column:
-    """Hashes of all runs of ``chars`` characters, cut from four bytes per character; a shorter line is one run."""
-    last = lambda b: F.greatest(F.octet_length(b) - 4 * chars + 1, F.lit(1))
-    return once(F.encode(line, "UTF-32"), lambda b: F.transform(F.sequence(F.lit(1), last(b), F.lit(4)), lambda at: F.xxhash64(F.substring(b, at, F.lit(4 * chars)))))
+def buckets(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of each line's buckets, and their bounds per line.
 
+    Small sets that are similar differ by one member at most, so beside the bands they have a bucket for the whole set and one for the set without each
+    member: no such pair is missed.
+    """
+    n = np.diff(bounds)
+    bands = band_keys(sketch(values, bounds, BIN_BITS)[:, : BANDS * ROWS], ROWS)
+    hashed = mix(values ^ np.uint64(0x5851F42D4C957F2D))
+    whole = sums(hashed, bounds)
+    line = per_text(values, bounds)
+    few = n[line] <= SMALL
+    without = mix(whole[line[few]] - hashed[few])
+    small = np.flatnonzero((n > 0) & (n <= SMALL))
+    owner = np.concatenate((np.repeat(np.arange(len(n)), BANDS), small, line[few]))
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate((bands.reshape(-1), mix(whole[small]), without))[order], np.searchsorted(owner[order], np.arange(len(n) + 1))
 
-def anchors(line: str) -> Column:
-    """Hashes of the runs of ``ANCHOR_CHARS`` characters that begin at a word, as far as three words reach."""
-    ahead = lambda w, x, i: F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2))
-    return once(F.split(line, " "), lambda w: F.transform(w, lambda x, i: F.xxhash64(F.substring(ahead(w, x, i), 1, ANCHOR_CHARS))))
 
+def sketched(lines: DataFrame) -> DataFrame:
+    """(doc_id, key, place, id, n, bands) of lines: the size of their sets and the keys of their buckets."""
 
-def bands(sketch: str, size: int, seed: int) -> Column:
-    """Hashes of all neighbouring triples of a sketch; a shorter sketch is one band, an empty one has none.
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for low, high, values, bounds in runs_of(part.column("line")):
+                keys, edges = buckets(values, bounds)
+                lists = pa.ListArray.from_arrays(edges.astype(np.int32), pa.array(keys.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*[part.column(c)[low:high] for c in range(4)], pa.array(np.diff(bounds)), lists], names=["doc_id", "key", "place", "id", "n", "bands"])
 
-    Whole sets at a similarity of 0.8 have three neighbours in common, but for four of five members: those get all bands of four, too.
-    """
-    def hashed(places) -> Column:
-        return F.xxhash64(F.lit(seed), *[F.get(sketch, F.lit(k)) for k in places])
-
-    n = F.size(sketch)
-    triples = F.array(*[hashed(range(k, k + BAND_ROWS)) for k in range(size - BAND_ROWS + 1)])
-    full = F.slice(triples, F.lit(1), F.greatest(n - (BAND_ROWS - 1), F.lit(1)))
-    four = [hashed([j for j in range(5) if j != k]) for k in range(5)]
-    return F.when(n == 5, F.concat(full, F.array(*four))).when(n == 4, F.concat(full, F.array(four[4]))).when(n == 0, F.array().cast("array<long>")).otherwise(full)
-
-
-def banded(lines: DataFrame) -> DataFrame:
-    """The rows without ``line``, with their ``bands``."""
-    none = F.array().cast("array<long>")
-    least = lambda hashes, size: F.slice(F.sort_array(F.array_distinct(hashes)), 1, size)
-    other = [c for c in lines.columns if c != "line"]
-    found = lines.withColumn("anchors", F.array_distinct(anchors("line")))
-    few, many = F.size("anchors") < MANY, F.size("anchors") >= FEW
-    sketched = found.select(
-        *other, F.when(few, least(runs("line"), SKETCH)).otherwise(none).alias("dense"), F.when(many, least(F.col("anchors"), ANCHOR_SKETCH)).otherwise(none).alias("sparse")
-    )
-    return sketched.select(*other, F.concat(bands("dense", SKETCH, 1), bands("sparse", ANCHOR_SKETCH, 2)).alias("bands"))
+    return lines.select("doc_id", "key", "place", "id", "line").mapInArrow(run, "doc_id long, key long, place int, id long, n long, bands array<long>")
+
+
+def run_sets(texts: DataFrame) -> DataFrame:
+    """(id, members) of (id, line)."""
 
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for low, high, values, bounds in runs_of(part.column("line")):
+                yield pa.RecordBatch.from_arrays([part.column("id")[low:high], pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(values.view(np.int64)))], names=["id", "members"])
 
-def similar(a: str, b: str, percent: int) -> Column:
-    """Whether two lines are similar enough, from all their runs."""
-    def enough(x, y):
-        return lambda common: F.lit(100) * common >= F.lit(percent) * (F.size(x) + F.size(y) - common)
+    return texts.select("id", "line").mapInArrow(run, "id long, members array<long>")
 
-    return once(F.array_distinct(runs(a)), lambda x: once(F.array_distinct(runs(b)), lambda y: once(F.size(F.array_intersect(x, y)), enough(x, y))))
+
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of (u, v): those whose lines have 100 * intersection >= percent * union of their sets."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            kept = np.zeros(part.num_rows, dtype=bool)
+            left, right = (_per_line(part.column(c)) for c in ("a", "b"))
+            for k, (x, y) in enumerate(zip(left, right, strict=True)):
+                both = np.sort(np.concatenate((x, y)), kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                kept[k] = 100 * common >= percent * (len(both) - common)
+            yield pa.RecordBatch.from_arrays([part.column("u"), part.column("v")], names=["u", "v"]).filter(pa.array(kept))
+
+    both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v")
+    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
+def _per_line(column: pa.Array) -> Iterator[np.ndarray]:
+    for _, _, values, bounds in runs_of(column):
+        yield from (values[x:y] for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
 
 
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
-    lines = banded(lines_of(documents).withColumn("id", F.xxhash64("line")))
-    first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("bands").alias("bands")), "lines", free=True)
+    lines = sketched(lines_of(documents).withColumn("id", F.xxhash64("line")))
+    once = lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    first = stored(once, "lines", free=True)
+
+    def sizes_allow(a: str, b: str) -> Column:
+        """Sets whose sizes are further apart cannot be similar enough."""
+        return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
     def with_texts(seen: DataFrame):
         at = first.join(seen.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "first.doc_id", "first.key", "first.place")
@@ -100,13 +138,10 @@ def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
         texts = texts.select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line")).dropDuplicates(["id"])
         texts = stored(texts, "line-texts", free=True)
 
-        def confirm(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v")
-            return both.filter(similar("a", "b", percent)).select("u", "v")
-
-        return confirm, [texts]
+        return lambda pairs: confirmed(pairs, texts, percent), [texts]
 
-    linked = cluster(first.select(F.col("id").alias("rep"), F.lit(0).alias("n"), F.explode("bands").alias("key")), lambda a, b: F.lit(True), with_texts)
+    in_band = first.select(F.col("id").alias("rep"), "n", F.explode("bands").alias("key"))
+    linked = cluster(in_band, sizes_allow, with_texts, lambda groups, texts: _settled(groups, run_sets(texts), percent))
     named = first.select("id", "first").join(linked, "id", "left").select("id", "first", F.coalesce("component", "id").alias("component"))
     keeper = named.groupBy("component").agg(F.min("first").alias("keeper"))
     keepers = named.join(keeper, "component").select("id", "keeper.doc_id", "keeper.place").toDF("id", "keep_doc", "keep_place")
@@ -138,7 +173,9 @@ def _shortened(documents: DataFrame, percent: int, id_column: str, text_column:
         per_document, (F.col(f"`{id_column}`").cast("long") == F.col("__id")) & (F.col("__key2") == F.col("__key")), "left"
     )
     parts = F.split(text, "\n")
-    kept = once(parts, lambda p: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("__drops")), lambda k: F.get(p, k)), "\n"))
+    whole = lambda p: F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("__drops")), lambda k: F.get(p, k))
+    # The lines are split once, although they are used inside a lambda.
+    kept = F.array_join(F.transform(F.array(parts), whole)[0], "\n")
     out = joined.withColumn("__in", F.when(text.isNull(), 0).otherwise(F.size(parts))).withColumn("__dropped", F.when(F.col("__drops").isNull(), 0).otherwise(F.size("__drops")))
     out = out.withColumn(text_column, F.when(F.col("__dropped") > 0, kept).otherwise(text))
     if "n_chars" in documents.columns:

@@ -13,6 +13,7 @@ dropped. An empty table gives no rows. Other columns of the input are ignored; `
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,25 +29,28 @@ ROWS = 8
 BLOCK_SETS = 512
 COLUMNS = 1 << 14
 
-_bins = 1 << BIN_BITS
-_ORDER = np.stack([np.random.default_rng(k).permutation(_bins) for k in range(_bins)])
+@cache
+def donors(bits: int) -> np.ndarray:
+    """The fixed random order in which each of ``2 ** bits`` bins borrows."""
+    return np.stack([np.random.default_rng(k).permutation(1 << bits) for k in range(1 << bits)])
 
 
-def sketch(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def sketch(values: np.ndarray, bounds: np.ndarray, bits: int = BIN_BITS) -> np.ndarray:
     """The densified one-permutation sketch of each text's sorted distinct hashes; texts without hashes have zeros."""
-    out = np.zeros((len(bounds) - 1, _bins), dtype=np.uint64)
+    bins, order = 1 << bits, donors(bits)
+    out = np.zeros((len(bounds) - 1, bins), dtype=np.uint64)
     filled = np.zeros(out.shape, dtype=bool)
     text = per_text(values, bounds)
-    cell = text * _bins + (values >> np.uint64(64 - BIN_BITS)).astype(np.int64)
+    cell = text * bins + (values >> np.uint64(64 - bits)).astype(np.int64)
     first = np.ones(len(cell), dtype=bool)
     first[1:] = cell[1:] != cell[:-1]
     out.reshape(-1)[cell[first]] = values[first]
     filled.reshape(-1)[cell[first]] = True
     doc, empty = np.nonzero(~filled & filled.any(axis=1)[:, None])
-    for step in range(_bins):
+    for step in range(bins):
         if not len(doc):
             break
-        donor = _ORDER[empty, step]
+        donor = order[empty, step]
         hit = filled[doc, donor]
         out[doc[hit], empty[hit]] = out[doc[hit], donor[hit]]
         doc, empty = doc[~hit], empty[~hit]
