@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.decontaminate import contaminated_removed
-from tidewell.llm.lines import lines_deduplicated
+from tidewell.llm.lines import without_repeated_lines
 from tidewell.llm.minhash import near_duplicates_removed
 from tidewell.llm.packing import pack
 from tidewell.llm.queries import table, vocabulary
@@ -24,7 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar lines the first stays; every document keeps its row."""
-    return lines_deduplicated(docs).select(*docs.columns)
+    return without_repeated_lines(docs)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
