@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewell.session import shared_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ORDERS = 4
 SMALL_GROUP = 64
 
@@ -19,11 +20,17 @@ SMALL_GROUP = 64
 def stored(df: DataFrame, label: str, free: bool = False) -> DataFrame:
     """The rows written once to the shared folder and read back: cuts the lineage and survives lost executors.
 
-    Shuffle files of what led here are of no use from now on. Spark removes them when the driver collects its garbage; ``free`` asks for it.
+    Shuffle files of what led here are of no use once the rows are written. Spark removes them at the end of the write, when a setting asks for it,
+    instead of when the driver happens to collect its garbage. ``free`` also collects the driver's garbage, for broadcast tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._stored_path = path
     if free:
