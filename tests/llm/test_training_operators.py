@@ -203,19 +203,25 @@ def test_held_out_labels_are_not_read(spark, documents):
     assert a == b
 
 
+def license_matches(w):
+    """The labels of the templates that match some run of a text's words, and the greatest containment."""
+    more, best = set(), 0.0
+    for t in licenses.TEMPLATES:
+        full, span = set(t.text.split()), 2 * len(t.text.split())
+        for i in range(max(1, len(w) - span + 1)):
+            run = set(w[i : i + span])
+            if 100 * len(run & full) >= 80 * len(full) and set(t.holds) <= run and not set(t.lacks) & run:
+                more.add(t.label)
+                best = max(best, len(run & full) / len(full))
+    return more, best
+
+
 def test_licenses(documents, texts):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     for r in licenses.licenses(documents).collect():
         w = word.findall(lower(texts[r["doc_id"]]))
         places = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
-        more, best = set(), 0.0
-        for line in texts[r["doc_id"]].split("\n"):
-            own = set(word.findall(lower(line)))
-            for label, template in licenses.TEMPLATES:
-                full = set(template.split())
-                if len(own & full) >= -(-80 * len(full) // 100):
-                    more.add(label)
-                    best = max(best, len(own & full) / len(full))
+        more, best = license_matches(w)
         base = {label for _, label in places}
         starts = [i for i, _ in places]
         want = (len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if places else best)

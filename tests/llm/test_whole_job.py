@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+from test_training_operators import license_matches
 
 from tidewell.llm import embeddings, licenses, lines
 
@@ -52,7 +53,7 @@ def test_lines_of_few_distinct_runs_are_linked(spark):
 
 NOTICES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal",
-    "gpl-3": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by",
+    "gpl-3": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or",
     "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
     "apache-2": " * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0",
     "mpl-2": "This Source Code Form is subject to the terms of the Mozilla\nPublic License, v. 2.0. If a copy of the MPL was not",
@@ -72,12 +73,25 @@ def test_wrapped_notices_anywhere_in_a_text(spark):
     got = {r["doc_id"]: r for r in licenses.licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert {d: r["labels"] for d, r in got.items()} == want
     for doc, text in texts.items():
-        w, best = re.findall("[0-9a-z]+", text.lower()), 0.0
-        for _, template in licenses.TEMPLATES:
-            own, span = set(template.split()), 2 * len(template.split())
-            most = max(len(own & set(w[i : i + span])) for i in range(max(1, len(w) - span + 1)))
-            best = max(best, most / len(own) if 100 * most >= 80 * len(own) else 0.0)
-        assert got[doc]["score"] == best
+        labels, best = license_matches(re.findall("[0-9a-z]+", text.lower()))
+        assert got[doc]["score"] == best and got[doc]["labels"] == ",".join(sorted(labels))
+
+
+OTHER_LICENSES = {
+    "Released under the BSD license": "", "released the work under a new license": "", "Licensed under the GPL license, version 2.0": "", "we permit the release under license": "",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License": "",
+    "This library is licensed under the GNU Lesser General Public License version 3": "", "This work is licensed under the GNU Affero General Public License version 3": "",
+    "This work is licensed under the GNU General Public License version 3": "gpl-3", "Released under the Apache License 2.0": "", "Licensed under the Apache License 2.0": "apache-2",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "", "released under the MIT license": "mit",
+}
+
+
+def test_other_licenses_and_versions_are_told_apart(spark):
+    rows = licenses.licenses(spark.createDataFrame(list(enumerate(OTHER_LICENSES)), "doc_id long, text string")).collect()
+    names = list(OTHER_LICENSES)
+    assert {names[r["doc_id"]]: r["labels"] for r in rows} == OTHER_LICENSES
 
 
 def test_vectors_just_above_the_threshold_are_linked(spark):
