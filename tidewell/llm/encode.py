@@ -39,7 +39,8 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
-    """Ids of texts under one byte-level BPE vocabulary. Kept pieces are bounded by ``CACHE_PIECES``; the bound changes no result."""
+    """Ids of texts under one byte-level BPE vocabulary. Kept pieces are bounded by ``CACHE_PIECES`` and the pieces of
+    one batch of texts; the bound changes no result."""
 
     def __init__(self, path: str):
         import os
@@ -113,8 +114,6 @@ class Encoder:
         return np.flatnonzero(start)
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        if len(self.keys) + len(keys) > CACHE_PIECES:
-            self._forget()
         tokenize = self.tokenizer.model.tokenize
         coded = [[token.id for token in tokenize(t.encode().decode("latin-1").translate(_SHOWN))] for t in texts]
         size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
@@ -142,13 +141,13 @@ class Encoder:
         unique, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         found = self._find(unique)
         if (missing := np.flatnonzero(found < 0)).size:
+            if len(self.keys) + len(missing) > CACHE_PIECES:
+                # All pieces of these texts are learnt anew, so that each of them is there below, however many they are.
+                self._forget()
+                missing = np.arange(len(unique))
             at = one[missing]
             self._learn(unique[missing], [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             found = self._find(unique)
-            if (found < 0).any():  # the kept pieces were dropped to make room
-                at = one[found < 0]
-                self._learn(unique[found < 0], [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-                found = self._find(unique)
         size, where = self.size[found][inverse], self.where[found][inverse]
         ids = self.pool[spans(where, size)]
         owner = np.searchsorted(bounds, starts, side="right") - 1
