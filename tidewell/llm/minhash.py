@@ -6,8 +6,9 @@ bands; documents that agree on a whole band share a bucket. A bucket proposes a
 pairs. Only members left outside the class of their bucket's centre are compared further. Links are confirmed on full sets.
 
 Null or empty texts have an empty set and link with nothing. Rows with equal sets form one class before any search, so copies are
-never compared. A row whose id is null is kept, without a component. Rows that share an id share a component and are all kept or all
-dropped. An empty table gives no rows. Other columns of the input are ignored; ``near_duplicates_removed`` returns them as they are.
+never compared. A row whose id is null is kept, without a component. Rows that share an id are told apart by their texts: each has the
+component of its own text, and only those are dropped whose component has a smaller id. Texts are read whole at any length, ties of
+similarity at the threshold link, and an empty table gives no rows. Other columns of the input are ignored; ``near_duplicates_removed`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.store import cluster, forest, stored
 from tidewell.llm.texthash import WHITE, blocks, distinct, mix, per_text, shingle_hashes, sums, word_hashes, words
 
+FINGERPRINT = ["n", "print_a", "print_b"]
 BIN_BITS = 8
 ROWS = 8
 BLOCK_SETS = 512
@@ -75,7 +77,7 @@ def _sets(column, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 
 def sketches(documents: DataFrame, width: int) -> DataFrame:
-    """Per row: id, set size, a 128-bit fingerprint of the set and its band keys."""
+    """Per row of (doc_id, text, key): id, key, set size, a 128-bit fingerprint of the set and its band keys."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -85,9 +87,9 @@ def sketches(documents: DataFrame, width: int) -> DataFrame:
                 keys_of = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32), pa.array(keys.reshape(-1)))
                 print_a = sums(mix(values ^ np.uint64(0x5851F42D4C957F2D)), bounds).view(np.int64)
                 print_b = sums(mix(values ^ np.uint64(0x14057B7EF767814F)), bounds).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0)[low:high], pa.array(size), pa.array(print_a), pa.array(print_b), keys_of], names=["doc_id", "n", "print_a", "print_b", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0)[low:high], part.column(2)[low:high], pa.array(size), pa.array(print_a), pa.array(print_b), keys_of], names=["doc_id", "key", "n", "print_a", "print_b", "bands"])
 
-    return documents.mapInArrow(run, "doc_id long, n long, print_a long, print_b long, bands array<long>")
+    return documents.mapInArrow(run, "doc_id long, key long, n long, print_a long, print_b long, bands array<long>")
 
 
 def full_sets(documents: DataFrame, width: int) -> DataFrame:
@@ -146,14 +148,36 @@ def _settled(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return placed.groupBy("grp", "bx", "by").applyInArrow(run, "u long, v long")
 
 
+def _members(documents: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """Per row: doc_id, key, n_shingles, component_id, kept."""
+    rows, classes, final = _classes(documents, width, percent, id_column, text_column)
+    named = classes.join(final.toDF("rep", "component"), "rep", "left").select(*FINGERPRINT, "first.doc_id", F.coalesce("component", "rep").alias("component"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_class = named.join(least, "component").select(*FINGERPRINT, "component_id")
+    joined = rows.select("doc_id", "key", *FINGERPRINT).join(of_class, FINGERPRINT, "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    out = joined.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def near_duplicates(documents: DataFrame, width: int = 3, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links), kept."""
-    source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    return _members(documents, width, percent, id_column, text_column).drop("key")
+
+
+def text_key(text) -> Column:
+    """What tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def _classes(documents: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with their fingerprints, classes of equal sets with a 64-bit name, components of class names)."""
+    text = F.col(text_column)
+    source = documents.select(F.col(id_column).cast("long").alias("doc_id"), text.cast("string").alias("text"), text_key(text).alias("key"))
     rows = stored(sketches(source, width), "sketches", free=True)
-    fingerprint = ["n", "print_a", "print_b"]
-    classes = stored(
-        rows.filter("n > 0 and doc_id is not null").groupBy(*fingerprint).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes"
-    )
+    first = F.min(F.struct("doc_id", "key")).alias("first")
+    grouped = rows.filter("n > 0 and doc_id is not null").groupBy(*FINGERPRINT).agg(first, F.any_value("bands").alias("bands"))
+    classes = stored(grouped.withColumn("rep", F.xxhash64(*FINGERPRINT)), "classes")
     in_band = classes.select("rep", "n", F.explode("bands").alias("key"))
 
     def sizes_allow(a: str, b: str):
@@ -161,20 +185,17 @@ def near_duplicates(documents: DataFrame, width: int = 3, percent: int = 85, id_
         return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
     def with_sets(seen: DataFrame):
-        near = source.join(seen.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+        at = classes.join(seen.select("rep"), "rep", "left_semi").select("rep", "first.doc_id", "first.key")
+        near = source.join(at, ["doc_id", "key"]).select("rep", "text")
         sets = stored(full_sets(near, width).dropDuplicates(["id"]), "sets", free=True)
         return lambda pairs: _confirmed(pairs, sets, percent), [sets]
 
-    final = cluster(in_band, sizes_allow, with_sets, lambda groups, sets: _settled(groups, sets, percent))
-    of_class = classes.select(*fingerprint, "rep").join(final.toDF("rep", "component_id"), "rep", "left").select(*fingerprint, F.coalesce("component_id", "rep").alias("component_id"))
-    joined = rows.select("doc_id", *fingerprint).join(of_class, fingerprint, "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    return rows, classes, cluster(in_band, sizes_allow, with_sets, lambda groups, sets: _settled(groups, sets, percent))
 
 
 def near_duplicates_removed(documents: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents with one of each component: that with the least id."""
-    drop = near_duplicates(documents, width, percent, id_column, text_column).filter("not kept").select(F.col("doc_id").alias(id_column)).distinct()
-    return documents.join(drop, id_column, "left_anti")
+    members = _members(documents, width, percent, id_column, text_column)
+    drop = members.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    same = (F.col(f"`{id_column}`").cast("long") == F.col("__id")) & (text_key(F.col(f"`{text_column}`")) == F.col("__key"))
+    return documents.join(drop, same, "left_anti")
