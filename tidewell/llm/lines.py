@@ -141,7 +141,12 @@ def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
         return lambda pairs: confirmed(pairs, texts, percent), [texts]
 
     in_band = first.select(F.col("id").alias("rep"), "n", F.explode("bands").alias("key"))
-    linked = cluster(in_band, sizes_allow, with_texts, lambda groups, texts: _settled(groups, run_sets(texts), percent))
+
+    def settle(groups: DataFrame, texts: DataFrame) -> DataFrame:
+        """Only lines of large groups have their sets made and moved."""
+        return _settled(groups, run_sets(texts.join(groups.select("id").distinct(), "id", "left_semi")), percent)
+
+    linked = cluster(in_band, sizes_allow, with_texts, settle)
     named = first.select("id", "first").join(linked, "id", "left").select("id", "first", F.coalesce("component", "id").alias("component"))
     keeper = named.groupBy("component").agg(F.min("first").alias("keeper"))
     keepers = named.join(keeper, "component").select("id", "keeper.doc_id", "keeper.place").toDF("id", "keep_doc", "keep_place")
