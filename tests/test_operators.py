@@ -294,9 +294,14 @@ def test_null_keys_stay(spark):
     df = spark.createDataFrame(data, schema)
     assert aggregates.user_behavior(df).count() == 2
     assert aggregates.cohort_analysis(df).count() == 1 and aggregates.cohort_analysis(df).first()["active_users"] == 2
-    maps = {r["user_id"]: r for r in aggregates.breakdown_maps(df, ["user_id"]).collect()}
-    assert maps[None]["by_category"] == {"unknown": 1.0, "a": 2.0} and maps[1]["by_category"] == {"unknown": 3.0}
-    assert keyed_state.user_profile(df).filter("user_id is null").first()["preferences"] == {"unknown": 1, "a": 1}
+    real = df.unionByName(df.filter("user_id = 1").withColumns({"category": F.lit("unknown"), "event_time": F.lit(None).cast("timestamp"), "event_id": F.lit(9)}))
+    maps = {r["user_id"]: r for r in aggregates.breakdown_maps(real, ["user_id"]).collect()}
+    assert [tuple(e) for e in maps[None]["by_category"]] == [("a", 2.0), (None, 1.0)] and [tuple(e) for e in maps[1]["by_category"]] == [("unknown", 3.0), (None, 3.0)]
+    assert [tuple(e) for e in maps[1]["by_hour"]] == [(0, 3.0), (None, 3.0)]
+    assert keyed_state.user_profile(df).filter("user_id is null").first()["preferences"] == {"a": 1}
+    with pytest.raises(Exception, match="one row"):
+        joins.cross_one_row(df.agg(F.count("*").alias("n")), df.select("event_id")).collect()
+    assert joins.cross_one_row(df.agg(F.count("*").alias("n")), df.agg(F.max("event_id").alias("m"))).first() == (3, 3)
     assert windows.position_stats(df, ["category"], "total_amount", ["event_id"]).count() == 3
     assert windows.share_of_partition(df, "category", "total_amount", 5, ["event_id"]).count() == 3
 

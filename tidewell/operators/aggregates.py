@@ -359,23 +359,22 @@ def price_band_histogram(df: DataFrame, by: Sequence[str], bands: Sequence[tuple
 
 
 def breakdown_maps(df: DataFrame, by: Sequence[str], ts: str = "event_time") -> DataFrame:
-    """Maps of revenue by category, count by action and revenue by hour, merged from one set of cells."""
+    """Revenue by category, count by action and revenue by hour as arrays of (name, value) in order of the name, merged from one set of cells.
+
+    Arrays, not maps, as a map holds no NULL: rows without a category, action or time have an entry of their own, at the end.
+    """
     cells = df.groupBy(*by, "category", "action", F.hour(ts).alias("hour")).agg(
         rows().alias("n"), F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("revenue")
     )
 
-    def named(name: str) -> Column:
-        """A map cannot hold NULL as a key: text has ``unknown`` there, an hour -1."""
-        return F.coalesce(F.col(name), F.lit(-1) if name == "hour" else F.lit("unknown"))
-
-    def as_map(name: str, value: Column) -> DataFrame:
-        per = cells.groupBy(*by, named(name).alias(name)).agg(value.alias("v"))
-        return per.groupBy(*by).agg(
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, "v")))).alias(f"by_{name}")
-        )
+    def entries(name: str, value: Column) -> DataFrame:
+        per = cells.groupBy(*by, name).agg(value.alias("value"))
+        entry = F.struct(F.col(name).isNull().alias("none"), F.col(name).alias("name"), "value")
+        ordered = F.array_sort(F.collect_list(entry))
+        return per.groupBy(*by).agg(F.transform(ordered, lambda e: F.struct(e["name"].alias("name"), e["value"].alias("value"))).alias(f"by_{name}"))
 
     money = F.sum("revenue").cast("double")
-    parts = [as_map("category", money), as_map("action", F.sum("n")), as_map("hour", money)]
+    parts = [entries("category", money), entries("action", F.sum("n")), entries("hour", money)]
     return reduce(lambda a, b: join_same(a, b, list(by)), parts)
 
 

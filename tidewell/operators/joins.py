@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.measures import mean, total
@@ -77,8 +77,12 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, on: Sequence[str]) -
 
 
 def cross_one_row(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Two one-row aggregates side by side."""
-    return left.crossJoin(right)
+    """Two one-row aggregates side by side; a side with more rows is an error, not a product."""
+    def guarded(df: DataFrame) -> DataFrame:
+        many = F.assert_true(F.count(F.lit(1)).over(Window.partitionBy()) <= 1, "cross_one_row takes sides of one row")
+        return df.withColumn("__checked", many).filter(F.col("__checked").isNull()).drop("__checked")
+
+    return guarded(left).crossJoin(F.broadcast(guarded(right)))
 
 
 def broadcast_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", force: bool = False) -> DataFrame:

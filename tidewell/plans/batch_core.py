@@ -572,7 +572,7 @@ def agg_19b(t):
     out = agg.breakdown_maps(t.events, ["user_id"])
 
     def text(name, kind):
-        entry = F.transform(F.map_entries(name), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast(kind).cast("string")))
+        entry = F.transform(name, lambda e: F.concat(e["name"].cast("string"), F.lit("="), e["value"].cast(kind).cast("string")))
         return F.array_join(entry, ";").alias(name)
 
     return out.select("user_id", text("by_category", "decimal(18,2)"), text("by_action", "long"), text("by_hour", "decimal(18,2)"))

@@ -64,16 +64,25 @@ def fea_04(t):
 
 
 @query("ml_01_train_tabular", """
-SELECT COUNT(*) AS n, TRUE AS no_worse_than_the_mean FROM lineitem JOIN part ON l_partkey = p_partkey""")
+WITH d AS (SELECT CAST(l_orderkey AS BIGINT) AS k, CAST(l_quantity AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS z, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem JOIN part ON l_partkey = p_partkey),
+m AS (SELECT AVG(x) AS mx, AVG(z) AS mz, AVG(y) AS my, var_pop(x) AS xx, var_pop(z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM d WHERE k % 5 <> 0),
+b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM m),
+c AS (SELECT bx, bz, my - bx * mx - bz * mz AS b0 FROM b)
+SELECT ROUND(ANY_VALUE(bx), 4) AS per_unit, ROUND(ANY_VALUE(bz), 4) AS per_price, ROUND(ANY_VALUE(b0), 2) AS intercept, ROUND(sqrt(AVG(pow(y - b0 - bx * x - bz * z, 2))), 2) AS rmse, COUNT(*) AS held_out
+FROM d, c WHERE k % 5 = 0""")
 def ml_01(t):
+    """Least squares on four fifths of the orders against its closed form."""
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), "l_quantity", "p_retailprice",
-        F.col("l_extendedprice").alias("label"),
+        F.col("l_orderkey").alias("id"), F.col("l_quantity").cast("double").alias("quantity"), F.col("p_retailprice").cast("double").alias("price"), F.col("l_extendedprice").cast("double").alias("label"),
     )
-    model, rmse = ml.train_tabular(lines, ["l_quantity", "p_retailprice"], "label", "linear")
-    scored = ml.predict(model, lines, ["l_quantity", "p_retailprice"])
+    model, rmse = ml.train_tabular(lines, ["quantity", "price"], "label", "linear", holdout=F.col("id") % 5 == 0)
+    fitted = model.stages[-1]
+    scored = ml.predict(model, lines.filter(F.col("id") % 5 == 0), ["quantity", "price"])
     error = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))
-    return scored.agg(F.count(F.lit(1)).alias("n"), (F.greatest(error, F.lit(rmse)) <= 1.01 * F.stddev_pop("label")).alias("no_worse_than_the_mean"))
+    return scored.agg(
+        F.round(F.lit(float(fitted.coefficients[0])), 4).alias("per_unit"), F.round(F.lit(float(fitted.coefficients[1])), 4).alias("per_price"),
+        F.round(F.lit(float(fitted.intercept)), 2).alias("intercept"), F.round(F.greatest(error, F.lit(float(rmse))), 2).alias("rmse"), F.count(F.lit(1)).alias("held_out"),
+    )
 
 
 @query("ml_02_fraud_training_set", with_views(EVENTS) + """
@@ -85,11 +94,17 @@ def ml_02(t):
 
 
 @query("ml_03_cluster_users", with_views(ORDERS) + """
-SELECT COUNT(DISTINCT user_id) AS users, 5 AS clusters, 0 AS unassigned FROM user_orders""")
+SELECT COUNT(DISTINCT user_id) AS users, 5 AS clusters, 0 AS unassigned, 0 AS not_nearest, TRUE AS tighter_than_one FROM user_orders""")
 def ml_03(t):
+    """Every user is with the nearest centre, and the clusters are less than half as wide as all users together."""
     rfm = features.rfm(t.user_orders, "2001-12-01")
-    clustered, _ = ml.cluster_users(rfm, ["recency_days", "frequency", "monetary"], 5)
-    return clustered.agg(F.count(F.lit(1)).alias("users"), F.count_distinct("cluster").alias("clusters"), F.count_if(F.col("cluster").isNull()).alias("unassigned"))
+    clustered, model = ml.cluster_users(rfm, ["recency_days", "frequency", "monetary"], 5)
+    near = ml.centre_distances(model, rfm)
+    own, least = F.get("distances", F.col("cluster")), F.array_min("distances")
+    # In the scaled space all users together have a mean squared distance of one per feature.
+    checks = near.agg(F.count_if(own > least + 1e-9).alias("not_nearest"), (F.avg(least) < 0.5 * 3).alias("tighter_than_one"))
+    counts = clustered.agg(F.count(F.lit(1)).alias("users"), F.count_distinct("cluster").alias("clusters"), F.count_if(F.col("cluster").isNull()).alias("unassigned"))
+    return counts.join(F.broadcast(checks))
 
 
 # --- graph ------------------------------------------------------------------------------

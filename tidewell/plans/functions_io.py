@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidewell.functions import udfs
@@ -12,6 +14,7 @@ from tidewell.plans import jobs
 from tidewell.plans.batch_core import AS_OF, CLEAN_COLUMNS
 from tidewell.plans.oracle_views import EVENTS, ORDERS, PRODUCT_CHANGES, SALES, USER_CHANGES, USERS, dsum, with_views
 from tidewell.plans.registry import query
+from tidewell.plans.streams import sliding, tumble
 from tidewell.session import durable, scratch_path
 from tidewell.sources import kafka, parse, readers, sinks
 from tidewell.sources.materialized import ResultStore
@@ -400,26 +403,46 @@ def job_02(t):
 
 @query("job_03_sql_reports", with_views(ORDERS, USERS) + f"""
 , s AS (SELECT o.user_id, country, {dsum('amount')} AS spent FROM user_orders o JOIN users u ON o.user_id = u.user_id GROUP BY 1, 2)
-SELECT CASE WHEN spent / 1000 >= 5000 THEN 'Platinum' WHEN spent / 1000 >= 2000 THEN 'Gold' WHEN spent / 1000 >= 500 THEN 'Silver' ELSE 'Bronze' END AS tier, COUNT(*) AS users FROM s GROUP BY 1""")
+SELECT 'tiers' AS report, CASE WHEN spent / 1000 >= 5000 THEN 'Platinum' WHEN spent / 1000 >= 2000 THEN 'Gold' WHEN spent / 1000 >= 500 THEN 'Silver' ELSE 'Bronze' END AS name, COUNT(*) AS users FROM s GROUP BY 2
+UNION ALL SELECT 'countries', country, COUNT(*) FROM users GROUP BY country""")
 def job_03(t):
     reports = {
         "tiers": """WITH spend AS (SELECT o.user_id, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS spent FROM user_orders o JOIN users u ON o.user_id = u.user_id GROUP BY o.user_id)
-            SELECT classify_tier(spent / 1000) AS tier, COUNT(*) AS users FROM spend GROUP BY 1""",
-        "countries": "SELECT country, COUNT(*) AS users FROM users GROUP BY country",
+            SELECT classify_tier(spent / 1000) AS name, COUNT(*) AS users FROM spend GROUP BY 1""",
+        "countries": "SELECT country AS name, COUNT(*) AS users FROM users GROUP BY country",
     }
     paths = jobs.sql_report_job(t.spark, {"user_orders": t.user_orders, "users": t.users}, scratch_path(t.spark, "sql-reports"), reports)
-    return readers.read_csv(t.spark, paths["tiers"], "tier string, users long")
+    read = {name: readers.read_csv(t.spark, path, "name string, users long").select(F.lit(name).alias("report"), "name", "users") for name, path in paths.items()}
+    return read["tiers"].unionByName(read["countries"])
+
+
+def _slid(size: int, slide: int) -> str:
+    return sliding(size, slide).replace("slid AS", f"slid{size} AS", 1)
+
 
+def _closed_count(name: str, cells: str, minutes: int) -> str:
+    return f"SELECT '{name}' AS output, COUNT(*) AS n, CAST(COALESCE(SUM(rows), 0) AS BIGINT) AS events FROM ({cells}) WHERE window_end <= (SELECT MAX(event_time) FROM ev) - INTERVAL {minutes} MINUTE"
 
-@query("job_04_stream", with_views(EVENTS) + """
-SELECT 'high_value_alerts' AS output, COUNT(*) AS n FROM ev WHERE total_amount > 200 UNION ALL
-SELECT 'minute_counts', COUNT(*) FROM (SELECT DISTINCT date_trunc('minute', event_time) AS w, event_type FROM ev) WHERE w + INTERVAL 1 MINUTE <= (SELECT MAX(event_time) FROM ev) - INTERVAL 2 MINUTE""")
+
+@query("job_04_stream", with_views(EVENTS, _slid(5, 1), _slid(10, 2), _slid(30, 5)) + " UNION ALL ".join([
+    "SELECT 'high_value_alerts' AS output, COUNT(*) AS n, COUNT(*) AS events FROM ev WHERE total_amount > 200",
+    _closed_count("minute_counts", tumble("1 MINUTE", "event_type", "COUNT(*) AS rows"), 2),
+    _closed_count("category_revenue", "SELECT window_end, category, COUNT(*) AS rows FROM slid5 GROUP BY ALL", 5),
+    _closed_count("active_users", "SELECT window_end, user_id, COUNT(*) AS rows FROM slid10 GROUP BY ALL", 10),
+    _closed_count("session_analysis", "SELECT window_end, session_id, COUNT(*) AS rows FROM slid30 GROUP BY ALL", 30),
+    _closed_count("fraud_alerts", tumble("5 MINUTE", "user_id", "COUNT(*) AS rows", having="COUNT(*) > 10 OR SUM(total_amount) > 2000 OR COUNT(DISTINCT ip_address) > 3"), 5),
+]))
 def job_04(t):
+    """Every output of the job, with its number of rows and the events counted in them."""
     out = scratch_path(t.spark, "stream-job")
     for running in jobs.stream_job(t.event_stream, out, scratch_path(t.spark, "stream-job-checkpoints"), {"availableNow": True}).values():
         running.awaitTermination()
-    counts = [t.spark.read.parquet(f"{out}/{n}").agg(n_rows()).withColumn("output", F.lit(n)) for n in ("high_value_alerts", "minute_counts")]
-    return counts[0].unionByName(counts[1])
+    events = {"high_value_alerts": F.lit(1), "minute_counts": F.col("event_count"), "category_revenue": F.col("order_count"), "active_users": F.col("activity_count"),
+              "session_analysis": F.col("events_in_session"), "fraud_alerts": F.col("transaction_count")}
+    counts = [
+        t.spark.read.parquet(f"{out}/{n}").agg(n_rows(), F.coalesce(F.sum(c), F.lit(0)).cast("long").alias("events")).withColumn("output", F.lit(n)) for n, c in events.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counts)
 
 
 @query("job_05_event_router", with_views(EVENTS) + """
