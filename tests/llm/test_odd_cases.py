@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_training_operators import ODD, PIECES, Union
 
 import corpus_pipeline
-from tidewell.llm import embeddings, encode, lines, minhash
+from tidewell.llm import decontaminate, embeddings, encode, lines, minhash
 from tidewell.llm.queries import vocabulary
 from tidewell.session import scratch_path
 
@@ -113,3 +113,16 @@ def test_pipeline_on_odd_rows_and_empty_tables(spark):
         ids = [r["doc_id"] for r in docs.collect()]
         assert {r["doc_id"] for r in packed.collect()} == set(ids)
         assert not ids if name == "none" else {1, 2, 6, 7, 8} <= set(ids)
+
+
+def test_scores_do_not_depend_on_the_parts_of_the_index(spark, monkeypatch):
+    documents, benchmark = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
+
+    def found(size):
+        monkeypatch.setattr(decontaminate, "PART_BYTES", size)
+        return {(r["doc_id"], r["item_id"]): tuple(round(r[c], 9) for c in ("score", "question_overlap", "answer_overlap", "passage_start")) for r in decontaminate.contaminated(documents, benchmark).collect()}
+
+    whole = found(4 << 20)
+    assert whole and found(2000) == whole
+    kept = decontaminate.contaminated_removed(documents, benchmark)
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {r["doc_id"] for r in documents.collect()} - {d for d, _ in whole}

@@ -7,8 +7,8 @@ every term's greatest impact, then by the sum of its greatest impacts in each bl
 pairs at or over the threshold are found. They are verified by the share of the question's and of the answer's word trigrams that
 stand around the passage. A unit's question is its leading two thirds, its answer the rest, as test items come as one text.
 
-The index is built and sent to the tasks in parts of at most ``PART_BYTES`` bytes of item text; each part is one pass, so no size of the
-benchmark exceeds a task's memory. Null or empty texts match nothing, on either side. Repeated items are each reported; repeated rows of
+The index is built and sent to the tasks in parts of about ``PART_BYTES`` bytes of item text; each part is one pass, and its weights come from counts over
+all items, so no score depends on how the items are dealt to parts. One part at a time is on the driver and, in a search, in the tasks. Null or empty texts match nothing, on either side. Repeated items are each reported; repeated rows of
 a document count once. Rows without an id are searched, and reported under a null id. An empty table gives no rows.
 """
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.store import discard, stored
 from tidewell.llm.texthash import ALNUM, blocks, runs_hash, spans, word_hashes, words
 
 UNIT_WORDS, PASSAGE_WORDS, STRIDE = 64, 96, 32
@@ -62,16 +63,30 @@ def _grams(h: np.ndarray) -> np.ndarray:
     return np.unique(runs_hash(h, np.arange(len(h) - 2), 3) if len(h) >= 3 else h)
 
 
-def build_index(items: list[tuple[int, str]], k1: float = 1.2, b: float = 0.75) -> Index | None:
-    units: list[tuple[int, np.ndarray]] = []
-    column = pa.array([text or "" for _, text in items], pa.string())
+@dataclass(frozen=True)
+class Statistics:
+    """What BM25 needs to know of all test items: the number of units, their mean length, and in how many units each term of a part stands."""
+
+    units: int
+    mean: float
+    terms: np.ndarray
+    counts: np.ndarray
+
+
+def _units(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, hashes of the words) of every unit."""
     for low, _, data, offsets in blocks(column):
         starts, ends, bounds = words(data, offsets, ALNUM)
         h = word_hashes(data, starts, ends, lower=True)
         for k in range(len(offsets) - 1):
             own = h[bounds[k] : bounds[k + 1]]
             pieces = max(1, -(-len(own) // UNIT_WORDS))
-            units.extend((items[low + k][0], piece) for piece in np.array_split(own, pieces) if len(piece))
+            yield from ((low + k, piece) for piece in np.array_split(own, pieces) if len(piece))
+
+
+def build_index(items: list[tuple[int, str]], statistics: Statistics | None = None, k1: float = 1.2, b: float = 0.75) -> Index | None:
+    """The index of some items, with the weights of all of which ``statistics`` tells; without, of these alone."""
+    units = [(items[row][0], piece) for row, piece in _units(pa.array([text or "" for _, text in items], pa.string()))]
     if not units:
         return None
     sizes = np.array([len(u) for _, u in units])
@@ -80,9 +95,11 @@ def build_index(items: list[tuple[int, str]], k1: float = 1.2, b: float = 0.75)
     names, code = np.unique(term, return_inverse=True)
     pairs, tf = np.unique(code * len(units) + unit, return_counts=True)
     term, unit = np.divmod(pairs, len(units))
-    df = np.bincount(term, minlength=len(names))
-    idf = np.log1p((len(units) - df + 0.5) / (df + 0.5))
-    impact = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[unit] / sizes.mean()))
+    if statistics is None:
+        statistics = Statistics(len(units), float(sizes.mean()), names, np.bincount(term, minlength=len(names)))
+    df = statistics.counts[np.searchsorted(statistics.terms, names)]
+    idf = np.log1p((statistics.units - df + 0.5) / (df + 0.5))
+    impact = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[unit] / statistics.mean))
     impact = impact / np.bincount(unit, weights=impact, minlength=len(units))[unit]
     n_blocks = -(-len(units) // BLOCK_UNITS)
     block_ceiling = np.zeros((len(names), n_blocks), dtype=np.float32)
@@ -141,9 +158,7 @@ def _verified(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: fl
             yield int(text), int(index.items[unit]), (float(score), float(asked), float(answered), int(first - bounds[text]))
 
 
-def _part(documents: DataFrame, index: Index, threshold: float, overlap: float) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(index)
-
+def _part(documents: DataFrame, shared, threshold: float, overlap: float) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             ids = part.column(0)
@@ -160,24 +175,57 @@ def _part(documents: DataFrame, index: Index, threshold: float, overlap: float)
     return documents.mapInArrow(run, SCHEMA)
 
 
-def _indexes(benchmark: DataFrame) -> list[Index]:
-    """The test items as indexes of bounded size."""
+def _counted(items: DataFrame) -> DataFrame:
+    """(part, term, units, words) of (text, part): in how many units of a part each term stands; without a term, the units and words of a part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = np.asarray(batch.column("part"))
+            rows, pieces = zip(*_units(batch.column("text")), strict=True) if batch.num_rows else ((), ())
+            if not pieces:
+                continue
+            owner = part[list(rows)]
+            terms = [np.unique(piece) for piece in pieces]
+            columns = [
+                np.concatenate((np.repeat(owner, [len(t) for t in terms]), owner)), np.concatenate([*terms, np.zeros(len(pieces), np.uint64)]).view(np.int64),
+                np.concatenate((np.zeros(sum(map(len, terms)), np.int64), [len(p) for p in pieces])),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "term", "words"])
+
+    found = items.select("text", "part").mapInArrow(run, "part long, term long, words long")
+    term = F.when(F.col("words") == 0, F.col("term")).alias("term")
+    return found.groupBy("part", term).agg(F.count("*").alias("units"), F.sum("words").alias("words"))
+
+
+def _indexes(benchmark: DataFrame) -> Iterator[Index]:
+    """The test items as indexes of bounded size, one after another."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id is not null and length(text) > 0")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // PART_BYTES)
-    numbered = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts))))
-    out = []
-    for k in range(parts):
+    parts = max(1, -(-size // PART_BYTES))
+    numbered = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).cast("long"))
+    counted = stored(_counted(numbered), "benchmark-terms")
+    whole = counted.filter("term is null").agg(F.sum("units").alias("units"), F.sum("words").alias("words")).first()
+    everywhere = counted.filter("term is not null").groupBy("term").agg(F.sum("units").alias("n"))
+    for k in range(parts if whole["units"] else 0):
         own = sorted((r["item_id"], r["text"]) for r in numbered.filter(F.col("part") == k).select("item_id", "text").collect())
-        out.append(build_index(own))
-    return [index for index in out if index]
+        terms = counted.filter((F.col("part") == k) & F.col("term").isNotNull()).select("term").join(everywhere, "term").toPandas()
+        names = terms["term"].to_numpy(dtype=np.int64).view(np.uint64)
+        order = np.argsort(names)
+        statistics = Statistics(whole["units"], whole["words"] / whole["units"], names[order], terms["n"].to_numpy(dtype=np.int64)[order])
+        if index := build_index(own, statistics):
+            yield index
+    discard(counted)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document and test item found in it: the best passage's score, both overlaps and the passage's first word."""
     spark = documents.sparkSession
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    passes = [_part(source, index, threshold, overlap) for index in _indexes(benchmark)]
+    passes = []
+    for index in _indexes(benchmark):
+        shared = spark.sparkContext.broadcast(index)
+        passes.append(stored(_part(source, shared, threshold, overlap), "contaminated"))
+        shared.destroy()
     if not passes:
         return spark.createDataFrame([], SCHEMA)
     best = F.max_by(F.struct("score", "question_overlap", "answer_overlap", "passage_start"), F.struct("score", -F.col("passage_start"))).alias("best")
