@@ -14,7 +14,8 @@ cdc_01_latest_image cdc_02_order_details cdc_07_merge_upsert cdc_10_scd2 dq_01_n
 fea_01_historical_features fea_03_rolling_features fn_date_times fn_json_values gra_03_pagerank gra_08_components join_08_asof_join
 join_12_interval_join lak_02_z_value ord_03_top_k_per prj_02_sales_fact sea_01_cosine_topk set_03_snapshot_diff sta_03_product_popularity
 sta_06_fraud_state str_01_tumbling_counts_stream str_10_session_windows str_17_behavior_patterns ts_01_indicators win_01_purchase_sequence
-win_08_terciles win_12_daily_growth""".split()
+win_08_terciles win_12_daily_growth join_08_asof_join_stream join_12_interval_join_stream sta_01_user_profile_stream str_12_hourly_rollup_stream
+str_23_split_late udf_04_user_aggregate src_12_incremental_at_ties ml_01_train_tabular ts_03_gap_fill""".split()
 NAMES = sorted(ORACLES) if os.environ.get("TIDEWELL_ALL_QUERIES") else SHORT
 
 
