@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidewell.operators.lake import Medallion
 from tidewell.session import scratch_path
 
+#: A replayed batch has a file for so many rows, as far as there are cores to write them.
+ROWS_PER_FILE = 10_000
+
 
 def run_available(stream: DataFrame, label: str, checkpoint: str | None = None, out: str | None = None) -> DataFrame:
     """Process everything available, append finished rows to Parquet and return them."""
@@ -43,15 +46,22 @@ def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], labe
 
 def replay(table: DataFrame, ts: str, parts: int, lateness_us: Column, label: str) -> DataFrame:
     """A table as a file stream that comes out of order: a row arrives ``lateness_us`` after its time, and arrivals are cut into ``parts`` batches of
-    equal length. A watermark delay above the greatest lateness loses no row. Batches are written one after another, as a stream takes files by age."""
+    equal length. A watermark delay above the greatest lateness loses no row. Batches are written one after another, as a stream takes files by age.
+
+    Every batch is the same number of files, so that the stream takes it whole whatever the layout of the table: of a batch in pieces, the first
+    would move the watermark past rows of the others.
+    """
     spark = table.sparkSession
     path = scratch_path(spark, f"{label}-replay")
     arrival = F.unix_micros(F.col(ts).cast("timestamp")) + lateness_us
-    first, last = table.agg(F.min(arrival), F.max(arrival)).first()
+    first, last, rows = table.agg(F.min(arrival), F.max(arrival), F.count(F.lit(1))).first()
+    files = max(1, min(spark.sparkContext.defaultParallelism, rows // (parts * ROWS_PER_FILE)))
     for part in range(parts):
         low, high = (first + (last + 1 - first) * k // parts for k in (part, part + 1)) if first is not None else (0, 0)
-        table.filter((arrival >= low) & (arrival < high)).write.mode("append").parquet(path)
-    files = max(1, len(table.inputFiles()))
+        table.filter((arrival >= low) & (arrival < high)).repartition(files).write.mode("append").parquet(path)
+        # Spark writes no file for an empty task.
+        for _ in range(len(spark.read.schema(table.schema).parquet(path).inputFiles()), files * (part + 1)):
+            spark.createDataFrame([], table.schema).coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
