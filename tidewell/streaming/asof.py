@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.streaming.ordered import InEventOrder, keyed, listed, passes, timed
+from tidewell.streaming.ordered import InEventOrder, keyed, passes, timed
 
 PLAIN = (T.LongType, T.IntegerType, T.DoubleType, T.StringType, T.BooleanType)
 
@@ -44,44 +42,23 @@ class AsOf(InEventOrder):
     """Versions (side 0) and events (side 1) of a key; at equal times versions come first, in the order of ``version_order``."""
 
     def __init__(self, event_fields: list[tuple[str, str]], version_fields: list[tuple[str, str]], version_order: Sequence[str], tolerance_us: int | None):
-        self.event_fields, self.version_fields, self.tolerance_us = event_fields, version_fields, tolerance_us
+        self.split, self.none, self.tolerance_us = 2 + len(event_fields), (None,) * len(version_fields), tolerance_us
         self.FIELDS = ", ".join(f"{n} {t}" for n, t in [("side", "int"), *event_fields, *version_fields])
         self.ORDER = ("side", *[f"v_{c}" for c in version_order])
+        self.STATE = ", ".join(f"{n} {t}" for n, t in [("since_us", "long"), *version_fields])
+        self.SCHEMA = ", ".join(f"`{n}` {t}" for n, t in [*event_fields, *version_fields])
 
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.current = handle.getValueState("current", ", ".join(f"{n} {t}" for n, t in [("since_us", "long"), *self.version_fields]))
-
-    def advance(self, key, events, mark_us):
-        carried, out = self.current.get(), []
-        if len(events):
-            versions = (events["side"] == 0).to_numpy()
-            found = np.maximum.accumulate(np.where(versions, np.arange(len(events)), -1))
-            probes = np.flatnonzero(~versions)
-            table = [events["at_us"].tolist(), *[listed(events[n], t) for n, t in self.version_fields]]
-
-            def at(row: int) -> tuple:
-                return tuple(c[row] for c in table) if row >= 0 else carried or (None,) * len(table)
-
-            matches = [at(found[p]) for p in probes]
-            if self.tolerance_us is not None:
-                oldest = (events["at_us"].to_numpy()[probes] - self.tolerance_us).tolist()
-                matches = [m if m[0] is not None and m[0] >= low else (None,) * len(table) for m, low in zip(matches, oldest, strict=True)]
-            if len(probes):
-                frame = {n: pd.Series([values[p] for p in probes], dtype=object) for n, t in self.event_fields for values in [listed(events[n], t)]}
-                frame |= {n: pd.Series([m[k] for m in matches], dtype=object) for k, (n, _) in enumerate(self.version_fields, start=1)}
-                out.append(pd.DataFrame(frame))
-            if found[-1] >= 0:
-                carried = at(found[-1])
-                self.current.update(carried)
-        self.since = carried[0] if carried else None
-        if self.tolerance_us is not None and self.since is not None and mark_us > self.since + self.tolerance_us:
-            self.current.clear()
-            self.since = None
-        return out
-
-    def deadline(self):
-        return passes(self.since + self.tolerance_us) if self.tolerance_us is not None and self.since is not None else None
+    def advance(self, key, rows, state, mark_us, out):
+        for row in rows:
+            if row[1] == 0:
+                state = (row[0], *row[self.split :])
+            else:
+                valid = state is not None and (self.tolerance_us is None or state[0] >= row[0] - self.tolerance_us)
+                out.append((*row[2 : self.split], *(state[1:] if valid else self.none)))
+        return None if state is None or (self.tolerance_us is not None and mark_us > state[0] + self.tolerance_us) else state
+
+    def deadline(self, state):
+        return passes(state[0] + self.tolerance_us) if self.tolerance_us is not None else None
 
 
 def asof_stream(events: DataFrame, versions: DataFrame, key: str, ts: str, version_ts: str, version_order: Sequence[str] = (), delay: str = "20 seconds",
@@ -103,7 +80,7 @@ def asof_stream(events: DataFrame, versions: DataFrame, key: str, ts: str, versi
     both = rows(events, 1, ts, event_packed, delay).unionByName(rows(versions.filter(F.col(f"`{key}`").isNotNull()), 0, version_ts, version_packed, version_delay or delay))
     tolerance = None if tolerance_seconds is None else tolerance_seconds * 1_000_000
     processor = AsOf(event_fields, version_fields, version_order, tolerance)
-    out = keyed(both, "key", processor, ", ".join(f"`{n}` {t}" for n, t in [*event_fields, *version_fields]))
+    out = keyed(both, "key", processor, processor.SCHEMA)
     return out.select(
         *[unpacked(F.col(f"`e_{c}`"), k).alias(c) for c, k in event_kinds.items()], *[unpacked(F.col(f"`v_{c}`"), k).alias(f"{prefix}{c}") for c, k in version_kinds.items()]
     )

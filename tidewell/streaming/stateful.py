@@ -1,20 +1,18 @@
 """Keyed state jobs in event-time order, on ``ordered.InEventOrder``.
 
 A row is applied when the watermark passes it, so every job gives the rows of its table twin for the closed part of the stream. Amounts are
-kept as whole cents, so running sums are exact. State is read and written once per key and watermark step, and forgotten when nothing
+kept as whole cents, so running sums are exact. State is read and written once per slot of keys and watermark step, and forgotten when nothing
 that comes can depend on it any more.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.measures import ratio
 from tidewell.functions.tiers import LOYALTY_TIERS, TIER_BENEFITS
-from tidewell.streaming.ordered import InEventOrder, keyed, passes, reaches, timed
+from tidewell.streaming.ordered import InEventOrder, Shelf, keyed, passes, reaches, timed
 
 DAY_US = 86_400_000_000
 
@@ -25,58 +23,36 @@ def prepare(events: DataFrame, delay: str, *columns: str) -> DataFrame:
     return timed(events, delay).withColumn("cents", cents).select("at_us", "event_time", *dict.fromkeys(columns))
 
 
-def _shifted(at: pd.Series, last: int | None) -> pd.Series:
-    """The time of the row before, for the first row that of the state."""
-    before = at.shift()
-    if len(before) and last is not None:
-        before.iloc[0] = last
-    return before
-
-
 class FraudState(InEventOrder):
     """Spend since the last long pause and the time of the last large transaction."""
 
     FIELDS = "event_id long, cents long"
+    STATE = "last_us long, cents long"
     SCHEMA = "event_id long, user_id long, event_time timestamp, amount double, recent_spending double, fraud_score int, alert_type string"
 
     def __init__(self, high=1000.0, volume=2000.0, reset_seconds=3600, rapid_seconds=60, emit_at=40):
         self.high, self.volume = round(high * 100), round(volume * 100)
         self.reset_us, self.rapid_us, self.emit_at = reset_seconds * 1_000_000, rapid_seconds * 1_000_000, emit_at
 
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("spending", "last_us long, cents long")
-
-    def advance(self, key, events, mark_us):
-        last, carried = self.state.get() or (None, 0)
-        self.last = last
-        out = []
-        if len(events):
-            at, cents = events["at_us"], events["cents"]
-            pause = at - _shifted(at, last)
-            island = (pause > self.reset_us).cumsum()
-            spending = cents.groupby(island).cumsum() + np.where(island == 0, carried, 0)
-            big, busy, rapid = cents > self.high, spending > self.volume, pause < self.rapid_us
+    def advance(self, key, rows, state, mark_us, out):
+        last, spending = state or (None, 0)
+        for at, event, cents in rows:
+            pause = None if last is None else at - last
+            spending = cents if pause is None or pause > self.reset_us else spending + cents
+            big, busy, rapid = cents > self.high, spending > self.volume, pause is not None and pause < self.rapid_us
             score = 50 * big + 30 * busy + 40 * rapid
-            kind = np.select([rapid, busy, big], ["RAPID_TRANSACTIONS", "HIGH_VOLUME", "HIGH_VALUE"], "SUSPICIOUS")
-            alerts = pd.DataFrame({
-                "event_id": events["event_id"], "user_id": key[0], "event_time": pd.to_datetime(at, unit="us"), "amount": cents / 100,
-                "recent_spending": spending / 100, "fraud_score": score.astype("int32"), "alert_type": kind,
-            })
-            out.append(alerts[score >= self.emit_at])
-            self.last = int(at.iloc[-1])
-            self.state.update((self.last, int(spending.iloc[-1])))
-        if self.last is not None and mark_us >= self._end():
-            # The next row starts anew, whenever it comes.
-            self.state.clear()
-            self.last = None
-        return out
-
-    def _end(self) -> int:
-        return passes(self.last + max(self.reset_us, self.rapid_us)) * 1000
-
-    def deadline(self):
-        return None if self.last is None else self._end() // 1000
+            if score >= self.emit_at:
+                kind = "RAPID_TRANSACTIONS" if rapid else "HIGH_VOLUME" if busy else "HIGH_VALUE" if big else "SUSPICIOUS"
+                out.append((event, key, at, cents / 100, spending / 100, score, kind))
+            last = at
+        # After the deadline the next row starts anew, whenever it comes.
+        return None if mark_us >= self._end(last) * 1000 else (last, spending)
+
+    def _end(self, last: int) -> int:
+        return passes(last + max(self.reset_us, self.rapid_us))
+
+    def deadline(self, state):
+        return self._end(state[0])
 
 
 class SessionTracker(InEventOrder):
@@ -92,44 +68,31 @@ class SessionTracker(InEventOrder):
     def __init__(self, gap_seconds: int = 1800, running: bool = True):
         self.gap_us, self.running = gap_seconds * 1_000_000, running
 
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("session", self.STATE)
-
     @staticmethod
     def _row(key, s, final):
         start, last, n, views, carts, purchases, cents, categories = s
         score = views + 3 * carts + 5 * purchases + 2 * len(categories)
-        return (key[0], start // 1000, last // 1000, n, len(categories), cents / 100, views, carts, purchases, score, final)
-
-    def advance(self, key, events, mark_us):
-        current, out = self.state.get(), []
-        breaks = (events["at_us"] - _shifted(events["at_us"], current[1] if current else None) > self.gap_us).cumsum()
-        for number, piece in events.groupby(breaks, sort=True):
-            if current and number > 0:
-                out.append(self._row(key, current, True))
-                current = None
-            actions = piece["action"].value_counts()
-            first, last = int(piece["at_us"].iloc[0]), int(piece["at_us"].iloc[-1])
-            start, _, n, views, carts, purchases, cents, seen = current or (first, last, 0, 0, 0, 0, 0, [])
-            current = (
-                start, last, n + len(piece), views + int(actions.get("view", 0)), carts + int(actions.get("add_to_cart", 0)),
-                purchases + int(actions.get("purchase", 0)), cents + int(piece.loc[piece["action"] == "purchase", "cents"].sum()),
-                sorted(set(seen) | set(piece["category"].dropna())),
-            )
-        self.last = current[1] if current else None
-        if current and mark_us > current[1] + self.gap_us:
-            out.append(self._row(key, current, True))
-            self.state.clear()
-            self.last = None
-        elif current and len(events):
-            self.state.update(current)
-            if self.running:
-                out.append(self._row(key, current, False))
-        return [self.frame(out)] if out else []
-
-    def deadline(self):
-        return None if self.last is None else passes(self.last + self.gap_us)
+        return (key, start // 1000, last // 1000, n, len(categories), cents / 100, views, carts, purchases, score, final)
+
+    def advance(self, key, rows, state, mark_us, out):
+        for at, _, action, category, cents in rows:
+            if state and at - state[1] > self.gap_us:
+                out.append(self._row(key, state, True))
+                state = None
+            start, _, n, views, carts, purchases, spent, seen = state or (at, at, 0, 0, 0, 0, 0, [])
+            if category is not None and category not in seen:
+                seen = sorted([*seen, category])
+            bought = action == "purchase"
+            state = (start, at, n + 1, views + (action == "view"), carts + (action == "add_to_cart"), purchases + bought, spent + (cents if bought else 0), seen)
+        if mark_us > state[1] + self.gap_us:
+            out.append(self._row(key, state, True))
+            return None
+        if rows and self.running:
+            out.append(self._row(key, state, False))
+        return state
+
+    def deadline(self, state):
+        return passes(state[1] + self.gap_us)
 
 
 class UserProfile(InEventOrder):
@@ -143,94 +106,67 @@ class UserProfile(InEventOrder):
         "user_id long, kind string, event_id long, at_ms long, session_count long, total_spent double, tier string, "
         "recent_purchases array<long>, preferences map<string,long>, benefits array<string>"
     )
+    STATE = (
+        "logins long, cents long, level int, last_us long, recent array<long>, viewed array<string>, views array<long>, "
+        "due_us array<long>, due_level array<int>, due_logins array<long>, due_cents array<long>"
+    )
 
     def __init__(self, ttl_hours: int = 24 * 365, keep: int = 10, steps=tuple(LOYALTY_TIERS)):
         self.ttl_us, self.keep, self.steps = ttl_hours * 3_600_000_000, keep, tuple(sorted(steps))
 
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.profile = handle.getValueState("profile", "logins long, cents long, level int, last_us long")
-        self.purchases = handle.getListState("purchases", "product_id long")
-        self.views = handle.getMapState("views", "category string", "n long")
-        self.upgrades = handle.getListState("upgrades", "due_us long, level int, logins long, cents long")
-
     def _tier(self, level: int) -> str:
         return self.steps[level - 1][1] if level else "BRONZE"
 
-    def _activated(self, key, until_us: int) -> list[tuple]:
-        """Rows of the upgrades that are due by then."""
-        due, self.coming = [u for u in self.coming if u[0] <= until_us], [u for u in self.coming if u[0] > until_us]
-        return [(key[0], "TIER_ACTIVATED", None, at // 1000, logins, cents / 100, self._tier(level), None, None, TIER_BENEFITS[self._tier(level)]) for at, level, logins, cents in due]
-
-    def _applied(self, key, events: pd.DataFrame) -> list[tuple]:
-        """Rows of the events of one life of the profile, which moves on."""
-        logins, cents, level = self.totals
-        bought = events["action"] == "purchase"
-        all_logins = logins + (events["action"] == "login").cumsum().to_numpy()
-        spent = cents + events["cents"].where(bought, 0).astype("int64").cumsum().to_numpy()
-        thresholds = np.array([t * 100 for t, _ in self.steps])
-        levels = np.maximum.accumulate(np.maximum(np.searchsorted(thresholds, spent, side="right"), level))
-        for k in np.flatnonzero(np.diff(levels, prepend=level)):
-            self.coming.append((int(events["at_us"].iloc[k]) + DAY_US, int(levels[k]), int(all_logins[k]), int(spent[k])))
-        products = self.recent + [None if p != p else int(p) for p in events.loc[bought, "product_id"]]
-        ends = len(self.recent) + bought.cumsum().to_numpy()
-        rows = []
-        for k, (event, at, action, category) in enumerate(zip(events["event_id"], events["at_us"], events["action"], events["category"], strict=True)):
-            if action == "view" and category is not None:
-                self.seen = {**self.seen, category: self.seen.get(category, 0) + 1}
-            recent = products[max(0, ends[k] - self.keep) : ends[k]]
-            rows.append((key[0], "PROFILE", int(event), int(at) // 1000, int(all_logins[k]), spent[k] / 100, self._tier(levels[k]), recent, self.seen, None))
-        self.totals, self.recent = (int(all_logins[-1]), int(spent[-1]), int(levels[-1])), products[-self.keep :]
-        return rows
-
-    def advance(self, key, events, mark_us):
-        stored = self.profile.get()
-        self.totals, self.last = (tuple(stored[:3]), stored[3]) if stored else ((0, 0, 0), None)
-        self.recent, self.seen, self.coming = [p[0] for p in self.purchases.get()], {k[0]: v[0] for k, v in self.views.iterator()}, [tuple(u) for u in self.upgrades.get()]
-        before, out = dict(self.seen), []
-
-        def forget() -> None:
-            out.extend(self._activated(key, self.last + self.ttl_us))
-            self.totals, self.recent, self.seen, self.coming, self.last = (0, 0, 0), [], {}, [], None
-
-        lives = (events["at_us"] - _shifted(events["at_us"], self.last) > self.ttl_us).cumsum()
-        for number, life in events.groupby(lives, sort=True):
-            if number > 0 and self.last is not None:
-                forget()
-            out += self._applied(key, life)
-            self.last = int(life["at_us"].iloc[-1])
-        if self.last is not None and mark_us > self.last + self.ttl_us:
-            forget()
-        out += self._activated(key, mark_us)
-        if self.last is None:
-            for state in (self.profile, self.purchases, self.views, self.upgrades):
-                state.clear()
-        else:
-            self.profile.update((*self.totals, self.last))
-            for state, values in ((self.purchases, [(p,) for p in self.recent]), (self.upgrades, self.coming)):
-                state.put(values) if values else state.clear()
-            for category in before.keys() - self.seen.keys():
-                self.views.removeKey((category,))
-            for category, n in self.seen.items():
-                if before.get(category) != n:
-                    self.views.updateValue((category,), (n,))
-        return [self.frame(out)] if out else []
-
-    def deadline(self):
-        due = [reaches(u[0]) for u in self.coming]
-        return min([*due, passes(self.last + self.ttl_us)]) if self.last is not None else None
+    def _activated(self, key, coming: list[tuple], until_us: int, out: list[tuple]) -> list[tuple]:
+        """Add the rows of the upgrades that are due by then, and return the others."""
+        for at, level, logins, cents in coming:
+            if at <= until_us:
+                out.append((key, "TIER_ACTIVATED", None, at // 1000, logins, cents / 100, self._tier(level), None, None, TIER_BENEFITS[self._tier(level)]))
+        return [u for u in coming if u[0] > until_us]
+
+    def advance(self, key, rows, state, mark_us, out):
+        logins, cents, level, last, recent, coming = *(state[:5] if state else (0, 0, 0, None, [])), list(zip(*state[7:], strict=True)) if state else []
+        seen = dict(zip(state[5], state[6], strict=True)) if state else {}
+        for at, event, action, category, product, amount in rows:
+            if last is not None and at - last > self.ttl_us:
+                self._activated(key, coming, last + self.ttl_us, out)
+                logins, cents, level, recent, seen, coming = 0, 0, 0, [], {}, []
+            if action == "login":
+                logins += 1
+            elif action == "view" and category is not None:
+                seen = {**seen, category: seen.get(category, 0) + 1}
+            elif action == "purchase":
+                cents, recent = cents + amount, [*recent, product][-self.keep :]
+            # Steps already taken stay.
+            reached = max(level, sum(cents >= step * 100 for step, _ in self.steps))
+            if reached > level:
+                level = reached
+                coming.append((at + DAY_US, level, logins, cents))
+            out.append((key, "PROFILE", event, at // 1000, logins, cents / 100, self._tier(level), recent, seen, None))
+            last = at
+        if mark_us > last + self.ttl_us:
+            self._activated(key, coming, last + self.ttl_us, out)
+            return None
+        coming = self._activated(key, coming, mark_us, out)
+        return (logins, cents, level, last, recent, list(seen), list(seen.values()), *[[u[k] for u in coming] for k in range(4)])
+
+    def deadline(self, state):
+        return min([*map(reaches, state[7]), passes(state[3] + self.ttl_us)])
 
 
 class RunningFeatures(InEventOrder):
     """Running totals of a key at every event, with the number of distinct ``member`` values so far.
 
-    Members are entries of map state, one each, so a key with very many of them is no large value. A key is forgotten ``ttl_hours`` after its
-    last event, members included.
+    Members are rows of a shelf, and only new ones are written, so a key with very many of them is no large value. A key is forgotten
+    ``ttl_hours`` after its last event, members included.
     """
 
-    def __init__(self, key: str, member: str, ttl_hours: int = 24 * 365):
-        self.key, self.member, self.ttl_us = key, member, ttl_hours * 3_600_000_000
+    STATE = "n long, cents long, views long, purchases long, members long, first_us long, last_us long"
+
+    def __init__(self, key: str, member: str, key_type: str, ttl_hours: int = 24 * 365):
+        self.ttl_us = ttl_hours * 3_600_000_000
         self.FIELDS = f"event_id long, action string, cents long, {member} string"
+        self.SCHEMA = self.schema(key, key_type)
 
     @staticmethod
     def schema(key: str, key_type: str) -> str:
@@ -238,107 +174,87 @@ class RunningFeatures(InEventOrder):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.totals = handle.getValueState("totals", "n long, cents long, views long, purchases long, members long, first_us long, last_us long")
-        self.members = handle.getMapState("members", "member string", "seen boolean")
-
-    def _applied(self, key, events: pd.DataFrame, state) -> tuple[pd.DataFrame, tuple]:
-        at = events["at_us"]
-        n, cents, views, purchases, members, first, last = state or (0, 0, 0, 0, 0, int(at.iloc[0]), int(at.iloc[0]))
-        member = events[self.member]
-        fresh = ~member.duplicated() & member.notna()
-        for position in fresh[fresh].index:
-            if self.members.containsKey((member[position],)):
-                fresh[position] = False
-            else:
-                self.members.updateValue((member[position],), (True,))
-        sold = events["action"] == "purchase"
-        before = _shifted(at, last).astype("int64")
-        out = pd.DataFrame(
-            {
-                self.key: key[0], "event_id": events["event_id"], "event_time": pd.to_datetime(at, unit="us"), "events": n + np.arange(1, len(events) + 1),
-                "spent": (cents + events["cents"].where(sold, 0).astype("int64").cumsum()) / 100,
-                "views": views + (events["action"] == "view").cumsum(), "purchases": purchases + sold.cumsum(), "members": members + fresh.cumsum(),
-                "since_last_ms": (at - before) // 1000, "since_first_ms": (at - first) // 1000,
-            }
-        )
-        end = out.iloc[-1]
-        cents += int(events.loc[sold, "cents"].sum())
-        return out, (n + len(events), cents, int(end["views"]), int(end["purchases"]), int(end["members"]), first, int(at.iloc[-1]))
-
-    def advance(self, key, events, mark_us):
-        state, out = self.totals.get(), []
-        lives = (events["at_us"] - _shifted(events["at_us"], state[6] if state else None) > self.ttl_us).cumsum()
-        for number, life in events.groupby(lives, sort=True):
-            if number > 0 and state:
-                self.members.clear()
+        self.known = Shelf(handle, "members", f"key {self.KEY}, member string")
+
+    def load(self):
+        self.members, self.fresh, self.gone = {}, [], False
+        for key, member in self.known.rows():
+            self.members.setdefault(key, set()).add(member)
+
+    def save(self):
+        if self.gone:
+            self.known.put([(key, member) for key, members in self.members.items() for member in members])
+        elif self.fresh:
+            self.known.append(self.fresh)
+
+    def _forget(self, key) -> None:
+        self.gone = bool(self.members.pop(key, None)) or self.gone
+
+    def advance(self, key, rows, state, mark_us, out):
+        for at, event, action, cents, member in rows:
+            if state and at - state[6] > self.ttl_us:
+                self._forget(key)
                 state = None
-            rows, state = self._applied(key, life.reset_index(drop=True), state)
-            out.append(rows)
-        self.last = state[6] if state else None
-        if state and mark_us > self.last + self.ttl_us:
-            self.totals.clear()
-            self.members.clear()
-            self.last = None
-        elif len(events):
-            self.totals.update(state)
-        return out
-
-    def deadline(self):
-        return None if self.last is None else passes(self.last + self.ttl_us)
+            n, spent, views, purchases, members, first, last = state or (0, 0, 0, 0, 0, at, at)
+            seen = self.members.setdefault(key, set())
+            if member is not None and member not in seen:
+                seen.add(member)
+                self.fresh.append((key, member))
+                members += 1
+            sold = action == "purchase"
+            state = (n + 1, spent + (cents if sold else 0), views + (action == "view"), purchases + sold, members, first, at)
+            out.append((key, event, at, state[0], state[1] / 100, state[2], state[3], members, (at - last) // 1000, (at - first) // 1000))
+        if mark_us > state[6] + self.ttl_us:
+            self._forget(key)
+            return None
+        return state
+
+    def deadline(self, state):
+        return passes(state[6] + self.ttl_us)
 
 
 class CountTrigger(InEventOrder):
     """An aggregate for every ``n`` events in event order; a rest is flushed after ``idle_seconds`` without events."""
 
     FIELDS = "event_id long, cents long"
+    STATE = "batch_no long, n long, cents long, first_us long, last_us long"
     SCHEMA = "user_id long, batch_no long, event_count long, total_amount double, first_ms long, last_ms long, is_partial boolean"
 
     def __init__(self, n: int = 100, idle_seconds: int = 3600):
         self.n, self.idle_us = n, idle_seconds * 1_000_000
 
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.open_batch = handle.getValueState("open", "batch_no long, n long, cents long, first_us long, last_us long")
-
-    def advance(self, key, events, mark_us):
-        batch_no, n, cents, first, last = self.open_batch.get() or (1, 0, 0, None, None)
-        out = []
+    def advance(self, key, rows, state, mark_us, out):
+        batch_no, n, cents, first, last = state or (1, 0, 0, None, None)
 
         def flush(partial: bool) -> None:
             nonlocal batch_no, n, cents
-            out.append((key[0], batch_no, n, cents / 100, first // 1000, last // 1000, partial))
+            out.append((key, batch_no, n, cents / 100, first // 1000, last // 1000, partial))
             batch_no, n, cents = batch_no + 1, 0, 0
 
-        runs = (events["at_us"] - _shifted(events["at_us"], last) >= self.idle_us).cumsum()
-        for number, run in events.groupby(runs, sort=True):
-            if number > 0 and n:
+        for at, _, amount in rows:
+            if n and at - last >= self.idle_us:
                 flush(True)
-            at = 0
-            while at < len(run):
-                part = run.iloc[at : at + self.n - n]
-                at += len(part)
-                first = int(part["at_us"].iloc[0]) if n == 0 else first
-                n, cents, last = n + len(part), cents + int(part["cents"].sum()), int(part["at_us"].iloc[-1])
-                if n == self.n:
-                    flush(False)
+            first = at if n == 0 else first
+            n, cents, last = n + 1, cents + amount, at
+            if n == self.n:
+                flush(False)
         if n and mark_us >= last + self.idle_us:
             flush(True)
-        self.last = last if n else None
-        self.open_batch.update((batch_no, n, cents, first, last))
-        return [self.frame(out)] if out else []
+        return batch_no, n, cents, first, last
 
-    def deadline(self):
-        return None if self.last is None else reaches(self.last + self.idle_us)
+    def deadline(self, state):
+        return reaches(state[4] + self.idle_us) if state[1] else None
 
 
 class ProductPopularity(InEventOrder):
     """Metrics of the last ``hours`` at the end of every hour in which a product had events.
 
-    Every user of the period is one entry of map state, their latest hour, and beside them stands the number of users by latest hour: the users
+    Every user of the period is one row of a shelf, their latest hour, and beside them stands the number of users by latest hour: the users
     of a period are a sum over its hours. Users who have been away for the whole period are removed once per period.
     """
 
     FIELDS = "event_id long, action string, cents long, user string"
+    STATE = "open_hour long, cleaned_hour long, any_cells boolean"
     SCHEMA = "product_id long, hour_no long, total_views long, total_purchases long, revenue_cents long, unique_users long, hours_with_activity long"
     HOUR_US = 3_600_000_000
 
@@ -347,66 +263,61 @@ class ProductPopularity(InEventOrder):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.cells = handle.getMapState("cells", "hour_no long", "views long, purchases long, cents long, latest_users long")
-        self.latest = handle.getMapState("latest", "user string", "hour_no long")
-        self.progress = handle.getValueState("progress", "open_hour long, cleaned_hour long")
-
-    def _applied(self, hour: int, events: pd.DataFrame, cells: dict[int, list[int]]) -> None:
-        cell = cells.setdefault(hour, [0, 0, 0, 0])
-        sold = events["action"] == "purchase"
-        cell[0] += int((events["action"] == "view").sum())
-        cell[1] += int(sold.sum())
-        cell[2] += int(events.loc[sold, "cents"].sum())
-        for user in events["user"].unique():
-            before = self.latest.getValue((user,))
-            if before is None or before[0] != hour:
-                if before is not None and before[0] in cells:
-                    cells[before[0]][3] -= 1
-                cell[3] += 1
-                self.latest.updateValue((user,), (hour,))
+        self.cell_shelf = Shelf(handle, "cells", f"key {self.KEY}, hour_no long, views long, purchases long, cents long, latest_users long")
+        self.user_shelf = Shelf(handle, "latest", f"key {self.KEY}, user string, hour_no long")
+
+    def load(self):
+        self.cells, self.latest = {}, {}
+        for key, hour, *cell in self.cell_shelf.rows():
+            self.cells.setdefault(key, {})[hour] = cell
+        for key, user, hour in self.user_shelf.rows():
+            self.latest.setdefault(key, {})[user] = hour
+
+    def save(self):
+        self.cell_shelf.put([(key, hour, *cell) for key, cells in self.cells.items() for hour, cell in cells.items()])
+        self.user_shelf.put([(key, user, hour) for key, users in self.latest.items() for user, hour in users.items()])
 
     def _closed(self, key, hour: int, cells: dict[int, list[int]]) -> tuple:
         for old in [h for h in cells if h < hour - self.hours]:
             del cells[old]
         sums = [sum(c[k] for c in cells.values()) for k in range(4)]
-        return (key[0], hour, *sums, sum(1 for c in cells.values() if c[0] or c[1]))
-
-    def advance(self, key, events, mark_us):
-        stored = {k[0]: list(v) for k, v in self.cells.iterator()}
-        cells = {h: list(c) for h, c in stored.items()}
-        opened, cleaned = self.progress.get() or (None, None)
-        out = []
-        for hour, part in events.groupby(events["at_us"] // self.HOUR_US, sort=True):
-            hour = int(hour)
+        return (key, hour, *sums, sum(1 for c in cells.values() if c[0] or c[1]))
+
+    def advance(self, key, rows, state, mark_us, out):
+        cells, latest = self.cells.setdefault(key, {}), self.latest.setdefault(key, {})
+        opened, cleaned, _ = state or (None, None, False)
+        for at, _, action, cents, user in rows:
+            hour = at // self.HOUR_US
             if opened is not None and opened < hour:
                 out.append(self._closed(key, opened, cells))
-            self._applied(hour, part, cells)
             opened, cleaned = hour, hour if cleaned is None else cleaned
+            cell = cells.setdefault(hour, [0, 0, 0, 0])
+            cell[0] += action == "view"
+            if action == "purchase":
+                cell[1] += 1
+                cell[2] += cents
+            before = latest.get(user)
+            if before != hour:
+                if before in cells:
+                    cells[before][3] -= 1
+                cell[3] += 1
+                latest[user] = hour
         if opened is not None and mark_us >= (opened + 1) * self.HOUR_US:
             out.append(self._closed(key, opened, cells))
             opened = None
         now = mark_us // self.HOUR_US
         if cleaned is not None and now > cleaned + self.hours:
-            for user in [k for k, v in self.latest.iterator() if v[0] < now - self.hours]:
-                self.latest.removeKey(user)
-            cells = {h: c for h, c in cells.items() if h >= now - self.hours}
+            latest = self.latest[key] = {u: h for u, h in latest.items() if h >= now - self.hours}
+            cells = self.cells[key] = {h: c for h, c in cells.items() if h >= now - self.hours}
             cleaned = now
-        for hour in stored.keys() - cells.keys():
-            self.cells.removeKey((hour,))
-        for hour, cell in cells.items():
-            if stored.get(hour) != cell:
-                self.cells.updateValue((hour,), tuple(cell))
         # Nothing is due once the product's cells are gone.
-        self.due = [(opened + 1) * self.HOUR_US] if opened is not None else []
-        self.due += [(cleaned + self.hours + 1) * self.HOUR_US] if cells else []
-        if self.due:
-            self.progress.update((opened, cleaned))
-        else:
-            self.progress.clear()
-        return [self.frame(out)] if out else []
+        return (opened, cleaned, bool(cells)) if cells or opened is not None else None
 
-    def deadline(self):
-        return reaches(min(self.due)) if self.due else None
+    def deadline(self, state):
+        opened, cleaned, any_cells = state
+        due = [(opened + 1) * self.HOUR_US] if opened is not None else []
+        due += [(cleaned + self.hours + 1) * self.HOUR_US] if any_cells else []
+        return reaches(min(due)) if due else None
 
 
 def popularity(events: DataFrame, hours: int = 24, delay: str = "20 seconds") -> DataFrame:
@@ -449,7 +360,7 @@ def feature_stream(events: DataFrame, kind: str, delay: str = "20 seconds", ttl_
     """Running features of users, products or sessions at every event."""
     key, key_type, member = FEATURES[kind]
     rows = prepare(events, delay, key, "event_id", "action", "cents", member).withColumn(member, F.col(member).cast("string"))
-    return keyed(rows, key, RunningFeatures(key, member, ttl_hours), RunningFeatures.schema(key, key_type))
+    return keyed(rows, key, RunningFeatures(key, member, key_type, ttl_hours), RunningFeatures.schema(key, key_type))
 
 
 def feature_streams(events: DataFrame, delay: str = "20 seconds") -> dict[str, DataFrame]:
