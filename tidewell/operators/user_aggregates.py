@@ -63,14 +63,18 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str], agg
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_keys: dict[tuple, list] = {}
         for rows in batches:
-            frame = pa.Table.from_batches([rows]).to_pandas()
-            values = list(zip(*[rows.column(i).to_pylist() for i in range(n)], strict=True)) if n else [()] * len(frame)
+            values = list(zip(*[rows.column(i).to_pylist() for i in range(n)], strict=True)) if n else [()] * rows.num_rows
             groups: dict[tuple, list[int]] = {}
             for place, key in enumerate(values):
                 groups.setdefault(_group(key), []).append(place)
+            # The rows of a key are put beside each other once, so that each key is a slice of the batch.
+            order = [place for places in groups.values() for place in places]
+            frame = pa.Table.from_batches([rows]).to_pandas()[columns].take(order)
+            low = 0
             for name, places in groups.items():
                 held = open_keys.setdefault(name, [values[places[0]], aggregate.create()])
-                held[1] = aggregate.add(held[1], frame.iloc[places][columns])
+                held[1] = aggregate.add(held[1], frame.iloc[low : low + len(places)])
+                low += len(places)
             if len(open_keys) > OPEN_KEYS:
                 yield batch([(*key, pickle.dumps(state)) for key, state in open_keys.values()], partial_arrow)
                 open_keys = {}

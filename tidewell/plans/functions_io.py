@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidewell.functions import udfs
@@ -496,8 +497,11 @@ class SpendProfile(UserAggregate):
 
     def add(self, state, rows):
         n, cents, top = state
-        values = rows["cents"].dropna().astype("int64")
-        return n + len(rows), cents + int(values.sum()), sorted([*top, *values.nlargest(3).tolist()], reverse=True)[:3]
+        values = rows["cents"].to_numpy()
+        values = values[values == values].astype("int64")
+        # A batch holds very many keys with few rows each, so this stays with plain arrays.
+        largest = np.partition(values, -3)[-3:] if len(values) > 3 else values
+        return n + len(rows), cents + int(values.sum()), sorted([*top, *largest.tolist()], reverse=True)[:3]
 
     def merge(self, a, b):
         return a[0] + b[0], a[1] + b[1], sorted([*a[2], *b[2]], reverse=True)[:3]
