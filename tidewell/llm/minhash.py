@@ -18,7 +18,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,7 +119,7 @@ def _settled(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(rows: pa.Table) -> pa.Table:
         def side(is_x: bool) -> tuple[np.ndarray, list[np.ndarray]]:
-            own = rows.filter(pa.compute.equal(rows["is_x"], is_x))
+            own = rows.filter(pc.equal(rows["is_x"], is_x))
             return np.asarray(own["id"]), [np.asarray(s.values) for s in own["members"]]
 
         (xi, xs), (yi, ys) = side(True), side(False)

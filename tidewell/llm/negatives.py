@@ -21,6 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +44,8 @@ def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def widest(column: pa.ChunkedArray) -> int:
-    lengths = pa.compute.list_value_length(column)
-    return int(pa.compute.max(lengths).as_py() or 0)
+    lengths = pc.list_value_length(column)
+    return int(pc.max(lengths).as_py() or 0)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
