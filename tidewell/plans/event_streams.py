@@ -74,13 +74,9 @@ SELECT window_start, window_end, product_id, COUNT(*) FILTER (action = 'view') A
     lambda s: windows.product_popularity(s, "60 minutes", "20 minutes", DELAY))
 
 
-def _all_levels(s):
-    levels = list(windows.multi_level_windows(s, {n: size.lower() for n, size in LEVELS.items()}, delay=DELAY).values())
-    return levels[0].unionByName(levels[1]).unionByName(levels[2]).unionByName(levels[3])
-
-
 windows_stream("str_15_multi_level_windows_stream", with_views(EVENTS), " UNION ALL ".join(
-    tumble(s, f"'{n}' AS level, category", f"COUNT(*) AS order_count, {dsum('total_amount')} AS total_revenue") for n, s in LEVELS.items()), _all_levels)
+    tumble(s, f"'{n}' AS level, category", f"COUNT(*) AS order_count, {dsum('total_amount')} AS total_revenue") for n, s in LEVELS.items()),
+    lambda s: windows.all_levels(s, {n: size.lower() for n, size in LEVELS.items()}, delay=DELAY))
 
 windows_stream("str_17_behavior_patterns_stream", with_views(EVENTS, sliding(1440, 360)), PATTERNS, lambda s: patterns(s, DELAY))
 

@@ -204,8 +204,7 @@ LEVELS = {"minute": "1 MINUTE", "five_minute": "5 MINUTE", "fifteen_minute": "15
 @query("str_15_multi_level_windows", with_views(EVENTS) + " UNION ALL ".join(
     tumble(s, f"'{n}' AS level, category", f"COUNT(*) AS order_count, {dsum('total_amount')} AS total_revenue") for n, s in LEVELS.items()))
 def str_15(t):
-    levels = list(windows.multi_level_windows(t.events, {n: s.lower() for n, s in LEVELS.items()}).values())
-    return levels[0].unionByName(levels[1]).unionByName(levels[2]).unionByName(levels[3])
+    return windows.all_levels(t.events, {n: s.lower() for n, s in LEVELS.items()})
 
 
 @query("str_16_count_trigger", with_views(EVENTS) + f"""

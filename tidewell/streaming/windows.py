@@ -136,22 +136,20 @@ def product_popularity(df: DataFrame, size: str = "5 minutes", slide: str = "1 m
     )
 
 
+def all_levels(df: DataFrame, sizes: Mapping[str, str], by: Sequence[str] = ("category",), delay: str = "20 seconds") -> DataFrame:
+    """The same additive metrics at several window sizes, in one grouping: a row counts once per level, and a stream has one stateful step."""
+    rows = df.select(TS, *by, F.col("total_amount").cast("decimal(18,2)").alias("__amount")).withWatermark(TS, delay)
+    for k, size in enumerate(sizes.values()):
+        rows = rows.withColumn(f"__w{k}", F.window(TS, size))
+    levels = [F.struct(F.lit(name).alias("level"), F.col(f"__w{k}").alias("window")) for k, name in enumerate(sizes)]
+    grouped = rows.select(*by, "__amount", F.inline(F.array(*levels))).groupBy("level", "window", *by)
+    out = grouped.agg(_rows().alias("order_count"), F.sum("__amount").cast("double").alias("total_revenue"))
+    return out.select("level", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "order_count", "total_revenue")
+
+
 def multi_level_windows(df: DataFrame, sizes: Mapping[str, str], by: Sequence[str] = ("category",), delay: str = "20 seconds") -> dict[str, DataFrame]:
-    """The same additive metrics at growing window sizes, each level built from the one before."""
-    levels = {}
-    previous = None
-    for name, size in sizes.items():
-        if previous is None:
-            grouped = df.withWatermark(TS, delay).groupBy(F.window(TS, size), *by)
-            previous = grouped.agg(_rows().alias("order_count"), F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("revenue"))
-        else:
-            grouped = previous.groupBy(F.window(F.window_time("window"), size), *by)
-            previous = grouped.agg(F.sum("order_count").alias("order_count"), F.sum("revenue").cast("decimal(28,2)").alias("revenue"))
-        levels[name] = previous.select(
-            F.lit(name).alias("level"), F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-            *by, "order_count", F.col("revenue").cast("double").alias("total_revenue"),
-        )
-    return levels
+    """``all_levels`` level by level; each one is a grouping of its own and depends on no other."""
+    return {name: all_levels(df, {name: size}, by, delay) for name, size in sizes.items()}
 
 
 def count_trigger(df: DataFrame, key: str, n: int, order: Sequence[str] = (TS, "event_id"), hot_rows: int | None = None) -> DataFrame:
