@@ -19,7 +19,7 @@ from tidewell.plans.streams import sliding, tumble
 from tidewell.session import durable, scratch_path
 from tidewell.sources import kafka, parse, readers, sinks
 from tidewell.sources.materialized import ResultStore
-from tidewell.streaming.run import run_available, run_batches
+from tidewell.streaming.run import in_order, run_available, run_batches
 
 
 def n_rows(name="n"):
@@ -436,12 +436,13 @@ def _closed_count(name: str, cells: str, minutes: int) -> str:
 def job_04(t):
     """Every output of the job, with its number of rows and the events counted in them."""
     out = scratch_path(t.spark, "stream-job")
-    for running in jobs.stream_job(t.event_stream, out, scratch_path(t.spark, "stream-job-checkpoints"), {"availableNow": True}).values():
+    events = t.event_view(in_order(t.read("events"), "ts", "stream-job"))
+    for running in jobs.stream_job(events, out, scratch_path(t.spark, "stream-job-checkpoints"), {"availableNow": True}).values():
         running.awaitTermination()
-    events = {"high_value_alerts": F.lit(1), "minute_counts": F.col("event_count"), "category_revenue": F.col("order_count"), "active_users": F.col("activity_count"),
+    counted = {"high_value_alerts": F.lit(1), "minute_counts": F.col("event_count"), "category_revenue": F.col("order_count"), "active_users": F.col("activity_count"),
               "session_analysis": F.col("events_in_session"), "fraud_alerts": F.col("transaction_count")}
     counts = [
-        t.spark.read.parquet(f"{out}/{n}").agg(n_rows(), F.coalesce(F.sum(c), F.lit(0)).cast("long").alias("events")).withColumn("output", F.lit(n)) for n, c in events.items()
+        t.spark.read.parquet(f"{out}/{n}").agg(n_rows(), F.coalesce(F.sum(c), F.lit(0)).cast("long").alias("events")).withColumn("output", F.lit(n)) for n, c in counted.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), counts)
 

@@ -13,6 +13,9 @@ from tidewell.session import scratch_path
 #: A replayed batch has a file for so many rows, as far as there are cores to write them.
 ROWS_PER_FILE = 10_000
 
+#: A batch of a replay in order of time has about so many rows: what its groups hold until the watermark passes them bounds the state.
+ROWS_PER_BATCH = 2_000_000
+
 
 def run_available(stream: DataFrame, label: str, checkpoint: str | None = None, out: str | None = None) -> DataFrame:
     """Process everything available, append finished rows to Parquet and return them."""
@@ -44,6 +47,15 @@ def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], labe
     query.awaitTermination()
 
 
+def _append_batch(rows: DataFrame, path: str, files: int, part: int) -> None:
+    """Batch number ``part`` of a replay as exactly so many files."""
+    spark = rows.sparkSession
+    rows.repartition(files).write.mode("append").parquet(path)
+    # Spark writes no file for an empty task.
+    for _ in range(len(spark.read.schema(rows.schema).parquet(path).inputFiles()), files * (part + 1)):
+        spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
+
+
 def replay(table: DataFrame, ts: str, parts: int, lateness_us: Column, label: str) -> DataFrame:
     """A table as a file stream that comes out of order: a row arrives ``lateness_us`` after its time, and arrivals are cut into ``parts`` batches of
     equal length. A watermark delay above the greatest lateness loses no row. Batches are written one after another, as a stream takes files by age.
@@ -58,10 +70,23 @@ def replay(table: DataFrame, ts: str, parts: int, lateness_us: Column, label: st
     files = max(1, min(spark.sparkContext.defaultParallelism, rows // (parts * ROWS_PER_FILE)))
     for part in range(parts):
         low, high = (first + (last + 1 - first) * k // parts for k in (part, part + 1)) if first is not None else (0, 0)
-        table.filter((arrival >= low) & (arrival < high)).repartition(files).write.mode("append").parquet(path)
-        # Spark writes no file for an empty task.
-        for _ in range(len(spark.read.schema(table.schema).parquet(path).inputFiles()), files * (part + 1)):
-            spark.createDataFrame([], table.schema).coalesce(1).write.mode("append").parquet(path)
+        _append_batch(table.filter((arrival >= low) & (arrival < high)), path, files, part)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def in_order(table: DataFrame, ts: str, label: str, rows_per_batch: int = ROWS_PER_BATCH) -> DataFrame:
+    """A table as a file stream that comes in order of time, in batches of about ``rows_per_batch`` rows: no row is late, whatever the watermark's
+    delay, and a window's state goes as soon as the batches are past it. Rows without a time come with the first batch.
+    """
+    spark = table.sparkSession
+    path = scratch_path(spark, f"{label}-in-order")
+    time = F.unix_micros(F.col(ts).cast("timestamp"))
+    parts = max(1, -(-table.count() // rows_per_batch))
+    cuts = sorted(set(table.agg(F.percentile_approx(time, [k / parts for k in range(1, parts)], 10_000)).first()[0] or [])) if parts > 1 else []
+    files = max(1, min(spark.sparkContext.defaultParallelism, rows_per_batch // ROWS_PER_FILE))
+    for part, (low, high) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):
+        inside = F.coalesce(F.lit(True) if low is None else time >= low, F.lit(False)) & F.coalesce(F.lit(True) if high is None else time < high, F.lit(part == 0))
+        _append_batch(table.filter(inside), path, files, part)
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
