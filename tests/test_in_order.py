@@ -29,3 +29,13 @@ def test_state_goes_as_the_batches_pass(spark, tables):
     held = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
     assert sum(s["numRowsDroppedByWatermark"] for s in held) == 0
     assert max(s["numRowsTotal"] for s in held) < windows.session_sliding(tables.events).count() / 2
+
+
+def test_sessions_hold_only_what_is_read(spark, monkeypatch):
+    from conftest import SF
+    from tidewell.plans import catalog, streams
+
+    seen = []
+    monkeypatch.setattr(streams, "run_available", lambda stream, label: seen.append(stream.columns) or stream)
+    catalog.QUERIES["str_10_session_windows_stream"](spark, SF)
+    assert seen == [["user_id", "session_start", "session_end", "event_count", "total_spent"]]
