@@ -39,3 +39,15 @@ def test_sessions_hold_only_what_is_read(spark, monkeypatch):
     monkeypatch.setattr(streams, "run_available", lambda stream, label: seen.append(stream.columns) or stream)
     catalog.QUERIES["str_10_session_windows_stream"](spark, SF)
     assert seen == [["user_id", "session_start", "session_end", "event_count", "total_spent"]]
+
+
+def test_larger_tables_are_replayed_in_more_batches(tables):
+    from tidewell.plans.event_streams import PARTS, out_of_order
+    from tidewell.streaming.run import run_batches
+
+    n, seen = tables.read("events").count(), []
+    run_batches(out_of_order(tables, rows_per_batch=n // 8), lambda rows, batch_id: seen.append(rows.count()), "t")
+    assert len(seen) >= 8 and sum(seen) == n
+    seen.clear()
+    run_batches(out_of_order(tables, PARTS, rows_per_batch=n // 8), lambda rows, batch_id: seen.append(rows.count()), "t")
+    assert len(seen) == PARTS and sum(seen) == n

@@ -12,17 +12,23 @@ from tidewell.plans.streams import CHURN, HOURLY, LEVELS, PATTERNS, REVENUE, SPE
 from tidewell.session import scratch_path
 from tidewell.streaming import lateness, stateful, windows
 from tidewell.streaming.asof import asof_stream
-from tidewell.streaming.run import medallion_stream, replay, run_available, run_batches
+from tidewell.streaming.run import ROWS_PER_BATCH, medallion_stream, replay, run_available, run_batches
 
 LATENESS_SECONDS, PARTS = 86_400, 5
 DELAY = f"{LATENESS_SECONDS + 1} seconds"
 REAL, BOUGHT, VIEWED = "price > 0 AND quantity > 0", "action = 'purchase'", "action = 'view'"
 
 
-def out_of_order(t):
-    """The events as a stream of several batches in which rows come up to a day late, in an order that says nothing about their time."""
+def out_of_order(t, most: int | None = None, rows_per_batch: int = ROWS_PER_BATCH):
+    """The events as a stream of several batches in which rows come up to a day late, in an order that says nothing about their time.
+
+    There are ``PARTS`` batches, and more where they would have too many rows: what a batch adds to the state before the watermark moves does not
+    grow with the table. ``most`` limits their number for queries whose result depends on it.
+    """
+    events = t.read("events")
     late = F.pmod(F.col("event_id") * 7919, F.lit(LATENESS_SECONDS + 1)) * 1_000_000
-    return t.event_view(replay(t.read("events"), "ts", PARTS, late, "events"))
+    parts = most or max(PARTS, -(-events.count() // rows_per_batch))
+    return t.event_view(replay(events, "ts", parts, late, "events"))
 
 
 def mark(where: str = "true", source: str = "ev", delay_us: int = (LATENESS_SECONDS + 1) * 1_000_000) -> str:
@@ -122,7 +128,7 @@ def str_23(t):
         return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{out}/side={side}/batch_id={batch_id}")
 
     splitter = lateness.LateSplitter(scratch_path(t.spark, "marks"), "event_time", 6 * 3600, writer("on_time"), writer("late"))
-    run_batches(out_of_order(t).select("event_id", "event_time"), splitter, "split-late")
+    run_batches(out_of_order(t, PARTS).select("event_id", "event_time"), splitter, "split-late")
     return t.spark.read.parquet(out).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -164,7 +170,8 @@ j AS (SELECT view_id, purchase_id, user_id, viewed_at FROM v LEFT JOIN p ON user
 SELECT view_id, purchase_id, user_id AS viewer FROM j WHERE purchase_id IS NOT NULL OR epoch_us(viewed_at) + 21600000000 < {BOTH_MARK}""")
 def join_12s(t):
     """Views with the purchases of the six hours after them, and views without any, once no purchase can come."""
-    out = joins.interval_join(*_views_and_buys(out_of_order(t), out_of_order(t)), "user_id", "viewed_at", "bought_at", 0, 6 * 3600, "left", DELAY)
+    events = out_of_order(t)
+    out = joins.interval_join(*_views_and_buys(events, events), "user_id", "viewed_at", "bought_at", 0, 6 * 3600, "left", DELAY)
     return run_available(out.select("view_id", "purchase_id", "viewer"), "interval-join")
 
 
