@@ -30,8 +30,12 @@ def batch_job(sales: DataFrame, out: str, rules: Mapping[str, Column], tiebreak=
         }
         for name, df in reports.items():
             sinks.write_csv_report(df, f"{out}/{name}")
-        ranked = windows.purchase_sequence(windows.ranked_orders(cleaned, tiebreak[:-1]), tiebreak)
-        sinks.write_partitioned(ranked, f"{out}/full_dataset", ["category"], spread=8)
+        numbered = windows.purchase_sequence(cleaned, tiebreak)
+        ranks = ["category_rank", "daily_rank"]
+        own = [c for c in numbered.columns if c not in cleaned.columns]
+        # The last ranking leaves rows grouped by category, so they are written as they lie.
+        ranked = windows.ranked_orders(numbered, tiebreak[:-1]).select(*cleaned.columns, *ranks, *own)
+        sinks.write_partitioned(ranked, f"{out}/full_dataset", ["category"], spread=0)
         sinks.write_sample(cleaned.sparkSession.read.parquet(f"{out}/full_dataset"), f"{out}/windowed_sample")
         checks = quality.rule_counts(cleaned, rules).withColumn("check", F.lit("rules")).select("check", F.col("rule").alias("name"), F.col("violations").alias("n"))
         nulls = quality.null_profile(cleaned).select(F.lit("nulls").alias("check"), F.col("column_name").alias("name"), F.col("null_count").alias("n"))
@@ -46,8 +50,9 @@ def etl_job(sales: DataFrame, customers: DataFrame, products: DataFrame, visits:
     spark = sales.sparkSession
     paths = {n: f"{out}/{n}" for n in ("fact/sales", "fact/web", "dim/customers", "dim/products", "agg/daily_sales", "agg/customer_summary",
                                        "export/business_summary", "export/top_customers", "report")}
-    month = F.substring("sale_date", 1, 7)
-    sinks.write_partitioned(clean.sales_fact(sales).withColumn("sale_month", month), paths["fact/sales"], ["sale_month"], spread=4)
+    # Rows are dealt out before the fact's columns are derived: the shuffle carries the source's columns alone.
+    dealt = sinks.dealt(sales.withColumn("sale_month", F.date_format("timestamp", "yyyy-MM")), ["sale_month"], spread=4)
+    sinks.write_partitioned(clean.sales_fact(dealt), paths["fact/sales"], ["sale_month"], spread=0)
     sinks.write_partitioned(clean.web_fact(visits), paths["fact/web"], ["session_date"])
     clean.customer_dim(customers, as_of).write.mode("overwrite").parquet(paths["dim/customers"])
     clean.product_dim(products, as_of).write.mode("overwrite").parquet(paths["dim/products"])

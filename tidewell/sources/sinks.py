@@ -17,13 +17,18 @@ def write_csv_report(df: DataFrame, path: str) -> None:
     df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def dealt(df: DataFrame, columns: Sequence[str], spread: int = 1) -> DataFrame:
+    """Rows of one value in one task, or in ``spread`` tasks where values may be huge."""
+    if spread <= 1:
+        return df.repartition(*columns)
+    df = df.withColumn("__spread", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread)))
+    return df.repartition(*columns, "__spread").drop("__spread")
+
+
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], mode: str = "overwrite", spread: int = 1) -> None:
-    """Partitioned Parquet with one writer task per value, or ``spread`` tasks where values may be huge."""
-    if spread > 1:
-        df = df.withColumn("__spread", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread)))
-        df = df.repartition(*columns, "__spread").drop("__spread")
-    else:
-        df = df.repartition(*columns)
+    """Partitioned Parquet with one writer task per value, or ``spread`` tasks where values may be huge; 0 writes rows that are ``dealt`` already."""
+    if spread:
+        df = dealt(df, columns, spread)
     df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*columns).parquet(path)
 
 
