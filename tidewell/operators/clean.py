@@ -163,8 +163,8 @@ def repeat_buyers(sales: DataFrame, k: int) -> DataFrame:
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
-    """Inline values, for lookup lists."""
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    """Inline values, for lookup lists. They came through the driver, so joins broadcast them and do not gather a table by few values."""
+    return F.broadcast(spark.createDataFrame([tuple(r) for r in rows], schema))
 
 
 def mask_columns(df: DataFrame, policy: Mapping[str, str]) -> DataFrame:
