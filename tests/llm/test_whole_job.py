@@ -51,6 +51,43 @@ def test_lines_of_few_distinct_runs_are_linked(spark):
     assert components_of(spark, texts) == {2, 4} | set(range(11, 131, 2))
 
 
+def test_lines_need_no_python(spark, monkeypatch):
+    """Lines of one family, half of them just similar enough to another and half just not, against all pairs; no step runs Python on the executors."""
+
+    def refused(*_):
+        raise AssertionError("Python on the executors")
+
+    rng = np.random.default_rng(6)
+    base = "".join(rng.choice([*LETTERS, " "], 180))
+    texts = {}
+    for k in range(160):
+        line = list(base)
+        for at in rng.choice(180, 1 + k % 5, replace=False):
+            line[at] = str(rng.choice(["ß", "日", "𝄞", "#"]))
+        texts[k] = "".join(line)
+    texts |= {500: "日本語のテキストです", 501: "日本語のテキストですよ", 502: "日本", 503: "日本", 504: "日木"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for frame, name in ((df, "mapInArrow"), (df, "mapInPandas"), (df.groupBy(), "applyInArrow"), (df.groupBy(), "applyInPandas")):
+        monkeypatch.setattr(type(frame), name, refused)
+    root = {k: k for k in texts}
+    for a in texts:
+        for b in texts:
+            if a < b and similarity(texts[a], texts[b]) >= 0.8:
+                x, y = root[a], root[b]
+                root = {k: min(x, y) if r in (x, y) else r for k, r in root.items()}
+    expected = {k for k, r in root.items() if r != k}
+    got = components_of(spark, texts)
+    assert 20 < len(expected) < 160 and {501, 503} <= got and got <= expected and len(got) >= 0.97 * len(expected)
+
+
+def test_blocks_of_a_large_group_meet_all_lines(spark):
+    """Every line outside a class meets every line of its group, once, however the group is cut into blocks."""
+    marks = "struct(0L as l0, 0L as l1, 0L as l2, 0L as l3) as n"
+    groups = spark.range(1200).selectExpr("7L as grp", "id", marks, "id % 400 = 0 as outside", "1200L as m")
+    pairs = {(r["u"], r["v"]) for r in lines._block_pairs(groups, 80).collect()}
+    assert pairs == {(min(x, y), max(x, y)) for x in (0, 400, 800) for y in range(1200) if x != y}
+
+
 NOTICES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal",
     "gpl-3": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or",

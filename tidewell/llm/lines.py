@@ -1,12 +1,13 @@
-"""Fuzzy line deduplication by MinHash.
+"""Fuzzy line deduplication by MinHash, in DataFrame functions alone.
 
-A line's shingles are all its runs of ``SHINGLE_CHARS`` characters; a shorter line is its own run. Its sketch is a densified one-permutation
-MinHash of them, and bands of ``ROWS`` bins are buckets. Lines that share a bucket are candidates; they are verified by the exact Jaccard
-similarity of all their shingles, linked lines are joined by distributed union-find, and the first line of each component, by document id and place,
-stays. Equal lines are one line from the start. Two lines at a similarity of 0.8 share a band with a probability of 0.99, at 0.85 with 0.999.
+A line's shingles are all its runs of ``SHINGLE_CHARS`` characters; a shorter line is its own run. A hash deals them into ``GROUPS`` groups, and each
+group keeps its least member under ``ORDERS`` orders: 64 values, a MinHash sketch. Bands of ``ROWS`` values, each of another group, are buckets. Lines
+that share a bucket and enough of their values are candidates; they are verified by the exact Jaccard similarity of all their shingles, linked lines
+are joined by distributed union-find, and the first line of each component, by document id and place, stays. Equal lines are one line from the start.
+Two lines at a similarity of 0.8 share a band with a probability of 0.99, at 0.85 with 0.999. Sets of up to eight runs are found for certain.
 
-Shingles are hashed and compared in Arrow batches. DataFrame functions alone need about half a microsecond for each character and lambda, which
-no sketch of whole lines can afford (see README); all joins, grouping and the union-find are DataFrame operations.
+A line is four bytes a character while it is cut, so that a run is a piece of known place, and runs are rows, so that no lambda sees a character
+before candidates are verified.
 
 Lines are separated by line feeds. Lines of white space alone, a carriage return included, always stay. A null text stays null and has no
 lines; an empty one has one blank line. Very long lines and texts are read whole. A document that loses all its lines keeps its row, with
@@ -17,20 +18,19 @@ named like an added one, which are replaced; ``n_chars``, where it is there, fol
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.minhash import _settled, band_keys, sketch
 from tidewell.llm.store import cluster, discard, stored
-from tidewell.llm.texthash import blocks, distinct, mix, per_text, sums, word_hashes
 
 SHINGLE_CHARS = 5
-BIN_BITS, BANDS, ROWS = 6, 12, 5
+GROUPS, ORDERS = 16, 4
+BANDS, ROWS = 12, 5
 SMALL = 8
+BLOCK = 512
+SLACK = 13
 WHITE = " \t\r\x0b\x0c"
 ADDED = ("lines_in", "lines_dropped")
 
@@ -41,119 +41,98 @@ def lines_of(documents: DataFrame) -> DataFrame:
     return found.filter(F.trim("line", F.lit(WHITE)) != "")
 
 
-def runs_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, sorted distinct hashes of the runs, bounds per line) of blocks of lines."""
-    for low, high, data, offsets in blocks(column):
-        # Where characters begin, and how many do before each line.
-        starts = np.flatnonzero((data & 0xC0) != 0x80)
-        chars = np.searchsorted(starts, offsets)
-        ends = np.append(starts, len(data))
-        counts = np.diff(chars)
-        n = np.where(counts > 0, np.maximum(counts - SHINGLE_CHARS + 1, 1), 0)
-        bounds = np.concatenate(([0], np.cumsum(n)))
-        first = np.arange(bounds[-1]) + np.repeat(chars[:-1] - bounds[:-1], n)
-        last = np.minimum(first + SHINGLE_CHARS, np.repeat(chars[1:], n))
-        yield low, high, *distinct(word_hashes(data, starts[first], ends[last], False), bounds)
+def _run(wide: Column, at: Column) -> Column:
+    """The hash of the run that begins at a byte of a line in UTF-32."""
+    return F.xxhash64(wide.substr(at, F.lit(4 * SHINGLE_CHARS)))
 
 
-def buckets(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of each line's buckets, and their bounds per line.
+def _starts(wide: Column) -> Column:
+    """The bytes, from one, where the runs of a line in UTF-32 begin."""
+    return F.sequence(F.lit(1), F.greatest(F.length(wide) - (4 * SHINGLE_CHARS - 1), F.lit(1)), F.lit(4))
 
-    Small sets that are similar differ by one member at most, so beside the bands they have a bucket for the whole set and one for the set without each
-    member: no such pair is missed.
-    """
-    n = np.diff(bounds)
-    bands = band_keys(sketch(values, bounds, BIN_BITS)[:, : BANDS * ROWS], ROWS)
-    hashed = mix(values ^ np.uint64(0x5851F42D4C957F2D))
-    whole = sums(hashed, bounds)
-    line = per_text(values, bounds)
-    few = n[line] <= SMALL
-    without = mix(whole[line[few]] - hashed[few])
-    small = np.flatnonzero((n > 0) & (n <= SMALL))
-    owner = np.concatenate((np.repeat(np.arange(len(n)), BANDS), small, line[few]))
-    order = np.argsort(owner, kind="stable")
-    return np.concatenate((bands.reshape(-1), mix(whole[small]), without))[order], np.searchsorted(owner[order], np.arange(len(n) + 1))
 
+def run_hashes(line: Column) -> Column:
+    """The hashes of all runs of a line, repeats included. The line is encoded once, although it is used inside a lambda."""
+    return F.transform(F.array(F.encode(line, "UTF-32")), lambda wide: F.transform(_starts(wide), lambda at: _run(wide, at)))[0]
 
-def sketched(lines: DataFrame) -> DataFrame:
-    """(doc_id, key, place, id, n, bands) of lines: the size of their sets and the keys of their buckets."""
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for low, high, values, bounds in runs_of(part.column("line")):
-                keys, edges = buckets(values, bounds)
-                lists = pa.ListArray.from_arrays(edges.astype(np.int32), pa.array(keys.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*[part.column(c)[low:high] for c in range(4)], pa.array(np.diff(bounds)), lists], names=["doc_id", "key", "place", "id", "n", "bands"])
+def sketched(lines: DataFrame) -> DataFrame:
+    """(id, bands, marks) of distinct lines (id, line): the keys of their buckets, and four bits of each value of their sketches in ``ORDERS`` longs.
 
-    return lines.select("doc_id", "key", "place", "id", "line").mapInArrow(run, "doc_id long, key long, place int, id long, n long, bands array<long>")
+    A group without runs has no values; it agrees with another such group. Small sets that are similar differ by one member at most, so beside the bands
+    they have a bucket for all groups and one for all but each: no such pair is missed.
+    """
+    wide = lines.withColumn("wide", F.encode("line", "UTF-32"))
+    runs = wide.select("id", "wide", F.explode(_starts(F.col("wide"))).alias("at")).select("id", _run(F.col("wide"), F.col("at")).alias("h"))
+    least = [F.min(F.shiftleft("h", 14 * k)).alias(f"m{k}") for k in range(ORDERS)]
+    groups = runs.groupBy("id", F.col("h").bitwiseAND(F.lit(GROUPS - 1)).cast("int").alias("g")).agg(*least)
 
+    def band(number: int) -> Column:
+        """The values ``ROWS * number`` and following; value k is that of group k modulo ``GROUPS``."""
+        own = [(k % GROUPS, F.xxhash64(F.lit(k), f"m{k // GROUPS}")) for k in range(number * ROWS, (number + 1) * ROWS)]
+        return F.bit_xor(F.coalesce(*[F.when(F.col("g") == g, value) for g, value in own]))
 
-def run_sets(texts: DataFrame) -> DataFrame:
-    """(id, members) of (id, line)."""
+    marks = [F.bit_or(F.expr(f"shiftleft(xxhash64(m{k}) & 15L, 4 * g)")).alias(f"l{k}") for k in range(ORDERS)]
+    whole = groups.withColumn("all", F.xxhash64("g", *[f"m{k}" for k in range(ORDERS)]))
+    parts = [F.max(F.when(F.col("g") == g, F.col("all"))).alias(f"a{g}") for g in range(GROUPS)]
+    rows = whole.groupBy("id").agg(*[band(k).alias(f"b{k}") for k in range(BANDS)], *marks, F.bit_xor("all").alias("every"), F.count("*").alias("filled"), *parts)
+    without = F.array(F.col("every"), *[F.col("every").bitwiseXOR(F.col(f"a{g}")) for g in range(GROUPS)])
+    bands = F.array(*[F.when(F.col(f"b{k}").isNotNull(), F.xxhash64(F.lit(k), f"b{k}")) for k in range(BANDS)])
+    keys = F.when(F.col("filled") <= SMALL, F.concat(bands, F.transform(without, lambda x: F.when(x.isNotNull(), F.xxhash64(F.lit(-1), x))))).otherwise(bands)
+    return rows.select("id", F.array_compact(keys).alias("bands"), F.struct(*[f"l{k}" for k in range(ORDERS)]).alias("marks"))
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for low, high, values, bounds in runs_of(part.column("line")):
-                yield pa.RecordBatch.from_arrays([part.column("id")[low:high], pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(values.view(np.int64)))], names=["id", "members"])
 
-    return texts.select("id", "line").mapInArrow(run, "id long, members array<long>")
+def marks_allow(a: str, b: str, percent: int) -> Column:
+    """Whether sketches agree in nearly as many values as sets at the threshold do: ``SLACK`` of 64 fewer are four standard deviations."""
 
+    def differing(k: int) -> Column:
+        x = F.col(f"{a}.l{k}").bitwiseXOR(F.col(f"{b}.l{k}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of (u, v): those whose lines have 100 * intersection >= percent * union of their sets."""
+    return reduce(Column.__add__, map(differing, range(ORDERS))) <= F.lit(GROUPS * ORDERS * (100 - percent) / 100 + SLACK)
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            kept = np.zeros(part.num_rows, dtype=bool)
-            left, right = (_per_line(part.column(c)) for c in ("a", "b"))
-            for k, (x, y) in enumerate(zip(left, right, strict=True)):
-                both = np.sort(np.concatenate((x, y)), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                kept[k] = 100 * common >= percent * (len(both) - common)
-            yield pa.RecordBatch.from_arrays([part.column("u"), part.column("v")], names=["u", "v"]).filter(pa.array(kept))
 
-    both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v")
-    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of (u, v): those whose lines have 100 * intersection >= percent * union of their sets. ``texts`` has id, line and n, the size of its set."""
+    left, right = texts.toDF("u", "a", "na"), texts.toDF("v", "b", "nb")
+    both = pairs.join(left, "u").join(right, "v").filter(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
+    common = F.size(F.array_intersect(run_hashes(F.col("a")), run_hashes(F.col("b"))))
+    return both.filter(F.lit(100 + percent) * common >= F.lit(percent) * (F.col("na") + F.col("nb"))).select("u", "v")
 
 
-def _per_line(column: pa.Array) -> Iterator[np.ndarray]:
-    for _, _, values, bounds in runs_of(column):
-        yield from (values[x:y] for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+def _block_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of large groups of (grp, id, n, outside, m): those outside with everyone of the group whose marks allow it, in blocks of about ``BLOCK`` lines."""
+    of = groups.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    xs = of.filter("outside").select("grp", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("block").alias("bx"), every.alias("by"))
+    ys = of.select("grp", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("outside").alias("open"), F.col("block").alias("by"), every.alias("bx"))
+    pairs = xs.join(ys, ["grp", "bx", "by"]).filter("x <> y and (not open or x < y)").filter(marks_allow("nx", "ny", percent))
+    return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
 
 
 def duplicate_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, key, place) of all lines to drop. ``documents`` has doc_id, key and text."""
-    lines = sketched(lines_of(documents).withColumn("id", F.xxhash64("line")))
-    once = lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
-    first = stored(once, "lines", free=True)
-
-    def sizes_allow(a: str, b: str) -> Column:
-        """Sets whose sizes are further apart cannot be similar enough."""
-        return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+    lines = lines_of(documents).withColumn("id", F.xxhash64("line"))
+    sketches = stored(sketched(lines.select("id", "line").dropDuplicates(["id"])), "lines", free=True)
 
     def with_texts(seen: DataFrame):
-        at = first.join(seen.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "first.doc_id", "first.key", "first.place")
-        wanted = at.groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "id")).alias("wanted"))
-        texts = documents.join(wanted, ["doc_id", "key"]).select(F.explode("wanted").alias("w"), F.split("text", "\n").alias("all"))
-        texts = texts.select(F.col("w.id").alias("id"), F.get("all", F.col("w.place")).alias("line")).dropDuplicates(["id"])
-        texts = stored(texts, "line-texts", free=True)
-
+        texts = lines.select("id", "line").join(seen.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+        texts = stored(texts.withColumn("n", F.size(F.array_distinct(run_hashes(F.col("line"))))), "line-texts", free=True)
         return lambda pairs: confirmed(pairs, texts, percent), [texts]
 
-    in_band = first.select(F.col("id").alias("rep"), "n", F.explode("bands").alias("key"))
-
-    def settle(groups: DataFrame, texts: DataFrame) -> DataFrame:
-        """Only lines of large groups have their sets made and moved."""
-        return _settled(groups, run_sets(texts.join(groups.select("id").distinct(), "id", "left_semi")), percent)
-
-    linked = cluster(in_band, sizes_allow, with_texts, settle)
-    named = first.select("id", "first").join(linked, "id", "left").select("id", "first", F.coalesce("component", "id").alias("component"))
+    in_band = sketches.select(F.col("id").alias("rep"), F.explode("bands").alias("key"))
+    marks = sketches.select(F.col("id").alias("rep"), F.col("marks").alias("n"))
+    linked = cluster(in_band, lambda a, b: marks_allow(a, b, percent), with_texts, lambda groups, texts: confirmed(_block_pairs(groups, percent), texts, percent), marks)
+    # Only lines that stand more than once or are linked can lose a place.
+    first = lines.groupBy("id").agg(F.min(F.struct("doc_id", "place", "key")).alias("first"), F.count("*").alias("times"))
+    named = first.join(linked, "id", "left").filter("times > 1 or component is not null").select("id", "first", F.coalesce("component", "id").alias("component"))
+    named = stored(named, "line-classes", free=True)
     keeper = named.groupBy("component").agg(F.min("first").alias("keeper"))
     keepers = named.join(keeper, "component").select("id", "keeper.doc_id", "keeper.place").toDF("id", "keep_doc", "keep_place")
-    occurrences = lines_of(documents).select("doc_id", "key", "place", F.xxhash64("line").alias("id"))
-    drops = occurrences.join(keepers, "id").filter((F.col("doc_id") != F.col("keep_doc")) | (F.col("place") != F.col("keep_place")))
+    drops = lines.select("doc_id", "key", "place", "id").join(keepers, "id").filter((F.col("doc_id") != F.col("keep_doc")) | (F.col("place") != F.col("keep_place")))
     drops = stored(drops.select("doc_id", "key", "place").distinct(), "line-drops", free=True)
-    discard(first)
+    discard(sketches, named)
     return drops
 
 
