@@ -11,7 +11,7 @@ from tidewell.functions import tiers
 from tidewell.functions.measures import mean, total
 from tidewell.operators.gaps import every_step
 from tidewell.operators.scan import (
-    count_groups, dense_rank, lag, lead, moving, rank, row_number, running_count, running_sum, scan, with_totals,
+    lag, lead, moving, rank, ranks, row_number, running_count, running_sum, scan, with_totals,
 )
 
 
@@ -38,11 +38,8 @@ def purchase_sequence(sales: DataFrame, tiebreak: Sequence[str], hot_rows: int |
 
 
 def ranked_orders(sales: DataFrame, tiebreak: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """Rank by amount inside the category and dense rank inside the day. Rows come out grouped by category."""
-    by_day = scan(
-        count_groups(sales, ["category"], ["date"]), ["date"], ["-total_amount", *tiebreak], {"daily_rank": dense_rank("-total_amount")}, hot_rows=hot_rows
-    )
-    ranked = scan(by_day, ["category"], ["-total_amount", *tiebreak], {"category_rank": rank("-total_amount")}, hot_rows=hot_rows)
+    """Rank by amount inside the category and dense rank inside the day."""
+    ranked = ranks(sales, ["-total_amount", *tiebreak], {"daily_rank": (["date"], True), "category_rank": (["category"], False)}, hot_rows)
     return ranked.select(*sales.columns, "category_rank", "daily_rank")
 
 
