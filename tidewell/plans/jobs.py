@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import udfs
 from tidewell.operators import aggregates as agg
 from tidewell.operators import cdc, clean, enrich, features, joins, ml, ordering, quality, windows
+from tidewell.session import forget, shuffles_freed, slices, stored
 from tidewell.sources import sinks
 from tidewell.sources.readers import register_views
 from tidewell.streaming import windows as stream_windows
@@ -18,9 +19,13 @@ TIES = ["session_id", "line", "product_id", "supplier_id", "total_amount"]
 
 
 def batch_job(sales: DataFrame, out: str, rules: Mapping[str, Column], tiebreak=tuple(TIES)) -> dict[str, str]:
-    """Clean, aggregate, window, check and save. Returns the path of every output."""
-    cleaned = clean.clean_sales(sales).persist()
-    try:
+    """Clean, aggregate, window, check and save. Returns the path of every output.
+
+    Rows are stored between the steps, in slices, and go when the next step has stored its own: the disk holds two copies at a time.
+    """
+    # Equal rows are equal in the first tiebreak, so duplicates share a slice.
+    cleaned = stored([clean.clean_sales(part) for part in slices(sales, tiebreak[:1])], "cleaned")
+    with shuffles_freed(cleaned.sparkSession):
         reports = {
             "category_revenue": agg.revenue_by_category(cleaned),
             "daily_trends": agg.daily_trends(cleaned),
@@ -30,18 +35,19 @@ def batch_job(sales: DataFrame, out: str, rules: Mapping[str, Column], tiebreak=
         }
         for name, df in reports.items():
             sinks.write_csv_report(df, f"{out}/{name}")
-        numbered = windows.purchase_sequence(cleaned, tiebreak)
+        checks = quality.rule_counts(cleaned, rules).withColumn("check", F.lit("rules")).select("check", F.col("rule").alias("name"), F.col("violations").alias("n"))
+        nulls = quality.null_profile(cleaned).select(F.lit("nulls").alias("check"), F.col("column_name").alias("name"), F.col("null_count").alias("n"))
+        sinks.write_report(checks.unionByName(nulls), f"{out}/quality_report")
+        numbered = stored([windows.purchase_sequence(part, tiebreak) for part in slices(cleaned, ["user_id"])], "numbered")
+        forget(cleaned)
         ranks = ["category_rank", "daily_rank"]
         own = [c for c in numbered.columns if c not in cleaned.columns]
-        # The last ranking leaves rows grouped by category, so they are written as they lie.
         ranked = windows.ranked_orders(numbered, tiebreak[:-1]).select(*cleaned.columns, *ranks, *own)
+        if not any(numbered._stored_at in file for file in ranked.inputFiles()):
+            forget(numbered)
+        # Rows are written as the ranking left them, sorted by category in each task.
         sinks.write_partitioned(ranked, f"{out}/full_dataset", ["category"], spread=0)
         sinks.write_sample(cleaned.sparkSession.read.parquet(f"{out}/full_dataset"), f"{out}/windowed_sample")
-        checks = quality.rule_counts(cleaned, rules).withColumn("check", F.lit("rules")).select("check", F.col("rule").alias("name"), F.col("violations").alias("n"))
-        nulls = quality.null_profile(cleaned).select(F.lit("nulls").alias("check"), F.col("column_name").alias("name"), F.col("null_count").alias("n"))
-        sinks.write_report(checks.unionByName(nulls), f"{out}/quality_report")
-    finally:
-        cleaned.unpersist()
     return {n: f"{out}/{n}" for n in (*reports, "full_dataset", "windowed_sample", "quality_report")}
 
 
