@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.measures import spread
+from tidewell.session import slices, stored
 
 Rule = tuple[Column, str, str, str, Column, str]
 
@@ -59,13 +60,20 @@ def sales_rules(categories: Sequence[str], as_of: str, max_price: float = 10000)
     }
 
 
-def table_quality(df: DataFrame, rules: Mapping[str, Column], null_limit: float = 5.0) -> DataFrame:
-    """Records and issues of one table: duplicates, rule breaks, and NULLs of columns beyond ``null_limit`` percent."""
+def table_quality(df: DataFrame, rules: Mapping[str, Column], null_limit: float = 5.0, by: Sequence[str] = ()) -> DataFrame:
+    """Records and issues of one table: duplicates, rule breaks, and NULLs of columns beyond ``null_limit`` percent.
+
+    Duplicates of a large table are counted in slices of ``by``, one after another: the count shuffles whole rows.
+    """
     nulls = null_profile(df).agg(
         F.coalesce(F.sum(F.when(F.col("null_percentage") > null_limit, F.col("null_count"))), F.lit(0)).alias("null_issues")
     )
     broken = rule_counts(df, rules).agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("rule_issues"))
-    return duplicate_profile(df).crossJoin(broken).crossJoin(nulls).select(
+    copies = [duplicate_profile(part) for part in (slices(df, by) if by else [df])]
+    found = copies[0]
+    if len(copies) > 1:
+        found = stored(copies, "copies").agg(*[F.sum(c).alias(c) for c in ("total_records", "duplicate_count")])
+    return found.crossJoin(broken).crossJoin(nulls).select(
         "total_records",
         F.col("duplicate_count").alias("duplicate_issues"),
         "rule_issues",
@@ -74,9 +82,9 @@ def table_quality(df: DataFrame, rules: Mapping[str, Column], null_limit: float
     )
 
 
-def quality_score(tables: Mapping[str, tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
-    """100 minus issues per 100 records over all tables, not below 0; 100 for no records."""
-    parts = [table_quality(df, rules).withColumn("table_name", F.lit(name)) for name, (df, rules) in tables.items()]
+def quality_score(tables: Mapping[str, tuple[DataFrame, Mapping[str, Column]]], by: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """100 minus issues per 100 records over all tables, not below 0; 100 for no records. ``by`` names the columns to slice a large table by."""
+    parts = [table_quality(df, rules, by=(by or {}).get(name, ())).withColumn("table_name", F.lit(name)) for name, (df, rules) in tables.items()]
     share = F.try_divide(F.sum("issues"), F.sum("total_records")) * 100
     return reduce(lambda a, b: a.unionByName(b), parts).agg(
         F.sum("total_records").alias("total_records"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import udfs
 from tidewell.operators import aggregates as agg
 from tidewell.operators import cdc, clean, enrich, features, joins, ml, ordering, quality, windows
-from tidewell.session import forget, shuffles_freed, slices, stored
+from tidewell.session import forget, shuffles_freed, slice_count, slices, stored, write_slices
 from tidewell.sources import sinks
 from tidewell.sources.readers import register_views
 from tidewell.streaming import windows as stream_windows
@@ -52,19 +52,27 @@ def batch_job(sales: DataFrame, out: str, rules: Mapping[str, Column], tiebreak=
 
 
 def etl_job(sales: DataFrame, customers: DataFrame, products: DataFrame, visits: DataFrame, out: str, as_of: str) -> dict[str, str]:
-    """Facts, dimensions and aggregates of a star schema, with a quality score. Later steps read what earlier ones stored."""
+    """Facts, dimensions and aggregates of a star schema, with a quality score. Later steps read what earlier ones stored.
+
+    Steps that shuffle all rows go slice by slice: facts, days and quality by month, customers by customer.
+    """
     spark = sales.sparkSession
     paths = {n: f"{out}/{n}" for n in ("fact/sales", "fact/web", "dim/customers", "dim/products", "agg/daily_sales", "agg/customer_summary",
                                        "export/business_summary", "export/top_customers", "report")}
+    joined = stored(slices(sales.withColumn("sale_month", F.date_format("timestamp", "yyyy-MM")), ["session_id"]), "sales")
     # Rows are dealt out before the fact's columns are derived: the shuffle carries the source's columns alone.
-    dealt = sinks.dealt(sales.withColumn("sale_month", F.date_format("timestamp", "yyyy-MM")), ["sale_month"], spread=4)
-    sinks.write_partitioned(clean.sales_fact(dealt), paths["fact/sales"], ["sale_month"], spread=0)
-    sinks.write_partitioned(clean.web_fact(visits), paths["fact/web"], ["session_date"])
+    facts = [clean.sales_fact(sinks.dealt(part, ["sale_month"], spread=4)) for part in slices(joined, ["sale_month"])]
+    write_slices(facts, lambda part, mode: sinks.write_partitioned(part, paths["fact/sales"], ["sale_month"], mode, spread=0))
+    forget(joined)
+    with shuffles_freed(spark):
+        sinks.write_partitioned(clean.web_fact(visits), paths["fact/web"], ["session_date"])
     clean.customer_dim(customers, as_of).write.mode("overwrite").parquet(paths["dim/customers"])
     clean.product_dim(products, as_of).write.mode("overwrite").parquet(paths["dim/products"])
     fact = spark.read.parquet(paths["fact/sales"])
-    agg.daily_sales_agg(fact).write.mode("overwrite").parquet(paths["agg/daily_sales"])
-    agg.customer_summary(fact).write.mode("overwrite").parquet(paths["agg/customer_summary"])
+    days = [agg.daily_sales_agg(part) for part in slices(fact, ["sale_month"])]
+    write_slices(days, lambda part, mode: part.write.mode(mode).parquet(paths["agg/daily_sales"]))
+    summaries = [agg.customer_summary(part) for part in slices(fact, ["customer_id"], -(-slice_count(fact) // 2))]
+    write_slices(summaries, lambda part, mode: part.write.mode(mode).parquet(paths["agg/customer_summary"]))
     sinks.write_csv_report(agg.business_summary(spark.read.parquet(paths["agg/daily_sales"])), paths["export/business_summary"])
     summary = spark.read.parquet(paths["agg/customer_summary"]).withColumn("purchased_categories", F.array_join("purchased_categories", "|"))
     sinks.write_csv_report(ordering.top_k(summary, ["-total_spent", "customer_id"], 100), paths["export/top_customers"])
@@ -74,9 +82,11 @@ def etl_job(sales: DataFrame, customers: DataFrame, products: DataFrame, visits:
             "sales": (fact, {"negative": F.col("final_amount") < 0, "no_quantity": F.col("quantity") <= 0, "future": F.col("timestamp") > now}),
             "customers": (spark.read.parquet(paths["dim/customers"]), {"bad_email": ~F.col("email").contains("@"), "debt": F.col("lifetime_value") < 0}),
             "products": (spark.read.parquet(paths["dim/products"]), {"price": F.col("retail_price") <= 0, "cost": F.col("cost_price") > F.col("retail_price")}),
-        }
+        },
+        by={"sales": ["sale_month"]},
     )
-    sinks.write_report(score, paths["report"])
+    with shuffles_freed(spark):
+        sinks.write_report(score, paths["report"])
     return paths
 
 
