@@ -21,6 +21,9 @@ from tidewell.sources import kafka, parse, readers, sinks
 from tidewell.sources.materialized import ResultStore
 from tidewell.streaming.run import in_order, run_available, run_batches
 
+#: The groupings of the stream job hold some 13 rows of state for an event of the latest batch.
+JOB_EVENTS_PER_BATCH = 200_000
+
 
 def n_rows(name="n"):
     return F.count(F.lit(1)).alias(name)
@@ -436,7 +439,7 @@ def _closed_count(name: str, cells: str, minutes: int) -> str:
 def job_04(t):
     """Every output of the job, with its number of rows and the events counted in them."""
     out = scratch_path(t.spark, "stream-job")
-    events = t.event_view(in_order(t.read("events"), "ts", "stream-job"))
+    events = t.event_view(in_order(t.read("events"), "ts", "stream-job", JOB_EVENTS_PER_BATCH))
     for running in jobs.stream_job(events, out, scratch_path(t.spark, "stream-job-checkpoints"), {"availableNow": True}).values():
         running.awaitTermination()
     counted = {"high_value_alerts": F.lit(1), "minute_counts": F.col("event_count"), "category_revenue": F.col("order_count"), "active_users": F.col("activity_count"),

@@ -14,6 +14,7 @@ from tidewell.session import forget, shuffles_freed, slice_count, slices, stored
 from tidewell.sources import sinks
 from tidewell.sources.readers import register_views
 from tidewell.streaming import windows as stream_windows
+from tidewell.streaming.run import few_stores
 
 TIES = ["session_id", "line", "product_id", "supplier_id", "total_amount"]
 
@@ -109,9 +110,10 @@ def stream_job(events: DataFrame, out: str, checkpoints: str, trigger: Mapping |
         "high_value_alerts": enrich.high_value_alerts(events, 200.0),
         "fraud_alerts": stream_windows.fraud_window(events),
     }
-    return {
-        name: sinks.file_stream_sink(df, f"{out}/{name}", f"{checkpoints}/{name}", trigger) for name, df in results.items()
-    }
+    with few_stores(events.sparkSession):
+        return {
+            name: sinks.file_stream_sink(df, f"{out}/{name}", f"{checkpoints}/{name}", trigger) for name, df in results.items()
+        }
 
 
 def event_router_job(events: DataFrame, min_value: float, actions, threshold: float) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.lake import Medallion
-from tidewell.session import scratch_path
+from tidewell.operators.scan import with_position
+from tidewell.session import scratch_path, shuffles_freed
 
 #: A replayed batch has a file for so many rows, as far as there are cores to write them.
 ROWS_PER_FILE = 10_000
@@ -16,6 +18,24 @@ ROWS_PER_FILE = 10_000
 #: A batch of a replay in order of time has about so many rows: what its groups hold until the watermark passes them bounds the state.
 ROWS_PER_BATCH = 2_000_000
 
+#: State stores per core: each one costs files and time in every batch.
+STORES_PER_CORE = 2
+
+
+@contextmanager
+def few_stores(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in a few stores per core, however many partitions a large shuffle has. A checkpoint keeps its number."""
+    stores = min(int(spark.conf.get("spark.sql.shuffle.partitions")), STORES_PER_CORE * spark.sparkContext.defaultParallelism)
+    own = {"spark.sql.shuffle.partitions": str(stores), "spark.sql.streaming.maxBatchesToRetainInMemory": "1"}
+    before = {name: spark.conf.get(name, None) for name in own}
+    try:
+        for name, value in own.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
 
 def run_available(stream: DataFrame, label: str, checkpoint: str | None = None, out: str | None = None) -> DataFrame:
     """Process everything available, append finished rows to Parquet and return them."""
@@ -84,9 +104,16 @@ def in_order(table: DataFrame, ts: str, label: str, rows_per_batch: int = ROWS_P
     parts = max(1, -(-table.count() // rows_per_batch))
     cuts = sorted(set(table.agg(F.percentile_approx(time, [k / parts for k in range(1, parts)], 10_000)).first()[0] or [])) if parts > 1 else []
     files = max(1, min(spark.sparkContext.defaultParallelism, rows_per_batch // ROWS_PER_FILE))
-    for part, (low, high) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):
-        inside = F.coalesce(F.lit(True) if low is None else time >= low, F.lit(False)) & F.coalesce(F.lit(True) if high is None else time < high, F.lit(part == 0))
-        _append_batch(table.filter(inside), path, files, part)
+    parted = table
+    if cuts:
+        # Rows are parted in one pass, however many batches there are.
+        place = scratch_path(spark, f"{label}-parts")
+        with shuffles_freed(spark):
+            with_position(table, "__part", time, cuts).repartition(len(cuts) + 1, "__part").write.partitionBy("__part").parquet(place)
+        parted = spark.read.parquet(place)
+    for part in range(len(cuts) + 1):
+        rows = parted.filter(F.col("__part") == part) if cuts else parted
+        _append_batch(rows.select(*table.columns), path, files, part)
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
