@@ -12,6 +12,7 @@ def test_stores_are_few_and_batches_bounded(spark, monkeypatch):
     monkeypatch.setattr(jobs.stream_windows, "session_sliding", lambda events: events.select("event_id"))
     monkeypatch.setattr(jobs.stream_windows, "sliding_revenue", lambda events: events.select("event_id"))
     monkeypatch.setattr(jobs.stream_windows, "fraud_window", lambda events: events.select("event_id"))
+    monkeypatch.setattr(jobs.enrich, "high_value_alerts", lambda events, least: events.select("event_id"))
     times = F.timestamp_seconds(F.col("id") * 977 % 5000 + 1_700_000_000)
     table = spark.range(300).select(F.col("id").alias("event_id"), times.alias("event_time"), F.lit("view").alias("event_type"), F.lit(3.0).alias("total_amount"))
     events = run.in_order(table, "event_time", "t", rows_per_batch=100)
